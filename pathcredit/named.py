@@ -5,6 +5,7 @@ DuckDB oracle in :mod:`pathcredit.oracle` column for column."""
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,7 +20,7 @@ from pathcredit.plans import sales as S
 from pathcredit.plans import spend as P
 from pathcredit.session import work_dir
 from pathcredit.sources import fixtures as X
-from pathcredit.sources.files import read_raw_touches, typed_touches, write_raw_touches
+from pathcredit.sources.files import typed_touches, write_raw_touches
 from pathcredit.sources.tables import Tables
 from pathcredit.streaming.ingest import ingest_once
 
@@ -36,28 +37,45 @@ DECAY_HALF_LIFE_HOURS = 24.0
 PROBABILITY_DIGITS = 9
 
 
-def _touches(spark, sf):
-    return X.load_touches(spark, sf)
+class _Inputs:
+    """Derived inputs of one query, each built once and shared by every branch
+    of that query's plan (a shared DataFrame also shares its pinned chunk
+    data, so the skew-safe scans run once per query)."""
 
+    def __init__(self, spark: SparkSession, sf: str):
+        self.spark, self.sf = spark, sf
 
-def _summary(spark, sf):
-    return J.journey_summary(_touches(spark, sf))
+    @cached_property
+    def touches(self) -> DataFrame:
+        return X.load_touches(self.spark, self.sf)
 
+    @cached_property
+    def bronze(self) -> DataFrame:
+        """Touches written once (a bronze table) for queries that run several
+        scans over them; later scans read the files, not the derivation."""
+        return self.touches.checkpoint()
 
-def _gold(spark, sf):
-    return A.gold_attribution(_summary(spark, sf))
+    @cached_property
+    def summary(self) -> DataFrame:
+        return J.journey_summary(self.bronze)
 
+    @cached_property
+    def gold(self) -> DataFrame:
+        return A.gold_attribution(self.summary)
 
-def _edges(spark, sf):
-    return M.edge_table(_touches(spark, sf))
+    @cached_property
+    def edges(self) -> DataFrame:
+        return M.edge_table(self.bronze)
 
+    @cached_property
+    def markov_credit(self) -> DataFrame:
+        return M.markov_attribution(M.removal_effects(M.simple_path_probability(self.edges)))
 
-def _markov_credit(spark, sf):
-    return M.markov_attribution(M.removal_effects(M.simple_path_probability(_edges(spark, sf))))
-
-
-def _gold_with_markov(spark, sf):
-    return upsert.merge(_gold(spark, sf), _markov_credit(spark, sf), ["attribution_model", "channel"])
+    @cached_property
+    def gold_all(self) -> DataFrame:
+        # Markov rows come from a group-by on channel: keys are unique by
+        # construction, so the duplicate-match check (an extra job) is skipped.
+        return upsert.merge(self.gold, self.markov_credit, ["attribution_model", "channel"], check=False)
 
 
 def _rounded(df: DataFrame) -> DataFrame:
@@ -108,14 +126,14 @@ def top_referrers(spark, sf):
 
 
 def bronze_touches(spark, sf):
-    return typed_touches(X.raw_touch_text(_touches(spark, sf)))
+    return typed_touches(X.raw_touch_text(_Inputs(spark, sf).touches))
 
 
 def bronze_touches_streamed(spark, sf):
     """Raw touch files land in a directory; a one-shot stream appends them to
     the bronze table; the bronze table is returned."""
     root = work_dir(spark, "bronze-stream")
-    write_raw_touches(X.raw_touch_text(_touches(spark, sf)), f"{root}/landing", files=3)
+    write_raw_touches(X.raw_touch_text(_Inputs(spark, sf).touches), f"{root}/landing", files=3)
     ingest_once(spark, f"{root}/landing", f"{root}/bronze", f"{root}/_checkpoint")
     return spark.read.parquet(f"{root}/bronze")
 
@@ -124,40 +142,40 @@ def bronze_touches_streamed(spark, sf):
 
 
 def user_journey(spark, sf):
-    return J.render_journeys(J.user_journeys(_touches(spark, sf)))
+    return J.render_journeys(J.user_journeys(_Inputs(spark, sf).bronze))
 
 
 def first_touch(spark, sf):
-    return A.first_touch(_summary(spark, sf))
+    return A.first_touch(_Inputs(spark, sf).summary)
 
 
 def last_touch(spark, sf):
-    return A.last_touch(_summary(spark, sf))
+    return A.last_touch(_Inputs(spark, sf).summary)
 
 
 def gold_attribution(spark, sf):
-    return _gold(spark, sf)
+    return _Inputs(spark, sf).gold
 
 
 def linear_touch(spark, sf):
-    t = _touches(spark, sf)
-    return A.linear_touch(t, J.journey_summary(t))
+    q = _Inputs(spark, sf)
+    return A.linear_touch(q.bronze, q.summary)
 
 
 def time_decay(spark, sf):
-    t = _touches(spark, sf)
-    return A.time_decay(t, J.journey_summary(t), DECAY_HALF_LIFE_HOURS)
+    q = _Inputs(spark, sf)
+    return A.time_decay(q.bronze, q.summary, DECAY_HALF_LIFE_HOURS)
 
 
 # ---------------------------------------------------------------- markov
 
 
 def journey_transitions(spark, sf):
-    return M.transitions(_touches(spark, sf))
+    return M.transitions(_Inputs(spark, sf).bronze)
 
 
 def transition_matrix(spark, sf):
-    return M.transition_matrix(M.transitions(_touches(spark, sf)))
+    return M.transition_matrix(M.transitions(_Inputs(spark, sf).bronze))
 
 
 def transition_row_sums(spark, sf):
@@ -172,66 +190,69 @@ def transition_pivot(spark, sf):
 
 
 def removal_graph(spark, sf):
-    return M.removal_graph(_edges(spark, sf))
+    return M.removal_graph(_Inputs(spark, sf).edges)
 
 
 def markov_conversion_probability(spark, sf):
-    return _rounded(M.simple_path_probability(_edges(spark, sf)))
+    return _rounded(M.simple_path_probability(_Inputs(spark, sf).edges))
 
 
 def markov_removal_effect(spark, sf):
-    return M.removal_effects(M.simple_path_probability(_edges(spark, sf)))
+    return M.removal_effects(M.simple_path_probability(_Inputs(spark, sf).edges))
 
 
 def markov_attribution(spark, sf):
-    return _markov_credit(spark, sf)
+    return _Inputs(spark, sf).markov_credit
 
 
 def markov_absorbing(spark, sf):
-    return _rounded(M.absorbing_probability(_edges(spark, sf)))
+    return _rounded(M.absorbing_probability(_Inputs(spark, sf).edges))
 
 
 def markov_memo_dfs(spark, sf):
-    return _rounded(M.memo_dfs_probability(_edges(spark, sf)))
+    return _rounded(M.memo_dfs_probability(_Inputs(spark, sf).edges))
 
 
 # ---------------------------------------------------------------- spend
 
 
 def base_conversion_rate(spark, sf):
-    return P.base_conversion_rate(_summary(spark, sf))
+    return P.base_conversion_rate(_Inputs(spark, sf).summary)
 
 
 def conversions_by_date(spark, sf):
-    return P.conversions_by_date(_touches(spark, sf))
+    # Needs no journey id: the per-user scan that builds ``uid`` is skipped.
+    return P.conversions_by_date(X.touch_events(Tables(spark, sf).events))
 
 
 def attribution_by_model(spark, sf):
-    return A.attribution_by_model(_gold_with_markov(spark, sf), _summary(spark, sf))
+    q = _Inputs(spark, sf)
+    return A.attribution_by_model(q.gold_all, q.summary)
 
 
 def cpa_summary(spark, sf):
-    return P.cpa_summary(X.ad_spend(spark), _gold_with_markov(spark, sf), _summary(spark, sf))
+    q = _Inputs(spark, sf)
+    return P.cpa_summary(X.ad_spend(spark), q.gold_all, q.summary)
 
 
 def markov_percent(spark, sf):
-    return A.model_percent(_gold_with_markov(spark, sf))
+    return A.model_percent(_Inputs(spark, sf).gold_all)
 
 
 def spend_optimization(spark, sf):
-    return P.spend_optimization(X.ad_spend(spark), _gold_with_markov(spark, sf))
+    return P.spend_optimization(X.ad_spend(spark), _Inputs(spark, sf).gold_all)
 
 
 def spend_comparison(spark, sf):
     ad = X.ad_spend(spark)
-    return P.spend_comparison(ad, P.spend_optimization(ad, _gold_with_markov(spark, sf)))
+    return P.spend_comparison(ad, P.spend_optimization(ad, _Inputs(spark, sf).gold_all))
 
 
 # ---------------------------------------------------------------- upsert, layout
 
 
 def _refresh_inputs(spark, sf):
-    t = _touches(spark, sf)
+    t = _Inputs(spark, sf).bronze
     target = J.user_journeys(t.filter(F.col("time") < F.lit(FIRST_LOAD_BEFORE).cast("timestamp_ntz")))
     source = J.user_journeys(t.filter(F.col("time") >= F.lit(REFRESH_FROM).cast("timestamp_ntz")))
     return target, source
@@ -239,7 +260,8 @@ def _refresh_inputs(spark, sf):
 
 def upsert_journeys(spark, sf):
     target, source = _refresh_inputs(spark, sf)
-    return J.render_journeys(upsert.merge(target, source, ["uid"]))
+    # Journeys are grouped by uid: the source keys are unique by construction.
+    return J.render_journeys(upsert.merge(target, source, ["uid"], check=False))
 
 
 def upsert_audit(spark, sf):
@@ -248,12 +270,12 @@ def upsert_audit(spark, sf):
 
 
 def upsert_attribution(spark, sf):
-    return _gold_with_markov(spark, sf)
+    return _Inputs(spark, sf).gold_all
 
 
 def clustered_journeys(spark, sf):
     path = work_dir(spark, "gold-user-journey")
-    layout.write_clustered(J.user_journeys(_touches(spark, sf)), "uid", path)
+    layout.write_clustered(J.user_journeys(_Inputs(spark, sf).bronze), "uid", path)
     return J.render_journeys(spark.read.parquet(path))
 
 

@@ -50,6 +50,49 @@ def _key_struct(keys: Sequence[str]) -> Column:
     return F.struct(*[F.col(k) for k in keys])
 
 
+def _links(ranged: DataFrame, keys: Sequence[str], order: Sequence[str], payload: Column) -> DataFrame:
+    """Per chunk: the last row of the previous non-empty chunk (``_before``) and
+    the first row of the next one (``_after``), as ``struct(k, v)``.
+    ``n`` rows in all, so the un-partitioned window and the broadcast are bounded
+    by the chunk count."""
+    sort_key = F.struct(*[F.col(c) for c in [*keys, *order]])
+    edge = F.struct(_key_struct(keys).alias("k"), payload.alias("v"))
+    heads = ranged.groupBy(CHUNK).agg(F.min_by(edge, sort_key).alias("head"), F.max_by(edge, sort_key).alias("tail"))
+    over_chunks = Window.orderBy(CHUNK)
+    return heads.select(
+        CHUNK,
+        F.lag("tail").over(over_chunks).alias("_before"),
+        F.lead("head").over(over_chunks).alias("_after"),
+    )
+
+
+def _offsets(local: DataFrame, keys: Sequence[str], order: Sequence[str], group_total: str) -> DataFrame:
+    """Per ``(chunk, key)`` whose key continues from earlier chunks: the sum of
+    that key's in-chunk totals over the earlier chunks.  Only a chunk's first
+    and last group can cross a boundary: at most 2 rows per chunk."""
+    sort_key = F.struct(*[F.col(c) for c in [*keys, *order]])
+    edge = F.struct(_key_struct(keys).alias("k"), F.col(group_total).alias("t"))
+    ends = local.groupBy(CHUNK).agg(F.min_by(edge, sort_key).alias("h"), F.max_by(edge, sort_key).alias("l"))
+    parts = ends.select(
+        CHUNK,
+        F.explode(F.when(F.col("h.k").eqNullSafe(F.col("l.k")), F.array("h")).otherwise(F.array("h", "l"))).alias("e"),
+    ).select(CHUNK, "e.k", "e.t")
+    earlier = Window.partitionBy("k").orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
+    return parts.select(
+        F.col(CHUNK).alias("_oc"),
+        *[F.col(f"k.{name}").alias(f"_ok{i}") for i, name in enumerate(keys)],
+        F.coalesce(F.sum("t").over(earlier), F.lit(0)).alias("_offset"),
+    )
+
+
+def _join_offsets(local: DataFrame, offsets: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Left join on (chunk, key); NULL keys form a group, so keys match null-safely."""
+    cond = F.col(CHUNK) == F.col("_oc")
+    for i, name in enumerate(keys):
+        cond = cond & F.col(name).eqNullSafe(F.col(f"_ok{i}"))
+    return local.join(F.broadcast(offsets), cond, "left")
+
+
 def neighbors(
     df: DataFrame,
     keys: Sequence[str],
@@ -67,31 +110,13 @@ def neighbors(
     ranged = _chunked(df, keys, order, n_chunks)
     payload = F.struct(*[F.col(c) for c in cols])
     w = Window.partitionBy(CHUNK, *keys).orderBy(*order)
-    local = ranged.select(
-        "*",
-        F.lag(payload).over(w).alias(prev_name),
-        F.lead(payload).over(w).alias(next_name),
-    )
-
-    # First and last row of every chunk (n rows in all).
-    sort_key = F.struct(*[F.col(c) for c in [*keys, *order]])
-    edge = F.struct(_key_struct(keys).alias("k"), payload.alias("v"))
-    heads = ranged.groupBy(CHUNK).agg(
-        F.min_by(edge, sort_key).alias("head"), F.max_by(edge, sort_key).alias("tail")
-    )
-    over_chunks = Window.orderBy(CHUNK)  # n rows: one per non-empty chunk
-    links = heads.select(
-        CHUNK,
-        F.lag("tail").over(over_chunks).alias("_before"),
-        F.lead("head").over(over_chunks).alias("_after"),
-    )
-
+    local = ranged.select("*", F.lag(payload).over(w).alias(prev_name), F.lead(payload).over(w).alias(next_name))
     k = _key_struct(keys)
-    patched = local.join(F.broadcast(links), CHUNK, "left")
+    patched = local.join(F.broadcast(_links(ranged, keys, order, payload)), CHUNK, "left")
     fill_prev = F.col(prev_name).isNull() & k.eqNullSafe(F.col("_before.k"))
     fill_next = F.col(next_name).isNull() & k.eqNullSafe(F.col("_after.k"))
     return patched.select(
-        *[c for c in df.columns],
+        *df.columns,
         F.when(fill_prev, F.col("_before.v")).otherwise(F.col(prev_name)).alias(prev_name),
         F.when(fill_next, F.col("_after.v")).otherwise(F.col(next_name)).alias(next_name),
     )
@@ -117,33 +142,8 @@ def running_sum(
         F.coalesce(F.sum("_v").over(frame), F.lit(0)).alias("_local"),
         F.sum("_v").over(Window.partitionBy(CHUNK, *keys)).alias("_group_total"),
     )
-
-    # Per chunk: the key and in-chunk total of its first and last group.
-    sort_key = F.struct(*[F.col(c) for c in [*keys, *order]])
-    edge = F.struct(_key_struct(keys).alias("k"), F.col("_group_total").alias("t"))
-    ends = local.groupBy(CHUNK).agg(F.min_by(edge, sort_key).alias("h"), F.max_by(edge, sort_key).alias("l"))
-    parts = ends.select(
-        CHUNK,
-        F.explode(
-            F.when(F.col("h.k").eqNullSafe(F.col("l.k")), F.array("h")).otherwise(F.array("h", "l"))
-        ).alias("e"),
-    ).select(CHUNK, "e.k", "e.t")
-    # Offset of a (chunk, key) = totals of that key in earlier chunks.  At most
-    # 2 rows per chunk; a hot key has at most one row per chunk.
-    offsets = parts.select(
-        CHUNK,
-        *[F.col(f"k.{name}").alias(name) for name in keys],
-        F.coalesce(
-            F.sum("t").over(
-                Window.partitionBy("k").orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
-            ),
-            F.lit(0),
-        ).alias("_offset"),
-    )
-    joined = local.join(F.broadcast(offsets), [CHUNK, *keys], "left")
-    return joined.select(
-        *df.columns, (F.col("_local") + F.coalesce(F.col("_offset"), F.lit(0))).alias(out)
-    )
+    joined = _join_offsets(local, _offsets(local, keys, order, "_group_total"), keys)
+    return joined.select(*df.columns, (F.col("_local") + F.coalesce(F.col("_offset"), F.lit(0))).alias(out))
 
 
 def dense_rank_by(
@@ -155,13 +155,26 @@ def dense_rank_by(
     n_chunks: int | None = None,
 ) -> DataFrame:
     """``dense_rank() OVER (PARTITION BY keys ORDER BY rank_on)`` without a
-    single-task group: a row starts a new rank when ``rank_on`` differs from
-    the previous row's, and the rank is the running count of such starts."""
+    single-task group, in one chunking: a row starts a new rank when
+    ``rank_on`` differs from the previous row's (the previous row may sit in
+    the previous chunk), and the rank is the running count of such starts."""
     order = [rank_on, *tiebreak]
-    with_prev = neighbors(df, keys, order, [rank_on], prev_name="_p", next_name="_n", n_chunks=n_chunks)
-    starts = F.when(
-        F.col("_p").isNull() | ~F.col(f"_p.{rank_on}").eqNullSafe(F.col(rank_on)), F.lit(1)
-    ).otherwise(F.lit(0))
-    flagged = with_prev.withColumn("_start", starts).drop("_p", "_n")
-    ranked = running_sum(flagged, keys, order, "_start", out, inclusive=True, n_chunks=n_chunks)
-    return ranked.drop("_start").withColumn(out, F.col(out).cast("int"))
+    ranged = _chunked(df, keys, order, n_chunks)
+    w = Window.partitionBy(CHUNK, *keys).orderBy(*order)
+    local = ranged.select("*", F.lag(rank_on).over(w).alias("_p"), F.row_number().over(w).alias("_rn"))
+    payload = F.struct(F.col(rank_on).alias("r"))
+    linked = local.join(F.broadcast(_links(ranged, keys, order, payload)), CHUNK, "left")
+    continues = (F.col("_rn") == 1) & _key_struct(keys).eqNullSafe(F.col("_before.k"))
+    previous = F.when(continues, F.col("_before.v.r")).otherwise(F.col("_p"))
+    starts = F.when(((F.col("_rn") == 1) & ~continues) | ~previous.eqNullSafe(F.col(rank_on)), 1).otherwise(0)
+    flagged = linked.select(*ranged.columns, starts.alias("_start"))
+    # Same partitioning and order as above: no new exchange or sort.
+    counted = flagged.select(
+        "*",
+        F.sum("_start").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias("_local"),
+        F.sum("_start").over(Window.partitionBy(CHUNK, *keys)).alias("_group_total"),
+    )
+    joined = _join_offsets(counted, _offsets(counted, keys, order, "_group_total"), keys)
+    return joined.select(
+        *df.columns, (F.col("_local") + F.coalesce(F.col("_offset"), F.lit(0))).cast("int").alias(out)
+    )

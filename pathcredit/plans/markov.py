@@ -12,8 +12,9 @@ safe.  Three methods for the conversion probability share one output shape
 ``(removed, conversion_probability)``, ``removed`` NULL for the full graph:
 
 * ``simple_path`` (default): sum over loop-free Start->Conversion paths, the
-  definition the reference states.  A recursive CTE enumerates the paths once;
-  the value without channel ``r`` is the sum over paths that avoid ``r``.
+  definition the reference states.  A level-by-level broadcast-join expansion
+  enumerates the paths once; the value without channel ``r`` is the sum over
+  paths that avoid ``r``.
 * ``absorbing``: loops included, exact absorption probability; one small
   linear solve per scenario, scenarios spread over tasks by ``applyInPandas``.
 * ``memo_dfs``: the reference's memoised depth-first recursion, with children
@@ -112,34 +113,50 @@ def removal_graph(matrix: DataFrame, include_baseline: bool = False) -> DataFram
 # ------------------------------------------------------------- simple paths
 
 
-_SIMPLE_PATHS_SQL = """
-WITH RECURSIVE walk(last_state, visited, prob) AS (
-  SELECT end_state, array(end_state), transition_probability
-  FROM {edges} WHERE start_state = :start
-  UNION ALL
-  SELECT /*+ BROADCAST(e) */ e.end_state, array_append(w.visited, e.end_state), w.prob * e.transition_probability
-  FROM walk w JOIN {edges} e ON e.start_state = w.last_state
-  WHERE w.last_state NOT IN (:conversion, :null_state)
-    AND NOT array_contains(w.visited, e.end_state)
-)
-SELECT array_remove(visited, :conversion) AS channels, prob
-FROM walk WHERE last_state = :conversion
-"""
+# Above this many channels the frontier of every level is checkpointed, so the
+# plan of level k does not re-derive levels 0..k-1.
+_CUT_LINEAGE_ABOVE = 8
 
 
 def converting_paths(matrix: DataFrame) -> DataFrame:
     """All loop-free Start -> Conversion paths with their probability.
 
-    The path count grows with the number of channels (factorially in the worst
-    case); the recursion is distributed, and the edge side of every step is
-    broadcast (it is the bounded edge table).
+    Level k holds the paths with k+1 states after Start; a simple path visits
+    every channel at most once, so there are at most #channels+1 levels.  Each
+    level is a broadcast join of the frontier (partitioned, it can grow
+    factorially with the channel count) with the edge table (bounded by
+    (#channels+1)*(#channels+2) rows).  The depth comes from the checkpointed
+    edge table (one number to the driver).
     """
-    spark = matrix.sparkSession
-    return spark.sql(
-        _SIMPLE_PATHS_SQL,
-        args={"start": START, "conversion": CONVERSION, "null_state": NULL_STATE},
-        edges=matrix.select("start_state", "end_state", "transition_probability"),
+    edges = matrix.select("start_state", "end_state", "transition_probability")
+    channels = edges.filter(F.col("start_state") != F.lit(START)).select("start_state").distinct().count()
+    step = F.broadcast(edges.withColumnsRenamed({"start_state": "_s", "end_state": "_e", "transition_probability": "_p"}))
+    frontier = edges.filter(F.col("start_state") == F.lit(START)).select(
+        F.col("end_state").alias("last_state"),
+        F.array("end_state").alias("visited"),
+        F.col("transition_probability").alias("prob"),
     )
+    done = []
+    for level in range(channels + 1):
+        done.append(frontier.filter(F.col("last_state") == F.lit(CONVERSION)))
+        if level == channels:
+            break
+        open_paths = frontier.filter(~F.col("last_state").isin(CONVERSION, NULL_STATE))
+        frontier = (
+            open_paths.join(step, F.col("last_state") == F.col("_s"))
+            .filter(~F.array_contains("visited", F.col("_e")))
+            .select(
+                F.col("_e").alias("last_state"),
+                F.array_append("visited", F.col("_e")).alias("visited"),
+                (F.col("prob") * F.col("_p")).alias("prob"),
+            )
+        )
+        if channels > _CUT_LINEAGE_ABOVE:
+            frontier = frontier.checkpoint()
+    paths = done[0]
+    for d in done[1:]:
+        paths = paths.unionByName(d)
+    return paths.select(F.array_remove("visited", F.lit(CONVERSION)).alias("channels"), "prob")
 
 
 def simple_path_probability(matrix: DataFrame) -> DataFrame:

@@ -17,16 +17,12 @@ from pathcredit.sources.tables import Tables
 # ---------------------------------------------------------------- touches (B1)
 
 
-def touches(events: DataFrame) -> DataFrame:
-    """Bronze-shaped touches plus ``event_id`` as the ordering tiebreak.
-
-    ``uid`` is a journey id ``user_id-yyyyMMdd-seq`` where ``seq`` counts the
-    user's earlier purchases that day, so every purchase closes a journey.
-    The running count is the skew-safe scan (a hot user does not become one task).
-    """
+def touch_events(events: DataFrame) -> DataFrame:
+    """Per-event touch attributes (no journey id yet): a narrow projection,
+    so filters and column pruning still reach the parquet scan."""
     k = F.get_json_object(F.col("props"), "$.k").cast("int")
     conversion = (F.col("event_type") == F.lit("purchase")).cast("int")
-    base = events.select(
+    return events.select(
         "event_id",
         "user_id",
         F.col("ts").alias("time"),
@@ -35,6 +31,16 @@ def touches(events: DataFrame) -> DataFrame:
         F.when(conversion == 1, F.lit("conversion")).otherwise(F.lit("impression")).alias("interaction"),
         pick(CHANNELS, F.pmod(k, F.lit(len(CHANNELS)))).alias("channel"),
     )
+
+
+def touches(events: DataFrame) -> DataFrame:
+    """Bronze-shaped touches plus ``event_id`` as the ordering tiebreak.
+
+    ``uid`` is a journey id ``user_id-yyyyMMdd-seq`` where ``seq`` counts the
+    user's earlier purchases that day, so every purchase closes a journey.
+    The running count is the skew-safe scan (a hot user does not become one task).
+    """
+    base = touch_events(events)
     seq = running_sum(base, ["user_id", "day"], ["time", "event_id"], "conversion", "seq", inclusive=False)
     return seq.select(
         F.concat_ws("-", F.col("user_id").cast("string"), "day", F.col("seq").cast("string")).alias("uid"),
