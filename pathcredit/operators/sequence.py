@@ -1,22 +1,30 @@
-"""Skew-safe ordered scans within groups: previous/next row and running sums.
+"""Skew-safe ordered scans within groups: previous/next row, running sums,
+dense rank.
 
 ``Window.partitionBy(key).orderBy(t)`` sends every row of one key to one task.
-If a single user (a bot, a shared device id, a default id) holds a third of all
-touches, that task holds a third of the data.  The operators here avoid that:
-
-1. ``repartitionByRange(n, *keys, *order)`` splits the *globally* sorted rows
-   into ``n`` contiguous chunks of roughly equal size.  A hot key simply spans
-   many chunks; chunk ids (``spark_partition_id()``) follow the sort order.
-2. The window then runs per ``(chunk, key)``: every window group is bounded by
-   the chunk size, whatever the key distribution.
-3. Only the first and last group of each chunk can continue in a neighbouring
-   chunk.  A per-chunk summary (``n`` rows, i.e. bounded by the partition
-   count, not by the data) carries the boundary values across chunks; it is
-   broadcast back to patch the boundary rows.
-
-Cost: one range exchange plus one hash exchange of the input, and a few jobs
-over ``n``-row summaries.  The chunk summary windows have no partition key on
-purpose: they run over ``n`` rows only.
+If a single user (a bot, a shared device id, a missing id) holds a third of all
+touches, that task holds a third of the data.  The operators here route rows:
+
+* **Ordinary keys** take the plain window: one hash exchange on the key.
+* **Hot keys** are found exactly by a key count (map-side partial
+  aggregation, so only one narrow row per key and task is shuffled).  A key is
+  hot above ``max(hotKeyRows, rows / partitions)`` rows, which bounds the hot
+  list by the partition count; that bound is what makes its broadcast safe.
+  Hot rows are then split:
+
+  1. ``repartitionByRange(n, *keys, *order)`` cuts the globally sorted hot rows
+     into ``n`` contiguous chunks of similar size; a hot key spans many chunks
+     and chunk ids (``spark_partition_id()``) follow the sort order.
+  2. The window runs per ``(chunk, key)``: every window group is bounded by the
+     chunk size.
+  3. Only the first and last group of a chunk continue in a neighbouring chunk.
+     A per-chunk summary (``n`` rows) carries boundary values across chunks and
+     is broadcast back to patch the boundary rows.
+
+With no hot key the cost is the plain window plus the key count; hot rows pay
+a range exchange and a hash exchange.  ``pathcredit.sequence.hotKeyRows``
+(session conf) sets the absolute floor of the hot threshold; ``hot_rows=0``
+sends everything through the chunked path.
 """
 
 from __future__ import annotations
@@ -29,6 +37,8 @@ from pyspark.sql import functions as F
 from pathcredit.session import shuffle_partitions
 
 CHUNK = "_chunk"
+HOT_ROWS_CONF = "pathcredit.sequence.hotKeyRows"
+DEFAULT_HOT_ROWS = 1_000_000
 
 
 def _chunked(df: DataFrame, keys: Sequence[str], order: Sequence[str], n: int | None) -> DataFrame:
@@ -93,7 +103,7 @@ def _join_offsets(local: DataFrame, offsets: DataFrame, keys: Sequence[str]) ->
     return local.join(F.broadcast(offsets), cond, "left")
 
 
-def neighbors(
+def _chunked_neighbors(
     df: DataFrame,
     keys: Sequence[str],
     order: Sequence[str],
@@ -122,7 +132,7 @@ def neighbors(
     )
 
 
-def running_sum(
+def _chunked_running_sum(
     df: DataFrame,
     keys: Sequence[str],
     order: Sequence[str],
@@ -146,7 +156,7 @@ def running_sum(
     return joined.select(*df.columns, (F.col("_local") + F.coalesce(F.col("_offset"), F.lit(0))).alias(out))
 
 
-def dense_rank_by(
+def _chunked_dense_rank(
     df: DataFrame,
     keys: Sequence[str],
     rank_on: str,
@@ -178,3 +188,125 @@ def dense_rank_by(
     return joined.select(
         *df.columns, (F.col("_local") + F.coalesce(F.col("_offset"), F.lit(0))).cast("int").alias(out)
     )
+
+
+# ------------------------------------------------------------------ routing
+
+
+def _null_safe_match(keys: Sequence[str]) -> Column:
+    cond = F.lit(True)
+    for i, name in enumerate(keys):
+        cond = cond & F.col(name).eqNullSafe(F.col(f"_hk{i}"))
+    return cond
+
+
+def split_hot(df: DataFrame, keys: Sequence[str], hot_rows: int | None = None):
+    """``(ordinary_rows, hot_rows_df, n_chunks)``; either frame may be None.
+
+    Key counts use partial aggregation; the hot list holds at most
+    ``partitions`` keys (threshold >= rows / partitions), so it is collected
+    and broadcast within a proven bound.
+    """
+    spark = df.sparkSession
+    floor = int(spark.conf.get(HOT_ROWS_CONF, str(DEFAULT_HOT_ROWS))) if hot_rows is None else hot_rows
+    if floor <= 0:
+        return None, df, None
+    parts = shuffle_partitions(spark)
+    total = df.count()
+    threshold = max(floor, -(-total // parts))
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > threshold)
+    hot = counts.collect()  # <= parts rows by the threshold above
+    if not hot:
+        return df, None, None
+    schema = counts.select(*[F.col(k).alias(f"_hk{i}") for i, k in enumerate(keys)], "_n").schema
+    hot_keys = F.broadcast(spark.createDataFrame([tuple(r) for r in hot], schema))
+    ordinary = df.join(hot_keys, _null_safe_match(keys), "left_anti")
+    hot_df = df.join(hot_keys, _null_safe_match(keys), "left_semi")
+    hot_total = sum(r["_n"] for r in hot)
+    n_chunks = max(2, min(parts, -(-hot_total // threshold) * 2))
+    return ordinary, hot_df, n_chunks
+
+
+def _route(df, keys, hot_rows, n_chunks, plain, chunked):
+    ordinary, hot, n_hot = split_hot(df, keys, hot_rows)
+    parts = []
+    if ordinary is not None:
+        parts.append(plain(ordinary))
+    if hot is not None:
+        parts.append(chunked(hot, n_chunks or n_hot))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def neighbors(
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    cols: Sequence[str],
+    prev_name: str = "prev",
+    next_name: str = "next",
+    n_chunks: int | None = None,
+    hot_rows: int | None = None,
+) -> DataFrame:
+    """Add ``prev`` / ``next`` struct columns holding ``cols`` of the adjacent row
+    of the same key in ``order`` (NULL at the group ends).  ``order`` must make
+    rows unique within a key (add a tiebreak column)."""
+
+    def plain(part: DataFrame) -> DataFrame:
+        w = Window.partitionBy(*keys).orderBy(*order)
+        payload = F.struct(*[F.col(c) for c in cols])
+        return part.select("*", F.lag(payload).over(w).alias(prev_name), F.lead(payload).over(w).alias(next_name))
+
+    return _route(
+        df, keys, hot_rows, n_chunks, plain,
+        lambda part, n: _chunked_neighbors(part, keys, order, cols, prev_name, next_name, n),
+    )
+
+
+def running_sum(
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    value: str | Column,
+    out: str,
+    inclusive: bool = True,
+    n_chunks: int | None = None,
+    hot_rows: int | None = None,
+) -> DataFrame:
+    """Add ``out`` = sum of ``value`` over earlier rows of the same key in
+    ``order`` (``inclusive`` adds the current row); 0 when there are none."""
+    value_col = F.col(value) if isinstance(value, str) else value
+
+    def plain(part: DataFrame) -> DataFrame:
+        w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(
+            Window.unboundedPreceding, Window.currentRow if inclusive else -1
+        )
+        return part.select("*", F.coalesce(F.sum(value_col).over(w), F.lit(0)).alias(out))
+
+    return _route(
+        df, keys, hot_rows, n_chunks, plain,
+        lambda part, n: _chunked_running_sum(part, keys, order, value, out, inclusive, n),
+    )
+
+
+def dense_rank_by(
+    df: DataFrame,
+    keys: Sequence[str],
+    rank_on: str,
+    tiebreak: Sequence[str],
+    out: str,
+    n_chunks: int | None = None,
+    hot_rows: int | None = None,
+) -> DataFrame:
+    """``dense_rank() OVER (PARTITION BY keys ORDER BY rank_on)``."""
+
+    def plain(part: DataFrame) -> DataFrame:
+        w = Window.partitionBy(*keys).orderBy(rank_on)
+        return part.select("*", F.dense_rank().over(w).cast("int").alias(out))
+
+    return _route(
+        df, keys, hot_rows, n_chunks, plain,
+        lambda part, n: _chunked_dense_rank(part, keys, rank_on, tiebreak, out, n),
+    )

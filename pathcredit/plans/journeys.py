@@ -44,7 +44,8 @@ def user_journeys(touches: DataFrame) -> DataFrame:
     The rank is computed with the skew-safe scan; the per-uid array is the
     output row itself, built with partial (map-side) collection.
     """
-    ranked = dense_rank_by(touches, ["uid"], "time", ["event_id"], "visit_order")
+    narrow = touches.select("uid", "time", "event_id", "channel", "conversion")
+    ranked = dense_rank_by(narrow, ["uid"], "time", ["event_id"], "visit_order")
     key = _step_key()
     per_uid = ranked.groupBy("uid").agg(
         F.array_sort(F.collect_list(F.struct("time", "event_id", "channel", "visit_order"))).alias("steps"),

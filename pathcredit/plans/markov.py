@@ -42,7 +42,8 @@ def transitions(touches: DataFrame) -> DataFrame:
     """One row per state change of every journey: ``Start -> c1``, ``ci -> ci+1``
     and ``cn -> Conversion|Null``.  Built from neighbouring rows, not from the
     rendered path text, so channel names may contain any character."""
-    steps = neighbors(touches, ["uid"], ["time", "event_id"], ["channel"], "prev", "next")
+    narrow = touches.select("uid", "time", "event_id", "channel", "conversion")
+    steps = neighbors(narrow, ["uid"], ["time", "event_id"], ["channel"], "prev", "next")
     enter = F.struct(F.coalesce(F.col("prev.channel"), F.lit(START)).alias("s"), F.col("channel").alias("e"))
     leave = F.struct(F.col("channel").alias("s"), terminal_state(F.col("conversion")).alias("e"))
     moves = F.when(F.col("next").isNull(), F.array(enter, leave)).otherwise(F.array(enter))

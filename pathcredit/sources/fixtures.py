@@ -139,14 +139,16 @@ BLANK_BRAND = "Brand#9"
 def clickstream_raw(lineitem: DataFrame, part: DataFrame, supplier: DataFrame) -> DataFrame:
     """Referrer -> page click counts: page = part brand, referrer = supplier.
 
-    ``n`` is text, as in a JSON dump.  Aggregated with map-side partial counts.
+    ``n`` is text, as in a JSON dump.  Line items are counted per
+    ``(part, supplier)`` before the dimension joins (aggregate pushed below the
+    joins by hand: the join input shrinks to one row per pair), then the pair
+    counts are summed per (brand, supplier name).
     """
-    joined = (
-        lineitem.select("l_partkey", "l_suppkey")
-        .join(part.select("p_partkey", "p_brand"), F.col("l_partkey") == F.col("p_partkey"))
-        .join(supplier.select("s_suppkey", "s_name"), F.col("l_suppkey") == F.col("s_suppkey"))
+    pairs = lineitem.groupBy("l_partkey", "l_suppkey").agg(F.count(F.lit(1)).alias("c"))
+    joined = pairs.join(part.select("p_partkey", "p_brand"), F.col("l_partkey") == F.col("p_partkey")).join(
+        supplier.select("s_suppkey", "s_name"), F.col("l_suppkey") == F.col("s_suppkey")
     )
-    counted = joined.groupBy("p_brand", "s_name").agg(F.count(F.lit(1)).alias("cnt"))
+    counted = joined.groupBy("p_brand", "s_name").agg(F.sum("c").alias("cnt"))
     return counted.select(
         F.when(F.col("p_brand") == F.lit(BLANK_BRAND), F.lit(None).cast("string"))
         .otherwise(F.col("p_brand"))
