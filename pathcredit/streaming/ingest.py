@@ -41,24 +41,43 @@ def ingest_once(spark: SparkSession, source_dir: str, table_dir: str, checkpoint
     return sum(int(p.get("numInputRows", 0)) for p in query.recentProgress)
 
 
-def journeys_upsert_batch(journey_table, touches_source):
-    """``foreachBatch`` handler: recompute the journeys of the users in the
-    micro-batch from all their touches, then upsert them by ``uid``.
+def with_event_id(touches: DataFrame) -> DataFrame:
+    """Bronze rows carry no event id; a deterministic tiebreak for equal times
+    is a hash of the row's content."""
+    return touches.withColumn("event_id", F.xxhash64("uid", "time", "channel", "interaction", "conversion"))
+
 
-    ``journey_table`` is a :class:`pathcredit.operators.upsert.SnapshotTable`;
-    ``touches_source`` returns the full bronze touches (a table read).
-    """
+def refresh_journeys_batch(spark: SparkSession, bronze_dir: str, journey_table):
+    """``foreachBatch`` handler: append the micro-batch to the bronze table,
+    then recompute the journeys of the users present in the batch from all
+    their touches and upsert them by ``uid`` into ``journey_table`` (a
+    :class:`pathcredit.operators.upsert.SnapshotTable`).  Only the touched
+    users' journeys are rebuilt; the bronze read is a semi-join on them."""
     from pathcredit.plans.journeys import user_journeys
 
     def handle(batch: DataFrame, epoch_id: int) -> None:
+        batch.write.mode("append").parquet(bronze_dir)
         uids = batch.select("uid").distinct()
-        touched = touches_source().join(uids, "uid", "left_semi")
-        journey_table.upsert(user_journeys(touched), ["uid"])
+        touched = with_event_id(spark.read.parquet(bronze_dir).join(uids, "uid", "left_semi"))
+        fresh = user_journeys(touched)
+        if journey_table.version < 0:
+            journey_table.create_if_not_exists(fresh)
+        else:
+            journey_table.upsert(fresh, ["uid"])
 
     return handle
 
 
-def with_event_id(stream: DataFrame) -> DataFrame:
-    """Bronze rows carry no event id; a deterministic tiebreak for equal times
-    is the row's content (channel, interaction)."""
-    return stream.withColumn("event_id", F.xxhash64("uid", "time", "channel", "interaction"))
+def ingest_and_refresh(spark: SparkSession, source_dir: str, bronze_dir: str, journey_table, checkpoint_dir: str,
+                       max_files_per_trigger: int | None = None) -> None:
+    """One-shot stream that keeps bronze and the journey table current."""
+    query = (
+        touch_stream(spark, source_dir, max_files_per_trigger)
+        .writeStream.foreachBatch(refresh_journeys_batch(spark, bronze_dir, journey_table))
+        .option("checkpointLocation", checkpoint_dir)
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
+    if query.exception() is not None:
+        raise query.exception()

@@ -9,7 +9,8 @@ from pathcredit.plans import markov as M
 from pathcredit.plans.generator import generate_touches, generator_profile
 from pathcredit.sources import fixtures as X
 from pathcredit.sources.files import read_raw_touches, typed_touches, write_raw_touches
-from pathcredit.streaming.ingest import ingest_once
+from pathcredit.operators.upsert import SnapshotTable
+from pathcredit.streaming.ingest import ingest_and_refresh, ingest_once, with_event_id
 from tests.conftest import SF001
 
 
@@ -61,3 +62,17 @@ def test_generated_data_through_attribution(spark):
     rate = summary.filter("conversion = 1").count() / summary.count()
     absorbing = {r.removed: r.conversion_probability for r in M.absorbing_probability(edges).collect()}
     assert abs(absorbing[None] - rate) < 1e-9
+
+
+def test_stream_keeps_journeys_current(spark, scratch):
+    raw = X.raw_touch_text(X.load_touches(spark, SF001))
+    landing = f"{scratch}/landing"
+    write_raw_touches(raw.filter(F.col("time") < "2024-01-15"), f"{landing}/a", files=1)
+    write_raw_touches(raw.filter(F.col("time") >= "2024-01-15"), f"{landing}/b", files=1)
+    table = SnapshotTable(spark, "journeys_stream_test", f"{scratch}/journeys")
+    ingest_and_refresh(spark, f"{landing}/*", f"{scratch}/bronze", table, f"{scratch}/_ckpt", max_files_per_trigger=1)
+    assert table.version >= 1  # created by the first batch, upserted by the second
+    expected = J.render_journeys(J.user_journeys(with_event_id(typed_touches(raw))))
+    got = J.render_journeys(table.read())
+    assert got.count() == expected.count() == 520
+    assert got.exceptAll(expected).count() == 0
