@@ -98,7 +98,7 @@ def time_decay(touches: DataFrame, summary: DataFrame, half_life_hours: float =
     back (AQE splits a hot ``uid`` in this join); no per-uid window over touches.
     """
     converting = summary.filter(F.col("conversion") == 1).select("uid", "last_time")
-    age_hours = (F.unix_micros(F.col("last_time").cast("timestamp")) - F.unix_micros(F.col("time").cast("timestamp"))) / F.lit(3.6e9)
+    age_hours = F.timestamp_diff("MICROSECOND", F.col("time"), F.col("last_time")) / F.lit(3.6e9)
     weighted = touches.join(converting, "uid").select(
         "uid", "channel", F.pow(F.lit(2.0), -age_hours / F.lit(float(half_life_hours))).alias("w")
     )

@@ -15,6 +15,8 @@ indices: no Python loop, no per-row UDF.
 
 from __future__ import annotations
 
+import datetime as _dt
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -62,8 +64,11 @@ def generate_touches(
     """Bronze-typed touches ``uid, time, interaction, channel, conversion``
     plus ``step`` (0-based position in the journey)."""
     ids = spark.range(0, users, numPartitions=partitions) if partitions else spark.range(0, users)
-    start = F.unix_seconds(F.to_timestamp(F.lit(WINDOW_START)))
-    end = F.unix_seconds(F.to_timestamp(F.lit(WINDOW_END)))
+    # Whole-second offsets from the window start; wall-clock (NTZ) arithmetic,
+    # so the output does not depend on the session time zone.
+    span = int((_dt.datetime.fromisoformat(WINDOW_END) - _dt.datetime.fromisoformat(WINDOW_START)).total_seconds())
+    start = F.lit(0)
+    end = F.lit(span)
     uid = F.col("id")
     journeys = ids.select(
         uid.alias("user"),
@@ -72,7 +77,7 @@ def generate_touches(
         (F.floor(_uniform(seed, uid, "steps") * MAX_STEPS) + 1).cast("int").alias("steps"),
         _weighted_pick(_uniform(seed, uid, "final"), FINAL_WEIGHTS).alias("final_channel"),
     )
-    # times[i] = times[i-1] + floor(u_i * (end - times[i-1])), times[-1] = start
+    # offsets[i] = offsets[i-1] + floor(u_i * (span - offsets[i-1])), offsets[-1] = 0
     def step(acc: Column, i: Column) -> Column:
         nxt = (acc["last"] + F.floor(_uniform(seed, F.col("user"), i, "time") * (end - acc["last"]))).cast("long")
         return F.struct(nxt.alias("last"), F.concat(acc["times"], F.array(nxt)).alias("times"))
@@ -88,7 +93,7 @@ def generate_touches(
     ordinary = _weighted_pick(_uniform(seed, F.col("user"), F.col("step"), "channel"), STEP_WEIGHTS)
     return steps.select(
         "uid",
-        F.timestamp_seconds("epoch").cast("timestamp_ntz").alias("time"),
+        F.timestamp_add("SECOND", F.col("epoch"), F.to_timestamp_ntz(F.lit(WINDOW_START))).alias("time"),
         F.when(last, F.lit("conversion")).otherwise(F.lit("impression")).alias("interaction"),
         F.when(last, F.col("final_channel")).otherwise(ordinary).alias("channel"),
         last.cast("int").alias("conversion"),

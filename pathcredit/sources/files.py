@@ -6,7 +6,7 @@ costs an extra pass over the input and is unstable across files.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -45,13 +45,24 @@ def sql_on_files(spark: SparkSession, fmt: str, path: str) -> DataFrame:
     return spark.sql(f"SELECT * FROM {fmt}.`{path}`")
 
 
+# Fixed value: the touch files' time layout, yyyy-MM-dd HH:mm:ss.
+_TIME_TEXT = r"^(\d{4})-(\d{2})-(\d{2}) (\d{2}):(\d{2}):(\d{2})$"
+
+
+def parse_wall_clock(text: Column) -> Column:
+    """``yyyy-MM-dd HH:mm:ss`` text to TIMESTAMP_NTZ: independent of the session
+    time zone (no DST gap shifts) and NULL, not an ANSI error, when malformed."""
+    part = [F.regexp_extract(text, _TIME_TEXT, i).try_cast("int") for i in range(1, 7)]
+    return F.when(text.rlike(_TIME_TEXT), F.try_make_timestamp_ntz(*part))
+
+
 def typed_touches(raw: DataFrame) -> DataFrame:
     """Bronze touches from the all-text form: ``time`` parsed with the fixed
-    pattern, ``conversion`` cast to int.  ``try_*`` turns malformed text into
-    NULL (caught by expectations) instead of an ANSI error."""
+    pattern, ``conversion`` cast to int.  Malformed text becomes NULL (caught by
+    expectations) instead of an ANSI error."""
     return raw.select(
         "uid",
-        F.try_to_timestamp(F.col("time"), F.lit("yyyy-MM-dd HH:mm:ss")).cast("timestamp_ntz").alias("time"),
+        parse_wall_clock(F.col("time")).alias("time"),
         "interaction",
         "channel",
         F.col("conversion").try_cast("int").alias("conversion"),
