@@ -46,3 +46,16 @@ def terminal_state(conversion: Column) -> Column:
 
 def transition_label(start: Column, end: Column) -> Column:
     return F.concat(start, F.lit(PATH_SEP), end)
+
+
+def transition_array(path: Column | str) -> Column:
+    """Native form of the reference's path UDF: split a rendered path on ``>``,
+    strip each state and pair it with the next as ``"A > B"``.  JVM-side
+    (``transform`` over the state indices), no Python worker.  A one-state
+    path has no transition (empty array)."""
+    states = F.transform(F.split(F.col(path) if isinstance(path, str) else path, ">"), lambda s: F.trim(s))
+    pairs = F.transform(
+        F.sequence(F.lit(1), F.greatest(F.size(states) - 1, F.lit(1))),
+        lambda i: F.concat(F.get(states, i - 1), F.lit(PATH_SEP), F.get(states, i)),
+    )
+    return F.filter(pairs, lambda x: x.isNotNull())

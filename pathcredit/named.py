@@ -20,7 +20,8 @@ from pathcredit.plans import sales as S
 from pathcredit.plans import spend as P
 from pathcredit.session import work_dir
 from pathcredit.sources import fixtures as X
-from pathcredit.sources.files import typed_touches, write_raw_touches
+from pathcredit.schemas import SALES
+from pathcredit.sources.files import read_csv, read_json, sql_on_files, typed_touches, write_raw_touches
 from pathcredit.sources.tables import Tables
 from pathcredit.streaming.ingest import ingest_once
 
@@ -102,6 +103,24 @@ def sales_products_joined(spark, sf):
     return S.join_products(sales_customers_joined(spark, sf), X.products(Tables(spark, sf).part))
 
 
+def sales_enriched_from_files(spark, sf):
+    """The sales tables as the reference ingests them: the order stream as
+    JSON lines, customers as ``,``-CSV and products as ``;``-CSV (written by
+    Spark from the base tables), read back with explicit schemas, then line
+    items and both left joins."""
+    t = Tables(spark, sf)
+    root = work_dir(spark, "sales-files")
+    sales_df = X.sales(t.orders, t.lineitem)
+    cust, prod = X.customers(t.customer), X.products(t.part)
+    sales_df.write.json(f"{root}/sales")
+    cust.write.option("header", True).option("sep", ",").csv(f"{root}/customers")
+    prod.write.option("header", True).option("sep", ";").csv(f"{root}/products")
+    sales_in = read_json(spark, f"{root}/sales", SALES)
+    cust_in = read_csv(spark, f"{root}/customers", schema=cust.schema, sep=",")
+    prod_in = read_csv(spark, f"{root}/products", schema=prod.schema, sep=";")
+    return S.join_products(S.join_customers(S.line_items(sales_in), cust_in), prod_in)
+
+
 # ---------------------------------------------------------------- clickstream
 
 
@@ -118,6 +137,14 @@ def clickstream_expectation_counts(spark, sf):
     return C.prepared_expectations(C.prepared(_clicks_raw(spark, sf)))
 
 
+def clickstream_from_files(spark, sf):
+    """Raw clicks dumped as JSON lines, queried directly in SQL
+    (``SELECT * FROM json.`path` ``, inferred schema), then prepared."""
+    root = work_dir(spark, "clicks-files")
+    _clicks_raw(spark, sf).write.json(f"{root}/raw")
+    return C.prepared(sql_on_files(spark, "json", f"{root}/raw"), check=True)
+
+
 def top_referrers(spark, sf):
     return C.top_referrers(clickstream_prepared(spark, sf), TOP_PAGE, TOP_K)
 
@@ -286,8 +313,10 @@ QUERIES: dict[str, Query] = {
         sales_expectation_counts,
         sales_customers_joined,
         sales_products_joined,
+        sales_enriched_from_files,
         clickstream_prepared,
         clickstream_expectation_counts,
+        clickstream_from_files,
         top_referrers,
         bronze_touches,
         bronze_touches_streamed,

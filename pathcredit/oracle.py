@@ -297,5 +297,7 @@ FROM (SELECT uid FROM target_j) t FULL OUTER JOIN (SELECT uid FROM source_j) s O
     ),
 }
 
-# bronze_touches_streamed reads the same rows as bronze_touches.
+# File-ingest variants read the same rows as their in-memory counterparts.
 ORACLE_SQL["bronze_touches_streamed"] = ORACLE_SQL["bronze_touches"]
+ORACLE_SQL["sales_enriched_from_files"] = ORACLE_SQL["sales_products_joined"]
+ORACLE_SQL["clickstream_from_files"] = ORACLE_SQL["clickstream_prepared"]
