@@ -43,8 +43,10 @@ class _Inputs:
     of that query's plan (a shared DataFrame also shares its pinned chunk
     data, so the skew-safe scans run once per query)."""
 
-    def __init__(self, spark: SparkSession, sf: str):
-        self.spark, self.sf = spark, sf
+    def __init__(self, spark: SparkSession, sf: str, single_pass: bool = False):
+        # single_pass: the query scans touches once (only the journey summary),
+        # so writing them out first would cost more than it saves.
+        self.spark, self.sf, self.single_pass = spark, sf, single_pass
 
     @cached_property
     def touches(self) -> DataFrame:
@@ -58,7 +60,7 @@ class _Inputs:
 
     @cached_property
     def summary(self) -> DataFrame:
-        return J.journey_summary(self.bronze)
+        return J.journey_summary(self.touches if self.single_pass else self.bronze)
 
     @cached_property
     def gold(self) -> DataFrame:
@@ -173,15 +175,15 @@ def user_journey(spark, sf):
 
 
 def first_touch(spark, sf):
-    return A.first_touch(_Inputs(spark, sf).summary)
+    return A.first_touch(_Inputs(spark, sf, single_pass=True).summary)
 
 
 def last_touch(spark, sf):
-    return A.last_touch(_Inputs(spark, sf).summary)
+    return A.last_touch(_Inputs(spark, sf, single_pass=True).summary)
 
 
 def gold_attribution(spark, sf):
-    return _Inputs(spark, sf).gold
+    return _Inputs(spark, sf, single_pass=True).gold
 
 
 def linear_touch(spark, sf):
@@ -244,7 +246,7 @@ def markov_memo_dfs(spark, sf):
 
 
 def base_conversion_rate(spark, sf):
-    return P.base_conversion_rate(_Inputs(spark, sf).summary)
+    return P.base_conversion_rate(_Inputs(spark, sf, single_pass=True).summary)
 
 
 def conversions_by_date(spark, sf):

@@ -212,12 +212,13 @@ def split_hot(df: DataFrame, keys: Sequence[str], hot_rows: int | None = None):
     if floor <= 0:
         return None, df, None
     parts = shuffle_partitions(spark)
-    total = df.count()
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    stats = counts.agg(F.sum("_n").alias("total"), F.max("_n").alias("top")).first()
+    total, top = stats["total"] or 0, stats["top"] or 0
     threshold = max(floor, -(-total // parts))
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > threshold)
-    hot = counts.collect()  # <= parts rows by the threshold above
-    if not hot:
+    if top <= threshold:  # the common case: one job, no hot key
         return df, None, None
+    hot = counts.filter(F.col("_n") > threshold).collect()  # <= parts rows by the threshold
     schema = counts.select(*[F.col(k).alias(f"_hk{i}") for i, k in enumerate(keys)], "_n").schema
     hot_keys = F.broadcast(spark.createDataFrame([tuple(r) for r in hot], schema))
     ordinary = df.join(hot_keys, _null_safe_match(keys), "left_anti")

@@ -56,11 +56,12 @@ def merge(target: DataFrame, source: DataFrame, keys: Sequence[str], check: bool
 
 
 def audit(target: DataFrame, source: DataFrame, keys: Sequence[str], table_name: str) -> DataFrame:
-    """One row: how many rows the upsert inserts, updates and keeps.  A full
-    outer join of the two key sets (NULL keys never match), then one global
+    """One row: how many keys the upsert inserts, updates and keeps.  A full
+    outer join of the two distinct key sets (NULL keys never match; the
+    distinct's hash partitioning is reused by the join), then one global
     aggregate."""
-    t = target.select(*keys).withColumn("_t", F.lit(1))
-    s = source.select(*keys).withColumn("_s", F.lit(1))
+    t = target.select(*keys).distinct().withColumn("_t", F.lit(1))
+    s = source.select(*keys).distinct().withColumn("_s", F.lit(1))
     both = t.join(s, [t[k] == s[k] for k in keys], "full_outer")
     return both.agg(
         F.sum(F.when(F.col("_s").isNotNull() & F.col("_t").isNull(), 1).otherwise(0)).cast("long").alias("rows_inserted"),
@@ -100,10 +101,13 @@ class SnapshotTable:
         df.write.mode("errorifexists").parquet(self.path(self.version))
         self._point()
 
-    def upsert(self, source: DataFrame, keys: Sequence[str], audit_log: list | None = None) -> None:
+    def upsert(self, source: DataFrame, keys: Sequence[str], audit_log: list | None = None, check: bool = True) -> None:
+        """``check=False`` when every row of a key is replaced together (e.g.
+        the segment rows of one journey): the one-row-per-key check does not
+        apply then."""
         source = source.checkpoint()  # read once, for the check, the audit and the merge
         target = self.read()
         if audit_log is not None:
             audit_log.append(audit(target, source, keys, self.name).first().asDict())
-        merged = merge(target, source, keys)
+        merged = merge(target, source, keys, check=check)
         self.replace(merged)

@@ -38,7 +38,8 @@ def _journeys(name: str, src: str) -> str:
          MAX(CASE WHEN rn = 1 THEN channel END) AS first_interaction,
          MAX(CASE WHEN rn = n THEN channel END) AS last_interaction,
          MAX(CASE WHEN rn = n THEN conversion END) AS conversion,
-         string_agg(CAST(visit_order AS VARCHAR), ',' ORDER BY time, event_id) AS visiting_order
+         string_agg(CAST(visit_order AS VARCHAR), ',' ORDER BY time, event_id) AS visiting_order,
+         0 AS segment
   FROM {name}_steps GROUP BY uid)"""
 
 
@@ -287,7 +288,7 @@ SELECT t.* FROM target_j t ANTI JOIN source_j s ON t.uid = s.uid""",
        CAST(SUM(CASE WHEN s.uid IS NOT NULL AND t.uid IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS rows_inserted,
        CAST(SUM(CASE WHEN s.uid IS NOT NULL AND t.uid IS NOT NULL THEN 1 ELSE 0 END) AS BIGINT) AS rows_updated,
        CAST(SUM(CASE WHEN s.uid IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS rows_kept
-FROM (SELECT uid FROM target_j) t FULL OUTER JOIN (SELECT uid FROM source_j) s ON t.uid = s.uid""",
+FROM (SELECT DISTINCT uid FROM target_j) t FULL OUTER JOIN (SELECT DISTINCT uid FROM source_j) s ON t.uid = s.uid""",
     ),
     "upsert_attribution": _with(_MARKOV, "SELECT * FROM gold_all"),
     "clustered_journeys": _with(_TOUCHES + _journeys("journeys", "touches"), "SELECT * FROM journeys"),

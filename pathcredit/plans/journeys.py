@@ -6,11 +6,17 @@ result does not depend on a window's sort surviving into ``collect_list``.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pathcredit.functions.columns import CONVERSION, NULL_STATE, PATH_SEP, START
-from pathcredit.operators.sequence import dense_rank_by
+from pathcredit.operators.sequence import (
+    DEFAULT_HOT_ROWS,
+    HOT_ROWS_CONF,
+    _chunked_dense_rank,
+    _chunked_running_sum,
+    split_hot,
+)
 
 ORDER = ("time", "event_id")
 
@@ -35,35 +41,79 @@ def journey_summary(touches: DataFrame) -> DataFrame:
     )
 
 
-def user_journeys(touches: DataFrame) -> DataFrame:
-    """The gold user-journey table: ``uid, path, first_interaction,
-    last_interaction, conversion, visiting_order``.
-
-    ``path`` is ``Start > c1 > .. > cn > Conversion|Null`` in ``(time, event_id)``
-    order; ``visiting_order`` holds ``dense_rank`` by time (ties share a rank).
-    The rank is computed with the skew-safe scan; the per-uid array is the
-    output row itself, built with partial (map-side) collection.
-    """
-    narrow = touches.select("uid", "time", "event_id", "channel", "conversion")
-    ranked = dense_rank_by(narrow, ["uid"], "time", ["event_id"], "visit_order")
+def _segment_rows(ranked: DataFrame) -> DataFrame:
+    """One row per ``(uid, segment)`` from rows carrying ``visit_order`` and
+    ``segment``.  Journey-level columns come from a window over the segment
+    rows of a uid (one row unless the uid is hot, so the window is bounded)."""
     key = _step_key()
-    per_uid = ranked.groupBy("uid").agg(
+    per_segment = ranked.groupBy("uid", "segment").agg(
         F.array_sort(F.collect_list(F.struct("time", "event_id", "channel", "visit_order"))).alias("steps"),
-        F.min_by("channel", key).alias("first_interaction"),
-        F.max_by("channel", key).alias("last_interaction"),
-        F.max_by("conversion", key).alias("conversion"),
+        F.min_by("channel", key).alias("_first"),
+        F.max_by("channel", key).alias("_last"),
+        F.max_by("conversion", key).alias("_conv"),
+    )
+    w = Window.partitionBy("uid").orderBy("segment").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    journey = per_segment.select(
+        "uid",
+        "segment",
+        "steps",
+        F.first("_first").over(w).alias("first_interaction"),
+        F.last("_last").over(w).alias("last_interaction"),
+        F.last("_conv").over(w).alias("conversion"),
+        F.max("segment").over(w).alias("_last_segment"),
     )
     ending = F.when(F.col("conversion") == 1, F.lit(PATH_SEP + CONVERSION)).otherwise(F.lit(PATH_SEP + NULL_STATE))
-    return per_uid.select(
+    path = F.concat(
+        F.when(F.col("segment") == 0, F.lit(START + PATH_SEP)).otherwise(F.lit("")),
+        F.concat_ws(PATH_SEP, F.col("steps.channel")),
+        F.when(F.col("segment") == F.col("_last_segment"), ending).otherwise(F.lit("")),
+    )
+    return journey.select(
         "uid",
-        F.concat(F.lit(START + PATH_SEP), F.concat_ws(PATH_SEP, F.col("steps.channel")), ending).alias("path"),
+        path.alias("path"),
         "first_interaction",
         "last_interaction",
         "conversion",
         F.col("steps.visit_order").alias("visiting_order"),
+        "segment",
     )
 
 
+def user_journeys(touches: DataFrame, hot_rows: int | None = None) -> DataFrame:
+    """The gold user-journey table: ``uid, path, first_interaction,
+    last_interaction, conversion, visiting_order, segment``.
+
+    ``path`` is ``Start > c1 > .. > cn > Conversion|Null`` in ``(time, event_id)``
+    order; ``visiting_order`` holds ``dense_rank`` by time (ties share a rank).
+
+    A journey is one row (``segment`` 0) unless its uid is hot (see
+    :func:`pathcredit.operators.sequence.split_hot`): then its touches are cut,
+    in order, into segments of at most the hot threshold, one row each, so no
+    row grows with the data.  Concatenating a hot journey's paths in segment
+    order with the separator gives the full path; nothing is dropped.
+    """
+    narrow = touches.select("uid", "time", "event_id", "channel", "conversion")
+    ordinary, hot, n_chunks = split_hot(narrow, ["uid"], hot_rows)
+    parts = []
+    if ordinary is not None:
+        ranked = ordinary.withColumn(
+            "visit_order", F.dense_rank().over(Window.partitionBy("uid").orderBy("time")).cast("int")
+        ).withColumn("segment", F.lit(0))
+        parts.append(ranked)
+    if hot is not None:
+        conf = touches.sparkSession.conf
+        seg_len = hot_rows or int(conf.get(HOT_ROWS_CONF, str(DEFAULT_HOT_ROWS)))
+        ranked = _chunked_dense_rank(hot, ["uid"], "time", ["event_id"], "visit_order", n_chunks)
+        positioned = _chunked_running_sum(ranked, ["uid"], list(ORDER), F.lit(1), "_pos", True, n_chunks)
+        parts.append(
+            positioned.withColumn("segment", F.floor((F.col("_pos") - 1) / F.lit(seg_len)).cast("int")).drop("_pos")
+        )
+    rows = parts[0]
+    for p in parts[1:]:
+        rows = rows.unionByName(p)
+    return _segment_rows(rows)
+
+
 def render_journeys(journeys: DataFrame) -> DataFrame:
     """Arrays rendered as text (for oracle comparison and CSV sinks)."""
     return journeys.withColumn("visiting_order", F.concat_ws(",", F.transform("visiting_order", lambda x: x.cast("string"))))

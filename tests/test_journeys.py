@@ -94,3 +94,22 @@ def test_linear_and_decay_sum_to_one(spark):
     for df in (A.linear_touch(t, s), A.time_decay(t, s)):
         total = df.agg(F.sum("attribution_percent")).first()[0]
         assert abs(total - 1.0) < 1e-5
+
+
+def test_hot_journey_is_segmented_not_truncated(spark):
+    rows = [("hot", dt.datetime(2024, 1, 1) + dt.timedelta(minutes=i), "impression", ["Email", "Affiliates"][i % 2], 0, i) for i in range(250)]
+    rows[-1] = ("hot", rows[-1][1], "conversion", "Email", 1, 249)
+    rows += [("x", _t(9), "impression", "Email", 0, 1000), ("x", _t(10), "conversion", "Affiliates", 1, 1001)]
+    schema = "uid string, time timestamp_ntz, interaction string, channel string, conversion int, event_id long"
+    df = spark.createDataFrame(rows, schema)
+    out = J.user_journeys(df, hot_rows=40).orderBy("uid", "segment").collect()
+    hot = [r for r in out if r.uid == "hot"]
+    assert [r.segment for r in hot] == list(range(7))  # 250 touches / 40 per segment
+    assert all(len(r.visiting_order) <= 40 for r in hot)
+    full = " > ".join(r.path for r in hot)
+    expected = "Start > " + " > ".join(r[3] for r in rows[:250]) + " > Conversion"
+    assert full == expected
+    assert [v for r in hot for v in r.visiting_order] == list(range(1, 251))
+    assert {(r.first_interaction, r.last_interaction, r.conversion) for r in hot} == {("Email", "Email", 1)}
+    x = [r for r in out if r.uid == "x"]
+    assert len(x) == 1 and x[0].path == "Start > Email > Affiliates > Conversion" and x[0].segment == 0
