@@ -298,6 +298,46 @@ FROM (SELECT DISTINCT uid FROM target_j) t FULL OUTER JOIN (SELECT DISTINCT uid
     ),
 }
 
+# Absorbing chain: value iteration v <- P v per removal scenario, as a
+# recursive CTE over each scenario's edge list (400 steps; the transient part
+# contracts by ~0.5 per step, so the fixed point is reached to machine
+# precision).  Independent of the Spark side's exact linear solve.
+ORACLE_SQL["markov_absorbing"] = _with(
+    _TRANSITIONS
+    + """,
+scen AS (SELECT removed FROM candidates UNION ALL SELECT '~baseline~' AS removed),
+g AS (
+  SELECT s.removed, m.start_state,
+         CASE WHEN m.end_state = s.removed THEN 'Null' ELSE m.end_state END AS end_state,
+         CAST(m.transition_probability AS DOUBLE) AS p
+  FROM matrix m JOIN scen s ON m.start_state <> s.removed),
+st AS (
+  SELECT removed, start_state AS s,
+         CAST(ROW_NUMBER() OVER (PARTITION BY removed ORDER BY start_state) AS INTEGER) AS i
+  FROM (SELECT DISTINCT removed, start_state FROM g)),
+ge AS (
+  SELECT g.removed, a.i AS si, COALESCE(b.i, 0) AS ei,
+         CASE WHEN g.end_state = 'Conversion' THEN CAST(1 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END AS conv, g.p
+  FROM g JOIN st a ON a.removed = g.removed AND a.s = g.start_state
+  LEFT JOIN st b ON b.removed = g.removed AND b.s = g.end_state),
+packed AS (
+  SELECT removed, list({'si': si, 'ei': ei, 'conv': conv, 'p': p}) AS es, MAX(si) AS n
+  FROM ge GROUP BY removed),
+it(k, removed, v) AS (
+  SELECT 0, removed, list_transform(range(1, n + 1), lambda i: CAST(0 AS DOUBLE)) FROM packed
+  UNION ALL
+  SELECT it.k + 1, it.removed,
+         list_transform(range(1, pk.n + 1), lambda i: COALESCE(list_sum(list_transform(
+           list_filter(pk.es, lambda e: e.si = i),
+           lambda e: e.p * (e.conv + CASE WHEN e.ei = 0 THEN CAST(0 AS DOUBLE) ELSE it.v[e.ei] END))), CAST(0 AS DOUBLE)))
+  FROM it JOIN packed pk ON it.removed = pk.removed
+  WHERE it.k < 400)""",
+    """SELECT CASE WHEN it.removed = '~baseline~' THEN NULL ELSE it.removed END AS removed,
+       round(it.v[st.i], 9) AS conversion_probability
+FROM it JOIN st ON it.removed = st.removed AND st.s = 'Start'
+WHERE it.k = 400""",
+)
+
 # File-ingest variants read the same rows as their in-memory counterparts.
 ORACLE_SQL["bronze_touches_streamed"] = ORACLE_SQL["bronze_touches"]
 ORACLE_SQL["sales_enriched_from_files"] = ORACLE_SQL["sales_products_joined"]
