@@ -162,7 +162,7 @@ def bronze_touches_streamed(spark, sf):
     """Raw touch files land in a directory; a one-shot stream appends them to
     the bronze table; the bronze table is returned."""
     root = work_dir(spark, "bronze-stream")
-    write_raw_touches(X.raw_touch_text(_Inputs(spark, sf).touches), f"{root}/landing", files=3)
+    write_raw_touches(X.raw_touch_text(_Inputs(spark, sf).touches), f"{root}/landing")
     ingest_once(spark, f"{root}/landing", f"{root}/bronze", f"{root}/_checkpoint")
     return spark.read.parquet(f"{root}/bronze")
 

@@ -11,7 +11,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pathcredit.functions.columns import CHANNELS, pick
-from pathcredit.operators.sequence import running_sum
+from pathcredit.operators.sequence import (
+    DEFAULT_HOT_ROWS,
+    HOT_ROWS_CONF,
+    _chunked_running_sum,
+    running_sum,
+    split_hot,
+)
 from pathcredit.sources.tables import Tables
 
 # ---------------------------------------------------------------- touches (B1)
@@ -70,7 +76,7 @@ def raw_touch_text(touches_df: DataFrame) -> DataFrame:
 # ------------------------------------------------------------------ sales (B4)
 
 
-def sales(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
+def sales(orders: DataFrame, lineitem: DataFrame, hot_rows: int | None = None) -> DataFrame:
     """One row per order with ``ordered_products`` as positional string arrays
     ``[line, product_id, price, discount, quantity]``.
 
@@ -110,7 +116,26 @@ def sales(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
             ),
         ).alias("line"),
     )
-    per_order = keyed.groupBy("o_orderkey", "o_custkey", "o_orderdate").agg(
+    # An order is one row unless it is hot: then its lines are cut, in order,
+    # into segment rows of bounded size (same order number), so no row grows
+    # with the data; exploding the segments gives exactly the same line items.
+    ordinary, hot, n_chunks = split_hot(keyed, ["o_orderkey"], hot_rows)
+    parts = []
+    if ordinary is not None:
+        parts.append(ordinary.withColumn("_segment", F.lit(0)))
+    if hot is not None:
+        conf = keyed.sparkSession.conf
+        seg_len = hot_rows or int(conf.get(HOT_ROWS_CONF, str(DEFAULT_HOT_ROWS)))
+        positioned = _chunked_running_sum(
+            hot.withColumn("_k", F.col("line")), ["o_orderkey"], ["_k"], F.lit(1), "_pos", True, n_chunks
+        )
+        parts.append(
+            positioned.withColumn("_segment", F.floor((F.col("_pos") - 1) / F.lit(seg_len))).drop("_pos", "_k")
+        )
+    rows = parts[0]
+    for extra in parts[1:]:
+        rows = rows.unionByName(extra)
+    per_order = rows.groupBy("o_orderkey", "o_custkey", "o_orderdate", "_segment").agg(
         F.array_sort(F.collect_list("line")).alias("lines")
     )
     return per_order.select(

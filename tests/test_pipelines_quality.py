@@ -74,3 +74,18 @@ def test_ansi_safe_parsing(spark):
     raw = spark.createDataFrame([("p", "r", "12"), ("p", "r", "x1"), ("p", "r", "20.0")], "curr_title string, prev_title string, n string")
     out = C.prepared(raw).collect()
     assert [r.click_count for r in out] == [12, None, None]
+
+
+def test_hot_order_is_segmented(spark):
+    orders = spark.createDataFrame([(1, 7, None), (2, 8, None)], "o_orderkey long, o_custkey long, o_orderdate timestamp_ntz")
+    lines = spark.createDataFrame(
+        [(1, i % 5 + 1, 100 + i, 1.0, 0.0, float(i % 9 + 1)) for i in range(230)] + [(2, 1, 5, 1.0, 0.0, 3.0)],
+        "l_orderkey long, l_linenumber int, l_partkey long, l_extendedprice double, l_discount double, l_quantity double",
+    )
+    sales = X.sales(orders, lines, hot_rows=50)
+    hot_rows = sales.filter("order_number = 1").collect()
+    assert len(hot_rows) >= 4 and all(len(r.ordered_products) <= 50 for r in hot_rows)
+    items = S.line_items(sales)
+    plain = S.line_items(X.sales(orders, lines, hot_rows=10**9))
+    assert items.count() == plain.count() == 231
+    assert items.exceptAll(plain).count() == 0 and plain.exceptAll(items).count() == 0
