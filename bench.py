@@ -2,13 +2,18 @@
 ``$BENCH_SF_DIR`` on ``local[$BENCH_CPUS]`` and print ONE JSON line.
 
 Each query is executed in full with the ``noop`` sink (no driver collect).
+Shuffle bytes written per query come from the Spark event log, written to a
+fresh scratch directory (one job group per query).
 """
 
 from __future__ import annotations
 
+import glob
+import io
 import json
 import os
 import sys
+import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -22,11 +27,45 @@ def _run(df) -> None:
     df.write.format("noop").mode("overwrite").save()
 
 
+def _shuffle_bytes(log_dir: str) -> dict[str, int]:
+    """Shuffle bytes written per job group, from the event log."""
+    import zstandard
+
+    events = []
+    for f in sorted(glob.glob(f"{log_dir}/*/events*")):
+        with open(f, "rb") as fh:
+            raw = fh.read()
+        if f.endswith(".zstd"):
+            raw = zstandard.ZstdDecompressor().stream_reader(io.BytesIO(raw)).read()
+        events += [json.loads(line) for line in raw.decode().splitlines() if line.strip()]
+    stage_group: dict[int, str] = {}
+    for e in events:
+        if e["Event"] == "SparkListenerJobStart":
+            group = e.get("Properties", {}).get("spark.jobGroup.id")
+            for st in e["Stage Infos"]:
+                if group:
+                    stage_group[st["Stage ID"]] = group
+    out: dict[str, int] = {}
+    for e in events:
+        if e["Event"] == "SparkListenerTaskEnd" and e["Stage ID"] in stage_group:
+            written = e.get("Task Metrics", {}).get("Shuffle Write Metrics", {}).get("Shuffle Bytes Written", 0)
+            group = stage_group[e["Stage ID"]]
+            out[group] = out.get(group, 0) + written
+    return out
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     only = [q for q in os.environ.get("BENCH_QUERIES", "").split(",") if q]
-    spark = local_session(cores=cpus, shuffle_partitions=max(cpus, 8), app="pathcredit-bench")
+    log_dir = tempfile.mkdtemp(prefix="run-bench-", dir="/tmp")
+    spark = local_session(
+        cores=cpus,
+        shuffle_partitions=max(cpus, 8),
+        app="pathcredit-bench",
+        extra_conf={"spark.eventLog.enabled": "true", "spark.eventLog.dir": log_dir},
+    )
+    sc = spark.sparkContext
 
     # JVM warm-up (class loading, JIT of codegen paths) on a small generated
     # workload, not on the measured tables; not timed.
@@ -41,16 +80,20 @@ def main() -> None:
     for name, fn in QUERIES.items():
         if only and name not in only:
             continue
+        sc.setJobGroup(name, name)
         t0 = time.perf_counter()
         _run(fn(spark, sf_dir))
         timings[name] = round(time.perf_counter() - t0, 3)
         print(f"{name}: {timings[name]}s", file=sys.stderr, flush=True)
 
     if not only or "generator_500k_users" in only:
+        sc.setJobGroup("generator_500k_users", "generator_500k_users")
         t0 = time.perf_counter()
         _run(generate_touches(spark, USERS))
         timings["generator_500k_users"] = round(time.perf_counter() - t0, 3)
 
+    spark.stop()
+    shuffled = _shuffle_bytes(log_dir)
     sf = os.path.basename(sf_dir).replace("sf", "")
     print(
         json.dumps(
@@ -61,10 +104,11 @@ def main() -> None:
                 "queries": timings,
                 "sf": float(sf) if sf.replace(".", "", 1).isdigit() else sf,
                 "cpus": cpus,
+                "shuffle_bytes": {q: shuffled.get(q, 0) for q in timings},
+                "shuffle_bytes_total": sum(shuffled.get(q, 0) for q in timings),
             }
         )
     )
-    spark.stop()
 
 
 if __name__ == "__main__":

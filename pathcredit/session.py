@@ -15,10 +15,15 @@ from pyspark.sql import SparkSession
 _LOCAL_CHECKPOINT_FALLBACK = "/tmp/pathcredit-checkpoints"
 
 
-def local_session(cores: int | str = 8, shuffle_partitions: int = 8, app: str = "pathcredit") -> SparkSession:
+def local_session(
+    cores: int | str = 8, shuffle_partitions: int = 8, app: str = "pathcredit", extra_conf: dict | None = None
+) -> SparkSession:
     """A local session tuned for small-data tests and the bench."""
+    builder = SparkSession.builder
+    for key, value in (extra_conf or {}).items():
+        builder = builder.config(key, value)
     spark = (
-        SparkSession.builder.master(f"local[{cores}]")
+        builder.master(f"local[{cores}]")
         .appName(app)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
