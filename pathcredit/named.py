@@ -21,7 +21,15 @@ from pathcredit.plans import spend as P
 from pathcredit.session import work_dir
 from pathcredit.sources import fixtures as X
 from pathcredit.schemas import SALES
-from pathcredit.sources.files import read_csv, read_json, sql_on_files, typed_touches, write_raw_touches
+from pathcredit.operators.quality import enforce, expectation_counts
+from pathcredit.sources.files import (
+    TOUCH_EXPECTATIONS,
+    read_csv,
+    read_json,
+    sql_on_files,
+    typed_touches,
+    write_raw_touches,
+)
 from pathcredit.sources.tables import Tables
 from pathcredit.streaming.ingest import ingest_once
 
@@ -55,8 +63,10 @@ class _Inputs:
     @cached_property
     def bronze(self) -> DataFrame:
         """Touches written once (a bronze table) for queries that run several
-        scans over them; later scans read the files, not the derivation."""
-        return self.touches.checkpoint()
+        scans over them; later scans read the files, not the derivation.  The
+        touch expectations are enforced in the same write: a violation aborts
+        it before any journey is built."""
+        return enforce(self.touches, TOUCH_EXPECTATIONS).checkpoint()
 
     @cached_property
     def summary(self) -> DataFrame:
@@ -158,6 +168,10 @@ def bronze_touches(spark, sf):
     return typed_touches(X.raw_touch_text(_Inputs(spark, sf).touches))
 
 
+def bronze_expectation_counts(spark, sf):
+    return expectation_counts(bronze_touches(spark, sf), "bronze_touches", TOUCH_EXPECTATIONS)
+
+
 def bronze_touches_streamed(spark, sf):
     """Raw touch files land in a directory; a one-shot stream appends them to
     the bronze table; the bronze table is returned."""
@@ -321,6 +335,7 @@ QUERIES: dict[str, Query] = {
         clickstream_from_files,
         top_referrers,
         bronze_touches,
+        bronze_expectation_counts,
         bronze_touches_streamed,
         user_journey,
         first_touch,

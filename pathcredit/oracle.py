@@ -216,6 +216,26 @@ WHERE current_page_title = 'Brand#2' ORDER BY click_count DESC, referrer ASC LIM
        interaction, channel, CAST(CAST(conversion AS VARCHAR) AS INTEGER) AS conversion
 FROM touches""",
     ),
+    "bronze_expectation_counts": _with(
+        _TOUCHES
+        + """,
+bronze AS (
+  SELECT uid, strptime(strftime(time, '%Y-%m-%d %H:%M:%S'), '%Y-%m-%d %H:%M:%S') AS time,
+         interaction, channel, CAST(CAST(conversion AS VARCHAR) AS INTEGER) AS conversion
+  FROM touches)""",
+        " UNION ALL ".join(
+            f"""SELECT 'bronze_touches' AS dataset, '{name}' AS expectation, 'fail' AS action,
+       CAST(SUM(CASE WHEN COALESCE({pred}, FALSE) THEN 1 ELSE 0 END) AS BIGINT) AS passed,
+       CAST(SUM(CASE WHEN COALESCE({pred}, FALSE) THEN 0 ELSE 1 END) AS BIGINT) AS failed
+FROM bronze"""
+            for name, pred in [
+                ("valid_uid", "uid IS NOT NULL"),
+                ("valid_time", "time IS NOT NULL"),
+                ("valid_channel", "channel IS NOT NULL"),
+                ("valid_conversion", "conversion IN (0, 1)"),
+            ]
+        ),
+    ),
     "user_journey": _with(_TOUCHES + _journeys("journeys", "touches"), "SELECT * FROM journeys"),
     "first_touch": _with(_GOLD, "SELECT * FROM gold WHERE attribution_model = 'first_touch'"),
     "last_touch": _with(_GOLD, "SELECT * FROM gold WHERE attribution_model = 'last_touch'"),

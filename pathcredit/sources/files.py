@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from pathcredit.operators.quality import Expectation
 from pathcredit.schemas import RAW_TOUCHES
 
 
@@ -69,6 +70,17 @@ def typed_touches(raw: DataFrame) -> DataFrame:
     )
 
 
+# What a bronze touch must satisfy before journeys are built.
+# A NULL channel would vanish from a rendered path, a NULL time or uid has no
+# place in any journey; the conversion flag is 0 or 1.
+TOUCH_EXPECTATIONS = [
+    Expectation("valid_uid", "uid IS NOT NULL", "fail"),
+    Expectation("valid_time", "time IS NOT NULL", "fail"),
+    Expectation("valid_channel", "channel IS NOT NULL", "fail"),
+    Expectation("valid_conversion", "conversion IN (0, 1)", "fail"),
+]
+
+
 def read_raw_touches(spark: SparkSession, path: str) -> DataFrame:
     return read_csv(spark, path, schema=RAW_TOUCHES)
 

@@ -89,3 +89,13 @@ def test_hot_order_is_segmented(spark):
     plain = S.line_items(X.sales(orders, lines, hot_rows=10**9))
     assert items.count() == plain.count() == 231
     assert items.exceptAll(plain).count() == 0 and plain.exceptAll(items).count() == 0
+
+
+def test_bronze_rejects_null_channel(spark):
+    from pathcredit.operators.quality import enforce
+    from pathcredit.sources.files import TOUCH_EXPECTATIONS
+
+    rows = [("u", None, "impression", "Email", 0), ("u", None, "impression", None, 0)]
+    df = spark.createDataFrame(rows, "uid string, time timestamp_ntz, interaction string, channel string, conversion int")
+    with pytest.raises(Exception, match="valid_time|valid_channel"):
+        enforce(df, TOUCH_EXPECTATIONS).collect()
