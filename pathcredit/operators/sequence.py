@@ -103,7 +103,7 @@ def _join_offsets(local: DataFrame, offsets: DataFrame, keys: Sequence[str]) ->
     return local.join(F.broadcast(offsets), cond, "left")
 
 
-def _chunked_neighbors(
+def chunked_neighbors(
     df: DataFrame,
     keys: Sequence[str],
     order: Sequence[str],
@@ -132,7 +132,7 @@ def _chunked_neighbors(
     )
 
 
-def _chunked_running_sum(
+def chunked_running_sum(
     df: DataFrame,
     keys: Sequence[str],
     order: Sequence[str],
@@ -156,7 +156,7 @@ def _chunked_running_sum(
     return joined.select(*df.columns, (F.col("_local") + F.coalesce(F.col("_offset"), F.lit(0))).alias(out))
 
 
-def _chunked_dense_rank(
+def chunked_dense_rank(
     df: DataFrame,
     keys: Sequence[str],
     rank_on: str,
@@ -262,7 +262,7 @@ def neighbors(
 
     return _route(
         df, keys, hot_rows, n_chunks, plain,
-        lambda part, n: _chunked_neighbors(part, keys, order, cols, prev_name, next_name, n),
+        lambda part, n: chunked_neighbors(part, keys, order, cols, prev_name, next_name, n),
     )
 
 
@@ -288,7 +288,7 @@ def running_sum(
 
     return _route(
         df, keys, hot_rows, n_chunks, plain,
-        lambda part, n: _chunked_running_sum(part, keys, order, value, out, inclusive, n),
+        lambda part, n: chunked_running_sum(part, keys, order, value, out, inclusive, n),
     )
 
 
@@ -309,5 +309,5 @@ def dense_rank_by(
 
     return _route(
         df, keys, hot_rows, n_chunks, plain,
-        lambda part, n: _chunked_dense_rank(part, keys, rank_on, tiebreak, out, n),
+        lambda part, n: chunked_dense_rank(part, keys, rank_on, tiebreak, out, n),
     )

@@ -13,8 +13,8 @@ from pathcredit.functions.columns import CONVERSION, NULL_STATE, PATH_SEP, START
 from pathcredit.operators.sequence import (
     DEFAULT_HOT_ROWS,
     HOT_ROWS_CONF,
-    _chunked_dense_rank,
-    _chunked_running_sum,
+    chunked_dense_rank,
+    chunked_running_sum,
     split_hot,
 )
 
@@ -103,8 +103,8 @@ def user_journeys(touches: DataFrame, hot_rows: int | None = None) -> DataFrame:
     if hot is not None:
         conf = touches.sparkSession.conf
         seg_len = hot_rows or int(conf.get(HOT_ROWS_CONF, str(DEFAULT_HOT_ROWS)))
-        ranked = _chunked_dense_rank(hot, ["uid"], "time", ["event_id"], "visit_order", n_chunks)
-        positioned = _chunked_running_sum(ranked, ["uid"], list(ORDER), F.lit(1), "_pos", True, n_chunks)
+        ranked = chunked_dense_rank(hot, ["uid"], "time", ["event_id"], "visit_order", n_chunks)
+        positioned = chunked_running_sum(ranked, ["uid"], list(ORDER), F.lit(1), "_pos", True, n_chunks)
         parts.append(
             positioned.withColumn("segment", F.floor((F.col("_pos") - 1) / F.lit(seg_len)).cast("int")).drop("_pos")
         )

@@ -14,7 +14,7 @@ from pathcredit.functions.columns import CHANNELS, pick
 from pathcredit.operators.sequence import (
     DEFAULT_HOT_ROWS,
     HOT_ROWS_CONF,
-    _chunked_running_sum,
+    chunked_running_sum,
     running_sum,
     split_hot,
 )
@@ -126,7 +126,7 @@ def sales(orders: DataFrame, lineitem: DataFrame, hot_rows: int | None = None) -
     if hot is not None:
         conf = keyed.sparkSession.conf
         seg_len = hot_rows or int(conf.get(HOT_ROWS_CONF, str(DEFAULT_HOT_ROWS)))
-        positioned = _chunked_running_sum(
+        positioned = chunked_running_sum(
             hot.withColumn("_k", F.col("line")), ["o_orderkey"], ["_k"], F.lit(1), "_pos", True, n_chunks
         )
         parts.append(
