@@ -78,15 +78,21 @@ def raw_touch_text(touches_df: DataFrame) -> DataFrame:
 
 def sales(orders: DataFrame, lineitem: DataFrame, hot_rows: int | None = None) -> DataFrame:
     """One row per order with ``ordered_products`` as positional string arrays
-    ``[line, product_id, price, discount, quantity]``.
+    ``[line, product_id, price, discount, quantity]``; orders without lines get
+    an empty array.
+
+    Line items are grouped per order key *before* the join with orders (the
+    join input shrinks to one row per order).  An order is one row unless it is
+    hot: then its lines are cut, in order, into segment rows of bounded size
+    (same order number), so no row grows with the data; exploding the segments
+    gives exactly the same line items.
 
     Dirty values on purpose (FIXTURES.md B4): quantity '0' for every 50th order
     key and items cut to 3 elements for every 101st, so the expectation and the
     NULL-safe positional access have work to do.  No row is dropped.
     """
-    qty = F.when(F.col("o_orderkey") % 50 == 0, F.lit("0")).otherwise(
-        F.col("l_quantity").cast("int").cast("string")
-    )
+    key = F.col("l_orderkey")
+    qty = F.when(key % 50 == 0, F.lit("0")).otherwise(F.col("l_quantity").cast("int").cast("string"))
     full = F.array(
         F.col("l_linenumber").cast("string"),
         F.col("l_partkey").cast("string"),
@@ -94,55 +100,41 @@ def sales(orders: DataFrame, lineitem: DataFrame, hot_rows: int | None = None) -
         F.col("l_discount").cast("string"),
         qty,
     )
-    item = F.when(F.col("o_orderkey") % 101 == 0, F.slice(full, 1, 3)).otherwise(full)
-    lines = orders.select("o_orderkey", "o_custkey", "o_orderdate").join(
-        lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice", "l_discount", "l_quantity"),
-        F.col("o_orderkey") == F.col("l_orderkey"),
-        "left",
-    )
-    keyed = lines.select(
-        "o_orderkey",
-        "o_custkey",
-        "o_orderdate",
-        F.when(
-            F.col("l_orderkey").isNotNull(),
-            F.struct(
-                F.col("l_linenumber").alias("n"),
-                F.col("l_partkey").alias("p"),
-                F.col("l_extendedprice").alias("x"),
-                F.col("l_discount").alias("d"),
-                F.col("l_quantity").alias("q"),
-                item.alias("item"),
-            ),
+    item = F.when(key % 101 == 0, F.slice(full, 1, 3)).otherwise(full)
+    lines = lineitem.select(
+        "l_orderkey",
+        F.struct(
+            F.col("l_linenumber").alias("n"),
+            F.col("l_partkey").alias("p"),
+            F.col("l_extendedprice").alias("x"),
+            F.col("l_discount").alias("d"),
+            F.col("l_quantity").alias("q"),
+            item.alias("item"),
         ).alias("line"),
     )
-    # An order is one row unless it is hot: then its lines are cut, in order,
-    # into segment rows of bounded size (same order number), so no row grows
-    # with the data; exploding the segments gives exactly the same line items.
-    ordinary, hot, n_chunks = split_hot(keyed, ["o_orderkey"], hot_rows)
+    ordinary, hot, n_chunks = split_hot(lines, ["l_orderkey"], hot_rows)
     parts = []
     if ordinary is not None:
         parts.append(ordinary.withColumn("_segment", F.lit(0)))
     if hot is not None:
-        conf = keyed.sparkSession.conf
+        conf = lines.sparkSession.conf
         seg_len = hot_rows or int(conf.get(HOT_ROWS_CONF, str(DEFAULT_HOT_ROWS)))
-        positioned = chunked_running_sum(
-            hot.withColumn("_k", F.col("line")), ["o_orderkey"], ["_k"], F.lit(1), "_pos", True, n_chunks
-        )
-        parts.append(
-            positioned.withColumn("_segment", F.floor((F.col("_pos") - 1) / F.lit(seg_len))).drop("_pos", "_k")
-        )
+        positioned = chunked_running_sum(hot, ["l_orderkey"], ["line"], F.lit(1), "_pos", True, n_chunks)
+        parts.append(positioned.withColumn("_segment", F.floor((F.col("_pos") - 1) / F.lit(seg_len))).drop("_pos"))
     rows = parts[0]
     for extra in parts[1:]:
         rows = rows.unionByName(extra)
-    per_order = rows.groupBy("o_orderkey", "o_custkey", "o_orderdate", "_segment").agg(
-        F.array_sort(F.collect_list("line")).alias("lines")
+    per_order = rows.groupBy("l_orderkey", "_segment").agg(F.array_sort(F.collect_list("line")).alias("lines"))
+    joined = orders.select("o_orderkey", "o_custkey", "o_orderdate").join(
+        per_order, F.col("o_orderkey") == F.col("l_orderkey"), "left"
     )
-    return per_order.select(
+    return joined.select(
         F.col("o_custkey").alias("customer_id"),
         F.col("o_orderkey").alias("order_number"),
         F.col("o_orderdate").alias("order_datetime"),
-        F.transform("lines", lambda x: x["item"]).alias("ordered_products"),
+        F.coalesce(
+            F.transform("lines", lambda x: x["item"]), F.array().cast("array<array<string>>")
+        ).alias("ordered_products"),
     )
 
 
