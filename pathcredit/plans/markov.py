@@ -114,23 +114,33 @@ def removal_graph(matrix: DataFrame, include_baseline: bool = False) -> DataFram
 # ------------------------------------------------------------- simple paths
 
 
+# Above this many channels, paths that share (last state, visited set) are
+# merged at every level (their probabilities summed): the frontier is then
+# bounded by #channels * 2^#channels rows instead of growing factorially.
+# Below it the raw frontier is tiny (at most ~2,000 paths for 6 channels).
+_MERGE_ABOVE = 6
 # Above this many channels the frontier of every level is checkpointed, so the
 # plan of level k does not re-derive levels 0..k-1.
 _CUT_LINEAGE_ABOVE = 8
 
 
-def converting_paths(matrix: DataFrame) -> DataFrame:
-    """All loop-free Start -> Conversion paths with their probability.
+def converting_paths(matrix: DataFrame, merge: bool | None = None) -> DataFrame:
+    """Loop-free Start -> Conversion paths with their probability, as
+    ``(channels, prob)``.
 
     Level k holds the paths with k+1 states after Start; a simple path visits
     every channel at most once, so there are at most #channels+1 levels.  Each
-    level is a broadcast join of the frontier (partitioned, it can grow
-    factorially with the channel count) with the edge table (bounded by
-    (#channels+1)*(#channels+2) rows).  The depth comes from the checkpointed
-    edge table (one number to the driver).
+    level is a broadcast join of the frontier (partitioned) with the edge table
+    (bounded by (#channels+1)*(#channels+2) rows).  With ``merge`` (default:
+    more than ``_MERGE_ABOVE`` channels) paths with the same last state and
+    visited set are summed at every level: everything downstream needs only
+    the set of channels on a path, and the frontier stays within
+    #channels * 2^#channels rows.  The depth comes from the checkpointed edge
+    table (one number to the driver).
     """
     edges = matrix.select("start_state", "end_state", "transition_probability")
     channels = edges.filter(F.col("start_state") != F.lit(START)).select("start_state").distinct().count()
+    merge = channels > _MERGE_ABOVE if merge is None else merge
     step = F.broadcast(edges.withColumnsRenamed({"start_state": "_s", "end_state": "_e", "transition_probability": "_p"}))
     frontier = edges.filter(F.col("start_state") == F.lit(START)).select(
         F.col("end_state").alias("last_state"),
@@ -152,6 +162,10 @@ def converting_paths(matrix: DataFrame) -> DataFrame:
                 (F.col("prob") * F.col("_p")).alias("prob"),
             )
         )
+        if merge:
+            frontier = frontier.groupBy("last_state", F.array_sort("visited").alias("visited")).agg(
+                F.sum("prob").alias("prob")
+            )
         if channels > _CUT_LINEAGE_ABOVE:
             frontier = frontier.checkpoint()
     paths = done[0]

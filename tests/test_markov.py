@@ -96,3 +96,33 @@ def test_no_conversions_gives_null_effects(spark):
     )
     effects = M.removal_effects(M.simple_path_probability(edges)).collect()
     assert [(r.channel, r.removal_effect) for r in effects] == [("A", None)]
+
+
+def _random_graph(spark, channels, seed):
+    import random
+
+    rnd = random.Random(seed)
+    names = [f"ch{i:02d}" for i in range(channels)]
+    rows = []
+    for s in ["Start", *names]:
+        targets = names if s == "Start" else [*names, "Conversion", "Null"]
+        w = [rnd.random() for _ in targets]
+        rows += [(s, t, x / sum(w)) for t, x in zip(targets, w)]
+    return spark.createDataFrame(rows, "start_state string, end_state string, transition_probability double")
+
+
+def test_merged_paths_equal_enumerated(spark, monkeypatch):
+    g = _random_graph(spark, 6, seed=4)
+    plain = {r.removed: r.conversion_probability for r in M.simple_path_probability(g).collect()}
+    monkeypatch.setattr(M, "_MERGE_ABOVE", 0)  # force per-level merging
+    merged = {r.removed: r.conversion_probability for r in M.simple_path_probability(g).collect()}
+    assert plain.keys() == merged.keys()
+    assert all(abs(plain[k] - merged[k]) < 1e-12 for k in plain)
+    assert M.converting_paths(g, merge=True).count() < M.converting_paths(g, merge=False).count()
+
+
+def test_many_channels_complete(spark):
+    g = _random_graph(spark, 9, seed=5)
+    p = {r.removed: r.conversion_probability for r in M.simple_path_probability(g).collect()}
+    a = {r.removed: r.conversion_probability for r in M.absorbing_probability(g).collect()}
+    assert len(p) == 10 and all(0 <= p[k] <= a[k] + 1e-12 for k in p)
