@@ -86,6 +86,15 @@ def main() -> None:
         timings[name] = round(time.perf_counter() - t0, 3)
         print(f"{name}: {timings[name]}s", file=sys.stderr, flush=True)
 
+    if not only or "build_all_tables" in only:
+        from pathcredit.session import work_dir
+        from pathcredit.tables import build_attribution_tables
+
+        sc.setJobGroup("build_all_tables", "build_all_tables")
+        t0 = time.perf_counter()
+        build_attribution_tables(spark, sf_dir, work_dir(spark, "bench-tables"))
+        timings["build_all_tables"] = round(time.perf_counter() - t0, 3)
+
     if not only or "generator_500k_users" in only:
         sc.setJobGroup("generator_500k_users", "generator_500k_users")
         t0 = time.perf_counter()
