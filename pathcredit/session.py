@@ -49,7 +49,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if current:
         return current
     conf_dir = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
-    sc.setCheckpointDir(conf_dir or _LOCAL_CHECKPOINT_FALLBACK)
+    if not conf_dir:
+        if not sc.master.startswith("local"):
+            # A machine-local folder is not visible to other executors or a
+            # restarted driver: refuse instead of guessing.
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (checkpoints and work tables live there)")
+        conf_dir = _LOCAL_CHECKPOINT_FALLBACK  # local sessions (tests) only
+    sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir()
 
 
