@@ -85,9 +85,12 @@ def _credit_from_weights(weighted: DataFrame, model: str, journeys: F.Column) ->
 
 
 def linear_touch(touches: DataFrame, summary: DataFrame) -> DataFrame:
-    """Every touch of a converting journey gets an equal share."""
+    """Every touch of a converting journey gets an equal share.  Touches are
+    counted per (uid, channel) first (partial aggregation), so the join with
+    the converting journeys sees at most one row per channel and uid."""
     converting = summary.filter(F.col("conversion") == 1).select("uid")
-    weighted = touches.join(converting, "uid", "left_semi").select("uid", "channel", F.lit(1.0).alias("w"))
+    per_uid_channel = touches.groupBy("uid", "channel").agg(F.count(F.lit(1)).cast("double").alias("w"))
+    weighted = per_uid_channel.join(converting, "uid", "left_semi")
     return _credit_from_weights(weighted, LINEAR, converting_journeys(summary))
 
 
