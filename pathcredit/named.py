@@ -52,8 +52,10 @@ class _Inputs:
     data, so the skew-safe scans run once per query)."""
 
     def __init__(self, spark: SparkSession, sf: str, single_pass: bool = False):
-        # single_pass: the query scans touches once (only the journey summary),
-        # so writing them out first would cost more than it saves.
+        # single_pass: the query reads touches once, through one aggregation
+        # (the journey summary), so writing bronze first would cost a write
+        # without saving anything.  A skew-safe scan reads its input twice (key
+        # count, then the window), so scans always read the written bronze.
         self.spark, self.sf, self.single_pass = spark, sf, single_pass
 
     @cached_property
@@ -68,9 +70,16 @@ class _Inputs:
         it before any journey is built."""
         return enforce(self.touches, TOUCH_EXPECTATIONS).checkpoint()
 
+    @cached_property
+    def base(self) -> DataFrame:
+        """What the query's scans read: the written bronze table when several
+        scans consume it, else the checked derivation itself (expectations
+        still enforced in-plan)."""
+        return enforce(self.touches, TOUCH_EXPECTATIONS) if self.single_pass else self.bronze
+
     @cached_property
     def summary(self) -> DataFrame:
-        return J.journey_summary(self.touches if self.single_pass else self.bronze)
+        return J.journey_summary(self.base)
 
     @cached_property
     def gold(self) -> DataFrame:
