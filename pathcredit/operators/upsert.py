@@ -72,33 +72,57 @@ def audit(target: DataFrame, source: DataFrame, keys: Sequence[str], table_name:
 
 class SnapshotTable:
     """A table kept as immutable snapshot directories ``<root>/v=<n>``; the
-    catalog name points at the latest.  Upserts write a new version."""
+    session view ``name`` points at the latest.  Upserts write a new version.
 
-    def __init__(self, spark: SparkSession, name: str, root: str):
+    With ``buckets`` the snapshots are written bucketed and sorted on
+    ``bucket_keys`` (a catalog table per version): an upsert on those keys
+    then shuffles only the source to the target's bucketing, not the target.
+    """
+
+    def __init__(self, spark: SparkSession, name: str, root: str, buckets: int | None = None,
+                 bucket_keys: Sequence[str] | None = None):
         self.spark, self.name, self.root = spark, name, root.rstrip("/")
+        self.buckets, self.bucket_keys = buckets, list(bucket_keys or [])
         self.version = -1
 
     def path(self, version: int) -> str:
         return f"{self.root}/v={version}"
 
+    def _table(self, version: int) -> str:
+        return f"`{self.name}__v{version}`"
+
     def read(self) -> DataFrame:
+        if self.buckets:
+            return self.spark.table(self._table(self.version))
         return self.spark.read.parquet(self.path(self.version))
 
+    def _write(self, df: DataFrame, version: int) -> None:
+        if self.buckets:
+            (
+                df.write.mode("errorifexists")
+                .bucketBy(self.buckets, *self.bucket_keys)
+                .sortBy(*self.bucket_keys)
+                .option("path", self.path(version))
+                .saveAsTable(self._table(version))
+            )
+        else:
+            df.write.mode("errorifexists").parquet(self.path(version))
+
     def _point(self) -> None:
-        self.spark.read.parquet(self.path(self.version)).createOrReplaceTempView(self.name)
+        self.read().createOrReplaceTempView(self.name)
 
     def create_if_not_exists(self, df: DataFrame) -> bool:
         """CTAS IF NOT EXISTS: a second call is a no-op."""
         if self.version >= 0:
             return False
+        self._write(df, 0)
         self.version = 0
-        df.write.mode("errorifexists").parquet(self.path(0))
         self._point()
         return True
 
     def replace(self, df: DataFrame) -> None:
+        self._write(df, self.version + 1)
         self.version += 1
-        df.write.mode("errorifexists").parquet(self.path(self.version))
         self._point()
 
     def upsert(self, source: DataFrame, keys: Sequence[str], audit_log: list | None = None, check: bool = True) -> None:

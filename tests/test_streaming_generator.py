@@ -69,7 +69,7 @@ def test_stream_keeps_journeys_current(spark, scratch):
     landing = f"{scratch}/landing"
     write_raw_touches(raw.filter(F.col("time") < "2024-01-15"), f"{landing}/a", files=1)
     write_raw_touches(raw.filter(F.col("time") >= "2024-01-15"), f"{landing}/b", files=1)
-    table = SnapshotTable(spark, "journeys_stream_test", f"{scratch}/journeys")
+    table = SnapshotTable(spark, "journeys_stream_test", f"{scratch}/journeys", buckets=4, bucket_keys=["uid"])
     ingest_and_refresh(spark, f"{landing}/*", f"{scratch}/bronze", table, f"{scratch}/_ckpt", max_files_per_trigger=1)
     assert table.version >= 1  # created by the first batch, upserted by the second
     expected = J.render_journeys(J.user_journeys(with_event_id(typed_touches(raw))))

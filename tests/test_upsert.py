@@ -67,3 +67,30 @@ def test_clustered_layout(spark, scratch):
     ranges = back.groupBy("f").agg(F.min("uid").alias("lo"), F.max("uid").alias("hi")).orderBy("lo").collect()
     assert len(ranges) >= 2
     assert all(a.hi < b.lo for a, b in zip(ranges, ranges[1:]))  # disjoint key ranges per file
+
+
+def test_bucketed_target_is_not_shuffled(spark, scratch):
+    import contextlib
+    import io
+
+    table = upsert.SnapshotTable(spark, "bucketed_snap_test", scratch, buckets=4, bucket_keys=["k"])
+    table.create_if_not_exists(spark.range(200).selectExpr("CAST(id AS INT) AS k", "CAST(id AS STRING) AS v"))
+    source = spark.createDataFrame([(5, "x"), (500, "y")], SCHEMA)
+    merged = upsert.merge(table.read(), source, ["k"], check=False)
+    out = io.StringIO()
+    keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    saved = {k: spark.conf.get(k, None) for k in keys}
+    try:
+        for k in keys:  # the sort-merge case: a small source would just be broadcast
+            spark.conf.set(k, "-1")
+        with contextlib.redirect_stdout(out):
+            merged.explain()
+    finally:
+        for k, v in saved.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    plan = out.getvalue()
+    assert "SortMergeJoin" in plan and "Bucketed: true" in plan
+    # exactly one exchange: the source hashed to the target's buckets
+    assert plan.count("Exchange hashpartitioning") == 1
+    table.replace(merged)
+    assert _rows(table.read().filter("k IN (5, 500, 7)")) == [(5, "x"), (7, "7"), (500, "y")]
