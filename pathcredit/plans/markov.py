@@ -209,7 +209,9 @@ def _baseline_over(value: F.Column) -> F.Column:
 
 def _absorbing_solve(pdf: pd.DataFrame) -> pd.DataFrame:
     removed = pdf["removed"].iloc[0]
-    states = pd.Index(pd.unique(pdf["start_state"]))
+    # sorted states and edges: the solve does not depend on row order
+    pdf = pdf.sort_values(["start_state", "end_state", "transition_probability"], kind="stable")
+    states = pd.Index(sorted(pd.unique(pdf["start_state"])))
     n = len(states)
     a = np.eye(n)
     b = np.zeros(n)
