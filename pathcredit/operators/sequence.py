@@ -212,11 +212,15 @@ def split_hot(df: DataFrame, keys: Sequence[str], hot_rows: int | None = None):
     if floor <= 0:
         return None, df, None
     parts = shuffle_partitions(spark)
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    stats = counts.agg(F.sum("_n").alias("total"), F.max("_n").alias("top")).first()
-    total, top = stats["total"] or 0, stats["top"] or 0
+    # A plain count needs no shuffle (parquet inputs answer it from footers):
+    # an input of at most `floor` rows cannot hold a key above the threshold.
+    total = df.count()
+    if total <= floor:
+        return df, None, None
     threshold = max(floor, -(-total // parts))
-    if top <= threshold:  # the common case: one job, no hot key
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    top = counts.agg(F.max("_n").alias("top")).first()["top"] or 0
+    if top <= threshold:  # no hot key: one more job, then the plain window
         return df, None, None
     hot = counts.filter(F.col("_n") > threshold).collect()  # <= parts rows by the threshold
     schema = counts.select(*[F.col(k).alias(f"_hk{i}") for i, k in enumerate(keys)], "_n").schema
