@@ -1,6 +1,9 @@
 """Driver contract: entry smoke, and every named query against its DuckDB
 oracle at sf0.001 (row count, column names, order-insensitive values)."""
 
+import contextlib
+import io
+
 import pytest
 
 import __spark_entry__ as entry_mod
@@ -11,6 +14,13 @@ QUERIES = entry_mod.queries()
 ORACLE = entry_mod.oracle_sql()
 
 
+def _plan(df) -> str:
+    out = io.StringIO()
+    with contextlib.redirect_stdout(out):
+        df.explain("formatted")
+    return out.getvalue()
+
+
 def test_entry_smoke(spark):
     df = entry_mod.entry(spark)
     rows = df.collect()
@@ -30,7 +40,12 @@ def con():
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle(spark, con, name):
-    result = compare(spark, con, name, QUERIES[name], ORACLE.get(name), SF001)
+    """Also audits the plan: no cross products, no row-at-a-time Python UDFs."""
+    df = QUERIES[name](spark, SF001)
+    plan = _plan(df)
+    for banned in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython"):
+        assert banned not in plan, f"{name}: {banned}"
+    result = compare(spark, con, name, lambda *_: df, ORACLE.get(name), SF001)
     if name in ORACLE:
         assert result["rows"] == result["oracle_rows"]
         assert result["cols"] and result["exact"], result
