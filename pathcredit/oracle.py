@@ -358,6 +358,71 @@ FROM it JOIN st ON it.removed = st.removed AND st.s = 'Start'
 WHERE it.k = 400""",
 )
 
+# Memoised recursion: the reference's recursion is a depth-first search
+# (children in original end_state descending order) that evaluates each state
+# once, at its post-order finish: a child on the stack counts 0, a finished
+# child its stored value.  Replayed here as a recursive-CTE state machine, one
+# examined edge or one finished state per step: stack, next-child positions,
+# partial sums, probabilities of the pushing edges, finished states and values.
+def _memo_dfs_sql() -> str:
+    def set_last(lst: str, v: str) -> str:
+        return f"list_concat(list_slice({lst}, 1, len({lst}) - 1), [{v}])"
+
+    top = "d.stack[len(d.stack)]"
+    nxt = "d.pos[len(d.pos)]"
+    ch = "COALESCE(a.ch, [])"
+    pop = f"({nxt} > len({ch}))"
+    c = f"{ch}[{nxt}].c"
+    p = f"{ch}[{nxt}].p"
+    conv = f"({c} = 'Conversion')"
+    skip = f"({c} = 'Null' OR list_contains(d.stack, {c}))"
+    fin = f"list_contains(d.fn, {c})"
+    push = f"(NOT ({conv} OR {skip} OR {fin}))"
+    acc = "d.acc[len(d.acc)]"
+    ctes = _TRANSITIONS + f""",
+scen AS (SELECT removed FROM candidates UNION ALL SELECT '~baseline~' AS removed),
+g AS (
+  SELECT s.removed, m.start_state,
+         CASE WHEN m.end_state = s.removed THEN 'Null' ELSE m.end_state END AS end_state,
+         m.end_state AS original_end_state, CAST(m.transition_probability AS DOUBLE) AS p
+  FROM matrix m JOIN scen s ON m.start_state <> s.removed),
+adj AS (
+  SELECT removed, start_state AS node,
+         list({{'c': end_state, 'p': p}} ORDER BY original_end_state DESC) AS ch
+  FROM g GROUP BY removed, start_state),
+dfs(removed, stack, pos, acc, ep, fn, fv) AS (
+  SELECT removed, ['Start'], [1], [CAST(0 AS DOUBLE)], [CAST(1 AS DOUBLE)],
+         CAST([] AS VARCHAR[]), CAST([] AS DOUBLE[])
+  FROM scen
+  UNION ALL
+  SELECT d.removed,
+    CASE WHEN {pop} THEN list_slice(d.stack, 1, len(d.stack) - 1)
+         WHEN {push} THEN list_append(d.stack, {c}) ELSE d.stack END,
+    CASE WHEN {pop} THEN list_slice(d.pos, 1, len(d.pos) - 1)
+         WHEN {push} THEN list_append({set_last('d.pos', f'{nxt} + 1')}, 1)
+         ELSE {set_last('d.pos', f'{nxt} + 1')} END,
+    CASE WHEN {pop} THEN
+           CASE WHEN len(d.acc) > 1
+                THEN {set_last('list_slice(d.acc, 1, len(d.acc) - 1)', f"d.acc[len(d.acc) - 1] + d.ep[len(d.ep)] * {acc}")}
+                ELSE CAST([] AS DOUBLE[]) END
+         WHEN {conv} THEN {set_last('d.acc', f'{acc} + {p}')}
+         WHEN {skip} THEN d.acc
+         WHEN {fin} THEN {set_last('d.acc', f'{acc} + {p} * d.fv[list_position(d.fn, {c})]')}
+         ELSE list_append(d.acc, CAST(0 AS DOUBLE)) END,
+    CASE WHEN {pop} THEN list_slice(d.ep, 1, len(d.ep) - 1)
+         WHEN {push} THEN list_append(d.ep, {p}) ELSE d.ep END,
+    CASE WHEN {pop} THEN list_append(d.fn, {top}) ELSE d.fn END,
+    CASE WHEN {pop} THEN list_append(d.fv, {acc}) ELSE d.fv END
+  FROM dfs d LEFT JOIN adj a ON a.removed = d.removed AND a.node = {top}
+  WHERE len(d.stack) > 0)"""
+    body = """SELECT CASE WHEN removed = '~baseline~' THEN NULL ELSE removed END AS removed,
+       round(fv[list_position(fn, 'Start')], 9) AS conversion_probability
+FROM dfs WHERE len(stack) = 0"""
+    return _with(ctes, body)
+
+
+ORACLE_SQL["markov_memo_dfs"] = _memo_dfs_sql()
+
 # File-ingest variants read the same rows as their in-memory counterparts.
 ORACLE_SQL["bronze_touches_streamed"] = ORACLE_SQL["bronze_touches"]
 ORACLE_SQL["sales_enriched_from_files"] = ORACLE_SQL["sales_products_joined"]
