@@ -8,7 +8,7 @@ from pathcredit.plans import markov as M
 from pathcredit.schemas import AD_SPEND
 from pathcredit.sources import fixtures as X
 from pathcredit.sources import tables as _tables
-from pathcredit.sources.files import ensure_database, read_csv, register_external, sql_on_files
+from pathcredit.sources.files import comment_table, ensure_database, read_csv, register_external, sql_on_files
 from tests.conftest import SF001
 
 
@@ -34,6 +34,9 @@ def test_sql_on_json_and_catalog(spark, scratch):
     ensure_database(spark, "pathcredit_test_db")
     register_external(spark, "pathcredit_test_db.ext", f"{scratch}/t")
     assert spark.table("pathcredit_test_db.ext").count() == 3
+    comment_table(spark, "pathcredit_test_db.ext", "bronze touches, it's raw")
+    described = spark.sql("DESCRIBE TABLE EXTENDED pathcredit_test_db.ext").filter("col_name = 'Comment'").first()
+    assert described.data_type == "bronze touches, it's raw"
 
 
 def test_empty_typed_table(spark, scratch):
