@@ -19,7 +19,7 @@ from pathcredit.plans import journeys as J
 from pathcredit.plans import markov as M
 from pathcredit.plans import sales as S
 from pathcredit.plans import spend as P
-from pathcredit.schemas import SALES
+from pathcredit.schemas import CLICKSTREAM_RAW, SALES
 from pathcredit.session import work_dir
 from pathcredit.sources import fixtures as X
 from pathcredit.sources.files import (
@@ -163,7 +163,11 @@ def clickstream_from_files(spark, sf):
     (``SELECT * FROM json.`path` ``, inferred schema), then prepared."""
     root = work_dir(spark, "clicks-files")
     _clicks_raw(spark, sf).write.json(f"{root}/raw")
-    return C.prepared(sql_on_files(spark, "json", f"{root}/raw"), check=True)
+    raw = sql_on_files(spark, "json", f"{root}/raw")
+    if not set(CLICKSTREAM_RAW.fieldNames()) <= set(raw.columns):
+        # inference over empty files finds no columns: read with the known schema
+        raw = read_json(spark, f"{root}/raw", CLICKSTREAM_RAW)
+    return C.prepared(raw, check=True)
 
 
 def top_referrers(spark, sf):
