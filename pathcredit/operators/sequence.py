@@ -60,14 +60,18 @@ def _key_struct(keys: Sequence[str]) -> Column:
     return F.struct(*[F.col(k) for k in keys])
 
 
-def _links(ranged: DataFrame, keys: Sequence[str], order: Sequence[str], payload: Column) -> DataFrame:
+def _links(ends: DataFrame, keys: Sequence[str], order: Sequence[str], payload: Column) -> DataFrame:
     """Per chunk: the last row of the previous non-empty chunk (``_before``) and
     the first row of the next one (``_after``), as ``struct(k, v)``.
-    ``n`` rows in all, so the un-partitioned window and the broadcast are bounded
-    by the chunk count."""
+
+    ``ends`` holds only the first and last row of every ``(chunk, key)`` group
+    (a chunk's first row is a group's first, its last row a group's last), so
+    the aggregation reads two rows per group, not the chunk.  ``n`` rows come
+    out, so the un-partitioned window and the broadcast are bounded by the
+    chunk count."""
     sort_key = F.struct(*[F.col(c) for c in [*keys, *order]])
     edge = F.struct(_key_struct(keys).alias("k"), payload.alias("v"))
-    heads = ranged.groupBy(CHUNK).agg(F.min_by(edge, sort_key).alias("head"), F.max_by(edge, sort_key).alias("tail"))
+    heads = ends.groupBy(CHUNK).agg(F.min_by(edge, sort_key).alias("head"), F.max_by(edge, sort_key).alias("tail"))
     over_chunks = Window.orderBy(CHUNK)
     return heads.select(
         CHUNK,
@@ -76,13 +80,17 @@ def _links(ranged: DataFrame, keys: Sequence[str], order: Sequence[str], payload
     )
 
 
-def _offsets(local: DataFrame, keys: Sequence[str], order: Sequence[str], group_total: str) -> DataFrame:
+def _offsets(heads: DataFrame, keys: Sequence[str], group_total: str) -> DataFrame:
     """Per ``(chunk, key)`` whose key continues from earlier chunks: the sum of
     that key's in-chunk totals over the earlier chunks.  Only a chunk's first
-    and last group can cross a boundary: at most 2 rows per chunk."""
-    sort_key = F.struct(*[F.col(c) for c in [*keys, *order]])
-    edge = F.struct(_key_struct(keys).alias("k"), F.col(group_total).alias("t"))
-    ends = local.groupBy(CHUNK).agg(F.min_by(edge, sort_key).alias("h"), F.max_by(edge, sort_key).alias("l"))
+    and last group can cross a boundary: at most 2 rows per chunk.
+
+    ``heads`` holds one row per ``(chunk, key)`` group (its first row, carrying
+    the group total), so the smallest and largest key per chunk find the
+    chunk's first and last group."""
+    key = _key_struct(keys)
+    edge = F.struct(key.alias("k"), F.col(group_total).alias("t"))
+    ends = heads.groupBy(CHUNK).agg(F.min_by(edge, key).alias("h"), F.max_by(edge, key).alias("l"))
     parts = ends.select(
         CHUNK,
         F.explode(F.when(F.col("h.k").eqNullSafe(F.col("l.k")), F.array("h")).otherwise(F.array("h", "l"))).alias("e"),
@@ -122,7 +130,8 @@ def chunked_neighbors(
     w = Window.partitionBy(CHUNK, *keys).orderBy(*order)
     local = ranged.select("*", F.lag(payload).over(w).alias(prev_name), F.lead(payload).over(w).alias(next_name))
     k = _key_struct(keys)
-    patched = local.join(F.broadcast(_links(ranged, keys, order, payload)), CHUNK, "left")
+    ends = local.filter(F.col(prev_name).isNull() | F.col(next_name).isNull())
+    patched = local.join(F.broadcast(_links(ends, keys, order, payload)), CHUNK, "left")
     fill_prev = F.col(prev_name).isNull() & k.eqNullSafe(F.col("_before.k"))
     fill_next = F.col(next_name).isNull() & k.eqNullSafe(F.col("_after.k"))
     return patched.select(
@@ -151,8 +160,10 @@ def chunked_running_sum(
         "*",
         F.coalesce(F.sum("_v").over(frame), F.lit(0)).alias("_local"),
         F.sum("_v").over(Window.partitionBy(CHUNK, *keys)).alias("_group_total"),
+        F.row_number().over(w).alias("_rn"),
     )
-    joined = _join_offsets(local, _offsets(local, keys, order, "_group_total"), keys)
+    heads = local.filter(F.col("_rn") == 1)
+    joined = _join_offsets(local, _offsets(heads, keys, "_group_total"), keys)
     return joined.select(*df.columns, (F.col("_local") + F.coalesce(F.col("_offset"), F.lit(0))).alias(out))
 
 
@@ -171,20 +182,26 @@ def chunked_dense_rank(
     order = [rank_on, *tiebreak]
     ranged = _chunked(df, keys, order, n_chunks)
     w = Window.partitionBy(CHUNK, *keys).orderBy(*order)
-    local = ranged.select("*", F.lag(rank_on).over(w).alias("_p"), F.row_number().over(w).alias("_rn"))
+    local = ranged.select(
+        "*",
+        F.lag(rank_on).over(w).alias("_p"),
+        F.row_number().over(w).alias("_rn"),
+        F.lead(F.lit(1)).over(w).isNull().alias("_last"),
+    )
     payload = F.struct(F.col(rank_on).alias("r"))
-    linked = local.join(F.broadcast(_links(ranged, keys, order, payload)), CHUNK, "left")
+    ends = local.filter((F.col("_rn") == 1) | F.col("_last"))
+    linked = local.join(F.broadcast(_links(ends, keys, order, payload)), CHUNK, "left")
     continues = (F.col("_rn") == 1) & _key_struct(keys).eqNullSafe(F.col("_before.k"))
     previous = F.when(continues, F.col("_before.v.r")).otherwise(F.col("_p"))
     starts = F.when(((F.col("_rn") == 1) & ~continues) | ~previous.eqNullSafe(F.col(rank_on)), 1).otherwise(0)
-    flagged = linked.select(*ranged.columns, starts.alias("_start"))
+    flagged = linked.select(*ranged.columns, "_rn", starts.alias("_start"))
     # Same partitioning and order as above: no new exchange or sort.
     counted = flagged.select(
         "*",
         F.sum("_start").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias("_local"),
         F.sum("_start").over(Window.partitionBy(CHUNK, *keys)).alias("_group_total"),
     )
-    joined = _join_offsets(counted, _offsets(counted, keys, order, "_group_total"), keys)
+    joined = _join_offsets(counted, _offsets(counted.filter(F.col("_rn") == 1), keys, "_group_total"), keys)
     return joined.select(
         *df.columns, (F.col("_local") + F.coalesce(F.col("_offset"), F.lit(0))).cast("int").alias(out)
     )
