@@ -8,7 +8,9 @@ weights 20/30/15/30/5; the last step of a converting journey is a
 ``conversion`` with flag 1 and a channel drawn with weights .3/.2/.1/.39/.01.
 
 Every random number is a hash of ``(seed, user, step, purpose)``, so the
-output is the same for any partition count and any retry of a task.  The
+output is the same for any partition count and any retry of a task.  When a
+step lands on the window's last second the next steps stay there (the
+reference's draw would fail on the empty range).  The
 sequential times are built inside the row with ``aggregate`` over the step
 indices: no Python loop, no per-row UDF.
 """
