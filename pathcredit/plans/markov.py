@@ -147,20 +147,22 @@ def converting_paths(matrix: DataFrame, merge: bool | None = None) -> DataFrame:
         F.array("end_state").alias("visited"),
         F.col("transition_probability").alias("prob"),
     )
-    done = []
-    for level in range(channels + 1):
-        done.append(frontier.filter(F.col("last_state") == F.lit(CONVERSION)))
-        if level == channels:
-            break
-        open_paths = frontier.filter(~F.col("last_state").isin(CONVERSION, NULL_STATE))
-        frontier = (
-            open_paths.join(step, F.col("last_state") == F.col("_s"))
-            .filter(~F.array_contains("visited", F.col("_e")))
-            .select(
-                F.col("_e").alias("last_state"),
-                F.array_append("visited", F.col("_e")).alias("visited"),
-                (F.col("prob") * F.col("_p")).alias("prob"),
-            )
+    # Each level extends open paths by one edge; a path with no allowed next
+    # edge (it reached Conversion or Null, or every successor is already on
+    # it) finds no partner in the left join and passes through unchanged.  The
+    # plan is a chain of joins, one per level, with no union of levels.
+    for _ in range(channels + 1):
+        extended = frontier.join(
+            step,
+            (F.col("last_state") == F.col("_s")) & ~F.array_contains("visited", F.col("_e")),
+            "left",
+        )
+        frontier = extended.select(
+            F.coalesce(F.col("_e"), F.col("last_state")).alias("last_state"),
+            F.when(F.col("_e").isNull(), F.col("visited")).otherwise(F.array_append("visited", F.col("_e"))).alias(
+                "visited"
+            ),
+            (F.col("prob") * F.coalesce(F.col("_p"), F.lit(1.0))).alias("prob"),
         )
         if merge:
             frontier = frontier.groupBy("last_state", F.array_sort("visited").alias("visited")).agg(
@@ -168,9 +170,7 @@ def converting_paths(matrix: DataFrame, merge: bool | None = None) -> DataFrame:
             )
         if channels > _CUT_LINEAGE_ABOVE:
             frontier = frontier.checkpoint()
-    paths = done[0]
-    for d in done[1:]:
-        paths = paths.unionByName(d)
+    paths = frontier.filter(F.col("last_state") == F.lit(CONVERSION))
     return paths.select(F.array_remove("visited", F.lit(CONVERSION)).alias("channels"), "prob")
 
 
