@@ -47,18 +47,33 @@ def with_event_id(touches: DataFrame) -> DataFrame:
     return touches.withColumn("event_id", F.xxhash64("uid", "time", "channel", "interaction", "conversion"))
 
 
-def refresh_journeys_batch(spark: SparkSession, bronze_dir: str, journey_table):
-    """``foreachBatch`` handler: append the micro-batch to the bronze table,
-    then recompute the journeys of the users present in the batch from all
-    their touches and upsert them by ``uid`` into ``journey_table`` (a
-    :class:`pathcredit.operators.upsert.SnapshotTable`).  Only the touched
-    users' journeys are rebuilt; the bronze read is a semi-join on them."""
+# Bronze written by the journey refresh is partitioned by a hash bucket of the
+# uid, so a micro-batch re-reads only the partitions of the users it touches.
+UID_BUCKETS = 256
+
+
+def uid_bucket(buckets: int = UID_BUCKETS) -> F.Column:
+    return F.pmod(F.xxhash64("uid"), F.lit(buckets)).cast("int").alias("uid_bucket")
+
+
+def refresh_journeys_batch(spark: SparkSession, bronze_dir: str, journey_table, buckets: int = UID_BUCKETS):
+    """``foreachBatch`` handler: append the micro-batch to the bronze table
+    (partitioned by uid bucket), then recompute the journeys of the users in
+    the batch from all their touches and upsert them by ``uid`` into
+    ``journey_table`` (a :class:`pathcredit.operators.upsert.SnapshotTable`).
+
+    Only the bronze partitions of the batch's buckets are read (the bucket set,
+    at most ``buckets`` integers, is the only thing collected), and only the
+    touched users' journeys are rebuilt."""
     from pathcredit.plans.journeys import user_journeys
 
     def handle(batch: DataFrame, epoch_id: int) -> None:
-        batch.write.mode("append").parquet(bronze_dir)
-        uids = batch.select("uid").distinct()
-        touched = with_event_id(spark.read.parquet(bronze_dir).join(uids, "uid", "left_semi"))
+        keyed = batch.select("*", uid_bucket(buckets))
+        keyed.write.mode("append").partitionBy("uid_bucket").parquet(bronze_dir)
+        uids = keyed.select("uid_bucket", "uid").distinct()
+        touched_buckets = [r[0] for r in uids.select("uid_bucket").distinct().collect()]
+        bronze = spark.read.parquet(bronze_dir).filter(F.col("uid_bucket").isin(touched_buckets))
+        touched = with_event_id(bronze.join(uids, ["uid_bucket", "uid"], "left_semi").drop("uid_bucket"))
         fresh = user_journeys(touched)
         if journey_table.version < 0:
             journey_table.create_if_not_exists(fresh)

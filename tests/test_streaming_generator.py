@@ -76,3 +76,7 @@ def test_stream_keeps_journeys_current(spark, scratch):
     got = J.render_journeys(table.read())
     assert got.count() == expected.count() == 520
     assert got.exceptAll(expected).count() == 0
+    import os
+
+    layout = os.listdir(f"{scratch.removeprefix('file:')}/bronze")
+    assert any(name.startswith("uid_bucket=") for name in layout)  # re-reads prune to touched buckets
