@@ -25,17 +25,25 @@ from pathcredit.sources.tables import Tables
 
 def touch_events(events: DataFrame) -> DataFrame:
     """Per-event touch attributes (no journey id yet): a narrow projection,
-    so filters and column pruning still reach the parquet scan."""
-    k = F.get_json_object(F.col("props"), "$.k").cast("int")
-    conversion = (F.col("event_type") == F.lit("purchase")).cast("int")
+    so filters and column pruning still reach the parquet scan.  The channel
+    travels as the integer ``k``; text columns are added by ``touch_text``."""
     return events.select(
         "event_id",
         "user_id",
         F.col("ts").alias("time"),
-        F.date_format("ts", "yyyyMMdd").alias("day"),
-        conversion.alias("conversion"),
-        F.when(conversion == 1, F.lit("conversion")).otherwise(F.lit("impression")).alias("interaction"),
-        pick(CHANNELS, F.pmod(k, F.lit(len(CHANNELS)))).alias("channel"),
+        F.to_date("ts").alias("day"),
+        (F.col("event_type") == F.lit("purchase")).cast("int").alias("conversion"),
+        F.get_json_object(F.col("props"), "$.k").cast("int").alias("k"),
+    )
+
+
+def touch_text(df: DataFrame) -> DataFrame:
+    """Channel name and interaction label from ``k`` and ``conversion``."""
+    return df.withColumns(
+        {
+            "interaction": F.when(F.col("conversion") == 1, F.lit("conversion")).otherwise(F.lit("impression")),
+            "channel": pick(CHANNELS, F.pmod(F.col("k"), F.lit(len(CHANNELS)))),
+        }
     )
 
 
@@ -44,18 +52,17 @@ def touches(events: DataFrame) -> DataFrame:
 
     ``uid`` is a journey id ``user_id-yyyyMMdd-seq`` where ``seq`` counts the
     user's earlier purchases that day, so every purchase closes a journey.
-    The running count is the skew-safe scan (a hot user does not become one task).
+    The running count is the skew-safe scan (a hot user does not become one
+    task); the rows it shuffles are narrow (ids, time, date, flag, ``k``) and the
+    text columns are derived after it.
     """
-    base = touch_events(events)
-    seq = running_sum(base, ["user_id", "day"], ["time", "event_id"], "conversion", "seq", inclusive=False)
-    return seq.select(
-        F.concat_ws("-", F.col("user_id").cast("string"), "day", F.col("seq").cast("string")).alias("uid"),
-        "time",
-        "interaction",
-        "channel",
-        "conversion",
-        "event_id",
+    seq = running_sum(
+        touch_events(events), ["user_id", "day"], ["time", "event_id"], "conversion", "seq", inclusive=False
+    )
+    uid = F.concat_ws(
+        "-", F.col("user_id").cast("string"), F.date_format("day", "yyyyMMdd"), F.col("seq").cast("string")
     )
+    return touch_text(seq).select(uid.alias("uid"), "time", "interaction", "channel", "conversion", "event_id")
 
 
 def load_touches(spark: SparkSession, sf_dir: str) -> DataFrame:
