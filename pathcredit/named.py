@@ -20,7 +20,7 @@ from pathcredit.plans import markov as M
 from pathcredit.plans import sales as S
 from pathcredit.plans import spend as P
 from pathcredit.schemas import CLICKSTREAM_RAW, SALES
-from pathcredit.session import work_dir
+from pathcredit.session import materialize, work_dir
 from pathcredit.sources import fixtures as X
 from pathcredit.sources.files import (
     TOUCH_EXPECTATIONS,
@@ -68,7 +68,7 @@ class _Inputs:
         scans over them; later scans read the files, not the derivation.  The
         touch expectations are enforced in the same write: a violation aborts
         it before any journey is built."""
-        return enforce(self.touches, TOUCH_EXPECTATIONS).checkpoint()
+        return materialize(enforce(self.touches, TOUCH_EXPECTATIONS), "bronze")
 
     @cached_property
     def base(self) -> DataFrame:

@@ -20,6 +20,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pathcredit.session import materialize
+
 
 class DuplicateSourceKeyError(ValueError):
     pass
@@ -129,7 +131,7 @@ class SnapshotTable:
         """``check=False`` when every row of a key is replaced together (e.g.
         the segment rows of one journey): the one-row-per-key check does not
         apply then."""
-        source = source.checkpoint()  # read once, for the check, the audit and the merge
+        source = materialize(source, f"{self.name}-upsert-source")  # computed once: check, audit, merge
         target = self.read()
         if audit_log is not None:
             audit_log.append(audit(target, source, keys, self.name).first().asDict())

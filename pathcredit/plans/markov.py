@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 
 from pathcredit.functions.columns import CONVERSION, NULL_STATE, START, ratio, terminal_state, transition_label
 from pathcredit.operators.sequence import neighbors
+from pathcredit.session import materialize
 from pathcredit.plans.attribution import MARKOV
 
 PROBABILITY_SCHEMA = "removed string, conversion_probability double"
@@ -119,7 +120,7 @@ def removal_graph(matrix: DataFrame, include_baseline: bool = False) -> DataFram
 # bounded by #channels * 2^#channels rows instead of growing factorially.
 # Below it the raw frontier is tiny (at most ~2,000 paths for 6 channels).
 _MERGE_ABOVE = 6
-# Above this many channels the frontier of every level is checkpointed, so the
+# Above this many channels the frontier of every level is written out, so the
 # plan of level k does not re-derive levels 0..k-1.
 _CUT_LINEAGE_ABOVE = 8
 
@@ -169,7 +170,7 @@ def converting_paths(matrix: DataFrame, merge: bool | None = None) -> DataFrame:
                 F.sum("prob").alias("prob")
             )
         if channels > _CUT_LINEAGE_ABOVE:
-            frontier = frontier.checkpoint()
+            frontier = materialize(frontier, "path-frontier")
     paths = frontier.filter(F.col("last_state") == F.lit(CONVERSION))
     return paths.select(F.array_remove("visited", F.lit(CONVERSION)).alias("channels"), "prob")
 
@@ -307,6 +308,9 @@ def markov_attribution(effects: DataFrame) -> DataFrame:
 
 
 def edge_table(touches: DataFrame) -> DataFrame:
-    """The transition matrix, checkpointed: it is reused by every scenario and
-    by the recursion, and cutting its lineage keeps retries cheap."""
+    """The transition matrix, checkpointed: it is read by every scenario and by
+    the path expansion, and cutting its lineage keeps retries cheap.  It is
+    bounded by (#channels+1)*(#channels+2) rows, so the checkpoint's second
+    pass (it writes after counting) costs next to nothing; tables that grow
+    with the data are written once as parquet instead (``materialize``)."""
     return transition_matrix(transitions(touches)).checkpoint()
