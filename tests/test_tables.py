@@ -34,3 +34,15 @@ def test_cli_list(capsys):
 
     main(["list"])
     assert "markov_attribution" in capsys.readouterr().out
+
+
+def test_cli_query_and_build(spark, scratch, capsys):
+    from pathcredit.__main__ import main
+
+    main(["query", "first_touch", SF001, "--show", "5"])
+    assert "first_touch" in capsys.readouterr().out
+    main(["query", "transition_row_sums", SF001, "--out", f"{scratch}/sums"])
+    assert spark.read.parquet(f"{scratch}/sums").count() == 6
+    main(["build", SF001, f"{scratch}/tables", "--method", "absorbing"])
+    printed = capsys.readouterr().out
+    assert "gold_attribution" in printed and "spend_optimization_final" in printed
