@@ -30,11 +30,6 @@ def pick(values: Sequence[str], index: Column) -> Column:
     return F.get(F.array(*[F.lit(v) for v in values]), index)
 
 
-def safe_item(arr: Column | str, index: int) -> Column:
-    """Positional element that is NULL (not an ANSI error) when the array is short."""
-    return F.get(F.col(arr) if isinstance(arr, str) else arr, index)
-
-
 def ratio(numer: Column, denom: Column) -> Column:
     """Division that yields NULL instead of an ANSI divide-by-zero error."""
     return F.try_divide(numer.cast("double"), denom.cast("double"))

@@ -31,6 +31,7 @@ USER_JOURNEY = T.StructType(
         T.StructField("last_interaction", T.StringType()),
         T.StructField("conversion", T.IntegerType()),
         T.StructField("visiting_order", T.ArrayType(T.IntegerType())),
+        T.StructField("segment", T.IntegerType()),
     ]
 )
 

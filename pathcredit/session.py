@@ -7,7 +7,6 @@ only when the session has none (local tests), never overridden.
 
 from __future__ import annotations
 
-import os
 import uuid
 
 from pyspark.sql import SparkSession
@@ -77,10 +76,6 @@ def shuffle_partitions(spark: SparkSession) -> int:
         return max(1, spark.sparkContext.defaultParallelism)
 
 
-def env_cores(default: int = 8) -> int:
-    return int(os.environ.get("BENCH_CPUS", default))
-
-
 def materialize(df, name: str):
     """Write ``df`` once as a parquet table under the shared checkpoint folder
     and return the table.  Cuts the lineage like ``checkpoint()`` but computes

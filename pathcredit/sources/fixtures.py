@@ -182,11 +182,10 @@ def clickstream_raw(lineitem: DataFrame, part: DataFrame, supplier: DataFrame) -
 
 # ---------------------------------------------------------------- ad spend (B3)
 
-# The campaign row the reference inserts (id, budget default,
-# equal 0.2 share per channel, start date).
+# The campaign row the reference inserts (id, budget default;
+# equal 0.2 share per channel and start 2020-05-17 00:00:00 are set in ad_spend).
 CAMPAIGN_ID = "3d65f7e92e81480cac52a20dfdf64d5b"
 DEFAULT_ADSPEND = 10000
-CAMPAIGN_START = "2020-05-17 00:00:00"
 
 
 def ad_spend(spark: SparkSession, adspend: int | str = DEFAULT_ADSPEND, shares: dict[str, float] | None = None) -> DataFrame:

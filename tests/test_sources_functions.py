@@ -64,3 +64,22 @@ def test_transition_array_edge_cases(spark):
     df = spark.createDataFrame([("Start > A > Null",), ("Start",), ("Start >A>  B > Conversion",)], "path string")
     got = [r[0] for r in df.select(transition_array("path")).collect()]
     assert got == [["Start > A", "A > Null"], [], ["Start > A", "A > B", "B > Conversion"]]
+
+
+def test_output_schemas(spark):
+    from pathcredit import schemas
+    from pathcredit.named import QUERIES
+    from pathcredit.plans import journeys as J
+
+    def shape(df):
+        return shape_of(df.schema)
+
+    assert shape(QUERIES["bronze_touches"](spark, SF001)) == shape_of(schemas.BRONZE_TOUCHES)
+    assert shape(QUERIES["gold_attribution"](spark, SF001)) == shape_of(schemas.ATTRIBUTION)
+    assert shape(QUERIES["transition_matrix"](spark, SF001)) == shape_of(schemas.TRANSITION_MATRIX)
+    assert shape(J.user_journeys(X.load_touches(spark, SF001))) == shape_of(schemas.USER_JOURNEY)
+
+
+def shape_of(schema):
+    """Names and type names (nullability is not part of the contract)."""
+    return [(f.name, f.dataType.simpleString()) for f in schema.fields]
