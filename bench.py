@@ -95,6 +95,22 @@ def main() -> None:
         build_attribution_tables(spark, sf_dir, work_dir(spark, "bench-tables"))
         timings["build_all_tables"] = round(time.perf_counter() - t0, 3)
 
+    if not only or "attribution_500k_users" in only:
+        # The reference's default workload: 500,000 generated users (~2.5 M
+        # touches) through bronze, journeys, first/last and Markov credit.
+        from pathcredit.plans import attribution as A
+        from pathcredit.plans import journeys as J
+        from pathcredit.plans import markov as M
+        from pathcredit.session import materialize
+
+        sc.setJobGroup("attribution_500k_users", "attribution_500k_users")
+        t0 = time.perf_counter()
+        bronze = materialize(generate_touches(spark, USERS).withColumnRenamed("step", "event_id"), "bench-generated")
+        _run(A.gold_attribution(J.journey_summary(bronze)))
+        _run(M.markov_attribution(M.removal_effects(M.simple_path_probability(M.edge_table(bronze)))))
+        _run(J.user_journeys(bronze))
+        timings["attribution_500k_users"] = round(time.perf_counter() - t0, 3)
+
     if not only or "generator_500k_users" in only:
         sc.setJobGroup("generator_500k_users", "generator_500k_users")
         t0 = time.perf_counter()
