@@ -76,3 +76,14 @@ def test_hot_null_key(spark):
     out = running_sum(df, ["key"], ["t"], "flag", "rs", hot_rows=50)
     got = {(r.key or "", r.t): r.rs for r in out.collect()}
     assert got[("", 299)] == 300 and got[("k3", 1)] == 1
+
+
+def test_single_key_holds_everything(spark):
+    df = spark.range(3000).select(
+        F.lit("k").alias("key"), (F.col("id") % 97).alias("t"), F.col("id").alias("id"), (F.col("id") % 2).cast("int").alias("flag")
+    )
+    w = Window.partitionBy("key").orderBy("t", "id")
+    expected = df.select("id", F.lag("id").over(w).alias("p"), F.sum("flag").over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("rs"))
+    got = running_sum(neighbors(df, ["key"], ["t", "id"], ["id"], hot_rows=100), ["key"], ["t", "id"], "flag", "rs", hot_rows=100)
+    got = got.select("id", F.col("prev.id").alias("p"), "rs")
+    assert sorted(got.collect()) == sorted(expected.collect())
