@@ -1,4 +1,5 @@
-"""User journeys (one row per ``uid``) and array-free journey summaries.
+"""User journeys (one row per ``uid``; bounded segment rows for a hot uid) and
+array-free journey summaries.
 
 Ordering is always explicit: ``(time, event_id)`` inside the aggregate, so the
 result does not depend on a window's sort surviving into ``collect_list``.
