@@ -236,10 +236,11 @@ def split_hot(df: DataFrame, keys: Sequence[str], hot_rows: int | None = None):
         return df, None, None
     threshold = max(floor, -(-total // parts))
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    top = counts.agg(F.max("_n").alias("top")).first()["top"] or 0
-    if top <= threshold:  # no hot key: one more job, then the plain window
+    # At most `parts` keys can exceed the threshold (threshold >= total/parts),
+    # so the list is collected directly: one job decides and lists.
+    hot = counts.filter(F.col("_n") > threshold).collect()
+    if not hot:
         return df, None, None
-    hot = counts.filter(F.col("_n") > threshold).collect()  # <= parts rows by the threshold
     schema = counts.select(*[F.col(k).alias(f"_hk{i}") for i, k in enumerate(keys)], "_n").schema
     hot_keys = F.broadcast(spark.createDataFrame([tuple(r) for r in hot], schema))
     ordinary = df.join(hot_keys, _null_safe_match(keys), "left_anti")
