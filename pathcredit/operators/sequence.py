@@ -6,11 +6,12 @@ If a single user (a bot, a shared device id, a missing id) holds a third of all
 touches, that task holds a third of the data.  The operators here route rows:
 
 * **Ordinary keys** take the plain window: one hash exchange on the key.
-* **Hot keys** are found exactly by a key count (map-side partial
-  aggregation, so only one narrow row per key and task is shuffled).  A key is
-  hot above ``max(hotKeyRows, rows / partitions)`` rows, which bounds the hot
-  list by the partition count; that bound is what makes its broadcast safe.
-  Hot rows are then split:
+* **Hot keys**: an input of at most ``hotKeyRows`` rows (a shuffle-free
+  count) cannot hold one.  Otherwise keys are counted exactly (map-side
+  partial aggregation, so only one narrow row per key and task is shuffled)
+  and a key is hot above ``max(hotKeyRows, rows / partitions)`` rows, which
+  bounds the hot list by the partition count; that bound is what makes
+  collecting and broadcasting it safe.  Hot rows are then split:
 
   1. ``repartitionByRange(n, *keys, *order)`` cuts the globally sorted hot rows
      into ``n`` contiguous chunks of similar size; a hot key spans many chunks
@@ -18,8 +19,9 @@ touches, that task holds a third of the data.  The operators here route rows:
   2. The window runs per ``(chunk, key)``: every window group is bounded by the
      chunk size.
   3. Only the first and last group of a chunk continue in a neighbouring chunk.
-     A per-chunk summary (``n`` rows) carries boundary values across chunks and
-     is broadcast back to patch the boundary rows.
+     A per-chunk summary (``n`` rows, built from the groups' first and last
+     rows only) carries boundary values across chunks and is broadcast back
+     to patch the boundary rows.
 
 With no hot key the cost is the plain window plus the key count; hot rows pay
 a range exchange and a hash exchange.  ``pathcredit.sequence.hotKeyRows``
