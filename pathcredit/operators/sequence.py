@@ -212,6 +212,14 @@ def chunked_dense_rank(
 # ------------------------------------------------------------------ routing
 
 
+def segment_rows(spark, hot_rows: int | None = None) -> int:
+    """Rows per segment when a hot key's rows are cut into bounded output rows:
+    the hot-key floor, or the default when the floor is 0 (everything routed
+    through chunks)."""
+    floor = hot_rows if hot_rows is not None else int(spark.conf.get(HOT_ROWS_CONF, str(DEFAULT_HOT_ROWS)))
+    return floor if floor > 0 else DEFAULT_HOT_ROWS
+
+
 def _null_safe_match(keys: Sequence[str]) -> Column:
     cond = F.lit(True)
     for i, name in enumerate(keys):

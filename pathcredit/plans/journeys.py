@@ -12,10 +12,9 @@ from pyspark.sql import functions as F
 
 from pathcredit.functions.columns import CONVERSION, NULL_STATE, PATH_SEP, START
 from pathcredit.operators.sequence import (
-    DEFAULT_HOT_ROWS,
-    HOT_ROWS_CONF,
     chunked_dense_rank,
     chunked_running_sum,
+    segment_rows,
     split_hot,
 )
 
@@ -102,8 +101,7 @@ def user_journeys(touches: DataFrame, hot_rows: int | None = None) -> DataFrame:
         ).withColumn("segment", F.lit(0))
         parts.append(ranked)
     if hot is not None:
-        conf = touches.sparkSession.conf
-        seg_len = hot_rows or int(conf.get(HOT_ROWS_CONF, str(DEFAULT_HOT_ROWS)))
+        seg_len = segment_rows(touches.sparkSession, hot_rows)
         ranked = chunked_dense_rank(hot, ["uid"], "time", ["event_id"], "visit_order", n_chunks)
         positioned = chunked_running_sum(ranked, ["uid"], list(ORDER), F.lit(1), "_pos", True, n_chunks)
         parts.append(

@@ -12,10 +12,9 @@ from pyspark.sql import functions as F
 
 from pathcredit.functions.columns import CHANNELS, pick
 from pathcredit.operators.sequence import (
-    DEFAULT_HOT_ROWS,
-    HOT_ROWS_CONF,
     chunked_running_sum,
     running_sum,
+    segment_rows,
     split_hot,
 )
 from pathcredit.sources.tables import Tables
@@ -115,8 +114,7 @@ def sales(orders: DataFrame, lineitem: DataFrame, hot_rows: int | None = None) -
     if ordinary is not None:
         parts.append(ordinary.withColumn("_segment", F.lit(0)))
     if hot is not None:
-        conf = lines.sparkSession.conf
-        seg_len = hot_rows or int(conf.get(HOT_ROWS_CONF, str(DEFAULT_HOT_ROWS)))
+        seg_len = segment_rows(lines.sparkSession, hot_rows)
         positioned = chunked_running_sum(hot, ["l_orderkey"], ["line"], F.lit(1), "_pos", True, n_chunks)
         parts.append(positioned.withColumn("_segment", F.floor((F.col("_pos") - 1) / F.lit(seg_len))).drop("_pos"))
     rows = parts[0]

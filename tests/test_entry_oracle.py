@@ -51,3 +51,16 @@ def test_query_matches_oracle(spark, con, name):
         assert result["cols"] and result["exact"], result
     else:
         assert result["rows"] > 0
+
+
+@pytest.mark.parametrize("name", ["user_journey", "journey_transitions", "sales_line_items", "markov_attribution"])
+def test_matches_oracle_with_every_key_chunked(spark, con, name):
+    """hotKeyRows=0 routes every key through the range-chunked path."""
+    from pathcredit.operators.sequence import HOT_ROWS_CONF
+
+    spark.conf.set(HOT_ROWS_CONF, "0")
+    try:
+        result = compare(spark, con, name, QUERIES[name], ORACLE.get(name), SF001)
+    finally:
+        spark.conf.unset(HOT_ROWS_CONF)
+    assert result["rows"] == result["oracle_rows"] and result["exact"], result
