@@ -4,8 +4,12 @@ production parameters, to whole tables."""
 from __future__ import annotations
 
 from pathcredit.llm.packing import op5_packing
+from pathcredit.llm.substrings import op4_substrings
+from pathcredit.llm.suffixes import op2_suffixes
 
 QUERIES = {
+    "op2_suffixes": op2_suffixes,
+    "op4_substrings": op4_substrings,
     "op5_packing": op5_packing,
 }
 
