@@ -3,11 +3,13 @@ production parameters, to whole tables."""
 
 from __future__ import annotations
 
+from pathcredit.llm.minhash import op1_minhash
 from pathcredit.llm.packing import op5_packing
 from pathcredit.llm.substrings import op4_substrings
 from pathcredit.llm.suffixes import op2_suffixes
 
 QUERIES = {
+    "op1_minhash": op1_minhash,
     "op2_suffixes": op2_suffixes,
     "op4_substrings": op4_substrings,
     "op5_packing": op5_packing,
