@@ -4,15 +4,9 @@ A document is the set of its distinct five-word shingles (A-Z lower-cased).
 SuperMinHash draws, for every element, one random value for each rank of a
 random permutation of the registers: rank r contributes ``r + uniform`` to the
 register the permutation names, registers keep minima, and the ranks stop as
-soon as no register can still fall.
-
-Documents with equal sets collapse first.  Signatures are banded; a band value
-that two sets or more share is a bucket.  Each set meets the bucket centre it
-shares most bands with, and the pair is confirmed on the full sets (a centre's
-group is salted).  Buckets whose members are by then in one component are
-settled.  In the others, members of different components meet in blocks: the
-signatures pick pairs that could reach the threshold, and those members' full
-sets confirm the links.  Blocks bound every task; no pair is left out.
+soon as no register can still fall.  Documents with equal sets collapse first;
+:mod:`lsh` finds and confirms the links between different sets, and
+:mod:`components` groups them.
 
 Cases: null or empty text has an empty set and links with nothing; under five
 words the whole sequence is one shingle; a null ``doc_id`` is left out; rows
@@ -22,47 +16,22 @@ gives no row; further columns are ignored.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pathcredit.llm.common import Spans, binary_array, byte_spans, documents, ids_of, longs, lower, mix, record_batch, ship, steps, table, utf8, words
+from pathcredit.llm.common import Spans, binary_array, byte_spans, documents, ids_of, lower, mix, record_batch, ship, steps, table, utf8, words
 from pathcredit.llm.components import components
+from pathcredit.llm.lsh import BITS, Near, mixed_bands, packed, similar_sets
 
-_BITS = 48  # of an element's hash
-_STEP = np.uint64(0x9E3779B97F4A7C15)
-
-
-@dataclass(frozen=True)
-class Near:
-    """Link when ``100 * intersection >= percent * union``."""
-
-    percent: int
-    shingle: int = 5
-    registers: int = 128
-    rows: int = 5
-    centre_rows: int = 1024
-    block_rows: int = 1024
-
-    @property
-    def bands(self) -> int:
-        return self.registers // self.rows
-
-    @property
-    def least_estimate(self) -> float:
-        """4.5 standard deviations of the estimate under the threshold."""
-        j = self.percent / 100
-        return j - 4.5 * (j * (1 - j) / self.registers) ** 0.5
-
-
-CONTRACT = Near(85)
-CORPUS = Near(80, registers=128, rows=4)
+_STEP = 0x9E3779B97F4A7C15
+_FULL = (1 << 64) - 1
 
-
-# ------------------------------------------------------------------ sets
+#: Contract of the registered query: 85 of 100.
+CONTRACT = Near(85, shingle=5, bands=25, rows=5)
+#: Pipeline: 80 of 100.
+CORPUS = Near(80, shingle=5, bands=32, rows=4)
 
 
 def shingle_sets(column: pa.Array, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -77,21 +46,21 @@ def shingle_sets(column: pa.Array, k: int) -> tuple[np.ndarray, np.ndarray]:
     at = np.arange(n.sum()) - np.repeat(base - first[:-1], n)
     size = np.repeat(np.minimum(count, k), n)
     owner = np.repeat(np.arange(len(n), dtype=np.uint64), n)
-    keys = np.sort((owner << np.uint64(_BITS)) | (spans.hash(at, at + size) >> np.uint64(64 - _BITS)))
+    keys = np.sort((owner << np.uint64(BITS)) | (spans.hash(at, at + size) >> np.uint64(64 - BITS)))
     keys = keys[np.append(True, keys[1:] != keys[:-1])] if len(keys) else keys
-    return keys & np.uint64((1 << _BITS) - 1), np.searchsorted(keys, np.arange(len(n) + 1, dtype=np.uint64) << np.uint64(_BITS))
+    return keys & np.uint64((1 << BITS) - 1), np.searchsorted(keys, np.arange(len(n) + 1, dtype=np.uint64) << np.uint64(BITS))
 
 
 def super_min_hash(elements: np.ndarray, first: np.ndarray, registers: int) -> np.ndarray:
-    """(documents, registers) of rank * 2^32 + uniform; documents without
-    elements keep the largest value."""
+    """(documents, registers): a hash of each register's rank * 2^32 + uniform;
+    documents without elements keep the largest value."""
     docs = len(first) - 1
     out = np.full(docs * registers, ~np.uint64(0))
-    seeds, owner = mix(elements + _STEP), ids_of(first)
+    seeds, owner = mix(elements + np.uint64(_STEP)), ids_of(first)
     ranks = np.tile(np.arange(registers, dtype=np.uint8 if registers <= 256 else np.int32), (len(elements), 1))
     live = np.arange(len(elements))
     for r in range(registers):
-        draw = mix(seeds[live] + np.uint64((r + 1) * int(_STEP) & 0xFFFFFFFFFFFFFFFF))
+        draw = mix(seeds[live] + np.uint64((r + 1) * _STEP & _FULL))
         pick = r + ((draw >> np.uint64(32)) % np.uint64(registers - r)).astype(np.int64)
         name = ranks[live, pick]
         ranks[live, pick] = ranks[live, r]
@@ -102,186 +71,41 @@ def super_min_hash(elements: np.ndarray, first: np.ndarray, registers: int) -> n
             live = live[~settled[owner[live]]]
             if not len(live):
                 break
-    return out.reshape(docs, registers)
+    return mix(out.reshape(docs, registers))
 
 
-_SIGNED = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("set_a", pa.int64()), ("set_b", pa.int64()), ("bands", pa.list_(pa.int64())), ("sketch", pa.binary())])
-_SIGNED_DDL = "doc_id long, n long, set_a long, set_b long, bands array<long>, sketch binary"
+_SIGNED = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("set_a", pa.int64()), ("set_b", pa.int64()), ("bands", pa.list_(pa.int64()))])
+_SIGNED_DDL = "doc_id long, n long, set_a long, set_b long, bands array<long>"
 
 
 def signatures(docs: DataFrame, near: Near) -> DataFrame:
-    """One row a document: set size, 128-bit hash of the set, band values, and a
-    byte of every register."""
+    """One row a document: set size, 128-bit hash of the set, and band values."""
 
     def run(batches):
         for batch in steps(batches, 1 << 20):
             for at in range(0, len(batch), 2000):
                 part = batch.slice(at, 2000)
                 elements, first = shingle_sets(part.column(1), near.shingle)
-                size, d = np.diff(first), len(first) - 1
                 sums = [np.concatenate([[np.uint64(0)], np.cumsum(mix(elements ^ np.uint64(salt)), dtype=np.uint64)]) for salt in (0x5BD1E995, 0xC2B2AE35)]
-                set_a, set_b = (s[first[1:]] - s[first[:-1]] for s in sums)
-                values = mix(super_min_hash(elements, first, near.registers))
-                band = np.zeros((d, near.bands), np.uint64)
-                for j in range(near.rows):
-                    band = mix(band + values[:, j : near.bands * near.rows : near.rows])
-                band = mix(band + np.arange(near.bands, dtype=np.uint64) * _STEP)
-                sketch = (values & np.uint64(255)).astype(np.uint8)
-                yield record_batch(
-                    _SIGNED, part.column(0), size, set_a.view(np.int64), set_b.view(np.int64),
-                    pa.ListArray.from_arrays(pa.array(np.arange(d + 1) * near.bands, pa.int32()), pa.array(band.view(np.int64).ravel())).cast(_SIGNED.field(4).type),
-                    binary_array(sketch, np.arange(d + 1) * near.registers),
-                )
+                set_a, set_b = ((s[first[1:]] - s[first[:-1]]).view(np.int64) for s in sums)
+                keys = mixed_bands(super_min_hash(elements, first, near.registers), near).view(np.int64)
+                lists = pa.ListArray.from_arrays(pa.array(np.arange(len(first)) * near.bands, pa.int32()), pa.array(keys.ravel()))
+                yield record_batch(_SIGNED, part.column(0), np.diff(first), set_a, set_b, lists.cast(_SIGNED.field(4).type))
 
     return docs.mapInArrow(run, _SIGNED_DDL)
 
 
-def _packed(elements: np.ndarray) -> np.ndarray:
-    return np.ascontiguousarray(elements.view(np.uint8).reshape(-1, 8)[:, : _BITS // 8])
-
-
-def _unpacked(column) -> tuple[np.ndarray, np.ndarray]:
-    """(elements, first) of a column of packed sets."""
-    data, offsets = utf8(pa.concat_arrays(column.chunks) if isinstance(column, pa.ChunkedArray) else column)
-    out = np.zeros((len(data) // (_BITS // 8), 8), np.uint8)
-    out[:, : _BITS // 8] = data.reshape(-1, _BITS // 8)
-    return out.view(np.uint64).ravel(), offsets // (_BITS // 8)
-
-
-def packed_sets(docs: DataFrame, k: int, also: list[tuple[str, str]]) -> DataFrame:
-    """(doc_id, elements, further columns) of ``docs`` (doc_id, text, further ...)."""
-    ddl = ", ".join(f"{a} {b}" for a, b in [("doc_id", "long"), ("elements", "binary"), *also])
+def full_sets(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
+    """(rep, elements, roles) of the documents that ``wanted`` (rep, roles) names."""
+    roles = wanted.schema["roles"].dataType.simpleString()
 
     def run(batches):
         for batch in steps(batches):
             elements, first = shingle_sets(batch.column(1), k)
-            rest = [batch.column(i) for i in range(2, batch.num_columns)]
-            names = ["doc_id", "elements", *[n for n, _ in also]]
-            yield pa.RecordBatch.from_arrays([batch.column(0), binary_array(_packed(elements), first * (_BITS // 8)), *rest], names)
-
-    return docs.mapInArrow(run, ddl)
-
-
-# ------------------------------------------------------------------ links
+            yield pa.RecordBatch.from_arrays([batch.column(0), binary_array(packed(elements), first * (BITS // 8)), batch.column(2)], ["rep", "elements", "roles"])
 
-_LINK = pa.schema([("u", pa.int64()), ("v", pa.int64())])
-_LINK_DDL = "u long, v long"
-
-
-def _with_centre(percent: int):
-    def run(group: pa.Table) -> pa.Table:
-        """Links of one centre's members (rows: centre, salt, member, elements)."""
-        centre, members = group.column("centre")[0].as_py(), group.column("member").to_numpy()
-        elements, first = _unpacked(group.column("elements"))
-        own = np.flatnonzero(members == centre)[0]
-        size = np.diff(first)
-        hit = np.concatenate([[0], np.cumsum(np.isin(elements, elements[first[own] : first[own + 1]]))])
-        both = hit[first[1:]] - hit[first[:-1]]
-        linked = (100 * both >= percent * (size + size[own] - both)) & (members != centre)
-        return pa.table([pa.array(members[linked]), pa.array(np.full(linked.sum(), centre))], schema=_LINK)
-
-    return run
-
-
-def _could_link(least: float):
-    def run(group: pa.Table) -> pa.Table:
-        """Members of a block that have, in another component, a partner whose
-        estimate reaches ``least`` and whose first common bucket this is."""
-        group = group.combine_chunks()
-        comp, own = group.column("component").to_numpy(), group.column("block").to_numpy()
-        lo, hi = group.column("lo")[0].as_py(), group.column("hi")[0].as_py()
-        sketch = utf8(pa.concat_arrays(group.column("sketch").chunks))[0].reshape(len(group), -1)
-        bands = np.asarray(pa.concat_arrays(group.column("bands").chunks).flatten()).reshape(len(group), -1)
-        key = group.column("key")[0].as_py()
-        band = int(np.flatnonzero((bands == key).all(0))[0])
-        left, right = np.flatnonzero(own == lo), np.flatnonzero(own == hi)
-        wanted = np.zeros(len(group), bool)
-        floor = least * sketch.shape[1]
-        for i in left.tolist():
-            j = right[(right > i) & (comp[right] != comp[i])] if lo == hi else right[comp[right] != comp[i]]
-            if len(j):
-                j = j[(sketch[j] == sketch[i]).sum(1) >= floor]
-            if len(j) and band:
-                j = j[~(bands[j, :band] == bands[i, :band]).any(1)]
-            if len(j):
-                wanted[i] = True
-                wanted[j] = True
-        return group.filter(pa.array(wanted)).select(["key", "lo", "hi", "rep", "component", "block"])
-
-    return run
-
-
-def _within_block(percent: int):
-    def run(group: pa.Table) -> pa.Table:
-        """Links between members of different components, on full sets."""
-        group = group.combine_chunks()
-        rep, comp, own = (group.column(x).to_numpy() for x in ("rep", "component", "block"))
-        lo, hi = group.column("lo")[0].as_py(), group.column("hi")[0].as_py()
-        elements, first = _unpacked(group.column("elements"))
-        size = np.diff(first)
-        order = np.argsort(elements, kind="stable")
-        owner = ids_of(first)[order]
-        values = elements[order]
-        head = np.flatnonzero(np.append(True, values[1:] != values[:-1]))
-        end = np.append(head[1:], len(values))
-        where = np.empty(len(values), np.int64)
-        where[order] = np.repeat(np.arange(len(head)), end - head)
-        left, right = np.flatnonzero(own == lo), own == hi
-        out: list[np.ndarray] = []
-        for i in left.tolist():
-            lists = where[first[i] : first[i + 1]]
-            n = end[lists] - head[lists]
-            at = np.repeat(head[lists], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-            both = np.bincount(owner[at], minlength=len(rep))
-            good = right & (comp != comp[i]) & (100 * both >= percent * (size + size[i] - both))
-            j = np.flatnonzero(good)
-            out.append(np.stack([np.full(len(j), rep[i]), rep[j]]))
-        both = np.concatenate(out, 1) if out else np.zeros((2, 0), np.int64)
-        return pa.table([pa.array(both[0]), pa.array(both[1])], schema=_LINK)
-
-    return run
-
-
-def similar_sets(docs: DataFrame, near: Near) -> tuple[DataFrame, DataFrame]:
-    """(signed, links): one row a document with its class representative ``rep``
-    (smallest document with the same set), and links between representatives
-    that connect every pair of sets over the threshold."""
-    signed = table(signatures(docs, near), "signed")
-    sets = signed.filter("n > 0").groupBy("set_a", "set_b", "n").agg(F.min("doc_id").alias("rep"))
-    classes = table(signed.join(sets, ["set_a", "set_b", "n"], "left").select("doc_id", "n", "rep"), "classes")
-    reps = signed.join(classes.filter("doc_id = rep").select("rep").distinct(), signed.doc_id == F.col("rep"), "left_semi")
-    values = reps.select(F.col("doc_id").alias("rep"), F.explode("bands").alias("key")).distinct()
-    shared = values.groupBy("key").agg(F.count("*").alias("members")).filter("members > 1")
-    crowded = table(values.join(shared, "key"), "crowded")
-
-    # each set with the centre it shares most buckets with; centres: members of the fullest buckets
-    fame = crowded.groupBy("rep").agg(F.sum("members").alias("fame"))
-    centres = crowded.join(fame, "rep").groupBy("key").agg(F.max(F.struct("fame", (-F.col("rep")).alias("id"))).alias("top")).select("key", (-F.col("top.id")).alias("centre"))
-    met = crowded.join(centres, "key").groupBy("rep", "centre").count().filter("rep <> centre")
-    best = table(met.groupBy("rep").agg(F.max(F.struct("count", (-F.col("centre")).alias("id"))).alias("top")).select("rep", (-F.col("top.id")).alias("centre")), "best")
-    salts = best.groupBy("centre").agg(F.ceil(F.count("*") / near.centre_rows).cast("int").alias("salts"))
-    member = best.join(salts, "centre").select(F.col("rep").alias("member"), "centre", F.pmod(F.xxhash64("rep"), F.col("salts")).cast("int").alias("salt"))
-    centre = salts.select(F.col("centre").alias("member"), "centre", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"))
-    roles = member.unionByName(centre).groupBy("member").agg(F.collect_list(F.struct("centre", "salt")).alias("roles"))
-    wanted = crowded.select(F.col("rep").alias("doc_id")).distinct().join(roles, F.col("doc_id") == F.col("member"), "left").select("doc_id", "roles")
-    texts = docs.join(wanted, "doc_id").select("doc_id", "text", "roles")
-    full = table(packed_sets(texts, near.shingle, [("roles", "array<struct<centre:long,salt:int>>")]).dropDuplicates(["doc_id"]), "sets")
-    grouped = full.select(F.col("doc_id").alias("member"), "elements", F.inline("roles"))
-    first = table(grouped.groupBy("centre", "salt").applyInArrow(_with_centre(near.percent), _LINK_DDL), "links")
-
-    # buckets that still hold several components: blocks against blocks
-    label = components(first)
-    marked = crowded.join(label, crowded.rep == label.node, "left").select("key", "rep", "members", F.coalesce("component", "rep").alias("component"))
-    mixed = marked.groupBy("key").agg(F.min("component").alias("a"), F.max("component").alias("b")).filter("a <> b").select("key")
-    blocks = F.ceil(F.col("members") / near.block_rows).cast("int")
-    member = marked.join(mixed, "key", "left_semi").withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
-    dealt = member.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select("key", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "rep", "component", "block")
-    sketches = signed.select(F.col("doc_id").alias("rep"), "bands", "sketch").join(dealt, "rep")
-    row = "key long, lo int, hi int, rep long, component long, block int"
-    open_ = table(sketches.groupBy("key", "lo", "hi").applyInArrow(_could_link(near.least_estimate), row), "open")
-    checked = open_.join(full.select(F.col("doc_id").alias("rep"), "elements"), "rep")
-    second = checked.groupBy("key", "lo", "hi").applyInArrow(_within_block(near.percent), _LINK_DDL)
-    return classes, table(first.unionByName(second), "links")
+    texts = docs.join(wanted.withColumnRenamed("rep", "doc_id"), "doc_id").select("doc_id", "text", "roles")
+    return texts.mapInArrow(run, f"rep long, elements binary, roles {roles}")
 
 
 def near_duplicates(docs: DataFrame, near: Near = CONTRACT) -> DataFrame:
@@ -289,7 +113,12 @@ def near_duplicates(docs: DataFrame, near: Near = CONTRACT) -> DataFrame:
     is the one that stays."""
     ship(docs.sparkSession)
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").filter("doc_id is not null")
-    classes, links = similar_sets(own, near)
+    signed = table(signatures(own, near), "signed")
+    sets = signed.filter("n > 0").groupBy("set_a", "set_b", "n").agg(F.min("doc_id").alias("rep"))
+    classes = table(signed.join(sets, ["set_a", "set_b", "n"], "left").select("doc_id", "n", "rep"), "classes")
+    reps = classes.filter("doc_id = rep").select("rep").distinct()
+    values = signed.join(reps, signed.doc_id == reps.rep, "left_semi").select(F.col("doc_id").alias("rep"), F.posexplode("bands").alias("band", "key"))
+    links = similar_sets(values, lambda wanted: full_sets(own, wanted, near.shingle), super_min_hash, near)
     label = components(links)
     found = F.coalesce("component", "rep", "doc_id").alias("component_id")
     joined = classes.join(label, classes.rep == label.node, "left").select("doc_id", F.col("n").alias("n_shingles"), found)

@@ -3,6 +3,7 @@ production parameters, to whole tables."""
 
 from __future__ import annotations
 
+from pathcredit.llm.lines import op6_lines
 from pathcredit.llm.minhash import op1_minhash
 from pathcredit.llm.packing import op5_packing
 from pathcredit.llm.substrings import op4_substrings
@@ -13,6 +14,7 @@ QUERIES = {
     "op2_suffixes": op2_suffixes,
     "op4_substrings": op4_substrings,
     "op5_packing": op5_packing,
+    "op6_lines": op6_lines,
 }
 
 #: DuckDB statements for the queries that SQL can express.
