@@ -3,6 +3,7 @@ production parameters, to whole tables."""
 
 from __future__ import annotations
 
+from pathcredit.llm.counts import op10_counts
 from pathcredit.llm.lines import op6_lines
 from pathcredit.llm.minhash import op1_minhash
 from pathcredit.llm.packing import op5_packing
@@ -10,6 +11,7 @@ from pathcredit.llm.substrings import op4_substrings
 from pathcredit.llm.suffixes import op2_suffixes
 
 QUERIES = {
+    "op10_counts": op10_counts,
     "op1_minhash": op1_minhash,
     "op2_suffixes": op2_suffixes,
     "op4_substrings": op4_substrings,
