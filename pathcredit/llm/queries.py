@@ -4,9 +4,11 @@ production parameters, to whole tables."""
 from __future__ import annotations
 
 from pathcredit.llm.counts import op10_counts
+from pathcredit.llm.decontamination import OP3_SQL, op3_decontamination
 from pathcredit.llm.lines import op6_lines
 from pathcredit.llm.minhash import op1_minhash
 from pathcredit.llm.packing import op5_packing
+from pathcredit.llm.quality import op7_quality
 from pathcredit.llm.substrings import op4_substrings
 from pathcredit.llm.suffixes import op2_suffixes
 
@@ -14,10 +16,14 @@ QUERIES = {
     "op10_counts": op10_counts,
     "op1_minhash": op1_minhash,
     "op2_suffixes": op2_suffixes,
+    "op3_decontamination": op3_decontamination,
     "op4_substrings": op4_substrings,
     "op5_packing": op5_packing,
     "op6_lines": op6_lines,
+    "op7_quality": op7_quality,
 }
 
 #: DuckDB statements for the queries that SQL can express.
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op3_decontamination": OP3_SQL,
+}
