@@ -8,6 +8,7 @@ from pathcredit.llm.decontamination import OP3_SQL, op3_decontamination
 from pathcredit.llm.lines import op6_lines
 from pathcredit.llm.minhash import op1_minhash
 from pathcredit.llm.packing import op5_packing
+from pathcredit.llm.personal import op8_personal
 from pathcredit.llm.quality import op7_quality
 from pathcredit.llm.substrings import op4_substrings
 from pathcredit.llm.suffixes import op2_suffixes
@@ -21,6 +22,7 @@ QUERIES = {
     "op5_packing": op5_packing,
     "op6_lines": op6_lines,
     "op7_quality": op7_quality,
+    "op8_personal": op8_personal,
 }
 
 #: DuckDB statements for the queries that SQL can express.
