@@ -39,10 +39,10 @@ def pieces(docs: DataFrame, sequence: int = SEQUENCE, vocabulary: str = VOCABULA
 
     def run(batches):
         bpe = encoder(vocabulary)
-        for batch in steps(batches, 8 << 20):
+        for batch in steps(batches, 4 << 20):
             rows: list[list[int]] = [[], [], [], [], []]
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                ids = memoryview(bpe.encode(text or "") + end)
+            for doc, ids in zip(batch.column(0).to_pylist(), bpe.encode_all([t or "" for t in batch.column(1).to_pylist()])):
+                ids = memoryview(ids + end)
                 total = len(ids) // 4
                 for start in range(0, total, sequence):
                     part = ids[4 * start : 4 * (start + sequence)]

@@ -10,6 +10,7 @@ from pathcredit.llm.minhash import op1_minhash
 from pathcredit.llm.packing import op5_packing
 from pathcredit.llm.personal import op8_personal
 from pathcredit.llm.quality import op7_quality
+from pathcredit.llm.scoring import op9_scoring
 from pathcredit.llm.substrings import op4_substrings
 from pathcredit.llm.suffixes import op2_suffixes
 
@@ -23,6 +24,7 @@ QUERIES = {
     "op6_lines": op6_lines,
     "op7_quality": op7_quality,
     "op8_personal": op8_personal,
+    "op9_scoring": op9_scoring,
 }
 
 #: DuckDB statements for the queries that SQL can express.

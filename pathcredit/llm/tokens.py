@@ -17,6 +17,7 @@ import numpy as np
 VOCABULARY = "byte_bpe_50k"
 _CACHE_PIECES = 200_000
 _GAP = re.compile(r"\s \s")
+_WHITE = re.compile(r"\s")
 _encoders: dict[str, "Encoder"] = {}
 
 
@@ -29,31 +30,37 @@ class Encoder:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
         self._bpe = tiktoken.Encoding("public", pat_str=public.PATTERN, mergeable_ranks=ranks, special_tokens={})
         self._known: dict[str, bytes] = {}
+        (self._newline,) = self._bpe.encode_ordinary("\n")
 
     def _ids(self, text: str) -> bytes:
         return np.array(self._bpe.encode_ordinary(text), "<u4").tobytes()
 
-    def encode(self, text: str) -> bytes:
-        """The ids as little-endian unsigned 32-bit integers."""
-        if _GAP.search(text):
-            return self._ids(text)
-        head, *rest = text.split(" ")
+    def _learn(self, pieces: list[str]) -> None:
+        """Encode new pieces in one go, each on a line of its own: a newline
+        between them is one id of its own, and no piece holds one."""
+        ids = np.array(self._bpe.encode_ordinary("\n".join([" " + p for p in pieces])), "<u4")
+        edge = np.append(np.flatnonzero(ids == self._newline), len(ids)).tolist()
+        raw, start = ids.tobytes(), 0
+        for piece, end in zip(pieces, edge, strict=True):
+            self._known[piece] = raw[4 * start : 4 * end]
+            start = end + 1
+
+    def encode_all(self, texts: list[str]) -> list[bytes]:
+        """The ids of every text as little-endian unsigned 32-bit integers."""
+        parts = [None if _GAP.search(t) else t.split(" ") for t in texts]
         known = self._known
-        try:
-            return self._ids(head) + b"".join([known[x] for x in rest])
-        except KeyError:
-            pass
         if len(known) > _CACHE_PIECES:
             known.clear()
-        out = [self._ids(head)]
-        for x in rest:
-            ids = known.get(x)
-            if ids is None:
-                ids = self._ids(" " + x)
-                if len(x) <= 64:
-                    known[x] = ids
-            out.append(ids)
-        return b"".join(out)
+        new = {x for p in parts if p for x in p[1:] if x not in known}
+        plain = [x for x in new if x and not _WHITE.search(x)]
+        if plain:
+            self._learn(plain)
+        for x in new.difference(plain):
+            known[x] = self._ids(" " + x)
+        return [self._ids(t) if p is None else self._ids(p[0]) + b"".join([known[x] for x in p[1:]]) for t, p in zip(texts, parts)]
+
+    def encode(self, text: str) -> bytes:
+        return self.encode_all([text])[0]
 
 
 def encoder(name: str = VOCABULARY) -> Encoder:
