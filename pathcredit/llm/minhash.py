@@ -114,7 +114,7 @@ def near_duplicates(docs: DataFrame, near: Near = CONTRACT) -> DataFrame:
     ship(docs.sparkSession)
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").filter("doc_id is not null")
     signed = table(signatures(own, near), "signed")
-    sets = signed.filter("n > 0").groupBy("set_a", "set_b", "n").agg(F.min("doc_id").alias("rep"))
+    sets = table(signed.filter("n > 0").groupBy("set_a", "set_b", "n").agg(F.min("doc_id").alias("rep")), "distinct-sets")
     classes = table(signed.join(sets, ["set_a", "set_b", "n"], "left").select("doc_id", "n", "rep"), "classes")
     reps = classes.filter("doc_id = rep").select("rep").distinct()
     values = signed.join(reps, signed.doc_id == reps.rep, "left_semi").select(F.col("doc_id").alias("rep"), F.posexplode("bands").alias("band", "key"))

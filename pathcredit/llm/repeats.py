@@ -136,7 +136,8 @@ def recurring(docs: DataFrame, cfg: Windows) -> DataFrame:
     """(doc_id, places): each document's seeds that stand at two places or more
     in the corpus."""
     found = seeds(docs, cfg)
-    again = found.groupBy("seed").count().filter("count > 1").select("seed")
+    # written, so that the join has a shuffle of its own on either side and a hot seed can be split
+    again = table(found.groupBy("seed").count().filter("count > 1").select("seed"), "again")
     return found.join(again, "seed", "left_semi").groupBy("doc_id").agg(F.collect_set("place").alias("places"))
 
 
