@@ -177,14 +177,12 @@ def judged_lines(docs: DataFrame, near: Near = LINES) -> DataFrame:
 
 def deduplicated(docs: DataFrame, near: Near = LINES) -> DataFrame:
     """The documents, with the lines that go taken out of ``text``."""
-    gone = judged_lines(docs, near).filter("not kept").groupBy("doc_id").agg(F.collect_set("line_no").alias("gone_lines"))
-    lines = F.split("text", "\n")
-    numbers = F.col("gone_lines")
-    left = F.filter(lines, lambda line, i: ~F.array_contains(numbers, i.cast("long")))
-    text = F.when(numbers.isNotNull(), F.array_join(left, "\n")).otherwise(F.col("text"))
-    renamed = gone.withColumnRenamed("doc_id", "gone_doc")
-    joined = docs.join(renamed, docs.doc_id.cast("long") == renamed.gone_doc, "left")
-    return joined.select(*[text.alias(c) if c == "text" else docs[c] for c in docs.columns])
+    gone = judged_lines(docs, near).filter("not kept").groupBy("doc_id").agg(F.collect_set("line_no").alias("numbers")).withColumnRenamed("doc_id", "of_doc")
+    text, numbers = docs["text"], gone["numbers"]
+    left = F.filter(F.split(text, "\n"), lambda line, i: ~F.array_contains(numbers, i.cast("long")))
+    joined = docs.join(gone, docs["doc_id"].cast("long") == gone["of_doc"], "left")
+    new = F.when(numbers.isNotNull(), F.array_join(left, "\n")).otherwise(text).alias("text")
+    return joined.select(*[new if c == "text" else docs[c] for c in docs.columns])
 
 
 def op6_lines(spark, sf_dir):
