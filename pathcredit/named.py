@@ -10,7 +10,6 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pathcredit.functions.columns import CHANNELS, CONVERSION, NULL_STATE
 from pathcredit.operators import layout, upsert
 from pathcredit.operators.quality import enforce, expectation_counts
 from pathcredit.plans import attribution as A
@@ -31,7 +30,7 @@ from pathcredit.sources.files import (
     write_raw_touches,
 )
 from pathcredit.sources.tables import Tables
-from pathcredit.streaming.ingest import ingest_once
+from pathcredit.streaming.ingest import ingest_and_refresh, ingest_once
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -44,6 +43,7 @@ FIRST_LOAD_BEFORE = "2024-01-16 12:00:00"
 REFRESH_FROM = "2024-01-16 00:00:00"
 DECAY_HALF_LIFE_HOURS = 24.0
 PROBABILITY_DIGITS = 9
+STREAM_BUCKETS = 8
 
 
 class _Inputs:
@@ -81,17 +81,29 @@ class _Inputs:
     def summary(self) -> DataFrame:
         return J.journey_summary(self.base)
 
+    @cached_property
+    def outcomes(self) -> DataFrame:
+        """Journeys counted by first channel, last channel and outcome: the one
+        touch pass behind every heuristic credit and every denominator.  Bounded
+        by the channels, so it is checkpointed like the edge table."""
+        return A.outcomes(self.summary).checkpoint()
+
     @cached_property
     def gold(self) -> DataFrame:
-        return A.gold_attribution(self.summary)
+        return A.gold_attribution(self.outcomes)
 
     @cached_property
     def edges(self) -> DataFrame:
         return M.edge_table(self.bronze)
 
+    @cached_property
+    def probability(self) -> DataFrame:
+        # effects and credit read it several times; one row per channel
+        return M.simple_path_probability(self.edges).checkpoint()
+
     @cached_property
     def markov_credit(self) -> DataFrame:
-        return M.markov_attribution(M.removal_effects(M.simple_path_probability(self.edges)))
+        return M.markov_attribution(M.removal_effects(self.probability))
 
     @cached_property
     def gold_all(self) -> DataFrame:
@@ -150,8 +162,14 @@ def _clicks_raw(spark, sf):
     return X.clickstream_raw(t.lineitem, t.part, t.supplier)
 
 
+def _published_clicks(prepared: DataFrame) -> DataFrame:
+    """The prepared dataset, written with its fail expectation checked on every
+    row: a violation aborts the write, and nothing downstream can filter it away."""
+    return materialize(prepared, "clickstream-prepared")
+
+
 def clickstream_prepared(spark, sf):
-    return C.prepared(_clicks_raw(spark, sf), check=True)
+    return _published_clicks(C.prepared(_clicks_raw(spark, sf), check=True))
 
 
 def clickstream_expectation_counts(spark, sf):
@@ -164,10 +182,9 @@ def clickstream_from_files(spark, sf):
     root = work_dir(spark, "clicks-files")
     _clicks_raw(spark, sf).write.json(f"{root}/raw")
     raw = sql_on_files(spark, "json", f"{root}/raw")
-    if not set(CLICKSTREAM_RAW.fieldNames()) <= set(raw.columns):
-        # inference over empty files finds no columns: read with the known schema
-        raw = read_json(spark, f"{root}/raw", CLICKSTREAM_RAW)
-    return C.prepared(raw, check=True)
+    # one shape whatever inference saw (over empty files it sees no column)
+    raw = raw.select(*[(F.col(f.name) if f.name in raw.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in CLICKSTREAM_RAW.fields])
+    return _published_clicks(C.prepared(raw, check=True))
 
 
 def top_referrers(spark, sf):
@@ -201,12 +218,22 @@ def user_journey(spark, sf):
     return J.render_journeys(J.user_journeys(_Inputs(spark, sf).bronze))
 
 
+def journeys_streamed(spark, sf):
+    """Touch files land in a directory; a one-shot stream keeps bronze and the
+    journey table current; the journey table is returned."""
+    root = work_dir(spark, "journey-stream")
+    write_raw_touches(X.raw_touch_text(_Inputs(spark, sf).touches), f"{root}/landing")
+    table = upsert.PartitionedTable(spark, "streamed_user_journey", f"{root}/journeys", ["uid"], STREAM_BUCKETS)
+    ingest_and_refresh(spark, f"{root}/landing", f"{root}/bronze", table, f"{root}/_checkpoint", buckets=STREAM_BUCKETS)
+    return J.render_journeys(table.read())
+
+
 def first_touch(spark, sf):
-    return A.first_touch(_Inputs(spark, sf, single_pass=True).summary)
+    return A.first_touch(_Inputs(spark, sf, single_pass=True).outcomes)
 
 
 def last_touch(spark, sf):
-    return A.last_touch(_Inputs(spark, sf, single_pass=True).summary)
+    return A.last_touch(_Inputs(spark, sf, single_pass=True).outcomes)
 
 
 def gold_attribution(spark, sf):
@@ -214,13 +241,11 @@ def gold_attribution(spark, sf):
 
 
 def linear_touch(spark, sf):
-    q = _Inputs(spark, sf)
-    return A.linear_touch(q.bronze, q.summary)
+    return A.linear_touch(_Inputs(spark, sf, single_pass=True).base)
 
 
 def time_decay(spark, sf):
-    q = _Inputs(spark, sf)
-    return A.time_decay(q.bronze, q.summary, DECAY_HALF_LIFE_HOURS)
+    return A.time_decay(_Inputs(spark, sf, single_pass=True).base, DECAY_HALF_LIFE_HOURS)
 
 
 # ---------------------------------------------------------------- markov
@@ -238,11 +263,9 @@ def transition_row_sums(spark, sf):
     return M.row_sums(transition_matrix(spark, sf))
 
 
-PIVOT_COLUMNS = sorted([*CHANNELS, CONVERSION, NULL_STATE])
-
-
 def transition_pivot(spark, sf):
-    return M.matrix_pivot(transition_matrix(spark, sf), PIVOT_COLUMNS)
+    """Columns are the end states that the edge table holds."""
+    return M.matrix_pivot(_Inputs(spark, sf).edges)
 
 
 def removal_graph(spark, sf):
@@ -250,11 +273,11 @@ def removal_graph(spark, sf):
 
 
 def markov_conversion_probability(spark, sf):
-    return _rounded(M.simple_path_probability(_Inputs(spark, sf).edges))
+    return _rounded(_Inputs(spark, sf).probability)
 
 
 def markov_removal_effect(spark, sf):
-    return M.removal_effects(M.simple_path_probability(_Inputs(spark, sf).edges))
+    return M.removal_effects(_Inputs(spark, sf).probability)
 
 
 def markov_attribution(spark, sf):
@@ -269,26 +292,37 @@ def markov_memo_dfs(spark, sf):
     return _rounded(M.memo_dfs_probability(_Inputs(spark, sf).edges))
 
 
+def markov_removal_effect_memo(spark, sf):
+    """Removal effects of the reference's own recursion."""
+    return M.removal_effects(M.memo_dfs_probability(_Inputs(spark, sf).edges))
+
+
+def markov_attribution_memo(spark, sf):
+    """Credit from the reference's own recursion."""
+    return M.markov_attribution(M.removal_effects(M.memo_dfs_probability(_Inputs(spark, sf).edges).checkpoint()))
+
+
 # ---------------------------------------------------------------- spend
 
 
 def base_conversion_rate(spark, sf):
-    return P.base_conversion_rate(_Inputs(spark, sf, single_pass=True).summary)
+    return P.base_conversion_rate(_Inputs(spark, sf, single_pass=True).outcomes)
 
 
 def conversions_by_date(spark, sf):
-    # Needs no journey id: the per-user scan that builds ``uid`` is skipped.
-    return P.conversions_by_date(X.touch_events(Tables(spark, sf).events))
+    # Reads the checked bronze table: the touch expectations hold for every row,
+    # not only for those that the date filter lets through.
+    return P.conversions_by_date(_Inputs(spark, sf).bronze)
 
 
 def attribution_by_model(spark, sf):
     q = _Inputs(spark, sf)
-    return A.attribution_by_model(q.gold_all, q.summary)
+    return A.attribution_by_model(q.gold_all, q.outcomes)
 
 
 def cpa_summary(spark, sf):
     q = _Inputs(spark, sf)
-    return P.cpa_summary(X.ad_spend(spark), q.gold_all, q.summary)
+    return P.cpa_summary(X.ad_spend(spark), q.gold_all, q.outcomes)
 
 
 def markov_percent(spark, sf):
@@ -316,10 +350,20 @@ def _refresh_inputs(spark, sf):
 
 def upsert_journeys(spark, sf):
     target, source = _refresh_inputs(spark, sf)
-    # Journeys are grouped by uid: the source keys are unique by construction.
+    # All rows of a journey are replaced together: the check for one source row
+    # per key does not apply to segment rows.
     return J.render_journeys(upsert.merge(target, source, ["uid"], check=False))
 
 
+def refresh_attribution(spark, sf):
+    """First- and last-touch credit of the refreshed journeys, upserted into the
+    credit table that was built from the first load."""
+    target, source = _refresh_inputs(spark, sf)
+    journeys = upsert.merge(target, source, ["uid"], check=False)
+    first_load, refreshed = (A.gold_attribution(A.outcomes(j.filter("segment = 0")).checkpoint()) for j in (target, journeys))
+    return upsert.merge(first_load, refreshed, ["attribution_model", "channel"])
+
+
 def upsert_audit(spark, sf):
     target, source = _refresh_inputs(spark, sf)
     return upsert.audit(target, source, ["uid"], "gold_user_journey")
@@ -331,7 +375,7 @@ def upsert_attribution(spark, sf):
 
 def clustered_journeys(spark, sf):
     path = work_dir(spark, "gold-user-journey")
-    layout.write_clustered(J.user_journeys(_Inputs(spark, sf).bronze), "uid", path)
+    layout.write_clustered(J.user_journeys(_Inputs(spark, sf).bronze), ["uid", "segment"], path)
     return J.render_journeys(spark.read.parquet(path))
 
 
@@ -351,6 +395,7 @@ QUERIES: dict[str, Query] = {
         bronze_expectation_counts,
         bronze_touches_streamed,
         user_journey,
+        journeys_streamed,
         first_touch,
         last_touch,
         gold_attribution,
@@ -364,6 +409,8 @@ QUERIES: dict[str, Query] = {
         markov_attribution,
         markov_absorbing,
         markov_memo_dfs,
+        markov_removal_effect_memo,
+        markov_attribution_memo,
         base_conversion_rate,
         conversions_by_date,
         attribution_by_model,
@@ -374,6 +421,7 @@ QUERIES: dict[str, Query] = {
         upsert_journeys,
         upsert_audit,
         upsert_attribution,
+        refresh_attribution,
         clustered_journeys,
         linear_touch,
         time_decay,

@@ -6,12 +6,12 @@ If a single user (a bot, a shared device id, a missing id) holds a third of all
 touches, that task holds a third of the data.  The operators here route rows:
 
 * **Ordinary keys** take the plain window: one hash exchange on the key.
-* **Hot keys**: an input of at most ``hotKeyRows`` rows (a shuffle-free
-  count) cannot hold one.  Otherwise keys are counted exactly (map-side
-  partial aggregation, so only one narrow row per key and task is shuffled)
-  and a key is hot above ``max(hotKeyRows, rows / partitions)`` rows, which
-  bounds the hot list by the partition count; that bound is what makes
-  collecting and broadcasting it safe.  Hot rows are then split:
+* **Hot keys** are found by a frequent-items sketch (``approx_top_k`` over a
+  hash of the key): one pass that shuffles one small sketch per task, never the
+  keys.  A key is hot above ``max(hotKeyRows, rows / partitions)`` rows, so the
+  list holds at most as many entries as there are partitions.  It only routes
+  rows to a plan: a key that the sketch over- or underrates gets the same
+  result by the other route.  Hot rows are then split:
 
   1. ``repartitionByRange(n, *keys, *order)`` cuts the globally sorted hot rows
      into ``n`` contiguous chunks of similar size; a hot key spans many chunks
@@ -23,7 +23,7 @@ touches, that task holds a third of the data.  The operators here route rows:
      rows only) carries boundary values across chunks and is broadcast back
      to patch the boundary rows.
 
-With no hot key the cost is the plain window plus the key count; hot rows pay
+With no hot key the cost is the plain window plus the sketch pass; hot rows pay
 a range exchange and a hash exchange.  ``pathcredit.sequence.hotKeyRows``
 (session conf) sets the absolute floor of the hot threshold; ``hot_rows=0``
 sends everything through the chunked path.
@@ -212,27 +212,16 @@ def chunked_dense_rank(
 # ------------------------------------------------------------------ routing
 
 
-def segment_rows(spark, hot_rows: int | None = None) -> int:
-    """Rows per segment when a hot key's rows are cut into bounded output rows:
-    the hot-key floor, or the default when the floor is 0 (everything routed
-    through chunks)."""
-    floor = hot_rows if hot_rows is not None else int(spark.conf.get(HOT_ROWS_CONF, str(DEFAULT_HOT_ROWS)))
-    return floor if floor > 0 else DEFAULT_HOT_ROWS
-
-
-def _null_safe_match(keys: Sequence[str]) -> Column:
-    cond = F.lit(True)
-    for i, name in enumerate(keys):
-        cond = cond & F.col(name).eqNullSafe(F.col(f"_hk{i}"))
-    return cond
+# Items the sketch tracks: its error is a small multiple of rows / items, far
+# below the smallest hot share (rows / partitions).
+_SKETCH_ITEMS = 10_000
 
 
 def split_hot(df: DataFrame, keys: Sequence[str], hot_rows: int | None = None):
     """``(ordinary_rows, hot_rows_df, n_chunks)``; either frame may be None.
 
-    Key counts use partial aggregation; the hot list holds at most
-    ``partitions`` keys (threshold >= rows / partitions), so it is collected
-    and broadcast within a proven bound.
+    Routing goes by a 64-bit hash of the key (NULL keys hash too), so a hash
+    collision moves a key to the other route and changes no result.
     """
     spark = df.sparkSession
     floor = int(spark.conf.get(HOT_ROWS_CONF, str(DEFAULT_HOT_ROWS))) if hot_rows is None else hot_rows
@@ -245,19 +234,15 @@ def split_hot(df: DataFrame, keys: Sequence[str], hot_rows: int | None = None):
     if total <= floor:
         return df, None, None
     threshold = max(floor, -(-total // parts))
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    # At most `parts` keys can exceed the threshold (threshold >= total/parts),
-    # so the list is collected directly: one job decides and lists.
-    hot = counts.filter(F.col("_n") > threshold).collect()
+    code = F.xxhash64(*keys)
+    asked = min(parts, _SKETCH_ITEMS)
+    top = df.select(code.alias("_code")).agg(F.expr(f"approx_top_k(_code, {asked}, {_SKETCH_ITEMS})").alias("top")).first()[0]
+    hot = {r["item"]: r["count"] for r in top if r["count"] > threshold}
     if not hot:
         return df, None, None
-    schema = counts.select(*[F.col(k).alias(f"_hk{i}") for i, k in enumerate(keys)], "_n").schema
-    hot_keys = F.broadcast(spark.createDataFrame([tuple(r) for r in hot], schema))
-    ordinary = df.join(hot_keys, _null_safe_match(keys), "left_anti")
-    hot_df = df.join(hot_keys, _null_safe_match(keys), "left_semi")
-    hot_total = sum(r["_n"] for r in hot)
-    n_chunks = max(2, min(parts, -(-hot_total // threshold) * 2))
-    return ordinary, hot_df, n_chunks
+    is_hot = code.isin(list(hot))  # at most `parts` literals
+    n_chunks = max(2, min(parts, -(-sum(hot.values()) // threshold) * 2))
+    return df.filter(~is_hot), df.filter(is_hot), n_chunks
 
 
 def _route(df, keys, hot_rows, n_chunks, plain, chunked):

@@ -24,23 +24,33 @@ touches AS (
   FROM ev)"""
 
 
-def _journeys(name: str, src: str) -> str:
+SEGMENT_TOUCHES = 1000
+
+
+def _journeys(name: str, src: str, tie: str = "event_id") -> str:
     return f""",
 {name}_steps AS (
-  SELECT *, ROW_NUMBER() OVER (PARTITION BY uid ORDER BY time, event_id) AS rn,
+  SELECT *, ROW_NUMBER() OVER (PARTITION BY uid ORDER BY time, {tie}) AS rn,
          COUNT(*) OVER (PARTITION BY uid) AS n,
          DENSE_RANK() OVER (PARTITION BY uid ORDER BY time) AS visit_order
   FROM {src}),
-{name} AS (
-  SELECT uid,
-         'Start > ' || string_agg(channel, ' > ' ORDER BY time, event_id)
-           || CASE WHEN MAX(CASE WHEN rn = n THEN conversion END) = 1 THEN ' > Conversion' ELSE ' > Null' END AS path,
-         MAX(CASE WHEN rn = 1 THEN channel END) AS first_interaction,
+{name}_ends AS (
+  SELECT uid, MAX(CASE WHEN rn = 1 THEN channel END) AS first_interaction,
          MAX(CASE WHEN rn = n THEN channel END) AS last_interaction,
          MAX(CASE WHEN rn = n THEN conversion END) AS conversion,
-         string_agg(CAST(visit_order AS VARCHAR), ',' ORDER BY time, event_id) AS visiting_order,
-         0 AS segment
-  FROM {name}_steps GROUP BY uid)"""
+         CAST((MAX(n) - 1) // {SEGMENT_TOUCHES} AS INTEGER) AS last_segment
+  FROM {name}_steps GROUP BY uid),
+{name}_rows AS (
+  SELECT uid, CAST((rn - 1) // {SEGMENT_TOUCHES} AS INTEGER) AS segment,
+         string_agg(channel, ' > ' ORDER BY time, {tie}) AS channels,
+         string_agg(CAST(visit_order AS VARCHAR), ',' ORDER BY time, {tie}) AS visiting_order
+  FROM {name}_steps GROUP BY uid, (rn - 1) // {SEGMENT_TOUCHES}),
+{name} AS (
+  SELECT r.uid,
+         CASE WHEN r.segment = 0 THEN 'Start > ' ELSE '' END || r.channels
+           || CASE WHEN r.segment < e.last_segment THEN '' WHEN e.conversion = 1 THEN ' > Conversion' ELSE ' > Null' END AS path,
+         e.first_interaction, e.last_interaction, e.conversion, r.visiting_order, r.segment
+  FROM {name}_rows r JOIN {name}_ends e ON r.uid = e.uid)"""
 
 
 _SUMMARY = _TOUCHES + """,
@@ -305,10 +315,9 @@ SELECT t.* FROM target_j t ANTI JOIN source_j s ON t.uid = s.uid""",
     "upsert_audit": _with(
         _REFRESH,
         """SELECT 'gold_user_journey' AS table_name,
-       CAST(SUM(CASE WHEN s.uid IS NOT NULL AND t.uid IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS rows_inserted,
-       CAST(SUM(CASE WHEN s.uid IS NOT NULL AND t.uid IS NOT NULL THEN 1 ELSE 0 END) AS BIGINT) AS rows_updated,
-       CAST(SUM(CASE WHEN s.uid IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS rows_kept
-FROM (SELECT DISTINCT uid FROM target_j) t FULL OUTER JOIN (SELECT DISTINCT uid FROM source_j) s ON t.uid = s.uid""",
+       CAST((SELECT COUNT(*) FROM source_j s ANTI JOIN target_j t ON s.uid = t.uid) AS BIGINT) AS rows_inserted,
+       CAST((SELECT COUNT(*) FROM source_j s SEMI JOIN target_j t ON s.uid = t.uid) AS BIGINT) AS rows_updated,
+       CAST((SELECT COUNT(*) FROM target_j t ANTI JOIN source_j s ON t.uid = s.uid) AS BIGINT) AS rows_kept""",
     ),
     "upsert_attribution": _with(_MARKOV, "SELECT * FROM gold_all"),
     "clustered_journeys": _with(_TOUCHES + _journeys("journeys", "touches"), "SELECT * FROM journeys"),
@@ -423,6 +432,59 @@ FROM dfs WHERE len(stack) = 0"""
 
 ORACLE_SQL["markov_memo_dfs"] = _memo_dfs_sql()
 
+# Effects and credit of the memoised recursion: its probabilities, then the same
+# rounding as for the simple paths.
+_MEMO = ORACLE_SQL["markov_memo_dfs"].replace("round(fv[list_position(fn, 'Start')], 9)", "fv[list_position(fn, 'Start')]")
+_MEMO_EFFECTS = f"""WITH memo AS ({_MEMO}), effects AS (
+  SELECT p.removed AS channel,
+         round((b.conversion_probability - p.conversion_probability) / b.conversion_probability, 2) AS removal_effect
+  FROM memo p, (SELECT conversion_probability FROM memo WHERE removed IS NULL) b
+  WHERE p.removed IS NOT NULL)"""
+ORACLE_SQL["markov_removal_effect_memo"] = _MEMO_EFFECTS + "\nSELECT * FROM effects"
+ORACLE_SQL["markov_attribution_memo"] = _MEMO_EFFECTS + """
+SELECT 'markov_chain' AS attribution_model, channel,
+       round(removal_effect / SUM(removal_effect) OVER (), 2) AS attribution_percent
+FROM effects"""
+
+# The streamed journeys come from the text form of the touches: whole seconds,
+# ties by content with a conversion last.
+ORACLE_SQL["journeys_streamed"] = _with(
+    _TOUCHES
+    + """,
+landed AS (
+  SELECT uid, strptime(strftime(time, '%Y-%m-%d %H:%M:%S'), '%Y-%m-%d %H:%M:%S') AS time, channel, conversion,
+         concat_ws('|', CAST(conversion AS VARCHAR), channel, interaction) AS tie
+  FROM touches)"""
+    + _journeys("journeys", "landed", "tie"),
+    "SELECT * FROM journeys",
+)
+
+# Credit after the refresh: first-load credit, replaced by that of the merged journeys.
+ORACLE_SQL["refresh_attribution"] = _with(
+    _REFRESH
+    + """,
+merged AS (
+  SELECT * FROM source_j
+  UNION ALL
+  SELECT t.* FROM target_j t ANTI JOIN source_j s ON t.uid = s.uid),"""
+    + ",".join(
+        f"""
+{name} AS ("""
+        + " UNION ALL ".join(
+            f"""
+  SELECT '{model}' AS attribution_model, {col} AS channel,
+         round(COUNT(*) / (SELECT COUNT(*) FROM {src} WHERE conversion = 1 AND segment = 0), 2) AS attribution_percent
+  FROM {src} WHERE conversion = 1 AND segment = 0 GROUP BY {col}"""
+            for model, col in [("first_touch", "first_interaction"), ("last_touch", "last_interaction")]
+        )
+        + ")"
+        for name, src in [("before", "target_j"), ("after", "merged")]
+    ),
+    """SELECT * FROM after
+UNION ALL
+SELECT b.* FROM before b ANTI JOIN after a ON a.attribution_model = b.attribution_model AND a.channel = b.channel""",
+)
+
 # File-ingest variants read the same rows as their in-memory counterparts.
 ORACLE_SQL["bronze_touches_streamed"] = ORACLE_SQL["bronze_touches"]
 ORACLE_SQL["sales_enriched_from_files"] = ORACLE_SQL["sales_products_joined"]

@@ -21,9 +21,22 @@ def _share_of_total(counts: DataFrame, count_col: str = "n") -> F.Column:
     return ratio(F.col(count_col), F.sum(count_col).over(Window.partitionBy()))
 
 
+def outcomes(summary: DataFrame) -> DataFrame:
+    """Journeys counted by ``(first_interaction, last_interaction, conversion)``:
+    at most #channels^2 rows per outcome.  Every heuristic credit and every
+    denominator comes from these counts, so the touches are read once."""
+    return summary.groupBy("first_interaction", "last_interaction", "conversion").agg(F.count(F.lit(1)).alias("journeys"))
+
+
+def journeys_in(summary: DataFrame) -> F.Column:
+    """Number of journeys in a group of summary rows, or of their counts."""
+    return F.sum("journeys") if "journeys" in summary.columns else F.count(F.lit(1))
+
+
 def touch_credit(summary: DataFrame, model: str, by: str) -> DataFrame:
-    """``round(count / converting journeys, 2)`` per channel of ``by``."""
-    counts = summary.filter(F.col("conversion") == 1).groupBy(F.col(by).alias("channel")).agg(F.count(F.lit(1)).alias("n"))
+    """``round(count / converting journeys, 2)`` per channel of ``by``;
+    ``summary``: journeys, or their counts (:func:`outcomes`)."""
+    counts = summary.filter(F.col("conversion") == 1).groupBy(F.col(by).alias("channel")).agg(journeys_in(summary).alias("n"))
     return counts.select(
         F.lit(model).alias("attribution_model"),
         "channel",
@@ -45,9 +58,10 @@ def gold_attribution(summary: DataFrame) -> DataFrame:
     return first_touch(summary).unionByName(last_touch(summary))
 
 
-def converting_journeys(summary: DataFrame) -> F.Column:
+def convertingjourneys_in(summary: DataFrame) -> F.Column:
     """Scalar subquery: number of converting journeys."""
-    return summary.filter(F.col("conversion") == 1).select(F.count(F.lit(1))).scalar()
+    n = F.coalesce(journeys_in(summary), F.lit(0))
+    return summary.filter(F.col("conversion") == 1).select(n).scalar()
 
 
 def attribution_by_model(attribution: DataFrame, summary: DataFrame) -> DataFrame:
@@ -55,7 +69,7 @@ def attribution_by_model(attribution: DataFrame, summary: DataFrame) -> DataFram
     return attribution.select(
         "attribution_model",
         "channel",
-        F.round(F.col("attribution_percent") * converting_journeys(summary)).alias("conversions_attributed"),
+        F.round(F.col("attribution_percent") * convertingjourneys_in(summary)).alias("conversions_attributed"),
     )
 
 
@@ -69,40 +83,51 @@ def model_percent(attribution: DataFrame, model: str = MARKOV) -> DataFrame:
 # ---- models described in the reference's prose only (no code there) ----------
 
 
-def _credit_from_weights(weighted: DataFrame, model: str, journeys: F.Column) -> DataFrame:
-    """``weighted`` has ``uid, channel, w`` for touches of converting journeys.
-    Each journey's weights are normalised to 1, then summed per channel and
-    divided by the number of converting journeys."""
+def _credit_from_weights(weighted: DataFrame, model: str) -> DataFrame:
+    """``weighted`` has ``uid, channel, w`` of converting journeys, a few rows per
+    uid.  Each journey's weights are normalised to 1, then summed per channel;
+    the sum over channels is the number of converting journeys."""
     per_uid_channel = weighted.groupBy("uid", "channel").agg(F.sum("w").alias("w"))
-    # At most (#channels) rows per uid after the aggregate: bounded window.
     norm = per_uid_channel.withColumn("credit", F.col("w") / F.sum("w").over(Window.partitionBy("uid")))
     per_channel = norm.groupBy("channel").agg(F.sum("credit").alias("credit"))
+    total = F.sum("credit").over(Window.partitionBy())  # one row per channel
     return per_channel.select(
         F.lit(model).alias("attribution_model"),
         "channel",
-        F.round(ratio(F.col("credit"), journeys), 6).alias("attribution_percent"),
+        F.round(ratio(F.col("credit"), F.round(total)), 6).alias("attribution_percent"),
     )
 
 
-def linear_touch(touches: DataFrame, summary: DataFrame) -> DataFrame:
+def _ends(per_group: DataFrame) -> DataFrame:
+    """Adds the journey's last step to rows of a uid that carry their own last
+    step; the window runs over pre-aggregated rows."""
+    return per_group.withColumn("end", F.max("last").over(Window.partitionBy("uid"))).filter("end.conversion = 1")
+
+
+def linear_touch(touches: DataFrame) -> DataFrame:
     """Every touch of a converting journey gets an equal share.  Touches are
-    counted per (uid, channel) first (partial aggregation), so the join with
-    the converting journeys sees at most one row per channel and uid."""
-    converting = summary.filter(F.col("conversion") == 1).select("uid")
-    per_uid_channel = touches.groupBy("uid", "channel").agg(F.count(F.lit(1)).cast("double").alias("w"))
-    weighted = per_uid_channel.join(converting, "uid", "left_semi")
-    return _credit_from_weights(weighted, LINEAR, converting_journeys(summary))
+    counted per (uid, channel) before anything meets on the uid (partial
+    aggregation): at most one row per channel and uid is left then."""
+    per_uid_channel = touches.groupBy("uid", "channel").agg(
+        F.count(F.lit(1)).cast("double").alias("w"), F.max(F.struct("time", "event_id", "conversion")).alias("last")
+    )
+    return _credit_from_weights(_ends(per_uid_channel), LINEAR)
 
 
-def time_decay(touches: DataFrame, summary: DataFrame, half_life_hours: float = 24.0) -> DataFrame:
+def time_decay(touches: DataFrame, half_life_hours: float = 24.0) -> DataFrame:
     """Weight ``2^(-(t_last - t) / half_life)``, normalised per journey.
 
-    The per-journey last time comes from the aggregate summary and is joined
-    back (AQE splits a hot ``uid`` in this join); no per-uid window over touches.
+    With ``t / half_life = d + f`` (whole and fraction), touches are summed as
+    ``2^f`` per (uid, channel, d) first: rows of a uid then follow the half-lives
+    it spans, not its touches.  ``2^(d - t_last / half_life)`` is applied after.
     """
-    converting = summary.filter(F.col("conversion") == 1).select("uid", "last_time")
-    age_hours = F.timestamp_diff("MICROSECOND", F.col("time"), F.col("last_time")) / F.lit(3.6e9)
-    weighted = touches.join(converting, "uid").select(
-        "uid", "channel", F.pow(F.lit(2.0), -age_hours / F.lit(float(half_life_hours))).alias("w")
+    at = F.timestamp_diff("MICROSECOND", F.lit("2000-01-01 00:00:00").cast("timestamp_ntz"), F.col("time").cast("timestamp_ntz")) / F.lit(
+        3.6e9 * float(half_life_hours)
+    )
+    timed = touches.withColumn("at", at).withColumn("d", F.floor("at"))
+    per_group = timed.groupBy("uid", "channel", "d").agg(
+        F.sum(F.pow(F.lit(2.0), F.col("at") - F.col("d"))).alias("w"),
+        F.max(F.struct("time", "event_id", "conversion", "at")).alias("last"),
     )
-    return _credit_from_weights(weighted, TIME_DECAY, converting_journeys(summary))
+    decayed = _ends(per_group).withColumn("w", F.col("w") * F.pow(F.lit(2.0), F.col("d") - F.col("end.at")))
+    return _credit_from_weights(decayed, TIME_DECAY)

@@ -1,4 +1,4 @@
-"""User journeys (one row per ``uid``; bounded segment rows for a hot uid) and
+"""User journeys (rows of at most ``SEGMENT_TOUCHES`` touches of one ``uid``) and
 array-free journey summaries.
 
 Ordering is always explicit: ``(time, event_id)`` inside the aggregate, so the
@@ -11,15 +11,14 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pathcredit.functions.columns import CONVERSION, NULL_STATE, PATH_SEP, START
-from pathcredit.operators.sequence import (
-    chunked_dense_rank,
-    chunked_running_sum,
-    segment_rows,
-    split_hot,
-)
+from pathcredit.operators.sequence import chunked_dense_rank, chunked_running_sum, split_hot
 
 ORDER = ("time", "event_id")
 
+# Touches of one journey row.  Fixed: a touch's segment depends on its position
+# in its own journey alone, never on other rows or on the cluster.
+SEGMENT_TOUCHES = 1000
+
 
 def _step_key() -> F.Column:
     return F.struct(*[F.col(c) for c in ORDER])
@@ -41,34 +40,24 @@ def journey_summary(touches: DataFrame) -> DataFrame:
     )
 
 
-def _segment_rows(ranked: DataFrame) -> DataFrame:
-    """One row per ``(uid, segment)`` from rows carrying ``visit_order`` and
-    ``segment``.  Journey-level columns come from a window over the segment
-    rows of a uid (one row unless the uid is hot, so the window is bounded)."""
-    key = _step_key()
-    per_segment = ranked.groupBy("uid", "segment").agg(
+_ENDS = ("first_interaction", "last_interaction", "conversion", "touches")
+
+
+def _segment_rows(ranked: DataFrame, segment_touches: int) -> DataFrame:
+    """One row per ``(uid, segment)`` from rows carrying ``visit_order``, the
+    position ``pos`` and the journey-level columns."""
+    per_segment = ranked.groupBy("uid", F.floor((F.col("pos") - 1) / F.lit(segment_touches)).cast("int").alias("segment")).agg(
         F.array_sort(F.collect_list(F.struct("time", "event_id", "channel", "visit_order"))).alias("steps"),
-        F.min_by("channel", key).alias("_first"),
-        F.max_by("channel", key).alias("_last"),
-        F.max_by("conversion", key).alias("_conv"),
-    )
-    w = Window.partitionBy("uid").orderBy("segment").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    journey = per_segment.select(
-        "uid",
-        "segment",
-        "steps",
-        F.first("_first").over(w).alias("first_interaction"),
-        F.last("_last").over(w).alias("last_interaction"),
-        F.last("_conv").over(w).alias("conversion"),
-        F.max("segment").over(w).alias("_last_segment"),
+        *[F.min(c).alias(c) for c in _ENDS],  # one value per uid
     )
+    last = F.floor((F.col("touches") - 1) / F.lit(segment_touches))
     ending = F.when(F.col("conversion") == 1, F.lit(PATH_SEP + CONVERSION)).otherwise(F.lit(PATH_SEP + NULL_STATE))
     path = F.concat(
         F.when(F.col("segment") == 0, F.lit(START + PATH_SEP)).otherwise(F.lit("")),
         F.concat_ws(PATH_SEP, F.col("steps.channel")),
-        F.when(F.col("segment") == F.col("_last_segment"), ending).otherwise(F.lit("")),
+        F.when(F.col("segment") == last, ending).otherwise(F.lit("")),
     )
-    return journey.select(
+    return per_segment.select(
         "uid",
         path.alias("path"),
         "first_interaction",
@@ -79,38 +68,55 @@ def _segment_rows(ranked: DataFrame) -> DataFrame:
     )
 
 
-def user_journeys(touches: DataFrame, hot_rows: int | None = None) -> DataFrame:
+def user_journeys(touches: DataFrame, hot_rows: int | None = None, segment_touches: int = SEGMENT_TOUCHES) -> DataFrame:
     """The gold user-journey table: ``uid, path, first_interaction,
     last_interaction, conversion, visiting_order, segment``.
 
     ``path`` is ``Start > c1 > .. > cn > Conversion|Null`` in ``(time, event_id)``
     order; ``visiting_order`` holds ``dense_rank`` by time (ties share a rank).
 
-    A journey is one row (``segment`` 0) unless its uid is hot (see
-    :func:`pathcredit.operators.sequence.split_hot`): then its touches are cut,
-    in order, into segments of at most the hot threshold, one row each, so no
-    row grows with the data.  Concatenating a hot journey's paths in segment
-    order with the separator gives the full path; nothing is dropped.
+    Every journey is cut, in order, into rows of ``segment_touches`` touches
+    (``segment`` 0, 1, ..), whatever the table's size or the cluster; a journey
+    of at most that many touches is one row.  Concatenating a journey's paths in
+    segment order with the separator gives the full path.
+
+    Ordinary uids get position, rank and journey-level columns from windows over
+    one exchange on ``uid``, which the grouping into rows reuses.  Uids that
+    :func:`pathcredit.operators.sequence.split_hot` routes to chunks get theirs
+    chunk by chunk; their journey-level columns come from one aggregate (a row
+    for each hot uid, at most one per partition) that is broadcast, so no task
+    ever holds a hot journey's rows or arrays together.
     """
     narrow = touches.select("uid", "time", "event_id", "channel", "conversion")
     ordinary, hot, n_chunks = split_hot(narrow, ["uid"], hot_rows)
     parts = []
     if ordinary is not None:
-        ranked = ordinary.withColumn(
-            "visit_order", F.dense_rank().over(Window.partitionBy("uid").orderBy("time")).cast("int")
-        ).withColumn("segment", F.lit(0))
-        parts.append(ranked)
-    if hot is not None:
-        seg_len = segment_rows(touches.sparkSession, hot_rows)
-        ranked = chunked_dense_rank(hot, ["uid"], "time", ["event_id"], "visit_order", n_chunks)
-        positioned = chunked_running_sum(ranked, ["uid"], list(ORDER), F.lit(1), "_pos", True, n_chunks)
+        ordered = Window.partitionBy("uid").orderBy(*ORDER)
+        whole = ordered.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
         parts.append(
-            positioned.withColumn("segment", F.floor((F.col("_pos") - 1) / F.lit(seg_len)).cast("int")).drop("_pos")
+            ordinary.select(
+                "*",
+                F.dense_rank().over(Window.partitionBy("uid").orderBy("time")).cast("int").alias("visit_order"),
+                F.row_number().over(ordered).cast("long").alias("pos"),
+                F.first("channel").over(whole).alias("first_interaction"),
+                F.last("channel").over(whole).alias("last_interaction"),
+                F.last("conversion").over(whole).alias("_conv"),
+                F.count(F.lit(1)).over(whole).alias("touches"),
+            )
+            .drop("conversion")
+            .withColumnRenamed("_conv", "conversion")
         )
+    if hot is not None:
+        ranked = chunked_dense_rank(hot, ["uid"], "time", ["event_id"], "visit_order", n_chunks)
+        placed = chunked_running_sum(ranked, ["uid"], list(ORDER), F.lit(1).cast("long"), "pos", True, n_chunks)
+        ends = journey_summary(hot).select(F.col("uid").alias("_uid"), *_ENDS)
+        if n_chunks is not None:  # a routed list: one row per hot uid, at most one per partition
+            ends = F.broadcast(ends)
+        parts.append(placed.drop("conversion").join(ends, F.col("uid").eqNullSafe(F.col("_uid"))).drop("_uid"))
     rows = parts[0]
     for p in parts[1:]:
         rows = rows.unionByName(p)
-    return _segment_rows(rows)
+    return _segment_rows(rows, segment_touches)
 
 
 def render_journeys(journeys: DataFrame) -> DataFrame:

@@ -11,20 +11,23 @@ branches and the recursion) and is small by construction, so broadcasting it is
 safe.  Three methods for the conversion probability share one output shape
 ``(removed, conversion_probability)``, ``removed`` NULL for the full graph:
 
-* ``simple_path`` (default): sum over loop-free Start->Conversion paths, the
-  definition the reference states.  A level-by-level broadcast-join expansion
-  enumerates the paths once; the value without channel ``r`` is the sum over
-  paths that avoid ``r``.
-* ``absorbing``: loops included, exact absorption probability; one small
-  linear solve per scenario, scenarios spread over tasks by ``applyInPandas``.
-* ``memo_dfs``: the reference's memoised depth-first recursion, with children
-  visited in ``end_state`` descending order; also one task per scenario.
+* ``simple_path``: sum over loop-free Start->Conversion paths, the definition
+  the reference states.  A level-by-level join expansion merges paths with the
+  same last state and visited set; the value without channel ``r`` is the sum
+  over paths that avoid ``r``.  Its work doubles with every channel.
+* ``absorbing``: loops included, exact absorption probability, by squaring the
+  transition table: every round is one join and one aggregate for all scenarios
+  and doubles the walk length that is covered.
+* ``memo_dfs`` (default): the reference's memoised depth-first recursion with
+  children in ``end_state`` descending order, as what it computes: the edges
+  that close a cycle in that order are found per scenario, and the values of the
+  remaining acyclic graph are summed by joins, state by state.
+
+The last two are polynomial in the channels.
 """
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -33,9 +36,6 @@ from pathcredit.operators.sequence import neighbors
 from pathcredit.session import materialize
 from pathcredit.plans.attribution import MARKOV
 
-PROBABILITY_SCHEMA = "removed string, conversion_probability double"
-
-
 # ------------------------------------------------------------------ transitions
 
 
@@ -115,34 +115,22 @@ def removal_graph(matrix: DataFrame, include_baseline: bool = False) -> DataFram
 # ------------------------------------------------------------- simple paths
 
 
-# Above this many channels, paths that share (last state, visited set) are
-# merged at every level (their probabilities summed): the frontier is then
-# bounded by #channels * 2^#channels rows instead of growing factorially.
-# Below it the raw frontier is tiny (at most ~2,000 paths for 6 channels).
-_MERGE_ABOVE = 6
-# Above this many channels the frontier of every level is written out, so the
-# plan of level k does not re-derive levels 0..k-1.
-_CUT_LINEAGE_ABOVE = 8
-
-
-def converting_paths(matrix: DataFrame, merge: bool | None = None) -> DataFrame:
+def converting_paths(matrix: DataFrame) -> DataFrame:
     """Loop-free Start -> Conversion paths with their probability, as
-    ``(channels, prob)``.
+    ``(channels, prob)``, paths over the same channels merged.
 
     Level k holds the paths with k+1 states after Start; a simple path visits
     every channel at most once, so there are at most #channels+1 levels.  Each
-    level is a broadcast join of the frontier (partitioned) with the edge table
-    (bounded by (#channels+1)*(#channels+2) rows).  With ``merge`` (default:
-    more than ``_MERGE_ABOVE`` channels) paths with the same last state and
-    visited set are summed at every level: everything downstream needs only
-    the set of channels on a path, and the frontier stays within
-    #channels * 2^#channels rows.  The depth comes from the checkpointed edge
-    table (one number to the driver).
+    level joins the frontier with the edge table and sums paths with the same
+    last state and visited set: everything downstream needs only the set of
+    channels on a path, and the frontier stays within #channels * 2^#channels
+    rows.  Every level is written, so the plan of level k does not re-derive
+    levels 0..k-1.  The depth comes from the checkpointed edge table (one number
+    to the driver).
     """
     edges = matrix.select("start_state", "end_state", "transition_probability")
     channels = edges.filter(F.col("start_state") != F.lit(START)).select("start_state").distinct().count()
-    merge = channels > _MERGE_ABOVE if merge is None else merge
-    step = F.broadcast(edges.withColumnsRenamed({"start_state": "_s", "end_state": "_e", "transition_probability": "_p"}))
+    step = edges.withColumnsRenamed({"start_state": "_s", "end_state": "_e", "transition_probability": "_p"})
     frontier = edges.filter(F.col("start_state") == F.lit(START)).select(
         F.col("end_state").alias("last_state"),
         F.array("end_state").alias("visited"),
@@ -165,12 +153,8 @@ def converting_paths(matrix: DataFrame, merge: bool | None = None) -> DataFrame:
             ),
             (F.col("prob") * F.coalesce(F.col("_p"), F.lit(1.0))).alias("prob"),
         )
-        if merge:
-            frontier = frontier.groupBy("last_state", F.array_sort("visited").alias("visited")).agg(
-                F.sum("prob").alias("prob")
-            )
-        if channels > _CUT_LINEAGE_ABOVE:
-            frontier = materialize(frontier, "path-frontier")
+        frontier = frontier.groupBy("last_state", F.array_sort("visited").alias("visited")).agg(F.sum("prob").alias("prob"))
+        frontier = materialize(frontier, "path-frontier")
     paths = frontier.filter(F.col("last_state") == F.lit(CONVERSION))
     return paths.select(F.array_remove("visited", F.lit(CONVERSION)).alias("channels"), "prob")
 
@@ -207,68 +191,121 @@ def _baseline_over(value: F.Column) -> F.Column:
 
 # ------------------------------------------------------------- absorbing chain
 
+_BASELINE = "~baseline~"  # stands for "no channel removed" where rows are joined
+_SETTLED = 1e-13
+_MOST_DOUBLINGS = 60
+
 
-def _absorbing_solve(pdf: pd.DataFrame) -> pd.DataFrame:
-    removed = pdf["removed"].iloc[0]
-    # sorted states and edges: the solve does not depend on row order
-    pdf = pdf.sort_values(["start_state", "end_state", "transition_probability"], kind="stable")
-    states = pd.Index(sorted(pd.unique(pdf["start_state"])))
-    n = len(states)
-    a = np.eye(n)
-    b = np.zeros(n)
-    src = states.get_indexer(pdf["start_state"])
-    dst = states.get_indexer(pdf["end_state"])
-    p = pdf["transition_probability"].to_numpy(dtype=float)
-    to_conv = (pdf["end_state"] == CONVERSION).to_numpy()
-    np.add.at(b, src[to_conv], p[to_conv])
-    inner = dst >= 0  # Null and states with no outgoing edge absorb with value 0
-    np.add.at(a, (src[inner], dst[inner]), -p[inner])
-    try:
-        v = np.linalg.solve(a, b)
-    except np.linalg.LinAlgError:
-        v = np.linalg.lstsq(a, b, rcond=None)[0]
-    start = states.get_indexer([START])[0]
-    value = float(v[start]) if start >= 0 else 0.0
-    return pd.DataFrame({"removed": [removed], "conversion_probability": [value]})
+def _scenarios(matrix: DataFrame) -> DataFrame:
+    """(removed, s, e, p): the edges of every scenario, ``removed`` never NULL."""
+    graph = removal_graph(matrix, include_baseline=True)
+    return graph.select(
+        F.coalesce("removed", F.lit(_BASELINE)).alias("removed"),
+        F.col("start_state").alias("s"),
+        F.col("end_state").alias("e"),
+        F.col("original_end_state").alias("child"),
+        F.col("transition_probability").alias("p"),
+    )
+
+
+def _start_values(values: DataFrame, scenarios: DataFrame) -> DataFrame:
+    """(removed, conversion_probability): the value of Start, 0 where it has none."""
+    start = values.filter(F.col("s") == F.lit(START)).select("removed", "v")
+    names = scenarios.select("removed").distinct()
+    return names.join(start, "removed", "left").select(
+        F.when(F.col("removed") != F.lit(_BASELINE), F.col("removed")).alias("removed"),
+        F.coalesce("v", F.lit(0.0)).alias("conversion_probability"),
+    )
 
 
 def absorbing_probability(matrix: DataFrame) -> DataFrame:
-    """Absorption probability in Conversion from Start, loops included."""
-    graph = removal_graph(matrix, include_baseline=True)
-    return graph.groupBy("removed").applyInPandas(_absorbing_solve, PROBABILITY_SCHEMA)
+    """Absorption probability in Conversion from Start, loops included.
 
+    With ``step`` the table of probabilities to go from s to e in 2^k moves
+    (among states that have edges) and ``v`` that of having converted within
+    them: ``v <- v + step v`` and ``step <- step step`` double the moves.  Stops
+    when no value moves by more than ``_SETTLED``.  All tables are bounded by
+    #channels^2 rows a scenario.
+    """
+    graph = materialize(_scenarios(matrix), "scenarios")
+    inner = graph.filter(~F.col("e").isin(CONVERSION, NULL_STATE))
+    step = inner.groupBy("removed", "s", "e").agg(F.sum("p").alias("p"))
+    v = graph.filter(F.col("e") == F.lit(CONVERSION)).groupBy("removed", "s").agg(F.sum("p").alias("v"))
+    for _ in range(_MOST_DOUBLINGS):
+        ahead = step.join(v.withColumnRenamed("s", "e"), ["removed", "e"]).groupBy("removed", "s").agg(F.sum(F.col("p") * F.col("v")).alias("d"))
+        moved = v.join(ahead, ["removed", "s"], "full_outer").select(
+            "removed", "s", (F.coalesce("v", F.lit(0.0)) + F.coalesce("d", F.lit(0.0))).alias("v"), F.coalesce("d", F.lit(0.0)).alias("d")
+        )
+        moved = materialize(moved, "absorbing")
+        v = moved.select("removed", "s", "v")
+        if (moved.agg(F.max("d")).first()[0] or 0.0) <= _SETTLED:
+            break
+        onward = step.select("removed", F.col("s").alias("e"), F.col("e").alias("to"), F.col("p").alias("q"))
+        step = materialize(
+            step.join(onward, ["removed", "e"]).groupBy("removed", "s", F.col("to").alias("e")).agg(F.sum(F.col("p") * F.col("q")).alias("p")), "steps"
+        )
+    return _start_values(v, graph)
 
-# ------------------------------------------------------------- memoised DFS
 
+# ------------------------------------------------------------- memoised DFS
 
-def _memo_dfs_solve(pdf: pd.DataFrame) -> pd.DataFrame:
-    removed = pdf["removed"].iloc[0]
-    ordered = pdf.sort_values(["start_state", "original_end_state"], ascending=[True, False], kind="stable")
-    children: dict[str, list[tuple[str, float]]] = {}
-    for s, e, p in zip(ordered["start_state"], ordered["end_state"], ordered["transition_probability"]):
-        children.setdefault(s, []).append((e, float(p)))
-    memo: dict[str, float] = {}
 
-    def value(state: str, visited: frozenset) -> float:
-        if state == CONVERSION:
-            return 1.0
-        if state == NULL_STATE or state in visited:
-            return 0.0
-        if state in memo:
-            return memo[state]
-        seen = visited | {state}
-        total = sum(p * value(nxt, seen) for nxt, p in children.get(state, ()))
-        memo[state] = total
-        return total
+def _depth_first(graph: DataFrame) -> DataFrame:
+    """(removed, s, above): for every state that a depth-first walk from Start
+    enters, the states that are open when it does (itself included).
+
+    Children go in ``child`` descending order.  One row per scenario holds its
+    adjacency (at most #channels rows of at most #channels+2 children); a fold
+    over twice as many turns as states either opens the first child that was
+    never opened or closes the current state."""
+    adjacency = graph.groupBy("removed", "s").agg(F.reverse(F.array_sort(F.collect_list(F.struct("child", "e")))).alias("c"))
+    states = adjacency.groupBy("removed").agg(F.map_from_entries(F.collect_list(F.struct("s", F.col("c.e")))).alias("next"))
+    path, none = F.array(F.lit(START)), F.array().cast("array<string>")
+    entry = F.struct(F.lit(START).alias("s"), path.alias("above"))
+    begin = F.struct(path.alias("open"), path.alias("seen"), F.array(entry).alias("log"))
+
+    def turn(state, _):
+        children = F.coalesce(F.try_element_at(F.col("next"), F.try_element_at(state["open"], F.lit(-1))), none)
+        fresh = F.filter(children, lambda c: ~c.isin(CONVERSION, NULL_STATE) & ~F.array_contains(state["seen"], c))
+        child = F.get(fresh, 0)
+        deeper = F.array_append(state["open"], child)
+        opened = F.struct(
+            deeper.alias("open"),
+            F.array_append(state["seen"], child).alias("seen"),
+            F.array_append(state["log"], F.struct(child.alias("s"), deeper.alias("above"))).alias("log"),
+        )
+        closed = F.struct(
+            F.slice(state["open"], 1, F.greatest(F.size(state["open"]) - 1, F.lit(0))).alias("open"), state["seen"].alias("seen"), state["log"].alias("log")
+        )
+        return F.when(F.size(state["open"]) == 0, state).when(child.isNotNull(), opened).otherwise(closed)
 
-    return pd.DataFrame({"removed": [removed], "conversion_probability": [value(START, frozenset())]})
+    turns = F.sequence(F.lit(1), 2 * F.size("next") + 2)
+    walked = states.select("removed", F.aggregate(turns, begin, turn)["log"].alias("log"))
+    return walked.select("removed", F.inline("log"))
 
 
 def memo_dfs_probability(matrix: DataFrame) -> DataFrame:
-    """The reference's recursion (loops cut by a visited set, values memoised
-    across branches), with the child order pinned to ``end_state`` descending."""
-    graph = removal_graph(matrix, include_baseline=True)
-    return graph.groupBy("removed").applyInPandas(_memo_dfs_solve, PROBABILITY_SCHEMA)
+    """The reference's recursion: a state is valued once, when the depth-first
+    walk leaves it; a child that is still open counts 0, one that was left
+    before counts its stored value.  So the edges to open states drop out, the
+    rest is acyclic, and its values settle after at most one join per state."""
+    graph = materialize(_scenarios(matrix), "scenarios")
+    walked = _depth_first(graph)
+    kept = materialize(
+        graph.join(walked, ["removed", "s"]).filter(~F.array_contains("above", F.col("e"))).groupBy("removed", "s", "e").agg(F.sum("p").alias("p")), "acyclic"
+    )
+    own = kept.filter(F.col("e") == F.lit(CONVERSION)).select("removed", "s", F.col("p").alias("w"))
+    inner = kept.filter(~F.col("e").isin(CONVERSION, NULL_STATE))
+    v = own.select("removed", "s", F.col("w").alias("v"))
+    for _ in range(matrix.select("start_state").distinct().count()):
+        ahead = inner.join(v.withColumnRenamed("s", "e"), ["removed", "e"]).groupBy("removed", "s").agg(F.sum(F.col("p") * F.col("v")).alias("d"))
+        new = own.join(ahead, ["removed", "s"], "full_outer").select("removed", "s", (F.coalesce("w", F.lit(0.0)) + F.coalesce("d", F.lit(0.0))).alias("v"))
+        changed = new.join(v.withColumnRenamed("v", "old"), ["removed", "s"], "full_outer").select("removed", "s", "v", (~F.col("v").eqNullSafe(F.col("old"))).alias("moved"))
+        changed = materialize(changed, "memo")
+        v = changed.select("removed", "s", "v")
+        if not changed.agg(F.max("moved")).first()[0]:
+            break
+    return _start_values(v, graph)
 
 
 METHODS = {
@@ -278,7 +315,7 @@ METHODS = {
 }
 
 
-def conversion_probability(matrix: DataFrame, method: str = "simple_path") -> DataFrame:
+def conversion_probability(matrix: DataFrame, method: str = "memo_dfs") -> DataFrame:
     return METHODS[method](matrix)
 
 

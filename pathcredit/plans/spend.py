@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pathcredit.functions.columns import ratio
-from pathcredit.plans.attribution import MARKOV, attribution_by_model
+from pathcredit.plans.attribution import MARKOV, attribution_by_model, journeys_in
 
 
 def spend_by_channel(ad_spend: DataFrame) -> DataFrame:
@@ -21,7 +21,7 @@ def spend_by_channel(ad_spend: DataFrame) -> DataFrame:
 def base_conversion_rate(summary: DataFrame) -> DataFrame:
     """Journeys by outcome: ``Impression`` when conversion = 0, else
     ``Conversion`` (NULL too, as in the reference's CASE), with the share."""
-    counts = summary.groupBy("conversion").agg(F.count(F.lit(1)).alias("count"))
+    counts = summary.groupBy("conversion").agg(journeys_in(summary).alias("count"))
     return counts.select(
         "count",
         F.when(F.col("conversion") == 0, F.lit("Impression")).otherwise(F.lit("Conversion")).alias("interaction_type"),

@@ -11,12 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pathcredit.functions.columns import CHANNELS, pick
-from pathcredit.operators.sequence import (
-    chunked_running_sum,
-    running_sum,
-    segment_rows,
-    split_hot,
-)
+from pathcredit.operators.sequence import running_sum
 from pathcredit.sources.tables import Tables
 
 # ---------------------------------------------------------------- touches (B1)
@@ -82,16 +77,20 @@ def raw_touch_text(touches_df: DataFrame) -> DataFrame:
 # ------------------------------------------------------------------ sales (B4)
 
 
-def sales(orders: DataFrame, lineitem: DataFrame, hot_rows: int | None = None) -> DataFrame:
+# Line items of one order row.  Fixed: a line's segment depends on its position
+# in its own order alone.
+SEGMENT_LINES = 1000
+
+
+def sales(orders: DataFrame, lineitem: DataFrame, hot_rows: int | None = None, segment_lines: int = SEGMENT_LINES) -> DataFrame:
     """One row per order with ``ordered_products`` as positional string arrays
     ``[line, product_id, price, discount, quantity]``; orders without lines get
     an empty array.
 
     Line items are grouped per order key *before* the join with orders (the
-    join input shrinks to one row per order).  An order is one row unless it is
-    hot: then its lines are cut, in order, into segment rows of bounded size
-    (same order number), so no row grows with the data; exploding the segments
-    gives exactly the same line items.
+    join input shrinks to a few rows per order).  Every order's lines are cut, in
+    order, into rows of ``segment_lines`` lines (same order number); exploding
+    the rows gives exactly the same line items.
 
     Dirty values on purpose (FIXTURES.md B4): quantity '0' for every 50th order
     key and items cut to 3 elements for every 101st, so the expectation and the
@@ -109,17 +108,8 @@ def sales(orders: DataFrame, lineitem: DataFrame, hot_rows: int | None = None) -
             F.col("l_quantity").alias("q"),
         ).alias("line"),
     )
-    ordinary, hot, n_chunks = split_hot(lines, ["l_orderkey"], hot_rows)
-    parts = []
-    if ordinary is not None:
-        parts.append(ordinary.withColumn("_segment", F.lit(0)))
-    if hot is not None:
-        seg_len = segment_rows(lines.sparkSession, hot_rows)
-        positioned = chunked_running_sum(hot, ["l_orderkey"], ["line"], F.lit(1), "_pos", True, n_chunks)
-        parts.append(positioned.withColumn("_segment", F.floor((F.col("_pos") - 1) / F.lit(seg_len))).drop("_pos"))
-    rows = parts[0]
-    for extra in parts[1:]:
-        rows = rows.unionByName(extra)
+    placed = running_sum(lines, ["l_orderkey"], ["line"], F.lit(1).cast("long"), "_pos", True, hot_rows=hot_rows)
+    rows = placed.withColumn("_segment", F.floor((F.col("_pos") - 1) / F.lit(segment_lines))).drop("_pos")
     per_order = rows.groupBy("l_orderkey", "_segment").agg(F.array_sort(F.collect_list("line")).alias("lines"))
     joined = orders.select("o_orderkey", "o_custkey", "o_orderdate").join(
         per_order, F.col("o_orderkey") == F.col("l_orderkey"), "left"

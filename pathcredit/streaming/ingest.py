@@ -42,14 +42,14 @@ def ingest_once(spark: SparkSession, source_dir: str, table_dir: str, checkpoint
 
 
 def with_event_id(touches: DataFrame) -> DataFrame:
-    """Bronze rows carry no event id; a deterministic tiebreak for equal times
-    is a hash of the row's content."""
-    return touches.withColumn("event_id", F.xxhash64("uid", "time", "channel", "interaction", "conversion"))
+    """Bronze rows carry no event id; the tiebreak for equal times is the row's
+    content, a conversion last (rows equal in all of it are interchangeable)."""
+    return touches.withColumn("event_id", F.concat_ws("|", "conversion", "channel", "interaction"))
 
 
-# Bronze written by the journey refresh is partitioned by a hash bucket of the
-# uid, so a micro-batch re-reads only the partitions of the users it touches.
-UID_BUCKETS = 256
+# Default directories of bronze by a hash of the uid.  A parameter: choose it so
+# that a micro-batch touches few of them and a directory is a few hundred MB.
+UID_BUCKETS = 64
 
 
 def uid_bucket(buckets: int = UID_BUCKETS) -> F.Column:
@@ -57,38 +57,40 @@ def uid_bucket(buckets: int = UID_BUCKETS) -> F.Column:
 
 
 def refresh_journeys_batch(spark: SparkSession, bronze_dir: str, journey_table, buckets: int = UID_BUCKETS):
-    """``foreachBatch`` handler: append the micro-batch to the bronze table
-    (partitioned by uid bucket), then recompute the journeys of the users in
-    the batch from all their touches and upsert them by ``uid`` into
-    ``journey_table`` (a :class:`pathcredit.operators.upsert.SnapshotTable`).
-
-    Only the bronze partitions of the batch's buckets are read (the bucket set,
-    at most ``buckets`` integers, is the only thing collected), and only the
-    touched users' journeys are rebuilt."""
+    """``foreachBatch`` handler: write the micro-batch to the bronze table under
+    its epoch and uid bucket, then recompute the journeys of the users in the
+    batch from all their touches and upsert them by ``uid`` into
+    ``journey_table`` (a :class:`pathcredit.operators.upsert.PartitionedTable`).
+
+    A replayed epoch replaces its own directories and derives the same journeys,
+    so a batch that fails anywhere and runs again leaves what one run leaves.
+    The batch is read once (by the write); what follows reads the written rows.
+    Only the bronze directories of the batch's buckets are read (at most
+    ``buckets`` integers are collected), and only the touched users' journeys
+    are rebuilt."""
     from pathcredit.plans.journeys import user_journeys
 
     def handle(batch: DataFrame, epoch_id: int) -> None:
-        keyed = batch.select("*", uid_bucket(buckets))
-        keyed.write.mode("append").partitionBy("uid_bucket").parquet(bronze_dir)
-        uids = keyed.select("uid_bucket", "uid").distinct()
+        keyed = batch.select("*", uid_bucket(buckets), F.lit(epoch_id).cast("long").alias("epoch"))
+        keyed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("epoch", "uid_bucket").parquet(bronze_dir)
+        bronze = spark.read.schema(keyed.schema).parquet(bronze_dir)
+        uids = bronze.filter(F.col("epoch") == F.lit(epoch_id)).select("uid_bucket", "uid").distinct()
         touched_buckets = [r[0] for r in uids.select("uid_bucket").distinct().collect()]
-        bronze = spark.read.parquet(bronze_dir).filter(F.col("uid_bucket").isin(touched_buckets))
-        touched = with_event_id(bronze.join(uids, ["uid_bucket", "uid"], "left_semi").drop("uid_bucket"))
+        own = bronze.filter(F.col("uid_bucket").isin(touched_buckets))
+        touched = with_event_id(own.join(uids, ["uid_bucket", "uid"], "left_semi").drop("uid_bucket", "epoch"))
         fresh = user_journeys(touched)
-        if journey_table.version < 0:
-            journey_table.create_if_not_exists(fresh)
-        else:
-            journey_table.upsert(fresh, ["uid"], check=False)  # a journey's segment rows move together
+        if not journey_table.create_if_not_exists(fresh):
+            journey_table.upsert(fresh, check=False)  # all rows of a journey move together
 
     return handle
 
 
 def ingest_and_refresh(spark: SparkSession, source_dir: str, bronze_dir: str, journey_table, checkpoint_dir: str,
-                       max_files_per_trigger: int | None = None) -> None:
+                       max_files_per_trigger: int | None = None, buckets: int = UID_BUCKETS) -> None:
     """One-shot stream that keeps bronze and the journey table current."""
     query = (
         touch_stream(spark, source_dir, max_files_per_trigger)
-        .writeStream.foreachBatch(refresh_journeys_batch(spark, bronze_dir, journey_table))
+        .writeStream.foreachBatch(refresh_journeys_batch(spark, bronze_dir, journey_table, buckets))
         .option("checkpointLocation", checkpoint_dir)
         .trigger(availableNow=True)
         .start()

@@ -42,14 +42,15 @@ def build_attribution_tables(
     bronze = write("bronze", checked)
     tables["bronze"].metrics = obs.get
 
-    journeys = write("gold_user_journey", layout.clustered(J.user_journeys(bronze), "uid"))
+    journeys = write("gold_user_journey", layout.clustered(J.user_journeys(bronze), ["uid", "segment"]))
     # Journey-level columns repeat on every segment row: segment 0 is one row per uid.
-    summary = journeys.filter(F.col("segment") == 0).select("uid", "first_interaction", "last_interaction", "conversion")
+    summary = A.outcomes(journeys.filter(F.col("segment") == 0)).checkpoint()
     write("gold_attribution", A.gold_attribution(summary))
 
     matrix = write("transition_matrix", M.transition_matrix(M.transitions(bronze)))
     credit = M.markov_attribution(M.removal_effects(M.conversion_probability(matrix, method)))
-    tables["gold_attribution"].upsert(credit, KEYS, check=False)  # keys unique: grouped by channel
+    if tables["gold_attribution"].version == 0:  # a second build finds it done
+        tables["gold_attribution"].upsert(credit, KEYS)
     attribution = tables["gold_attribution"].read()
 
     ad = write("gold_ad_spend", X.ad_spend(spark, adspend))

@@ -90,8 +90,7 @@ def test_first_last_counts_sf001(spark):
 
 def test_linear_and_decay_sum_to_one(spark):
     t = load_touches(spark, SF001)
-    s = J.journey_summary(t)
-    for df in (A.linear_touch(t, s), A.time_decay(t, s)):
+    for df in (A.linear_touch(t), A.time_decay(t)):
         total = df.agg(F.sum("attribution_percent")).first()[0]
         assert abs(total - 1.0) < 1e-5
 
@@ -102,7 +101,7 @@ def test_hot_journey_is_segmented_not_truncated(spark):
     rows += [("x", _t(9), "impression", "Email", 0, 1000), ("x", _t(10), "conversion", "Affiliates", 1, 1001)]
     schema = "uid string, time timestamp_ntz, interaction string, channel string, conversion int, event_id long"
     df = spark.createDataFrame(rows, schema)
-    out = J.user_journeys(df, hot_rows=40).orderBy("uid", "segment").collect()
+    out = J.user_journeys(df, hot_rows=40, segment_touches=40).orderBy("uid", "segment").collect()
     hot = [r for r in out if r.uid == "hot"]
     assert [r.segment for r in hot] == list(range(7))  # 250 touches / 40 per segment
     assert all(len(r.visiting_order) <= 40 for r in hot)
@@ -113,3 +112,62 @@ def test_hot_journey_is_segmented_not_truncated(spark):
     assert {(r.first_interaction, r.last_interaction, r.conversion) for r in hot} == {("Email", "Email", 1)}
     x = [r for r in out if r.uid == "x"]
     assert len(x) == 1 and x[0].path == "Start > Email > Affiliates > Conversion" and x[0].segment == 0
+
+
+def _one_journey(n):
+    return [("long", dt.datetime(2024, 1, 1) + dt.timedelta(minutes=i), "impression", ["Email", "Affiliates"][i % 2], 0, i) for i in range(n)]
+
+
+def test_segments_do_not_depend_on_other_rows_or_partitions(spark):
+    """The same journey gives the same rows alone, among strangers, and under any
+    partition count or routing."""
+    schema = "uid string, time timestamp_ntz, interaction string, channel string, conversion int, event_id long"
+    rows = _one_journey(250)
+    others = [(f"u{i % 1700}", _t(i % 24), "impression", "Email", 0, 1000 + i) for i in range(5000)]
+    expected, before = None, spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        for parts in (3, 64):
+            spark.conf.set("spark.sql.shuffle.partitions", str(parts))
+            for table in (rows, rows + others):
+                for hot_rows in (0, 40, None):
+                    df = spark.createDataFrame(table, schema)
+                    got = J.user_journeys(df, hot_rows=hot_rows, segment_touches=40).filter("uid = 'long'")
+                    found = sorted(map(tuple, J.render_journeys(got).collect()))
+                    expected = expected or found
+                    assert found == expected and len(found) == 7
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_no_task_holds_a_hot_journey(spark):
+    """Half of all touches on one uid: its rows come out of many tasks."""
+    n = 40_000
+    df = spark.range(n).selectExpr(
+        "CASE WHEN id % 2 = 0 THEN 'hot' ELSE concat('u', id) END AS uid",
+        "timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(0, 0, 0, id) AS time",
+        "'Email' AS channel", "0 AS conversion", "id AS event_id",
+    )
+    merging = "spark.sql.adaptive.coalescePartitions.enabled"  # would put these few rows into one task
+    before = spark.conf.get(merging)
+    spark.conf.set(merging, "false")
+    try:
+        out = J.user_journeys(df, hot_rows=1000, segment_touches=500).withColumn("task", F.spark_partition_id())
+        per_task = out.filter("uid = 'hot'").groupBy("task").agg(F.sum(F.size("visiting_order")).alias("n")).collect()
+    finally:
+        spark.conf.set(merging, before)
+    assert sum(r.n for r in per_task) == n // 2
+    assert max(r.n for r in per_task) <= n // 4
+
+
+def test_credit_from_counts_equals_credit_from_journeys(spark):
+    s = J.journey_summary(load_touches(spark, SF001))
+    counts = A.outcomes(s)
+    for f in (A.first_touch, A.last_touch, A.gold_attribution):
+        assert sorted(map(tuple, f(counts).collect())) == sorted(map(tuple, f(s).collect()))
+
+
+def test_decay_aggregates_before_the_uid_meets(spark):
+    """No join, and the window over the uid sits on pre-aggregated rows."""
+    plan = A.time_decay(load_touches(spark, SF001))._jdf.queryExecution().executedPlan().toString()
+    tail = plan[plan.index("Window [max(last"):]
+    assert "Join" not in plan.split("seq#")[0] and "HashAggregate" in tail or "SortAggregate" in tail

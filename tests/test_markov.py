@@ -111,14 +111,73 @@ def _random_graph(spark, channels, seed):
     return spark.createDataFrame(rows, "start_state string, end_state string, transition_probability double")
 
 
-def test_merged_paths_equal_enumerated(spark, monkeypatch):
+def _enumerated(rows, removed=None):
+    """Sum over loop-free paths, one by one."""
+    out = {}
+    for s, e, p in rows:
+        out.setdefault(s, []).append((e, p))
+
+    def below(state, used):
+        total = 0.0
+        for e, p in out.get(state, []):
+            if e == "Conversion":
+                total += p
+            elif e != "Null" and e != removed and e not in used:
+                total += p * below(e, used | {e})
+        return total
+
+    return below("Start", frozenset())
+
+
+def test_merged_paths_equal_enumerated(spark):
     g = _random_graph(spark, 6, seed=4)
-    plain = {r.removed: r.conversion_probability for r in M.simple_path_probability(g).collect()}
-    monkeypatch.setattr(M, "_MERGE_ABOVE", 0)  # force per-level merging
+    rows = [tuple(r) for r in g.collect()]
     merged = {r.removed: r.conversion_probability for r in M.simple_path_probability(g).collect()}
-    assert plain.keys() == merged.keys()
-    assert all(abs(plain[k] - merged[k]) < 1e-12 for k in plain)
-    assert M.converting_paths(g, merge=True).count() < M.converting_paths(g, merge=False).count()
+    assert len(merged) == 7
+    assert all(abs(v - _enumerated(rows, k)) < 1e-12 for k, v in merged.items())
+
+
+def _recursion(rows, removed=None):
+    """The memoised recursion, written as the text describes it."""
+    out, memo = {}, {}
+    for s, e, p in sorted(rows, key=lambda r: r[1], reverse=True):
+        if s != removed:
+            out.setdefault(s, []).append(("Null" if e == removed else e, p))
+
+    def value(state, used):
+        if state in ("Conversion", "Null") or state in used:
+            return float(state == "Conversion")
+        if state not in memo:
+            memo[state] = sum(p * value(e, used | {state}) for e, p in out.get(state, []))
+        return memo[state]
+
+    return value("Start", frozenset())
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_recursion_as_joins(spark, seed):
+    g = _random_graph(spark, 7, seed)
+    rows = [tuple(r) for r in g.filter("transition_probability > 0.05").collect()]
+    kept = spark.createDataFrame(rows, g.schema)
+    p = {r.removed: r.conversion_probability for r in M.memo_dfs_probability(kept).collect()}
+    assert all(abs(v - _recursion(rows, k)) < 1e-12 for k, v in p.items())
+
+
+def test_thirty_channels_and_no_python(spark):
+    g = _random_graph(spark, 30, seed=3)
+    rows = [tuple(r) for r in g.collect()]
+    p = {r.removed: r.conversion_probability for r in M.conversion_probability(g).collect()}
+    assert len(p) == 31
+    assert all(abs(p[k] - _recursion(rows, k)) < 1e-12 for k in (None, "ch00", "ch17"))
+    a = {r.removed: r.conversion_probability for r in M.absorbing_probability(g).collect()}
+    assert all(0 <= a[k] <= 1 + 1e-9 for k in a)
+
+
+def test_pivot_columns_come_from_the_data(spark):
+    t = load_touches(spark, SF001)
+    more = t.withColumn("channel", F.when(F.col("event_id") % 7 == 0, F.lit("Podcast")).otherwise(F.col("channel")))
+    pivot = M.matrix_pivot(M.edge_table(more))
+    assert "Podcast" in pivot.columns and pivot.filter("start_state = 'Start'").first()["Podcast"] > 0
 
 
 def test_many_channels_complete(spark):

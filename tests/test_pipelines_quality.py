@@ -82,7 +82,7 @@ def test_hot_order_is_segmented(spark):
         [(1, i % 5 + 1, 100 + i, 1.0, 0.0, float(i % 9 + 1)) for i in range(230)] + [(2, 1, 5, 1.0, 0.0, 3.0)],
         "l_orderkey long, l_linenumber int, l_partkey long, l_extendedprice double, l_discount double, l_quantity double",
     )
-    sales = X.sales(orders, lines, hot_rows=50)
+    sales = X.sales(orders, lines, hot_rows=50, segment_lines=50)
     hot_rows = sales.filter("order_number = 1").collect()
     assert len(hot_rows) >= 4 and all(len(r.ordered_products) <= 50 for r in hot_rows)
     items = S.line_items(sales)
@@ -99,3 +99,13 @@ def test_bronze_rejects_null_channel(spark):
     df = spark.createDataFrame(rows, "uid string, time timestamp_ntz, interaction string, channel string, conversion int")
     with pytest.raises(Exception, match="valid_time|valid_channel"):
         enforce(df, TOUCH_EXPECTATIONS).collect()
+
+
+def test_fail_expectation_cannot_be_filtered_away(spark, scratch, monkeypatch):
+    """A bad row on another page fails the dataset, so the query over it fails."""
+    import pathcredit.named as N
+
+    bad = spark.createDataFrame([("Brand#2", "a", "4"), ("Brand#7", "b", "-3")], "curr_title string, prev_title string, n string")
+    monkeypatch.setattr(N, "_clicks_raw", lambda spark, sf: bad)
+    with pytest.raises(Exception, match="valid_count"):
+        N.top_referrers(spark, "unused")

@@ -29,6 +29,15 @@ def test_build_matches_named_queries(spark, scratch):
     assert tables["gold_attribution"].version == 1  # created, then the Markov upsert
 
 
+def test_build_twice(spark, scratch):
+    """The second build finds every table and changes none."""
+    first = build_attribution_tables(spark, SF001, scratch)
+    versions = {n: t.version for n, t in first.items()}
+    second = build_attribution_tables(spark, SF001, scratch)
+    assert {n: t.version for n, t in second.items()} == versions
+    assert _same(first["gold_attribution"].read(), second["gold_attribution"].read())
+
+
 def test_cli_list(capsys):
     from pathcredit.__main__ import main
 
