@@ -1,7 +1,7 @@
 """Fuzzy line deduplication by MinHash.
 
 A line is what stands between two newlines of a text; its set is its distinct
-eight-character shingles (A-Z lower-cased; a shorter line is one shingle).  One
+twelve-character shingles (A-Z lower-cased; a shorter line is one shingle).  One
 hash of every shingle names a register and competes for its minimum there, and
 empty registers borrow from the next filled one, so a signature costs one pass
 over the characters.  Bands, confirmation on the full shingle sets and
@@ -22,14 +22,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pathcredit.llm.common import Spans, binary_array, documents, ids_of, longs, mix, record_batch, ship, steps, table
+from pathcredit.llm.common import Spans, documents, ids_of, longs, mix, record_batch, ship, steps, table
 from pathcredit.llm.components import components
-from pathcredit.llm.lsh import BITS, Near, mixed_bands, packed, similar_sets
+from pathcredit.llm.lsh import BITS, Near, mixed_bands, similar_sets
 
-LINES = Near(80, shingle=8, bands=16, rows=4)
+#: A pair at the threshold shares no band once in 9,700 times (0.36 ** 9).
+LINES = Near(80, shingle=12, bands=9, rows=2)
 _NEWLINE = 10
 _table: list[np.ndarray] = []
 _LINES_AT_ONCE = 4000
+_SEEN_LINES = 200_000
 
 
 def _symbols(codes: np.ndarray) -> np.ndarray:
@@ -92,70 +94,64 @@ def _own(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").filter("doc_id is not null")
 
 
-_PLACES = pa.schema([("doc_id", pa.int64()), ("line_no", pa.int64()), ("id", pa.int64())])
+_LINES = pa.schema([("doc_id", pa.int64()), ("line_no", pa.int64()), ("id", pa.int64()), ("keys", pa.list_(pa.int64()))])
 
 
-def places(docs: DataFrame) -> DataFrame:
-    """(doc_id, line_no, id): every line; ``id`` is a hash of its characters, null
-    for a blank line."""
-
-    def run(batches):
-        for batch in steps(batches):
-            lines = Lines(batch.column(1).to_pylist())
-            keep = np.flatnonzero(~lines.null)
-            ids = pa.array(lines.id[keep], pa.int64(), mask=~lines.filled[keep])
-            yield record_batch(_PLACES, longs(batch.column(0))[lines.doc[keep]], lines.number[keep], ids)
-
-    return docs.mapInArrow(run, "doc_id long, line_no long, id long")
-
-
-def band_values(docs: DataFrame, near: Near) -> DataFrame:
-    """(rep, band, key) of every line that is not blank; rep: its id."""
+def lines_of(docs: DataFrame, near: Near) -> DataFrame:
+    """(doc_id, line_no, id, keys): every line in one pass over the texts.  ``id``
+    is a hash of its characters, null for a blank line; ``keys`` are its band
+    values, null where the task met the line before."""
 
     def run(batches):
+        seen: set[int] = set()
         for batch in steps(batches, 1 << 20):
             lines = Lines(batch.column(1).to_pylist())
             _, some = np.unique(lines.id, return_index=True)
-            some = some[lines.filled[some]]
+            some = np.sort(some[lines.filled[some]])
+            new = np.array([i not in seen for i in lines.id[some].tolist()], bool)
+            some = some[new]
+            if len(seen) > _SEEN_LINES:
+                seen.clear()
+            seen.update(lines.id[some].tolist())
+            keys = [np.zeros((0, near.bands), np.uint64)]
             for at in range(0, len(some), _LINES_AT_ONCE):
                 part = some[at : at + _LINES_AT_ONCE]
                 elements, owner = lines.shingles(part, near.shingle)
-                keys = mixed_bands(_least(elements, owner, len(part), near.registers), near)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.repeat(lines.id[part], near.bands)), pa.array(np.tile(np.arange(near.bands, dtype=np.int32), len(part))), pa.array(keys.view(np.int64).ravel())],
-                    ["rep", "band", "key"],
-                )
+                keys.append(mixed_bands(_least(elements, owner, len(part), near.registers), near))
+            has = np.zeros(len(lines.id), bool)
+            has[some] = True
+            keep = np.flatnonzero(~lines.null)
+            ids = pa.array(lines.id[keep], pa.int64(), mask=~lines.filled[keep])
+            edge = np.append(0, np.cumsum(has[keep])) * near.bands
+            values = pa.ListArray.from_arrays(pa.array(edge, pa.int32()), pa.array(np.concatenate(keys).view(np.int64).ravel()), mask=pa.array(~has[keep]))
+            yield record_batch(_LINES, longs(batch.column(0))[lines.doc[keep]], lines.number[keep], ids, values.cast(_LINES.field(3).type))
 
-    return docs.mapInArrow(run, "rep long, band int, key long")
+    return docs.mapInArrow(run, "doc_id long, line_no long, id long, keys array<long>")
 
 
-def full_sets(docs: DataFrame, found: DataFrame, wanted: DataFrame, near: Near) -> DataFrame:
+def full_lines(docs: DataFrame, found: DataFrame, wanted: DataFrame) -> DataFrame:
     """(rep, elements, roles) of the lines that ``wanted`` (rep, roles) names, each
-    read at one of its places."""
+    read at one of its places; elements: the line itself, shorter than its set."""
     roles = wanted.schema["roles"].dataType.simpleString()
     one = found.groupBy("id").agg(F.min(F.struct("doc_id", "line_no")).alias("p"))
     asked = wanted.join(one, wanted.rep == one.id).groupBy("p.doc_id").agg(F.collect_list(F.struct("p.line_no", "rep", "roles")).alias("asked"))
+    read = docs.join(asked, "doc_id").select(F.split("text", "\n").alias("lines"), F.explode("asked").alias("a"))
+    return read.select("a.rep", F.get("lines", F.col("a.line_no").cast("int")).cast("binary").alias("elements"), F.col("a.roles").alias("roles"))
 
-    def run(batches):
-        for batch in steps(batches):
-            lines = Lines(batch.column(1).to_pylist())
-            lists = batch.column(2)
-            owner = np.repeat(np.arange(len(lists)), lists.value_lengths().to_numpy())
-            number, rep, roles_ = lists.flatten().flatten()
-            which = lines.first[owner] + number.to_numpy()
-            for at in range(0, len(which), _LINES_AT_ONCE):
-                part = slice(at, at + _LINES_AT_ONCE)
-                elements, line = lines.shingles(which[part], near.shingle)
-                n = len(which[part])
-                keys = np.sort((line.astype(np.uint64) << np.uint64(BITS)) | elements)
-                keys = keys[np.append(True, keys[1:] != keys[:-1])]
-                first = np.searchsorted(keys, np.arange(n + 1, dtype=np.uint64) << np.uint64(BITS))
-                yield pa.RecordBatch.from_arrays(
-                    [rep.slice(at, n), binary_array(packed(keys & np.uint64((1 << BITS) - 1)), first * (BITS // 8)), roles_.slice(at, n)],
-                    ["rep", "elements", "roles"],
-                )
-
-    return docs.join(asked, "doc_id").select("doc_id", "text", "asked").mapInArrow(run, f"rep long, elements binary, roles {roles}")
+
+def line_sets(k: int):
+    """The distinct shingles of every line of a binary column, sorted."""
+
+    def read(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        lines = Lines([x.decode() for x in column.to_pylist()])
+        elements, owner = lines.shingles(np.arange(len(column)), k)
+        order = np.lexsort((elements, owner))
+        elements, owner = elements[order], owner[order]
+        new = np.ones(len(elements), bool)
+        new[1:] = (elements[1:] != elements[:-1]) | (owner[1:] != owner[:-1])
+        return elements[new], np.searchsorted(owner[new], np.arange(len(column) + 1))
+
+    return read
 
 
 def judged_lines(docs: DataFrame, near: Near = LINES) -> DataFrame:
@@ -163,8 +159,10 @@ def judged_lines(docs: DataFrame, near: Near = LINES) -> DataFrame:
     its component is the line that stays."""
     ship(docs.sparkSession)
     own = _own(docs)
-    found = table(places(own), "lines")
-    links = similar_sets(band_values(own, near), lambda wanted: full_sets(own, found, wanted, near), one_hash, near)
+    found = table(lines_of(own, near), "lines")
+    values = found.filter("keys is not null").select(F.col("id").alias("rep"), F.posexplode("keys").alias("band", "key"))
+    found = found.drop("keys")
+    links = similar_sets(values, lambda wanted: full_lines(own, found, wanted), one_hash, near, line_sets(near.shingle))
     label = components(links)
     kinds = found.filter("id is not null").groupBy("id").agg(F.min(F.struct("doc_id", "line_no")).alias("p"))
     kinds = table(kinds.join(label, kinds.id == label.node, "left").select("id", F.coalesce("component", "id").alias("component"), "p"), "kinds")

@@ -48,6 +48,8 @@ class Near:
         return j - 4.5 * (j * (1 - j) / self.registers) ** 0.5
 
 
+#: A column of full sets (packed, or in a shorter form) to (elements, first).
+Unpack = Callable[[pa.Array], tuple[np.ndarray, np.ndarray]]
 #: (elements, first) to one row of 64-bit registers a set.
 Signature = Callable[[np.ndarray, np.ndarray, int], np.ndarray]
 
@@ -64,9 +66,9 @@ def packed(elements: np.ndarray) -> np.ndarray:
     return np.ascontiguousarray(elements.view(np.uint8).reshape(-1, 8)[:, : BITS // 8])
 
 
-def unpacked(column) -> tuple[np.ndarray, np.ndarray]:
+def unpacked(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """(elements, first) of a column of packed sets."""
-    data, offsets = utf8(pa.concat_arrays(column.chunks) if isinstance(column, pa.ChunkedArray) else column)
+    data, offsets = utf8(column)
     out = np.zeros((len(data) // (BITS // 8), 8), np.uint8)
     out[:, : BITS // 8] = data.reshape(-1, BITS // 8)
     return out.view(np.uint64).ravel(), offsets // (BITS // 8)
@@ -102,11 +104,11 @@ def _pairs(found: list[tuple[np.ndarray, np.ndarray]]) -> pa.Table:
     return pa.table([pa.array(u), pa.array(v)], schema=_LINK)
 
 
-def _with_centre(percent: int):
+def _with_centre(percent: int, unpack: Unpack):
     def run(bundle: pa.Table) -> pa.Table:
         """Links of centres with their members (rows: centre, salt, member, elements)."""
         members, centres = bundle.column("member").to_numpy(), bundle.column("centre").to_numpy()
-        elements, first = unpacked(bundle.column("elements"))
+        elements, first = unpack(bundle.column("elements").combine_chunks())
         size, found = np.diff(first), []
         for rows in _groups(bundle, ["centre", "salt"]):
             is_centre = members[rows] == centres[rows]
@@ -151,11 +153,11 @@ def _could_link(near: Near):
     return run
 
 
-def _within_block(percent: int):
+def _within_block(percent: int, unpack: Unpack):
     def run(bundle: pa.Table) -> pa.Table:
         """Links between members of different components, on full sets."""
         rep, comp, own, low, high = (bundle.column(x).to_numpy() for x in ("rep", "component", "block", "lo", "hi"))
-        elements, first = unpacked(bundle.column("elements"))
+        elements, first = unpack(bundle.column("elements").combine_chunks())
         found = []
         for rows in _groups(bundle, ["key", "lo", "hi"]):
             lo, hi = low[rows[0]], high[rows[0]]
@@ -183,12 +185,13 @@ def _within_block(percent: int):
     return run
 
 
-def similar_sets(values: DataFrame, sets: Callable[[DataFrame], DataFrame], signature: Signature, near: Near) -> DataFrame:
+def similar_sets(values: DataFrame, sets: Callable[[DataFrame], DataFrame], signature: Signature, near: Near, unpack: Unpack = unpacked) -> DataFrame:
     """Links ``u``, ``v`` that connect every pair of sets over the threshold.
 
     ``values``: (rep, band, key), the band values of every distinct set;
     ``sets``: from (rep, roles) to (rep, elements, roles), the full sets of some;
-    ``signature``: registers of packed sets, as the band values were made of."""
+    ``unpack``: reads such a column of ``elements``;
+    ``signature``: registers of the sets, as the band values were made of."""
     # aggregates are written before they meet their rows again, so that a join of
     # the two has a shuffle of its own on either side and a hot key can be split
     shared = table(values.groupBy("key").agg(F.min("rep").alias("a"), F.max("rep").alias("b")).filter("a <> b").select("key"), "shared")
@@ -207,7 +210,7 @@ def similar_sets(values: DataFrame, sets: Callable[[DataFrame], DataFrame], sign
     roles = member.unionByName(centre).groupBy("rep").agg(F.collect_list(F.struct("centre", "salt")).alias("roles"))
     full = table(sets(crowded.select("rep").distinct().join(roles, "rep", "left")), "sets")
     grouped = full.select(F.col("rep").alias("member"), "elements", F.inline("roles"))
-    first = table(_bundled(grouped, ["centre", "salt"]).groupBy("bundle").applyInArrow(_with_centre(near.percent), _LINK_DDL), "links")
+    first = table(_bundled(grouped, ["centre", "salt"]).groupBy("bundle").applyInArrow(_with_centre(near.percent, unpack), _LINK_DDL), "links")
 
     # buckets that still hold several components: blocks against blocks
     label = components(first)
@@ -222,7 +225,7 @@ def similar_sets(values: DataFrame, sets: Callable[[DataFrame], DataFrame], sign
         for batch in batches:
             for at in range(0, len(batch), 2000):
                 part = batch.slice(at, 2000)
-                registers = signature(*unpacked(part.column(1)), near.registers)
+                registers = signature(*unpack(part.column(1)), near.registers)
                 keys = mixed_bands(registers, near).view(np.int64)
                 n = np.arange(len(part) + 1)
                 yield pa.RecordBatch.from_arrays(
@@ -235,4 +238,4 @@ def similar_sets(values: DataFrame, sets: Callable[[DataFrame], DataFrame], sign
     unit = ["key", "lo", "hi"]
     open_ = table(_bundled(dealt, unit).join(sketches, "rep").groupBy("bundle").applyInArrow(_could_link(near), row), "open")
     checked = _bundled(open_, unit).join(full.select("rep", "elements"), "rep").groupBy("bundle")
-    return table(first.unionByName(checked.applyInArrow(_within_block(near.percent), _LINK_DDL)), "links")
+    return table(first.unionByName(checked.applyInArrow(_within_block(near.percent, unpack), _LINK_DDL)), "links")

@@ -63,7 +63,7 @@ def line_places(rows):
     return [(i, k, line.translate(_LOWER)) for i, t in rows if i is not None and t is not None for k, line in enumerate(t.split("\n"))]
 
 
-def judged_lines(rows, percent=80, k=8):
+def judged_lines(rows, percent=80, k=12):
     """{(doc_id, line_no): (first place, kept)}."""
     first = {}
     places = line_places(rows)
