@@ -61,21 +61,20 @@ def merge(shards: list[Shard], depth: int) -> tuple[np.ndarray, np.ndarray]:
     for every merged row the symbols it shares with the one before, ``depth``
     or more counting as ``depth``."""
     sizes = [len(s.transform) for s in shards]
-    base = np.cumsum([0, *sizes])
     chars = np.concatenate([s.transform for s in shards])
     if int(chars.max(initial=0)) < 1 << 16:
         chars = chars.astype(np.uint16)  # a radix sort then
     source = np.repeat(np.arange(len(shards), dtype=np.uint8 if len(shards) < 256 else np.int32), sizes)
     marks = sum(s.strings for s in shards)
     fixed = np.repeat(np.arange(len(shards), dtype=source.dtype), [s.strings for s in shards])
-    block = np.zeros(len(chars), np.int64)
+    block = np.zeros(len(chars), np.int32)
     common = np.full(len(chars), depth)
+    every = np.arange(len(chars), dtype=np.int32)
 
     def rows(source):
-        row = np.empty(len(source), np.int64)
-        for s in range(len(shards)):
-            mine = source == s
-            row[mine] = base[s] + np.arange(sizes[s])
+        """Each shard's rows come in its own order: the next one where it is named."""
+        row = np.empty(len(source), np.int32)
+        row[np.argsort(source, kind="stable")] = every
         return row
 
     for h in range(1, depth + 1):
@@ -83,15 +82,16 @@ def merge(shards: list[Shard], depth: int) -> tuple[np.ndarray, np.ndarray]:
         step = np.argsort(now, kind="stable")[marks:]
         source = np.concatenate([fixed, source[step]])
         edge = np.ones(len(chars), bool)
-        edge[marks + 1 :] = (now[step][1:] != now[step][:-1]) | (block[step][1:] != block[step][:-1])
+        symbol, group = now[step], block[step]
+        edge[marks + 1 :] = (symbol[1:] != symbol[:-1]) | (group[1:] != group[:-1])
         common[edge & (common == depth)] = h - 1
-        block = np.cumsum(edge)
+        block = np.cumsum(edge, dtype=np.int32)
         if edge.all():
             break
     return rows(source), common
 
 
-def repeated(data: np.ndarray, offsets: np.ndarray, length: int, shards: int = 4) -> np.ndarray:
+def repeated(data: np.ndarray, offsets: np.ndarray, length: int, shards: int = 2) -> np.ndarray:
     """Which bytes start a string of ``length`` bytes (whole symbols, within one
     text) that also starts at another byte."""
     out = np.zeros(len(data), bool)

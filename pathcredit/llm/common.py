@@ -16,6 +16,7 @@ import zipfile
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from pathcredit.session import shuffle_partitions
 
@@ -86,6 +87,16 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def smallest_hashes(df: DataFrame, key: str, rows: int) -> DataFrame:
+    """At most ``rows`` rows: those with the smallest hashes of ``key``.  A bound on
+    the hash, from a count, thins the rows in their tasks first, so that all tasks
+    together send the driver little more than ``rows``."""
+    total = df.count()
+    share = min(1.0, (rows + 4 * rows**0.5) / max(1, total))
+    place = F.pmod(F.xxhash64(key, F.lit(7)), F.lit(1 << 40)) / F.lit(float(1 << 40))
+    return df.withColumn("_place", place).filter(F.col("_place") < share).orderBy("_place", key).limit(rows).drop("_place")
+
+
 # ------------------------------------------------------------------ arrays
 
 
@@ -147,6 +158,19 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
+def _mixed(x: np.ndarray) -> np.ndarray:
+    """:func:`mix` in place."""
+    spare = x >> np.uint64(30)
+    x ^= spare
+    x *= np.uint64(0xBF58476D1CE4E5B9)
+    np.right_shift(x, np.uint64(27), out=spare)
+    x ^= spare
+    x *= np.uint64(0x94D049BB133111EB)
+    np.right_shift(x, np.uint64(31), out=spare)
+    x ^= spare
+    return x
+
+
 def _power(base: int, n: int) -> np.ndarray:
     have = _powers.get(base)
     if have is None or len(have) < n:
@@ -172,6 +196,14 @@ class Spans:
     def hash(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         return mix((self.sums[end] - self.sums[start]) * self.back[start] + (end - start).astype(np.uint64))
 
+    def every(self, size: int) -> np.ndarray:
+        """``hash`` of every span of ``size`` symbols, in order."""
+        n = max(0, len(self.sums) - size)
+        out = self.sums[size:] - self.sums[:n]
+        out *= self.back[:n]
+        out += np.uint64(size)
+        return _mixed(out)
+
 
 def byte_spans(data: np.ndarray) -> Spans:
     return Spans(_SYMBOL[data])

@@ -64,7 +64,7 @@ def _smallest(packed: np.ndarray, width: int) -> np.ndarray:
     """Smallest of every ``width`` neighbours."""
     span = 1
     while span * 2 <= width:
-        packed = np.minimum(packed[:-span], packed[span:])
+        packed = np.minimum(packed[:-span], packed[span:])  # of twice as many
         span *= 2
     if width > span:
         packed = np.minimum(packed[: len(packed) - (width - span)], packed[width - span :])
@@ -78,26 +78,25 @@ class Seeds:
     def __init__(self, seq: Sequences, cfg: Windows):
         n, first = len(seq.symbols), seq.first
         self.spans = Spans(seq.symbols)
-        count = max(0, n - cfg.gram + 1)
-        at = np.arange(count)
-        self.hash = self.spans.hash(at, at + cfg.gram)
+        self.hash = self.spans.every(cfg.gram)
+        count = len(self.hash)
         whole = np.ones(count, bool)  # seeds within one document
-        inside = np.ones(max(0, n - cfg.length + 1), bool)  # windows within one document
-        # the last gram-1 (length-1) starts before a document's end reach beyond it
-        for size, mask in ((cfg.gram, whole), (cfg.length, inside)):
-            if len(mask):
-                flips = np.zeros(len(mask) + 1, np.int64)
-                ends = first[1:-1]
-                np.add.at(flips, np.clip(np.maximum(ends - size + 1, first[:-2]), 0, len(mask)), 1)
-                np.add.at(flips, np.clip(ends, 0, len(mask)), -1)
-                mask &= np.cumsum(flips[:-1]) == 0
-        self.kept = whole & (self.hash < np.uint64((1 << 64) // cfg.sparse))
+        self.inside = np.ones(max(0, n - cfg.length + 1), bool)  # windows within one document
+        # starts less than a seed's (window's) length before a document's end reach beyond it
+        for begin, end in zip(first[:-2].tolist(), first[1:-1].tolist()):
+            whole[max(begin, end - cfg.gram + 1) : end] = False
+            self.inside[max(begin, end - cfg.length + 1) : end] = False
+        self.kept = self.hash < np.uint64((1 << 64) // cfg.sparse)
+        self.kept &= whole
         bits = np.uint64(max(22, n.bit_length()))
         low = (np.uint64(1) << bits) - np.uint64(1)
-        packed = np.where(whole, (self.hash & ~low) | at.astype(np.uint64), ~np.uint64(0))
-        self.inside = inside
-        best = _smallest(packed, cfg.seeds) if len(inside) else packed[:0]
-        self.anchor = (best & low).astype(np.int64)  # of every window
+        packed = self.hash & ~low
+        packed |= np.arange(count, dtype=np.uint64)
+        packed[~whole] = ~np.uint64(0)
+        best = _smallest(packed, cfg.seeds) if len(self.inside) else packed[:0]
+        best &= low
+        self.anchor = best.view(np.int64)  # of every window
+        inside = self.inside
         chosen = self.kept.copy()
         chosen[self.anchor[inside]] = True
         self.at = np.flatnonzero(chosen)
