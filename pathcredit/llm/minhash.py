@@ -127,3 +127,32 @@ def near_duplicates(docs: DataFrame, near: Near = CONTRACT) -> DataFrame:
 
 def op1_minhash(spark, sf_dir):
     return near_duplicates(documents(spark, sf_dir))
+
+
+OP1_SQL = f"""
+WITH RECURSIVE tokens AS (
+  SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w
+  FROM documents WHERE doc_id IS NOT NULL
+), spots AS (
+  SELECT doc_id, w, unnest(range(0, greatest(1, len(w) - 4))) AS i FROM tokens WHERE len(w) > 0
+), shingles AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i + 1 : i + 5], ' ') AS s FROM spots
+), sizes AS (
+  SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+), pairs AS (
+  SELECT a.doc_id AS u, b.doc_id AS v, count(*) AS n FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY ALL
+), links AS (
+  SELECT u, v FROM pairs p JOIN sizes a ON a.doc_id = u JOIN sizes b ON b.doc_id = v
+  WHERE 100 * p.n >= {CONTRACT.percent} * (a.n + b.n - p.n)
+), both_ways AS (
+  SELECT u, v FROM links UNION ALL SELECT v, u FROM links
+), reach(u, v) AS (
+  SELECT u, v FROM both_ways UNION SELECT r.u, b.v FROM reach r JOIN both_ways b ON b.u = r.v
+), lowest AS (
+  SELECT u, min(v) AS v FROM reach GROUP BY u
+)
+SELECT t.doc_id, CAST(coalesce(s.n, 0) AS BIGINT) AS n_shingles, least(t.doc_id, coalesce(l.v, t.doc_id)) AS component_id,
+       t.doc_id <= coalesce(l.v, t.doc_id) AS kept
+FROM tokens t LEFT JOIN sizes s ON s.doc_id = t.doc_id LEFT JOIN lowest l ON l.u = t.doc_id
+"""

@@ -6,12 +6,12 @@ from __future__ import annotations
 from pathcredit.llm.counts import op10_counts
 from pathcredit.llm.decontamination import OP3_SQL, op3_decontamination
 from pathcredit.llm.lines import op6_lines
-from pathcredit.llm.minhash import op1_minhash
+from pathcredit.llm.minhash import OP1_SQL, op1_minhash
 from pathcredit.llm.packing import op5_packing
 from pathcredit.llm.personal import op8_personal
 from pathcredit.llm.quality import op7_quality
 from pathcredit.llm.scoring import op9_scoring
-from pathcredit.llm.substrings import op4_substrings
+from pathcredit.llm.substrings import OP4_SQL, op4_substrings
 from pathcredit.llm.suffixes import op2_suffixes
 
 QUERIES = {
@@ -29,5 +29,7 @@ QUERIES = {
 
 #: DuckDB statements for the queries that SQL can express.
 ORACLE_SQL: dict[str, str] = {
+    "op1_minhash": OP1_SQL,
     "op3_decontamination": OP3_SQL,
+    "op4_substrings": OP4_SQL,
 }

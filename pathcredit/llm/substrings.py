@@ -89,3 +89,26 @@ def deduplicated(docs: DataFrame, cfg: Windows = WORDS) -> DataFrame:
 
 def op4_substrings(spark, sf_dir):
     return deduplicated(documents(spark, sf_dir)).drop("kept_text")
+
+
+OP4_SQL = f"""
+WITH tokens AS (
+  SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w
+  FROM documents WHERE doc_id IS NOT NULL
+), spots AS (
+  SELECT doc_id, unnest(range(0, len(w) - {WINDOW_WORDS - 1})) AS i,
+         unnest(list_transform(range(0, len(w) - {WINDOW_WORDS - 1}), lambda i: array_to_string(w[i + 1 : i + {WINDOW_WORDS}], ' '))) AS s
+  FROM tokens WHERE len(w) >= {WINDOW_WORDS}
+), ranked AS (
+  SELECT doc_id, i, row_number() OVER (PARTITION BY s ORDER BY doc_id, i) AS place FROM spots
+), gone AS (
+  SELECT DISTINCT doc_id, unnest(range(i, i + {WINDOW_WORDS})) AS p FROM ranked WHERE place > 1
+), placed AS (
+  SELECT doc_id, unnest(w) AS word, unnest(range(0, len(w))) AS p FROM tokens
+), stays AS (
+  SELECT doc_id, string_agg(word, ' ' ORDER BY p) AS text, count(*) AS n FROM placed ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id
+)
+SELECT t.doc_id, CAST(len(t.w) AS BIGINT) AS n_words, CAST(len(t.w) - coalesce(s.n, 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(s.text, '')) AS kept_sha256
+FROM tokens t LEFT JOIN stays s ON s.doc_id = t.doc_id
+"""

@@ -62,3 +62,13 @@ def test_queries_are_registered():
     names = [n for n in entry.queries() if n.startswith("op") or n == "pipeline"]
     assert len(names) == 11
     assert set(entry.oracle_sql()) <= set(entry.queries())
+
+
+@pytest.mark.parametrize("name", ["op1_minhash", "op3_decontamination", "op4_substrings"])
+def test_query_matches_oracle(spark, name):
+    from tests.conftest import SF001
+    from tools.compare import compare, duck
+
+    entry = importlib.import_module("__spark_entry__")
+    result = compare(spark, duck(SF001), name, entry.queries()[name], entry.oracle_sql()[name], SF001)
+    assert result["rows"] == result["oracle_rows"] and result["cols"] and result["exact"], result
