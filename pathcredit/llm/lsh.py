@@ -99,6 +99,37 @@ def _groups(bundle: pa.Table, keys: list[str]):
     return np.split(order, np.flatnonzero(new)[1:]) if len(order) else []
 
 
+def _spread(first: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(element indexes, place in ``rows``) of the sets of some rows, one after another."""
+    n = first[rows + 1] - first[rows]
+    return np.repeat(first[rows] - (np.cumsum(n) - n), n) + np.arange(n.sum()), np.repeat(np.arange(len(rows)), n)
+
+
+def _common(elements: np.ndarray, first: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Size of the intersection of each pair of rows; sets are sorted."""
+    out = np.zeros(len(left), np.int64)
+    for a in range(0, len(left), 1 << 15):  # a pair's number stands above its elements' bits
+        part = slice(a, a + (1 << 15))
+        keys = []
+        for rows in (left[part], right[part]):
+            at, pair = _spread(first, rows)
+            keys.append((pair.astype(np.uint64) << np.uint64(BITS)) | elements[at])
+        if len(keys[0]) and len(keys[1]):
+            place = np.minimum(np.searchsorted(keys[0], keys[1]), len(keys[0]) - 1)
+            hit = keys[1][keys[0][place] == keys[1]] >> np.uint64(BITS)
+            out[part] = np.bincount(hit.astype(np.int64), minlength=len(out[part]))
+    return out
+
+
+def _couples(groups: list[np.ndarray], comp: np.ndarray, own: np.ndarray, low: np.ndarray, high: np.ndarray):
+    """(left, right, rest): the pairs of groups of two rows, vectorised, and the
+    larger groups."""
+    two = [g for g in groups if len(g) == 2]
+    a, b = np.stack(two).T if two else np.zeros((2, 0), np.int64)
+    good = (comp[a] != comp[b]) & ((low[a] == high[a]) | (own[a] != own[b]))
+    return a[good], b[good], [g for g in groups if len(g) > 2]
+
+
 def _pairs(found: list[tuple[np.ndarray, np.ndarray]]) -> pa.Table:
     u, v = (np.concatenate([np.zeros(0, np.int64), *x]) for x in (zip(*found) if found else ((), ())))
     return pa.table([pa.array(u), pa.array(v)], schema=_LINK)
@@ -109,19 +140,17 @@ def _with_centre(percent: int, unpack: Unpack):
         """Links of centres with their members (rows: centre, salt, member, elements)."""
         members, centres = bundle.column("member").to_numpy(), bundle.column("centre").to_numpy()
         elements, first = unpack(bundle.column("elements").combine_chunks())
-        size, found = np.diff(first), []
+        size, left, right = np.diff(first), [], []
         for rows in _groups(bundle, ["centre", "salt"]):
             is_centre = members[rows] == centres[rows]
-            own, rest = rows[is_centre][0], rows[~is_centre]
-            centre = elements[first[own] : first[own + 1]]
-            at = np.concatenate([np.arange(first[i], first[i + 1]) for i in rest.tolist()]) if len(rest) else rest
-            place = np.minimum(np.searchsorted(centre, elements[at]), len(centre) - 1)
-            hit = np.concatenate([[0], np.cumsum(centre[place] == elements[at])])
-            edge = np.cumsum(np.concatenate([[0], size[rest]]))
-            both = hit[edge[1:]] - hit[edge[:-1]]
-            linked = rest[100 * both >= percent * (size[rest] + size[own] - both)]
-            found.append((members[linked], centres[linked]))
-        return _pairs(found)
+            left.append(rest := rows[~is_centre])
+            right.append(np.full(len(rest), rows[is_centre][0]))
+        if not left:
+            return _pairs([])
+        u, v = np.concatenate(left), np.concatenate(right)
+        both = _common(elements, first, v, u)
+        linked = 100 * both >= percent * (size[u] + size[v] - both)
+        return _pairs([(members[u[linked]], centres[u[linked]])])
 
     return run
 
@@ -135,7 +164,12 @@ def _could_link(near: Near):
         bands = bundle.column("bands").combine_chunks().flatten().to_numpy().reshape(-1, near.bands)
         wanted = np.zeros(len(comp), bool)
         floor = near.least_estimate * near.registers
-        for rows in _groups(bundle, ["key", "lo", "hi"]):
+        a, b, groups = _couples(_groups(bundle, ["key", "lo", "hi"]), comp, own, low, high)
+        near_ = (sketch[a] == sketch[b]).sum(1) >= floor
+        earlier = (bands[a] == bands[b]) & (np.arange(near.bands) < at[a][:, None])
+        near_ &= ~earlier.any(1)
+        wanted[a[near_]] = wanted[b[near_]] = True
+        for rows in groups:
             lo, hi, band = low[rows[0]], high[rows[0]], at[rows[0]]
             left, right = rows[own[rows] == lo], rows[own[rows] == hi]
             for k, i in enumerate(left.tolist()):
@@ -155,11 +189,16 @@ def _could_link(near: Near):
 
 def _within_block(percent: int, unpack: Unpack):
     def run(bundle: pa.Table) -> pa.Table:
-        """Links between members of different components, on full sets."""
+        """Links that connect members of different components, on full sets: as many
+        as components join, since further ones change nothing."""
         rep, comp, own, low, high = (bundle.column(x).to_numpy() for x in ("rep", "component", "block", "lo", "hi"))
         elements, first = unpack(bundle.column("elements").combine_chunks())
-        found = []
-        for rows in _groups(bundle, ["key", "lo", "hi"]):
+        whole = np.diff(first)
+        a, b, groups = _couples(_groups(bundle, ["key", "lo", "hi"]), comp, own, low, high)
+        both = _common(elements, first, a, b)
+        linked = 100 * both >= percent * (whole[a] + whole[b] - both)
+        found = [(rep[a[linked]], rep[b[linked]])]
+        for rows in groups:
             lo, hi = low[rows[0]], high[rows[0]]
             size = (first[rows + 1] - first[rows]).astype(np.int64)
             values = np.concatenate([elements[first[i] : first[i + 1]] for i in rows.tolist()])
@@ -171,15 +210,19 @@ def _within_block(percent: int, unpack: Unpack):
             count = np.diff(np.append(head, len(sorted_)))
             where = np.empty(len(values), np.int64)
             where[order] = np.repeat(np.arange(len(head)), count)
-            right = own[rows] == hi
+            right, label = own[rows] == hi, comp[rows].copy()
             for i in np.flatnonzero(own[rows] == lo).tolist():
+                if not (right & (label != label[i])).any():
+                    continue
                 lists = where[edge[i] : edge[i + 1]]
                 n = count[lists]
                 at = np.repeat(head[lists] - (np.cumsum(n) - n), n) + np.arange(n.sum())
                 both = np.bincount(owner[at], minlength=len(rows))
-                j = np.flatnonzero(right & (comp[rows] != comp[rows[i]]) & (100 * both >= percent * (size + size[i] - both)))
-                if len(j):
-                    found.append((np.full(len(j), rep[rows[i]]), rep[rows[j]]))
+                j = np.flatnonzero(right & (label != label[i]) & (100 * both >= percent * (size + size[i] - both)))
+                while len(j):  # one link for each component that joins: a spanning forest, not all pairs
+                    found.append((rep[rows[[i]]], rep[rows[j[:1]]]))
+                    label[label == label[j[0]]] = label[i]
+                    j = j[label[j] != label[i]]
         return _pairs(found)
 
     return run
