@@ -17,6 +17,7 @@ import numpy as np
 VOCABULARY = "byte_bpe_50k"
 _CACHE_PIECES = 200_000
 _GAP = re.compile(r"\s \s")
+_AFTER = re.compile(r" \s")  # quicker to search, and part of every gap
 _WHITE = re.compile(r"\s")
 _encoders: dict[str, "Encoder"] = {}
 
@@ -47,7 +48,7 @@ class Encoder:
 
     def encode_all(self, texts: list[str]) -> list[bytes]:
         """The ids of every text as little-endian unsigned 32-bit integers."""
-        parts = [None if _GAP.search(t) else t.split(" ") for t in texts]
+        parts = [None if _AFTER.search(t) and _GAP.search(t) else t.split(" ") for t in texts]
         known = self._known
         if len(known) > _CACHE_PIECES:
             known.clear()
