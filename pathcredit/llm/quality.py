@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pathcredit.llm.common import _SPACE, byte_spans, documents, grams, ids_of, record_batch, ship, steps, table, utf8, words
+from pathcredit.llm.common import _SPACE, byte_spans, documents, grams, ids_of, record_batch, ship, smallest_hashes, steps, table, utf8, words
 
 #: Labelled rows a list is learned from, at most: those with the smallest hashes of their ids.
 SAMPLE_ROWS = 20_000
@@ -229,7 +229,7 @@ def learned(stats: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS)
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), "quality").filter("quality in (0, 1) and doc_id is not null")
     known = known.groupBy("doc_id").agg(F.min("quality").alias("quality"))
     rows = stats.filter(~base_failed()).join(known, "doc_id").select("doc_id", "quality", *[feature(f).alias(f) for f in FEATURES]).dropDuplicates(["doc_id"])
-    sample = rows.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_rows).toPandas()
+    sample = smallest_hashes(table(rows, "labelled"), "doc_id", sample_rows).toPandas()
     if sample.empty:
         return []
     return learn(sample[list(FEATURES)].to_numpy(float), sample["quality"].to_numpy() == 0)
