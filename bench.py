@@ -106,7 +106,7 @@ def main() -> None:
         sc.setJobGroup("attribution_500k_users", "attribution_500k_users")
         t0 = time.perf_counter()
         bronze = materialize(generate_touches(spark, USERS).withColumnRenamed("step", "event_id"), "bench-generated")
-        _run(A.gold_attribution(J.journey_summary(bronze)))
+        _run(A.gold_attribution(A.outcomes(J.journey_summary(bronze)).checkpoint()))
         _run(M.markov_attribution(M.removal_effects(M.simple_path_probability(M.edge_table(bronze)))))
         _run(J.user_journeys(bronze))
         timings["attribution_500k_users"] = round(time.perf_counter() - t0, 3)

@@ -114,6 +114,10 @@ def removal_graph(matrix: DataFrame, include_baseline: bool = False) -> DataFram
 
 # ------------------------------------------------------------- simple paths
 
+# Rounds of a recursion that share one plan before the state is written: cuts
+# the lineage, changes no value.
+_ROUNDS_A_PLAN = 8
+
 
 def converting_paths(matrix: DataFrame) -> DataFrame:
     """Loop-free Start -> Conversion paths with their probability, as
@@ -124,9 +128,8 @@ def converting_paths(matrix: DataFrame) -> DataFrame:
     level joins the frontier with the edge table and sums paths with the same
     last state and visited set: everything downstream needs only the set of
     channels on a path, and the frontier stays within #channels * 2^#channels
-    rows.  Every level is written, so the plan of level k does not re-derive
-    levels 0..k-1.  The depth comes from the checkpointed edge table (one number
-    to the driver).
+    rows.  It is written every few levels, so no plan grows with the channels.
+    The depth comes from the checkpointed edge table (one number to the driver).
     """
     edges = matrix.select("start_state", "end_state", "transition_probability")
     channels = edges.filter(F.col("start_state") != F.lit(START)).select("start_state").distinct().count()
@@ -140,7 +143,7 @@ def converting_paths(matrix: DataFrame) -> DataFrame:
     # edge (it reached Conversion or Null, or every successor is already on
     # it) finds no partner in the left join and passes through unchanged.  The
     # plan is a chain of joins, one per level, with no union of levels.
-    for _ in range(channels + 1):
+    for level in range(1, channels + 2):
         extended = frontier.join(
             step,
             (F.col("last_state") == F.col("_s")) & ~F.array_contains("visited", F.col("_e")),
@@ -154,7 +157,8 @@ def converting_paths(matrix: DataFrame) -> DataFrame:
             (F.col("prob") * F.coalesce(F.col("_p"), F.lit(1.0))).alias("prob"),
         )
         frontier = frontier.groupBy("last_state", F.array_sort("visited").alias("visited")).agg(F.sum("prob").alias("prob"))
-        frontier = materialize(frontier, "path-frontier")
+        if level % _ROUNDS_A_PLAN == 0:
+            frontier = materialize(frontier, "path-frontier")
     paths = frontier.filter(F.col("last_state") == F.lit(CONVERSION))
     return paths.select(F.array_remove("visited", F.lit(CONVERSION)).alias("channels"), "prob")
 
@@ -297,14 +301,11 @@ def memo_dfs_probability(matrix: DataFrame) -> DataFrame:
     own = kept.filter(F.col("e") == F.lit(CONVERSION)).select("removed", "s", F.col("p").alias("w"))
     inner = kept.filter(~F.col("e").isin(CONVERSION, NULL_STATE))
     v = own.select("removed", "s", F.col("w").alias("v"))
-    for _ in range(matrix.select("start_state").distinct().count()):
+    for turn in range(1, matrix.select("start_state").distinct().count() + 1):
         ahead = inner.join(v.withColumnRenamed("s", "e"), ["removed", "e"]).groupBy("removed", "s").agg(F.sum(F.col("p") * F.col("v")).alias("d"))
-        new = own.join(ahead, ["removed", "s"], "full_outer").select("removed", "s", (F.coalesce("w", F.lit(0.0)) + F.coalesce("d", F.lit(0.0))).alias("v"))
-        changed = new.join(v.withColumnRenamed("v", "old"), ["removed", "s"], "full_outer").select("removed", "s", "v", (~F.col("v").eqNullSafe(F.col("old"))).alias("moved"))
-        changed = materialize(changed, "memo")
-        v = changed.select("removed", "s", "v")
-        if not changed.agg(F.max("moved")).first()[0]:
-            break
+        v = own.join(ahead, ["removed", "s"], "full_outer").select("removed", "s", (F.coalesce("w", F.lit(0.0)) + F.coalesce("d", F.lit(0.0))).alias("v"))
+        if turn % _ROUNDS_A_PLAN == 0:
+            v = materialize(v, "memo")
     return _start_values(v, graph)
 
 
