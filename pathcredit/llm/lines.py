@@ -60,14 +60,21 @@ class Lines:
         self.null = null[self.doc]
         self.filled = solid[self.end] > solid[self.start]
         self.spans = Spans(_symbols(codes))
+        self.every: tuple[int, np.ndarray] | None = None
         self.id = self.spans.hash(self.start, self.end).view(np.int64)
 
     def shingles(self, lines: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         """(hash, line) of every shingle of some lines."""
         size = self.end[lines] - self.start[lines]
         n = np.maximum(1, size - k + 1)
-        at = np.repeat(self.start[lines] - (np.cumsum(n) - n), n) + np.arange(n.sum())
-        return self.spans.hash(at, at + np.repeat(np.minimum(size, k), n)) >> np.uint64(64 - BITS), np.repeat(np.arange(len(lines)), n)
+        edge = np.cumsum(n) - n
+        at = np.repeat(self.start[lines] - edge, n) + np.arange(n.sum())
+        if self.every is None or self.every[0] != k:
+            self.every = (k, self.spans.every(k))  # the shingle at every character
+        out = np.zeros(len(at), np.uint64) if not len(self.every[1]) else self.every[1][np.minimum(at, len(self.every[1]) - 1)]
+        short = np.flatnonzero(size < k)
+        out[edge[short]] = self.spans.hash(self.start[lines[short]], self.end[lines[short]])
+        return out >> np.uint64(64 - BITS), np.repeat(np.arange(len(lines)), n)
 
 
 def one_hash(elements: np.ndarray, first: np.ndarray, registers: int) -> np.ndarray:
@@ -143,13 +150,15 @@ def line_sets(k: int):
     """The distinct shingles of every line of a binary column, sorted."""
 
     def read(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        lines = Lines([x.decode() for x in column.to_pylist()])
-        elements, owner = lines.shingles(np.arange(len(column)), k)
-        order = np.lexsort((elements, owner))
-        elements, owner = elements[order], owner[order]
-        new = np.ones(len(elements), bool)
-        new[1:] = (elements[1:] != elements[:-1]) | (owner[1:] != owner[:-1])
-        return elements[new], np.searchsorted(owner[new], np.arange(len(column) + 1))
+        lines, parts, first = Lines([x.decode() for x in column.to_pylist()]), [], [np.zeros(1, np.int64)]
+        for at in range(0, len(column), _LINES_AT_ONCE):  # a line's number stands above its elements' bits
+            some = np.arange(at, min(at + _LINES_AT_ONCE, len(column)))
+            elements, owner = lines.shingles(some, k)
+            keys = np.sort((owner.astype(np.uint64) << np.uint64(BITS)) | elements)
+            keys = keys[np.append(True, keys[1:] != keys[:-1])]
+            parts.append(keys & np.uint64((1 << BITS) - 1))
+            first.append(first[-1][-1] + np.searchsorted(keys, np.arange(1, len(some) + 1, dtype=np.uint64) << np.uint64(BITS)))
+        return np.concatenate(parts or [np.zeros(0, np.uint64)]), np.concatenate(first)
 
     return read
 
