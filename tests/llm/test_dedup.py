@@ -1,3 +1,5 @@
+import random
+
 import numpy as np
 import pytest
 
@@ -49,6 +51,14 @@ def test_lines_match_brute_force(docs, rows):
     assert got == brute.judged_lines(rows)
 
 
+def test_lines_with_a_changed_character_are_similar(spark):
+    """79 characters with one inner change: 64 of 80 shingles of eight in common."""
+    line = "".join(random.Random(4).choices("abcdefghijklmnopqrstuvwxyz ", k=79))
+    rows = [(1, line), (2, line[:40] + "#" + line[41:]), (3, line[:20] + "#" + line[21:60] + "#" + line[61:])]
+    got = {r.doc_id: r.kept for r in lines.judged_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {1: True, 2: False, 3: True}
+
+
 def test_lines_are_taken_out(docs, rows, empty):
     got = lines.deduplicated(docs)
     assert got.columns == docs.columns
