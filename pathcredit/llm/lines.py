@@ -27,7 +27,8 @@ from pathcredit.llm.components import components
 from pathcredit.llm.lsh import BITS, Near, mixed_bands, similar_sets
 
 #: A pair at the threshold shares no band once in 11,000 times (0.488 ** 13).
-LINES = Near(80, shingle=8, bands=13, rows=3)
+#: Under 78 shingles many of the 39 registers are borrowed: no estimate then.
+LINES = Near(80, shingle=8, bands=13, rows=3, few=78)
 _NEWLINE = 10
 _table: list[np.ndarray] = []
 _LINES_AT_ONCE = 4000

@@ -4,8 +4,9 @@ Band values that two sets or more share are buckets.  Each set meets the bucket
 centre it shares most bands with, and the pair is confirmed on the full sets (a
 centre's group is salted).  Buckets whose members are by then in one component
 are settled.  In the others, members of different components meet in blocks:
-the signatures pick pairs that could reach the threshold, and those members'
-full sets confirm the links.  Blocks bound every task; no pair is left out.
+the signatures pick pairs that could reach the threshold (the sizes alone, where a
+set has fewer elements than the estimate needs), and those members' full sets
+confirm the links.  Blocks bound every task; no pair is left out.
 
 Elements are hashes of 48 bits; a set is kept as its packed elements.
 """
@@ -28,7 +29,9 @@ BITS = 48  # of an element's hash
 
 @dataclass(frozen=True)
 class Near:
-    """Link when ``100 * intersection >= percent * union``."""
+    """Link when ``100 * intersection >= percent * union``.  ``few``: sets of fewer
+    elements are compared whatever their estimate, for signatures whose registers
+    are not independent there."""
 
     percent: int
     shingle: int
@@ -36,6 +39,7 @@ class Near:
     rows: int
     centre_rows: int = 1024
     block_rows: int = 1024
+    few: int = 0
 
     @property
     def registers(self) -> int:
@@ -158,14 +162,19 @@ def _with_centre(percent: int, unpack: Unpack):
 def _could_link(near: Near):
     def run(bundle: pa.Table) -> pa.Table:
         """Members that have, in another component, a partner whose estimate
-        reaches the least and whose first common band this bucket's is."""
-        comp, own, at, low, high = (bundle.column(x).to_numpy() for x in ("component", "block", "band", "lo", "hi"))
+        reaches the least (or with few elements) and whose first common band this bucket's is."""
+        comp, own, at, low, high, size = (bundle.column(x).to_numpy() for x in ("component", "block", "band", "lo", "hi", "size"))
         sketch = utf8(bundle.column("sketch").combine_chunks())[0].reshape(-1, near.registers)
         bands = bundle.column("bands").combine_chunks().flatten().to_numpy().reshape(-1, near.bands)
         wanted = np.zeros(len(comp), bool)
         floor = near.least_estimate * near.registers
+
+        def reaches(i, j):
+            less, more = np.minimum(size[i], size[j]), np.maximum(size[i], size[j])
+            return ((sketch[i] == sketch[j]).sum(1) >= floor) | ((less < near.few) & (100 * less >= near.percent * more))
+
         a, b, groups = _couples(_groups(bundle, ["key", "lo", "hi"]), comp, own, low, high)
-        near_ = (sketch[a] == sketch[b]).sum(1) >= floor
+        near_ = reaches(a, b)
         earlier = (bands[a] == bands[b]) & (np.arange(near.bands) < at[a][:, None])
         near_ &= ~earlier.any(1)
         wanted[a[near_]] = wanted[b[near_]] = True
@@ -176,7 +185,7 @@ def _could_link(near: Near):
                 j = right[k + 1 :] if lo == hi else right
                 j = j[comp[j] != comp[i]]
                 if len(j):
-                    j = j[(sketch[j] == sketch[i]).sum(1) >= floor]
+                    j = j[reaches(i, j)]
                 if len(j) and band:
                     j = j[~(bands[j, :band] == bands[i, :band]).any(1)]
                 if len(j):
@@ -268,15 +277,16 @@ def similar_sets(values: DataFrame, sets: Callable[[DataFrame], DataFrame], sign
         for batch in batches:
             for at in range(0, len(batch), 2000):
                 part = batch.slice(at, 2000)
-                registers = signature(*unpack(part.column(1)), near.registers)
+                elements, first = unpack(part.column(1))
+                registers = signature(elements, first, near.registers)
                 keys = mixed_bands(registers, near).view(np.int64)
                 n = np.arange(len(part) + 1)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.ListArray.from_arrays(pa.array(n * near.bands, pa.int32()), pa.array(keys.ravel())), binary_array((registers & np.uint64(255)).astype(np.uint8), n * near.registers)],
-                    ["rep", "bands", "sketch"],
+                    [part.column(0), pa.ListArray.from_arrays(pa.array(n * near.bands, pa.int32()), pa.array(keys.ravel())), binary_array((registers & np.uint64(255)).astype(np.uint8), n * near.registers), pa.array(np.diff(first))],
+                    ["rep", "bands", "sketch", "size"],
                 )
 
-    sketches = full.join(dealt.select("rep").distinct(), "rep", "left_semi").select("rep", "elements").mapInArrow(sketched, "rep long, bands array<long>, sketch binary")
+    sketches = full.join(dealt.select("rep").distinct(), "rep", "left_semi").select("rep", "elements").mapInArrow(sketched, "rep long, bands array<long>, sketch binary, size long")
     row = "key long, lo int, hi int, rep long, component long, block int"
     unit = ["key", "lo", "hi"]
     open_ = table(_bundled(dealt, unit).join(sketches, "rep").groupBy("bundle").applyInArrow(_could_link(near), row), "open")

@@ -1,12 +1,13 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from pathcredit.llm import lines, minhash, substrings, suffixes
 from pathcredit.llm.bwt import repeated
 from pathcredit.llm.components import components
-from pathcredit.llm.lsh import Near
+from pathcredit.llm.lsh import Near, _could_link, mixed_bands
 from tests.llm import brute
 
 
@@ -59,6 +60,22 @@ def test_lines_with_a_changed_character_are_similar(spark):
     assert got == {1: True, 2: False, 3: True}
 
 
+def test_short_sets_meet_whatever_their_estimate():
+    """Four against five shingles, a band in common, the estimate under the least."""
+    near, rng = lines.LINES, np.random.default_rng(5)
+    while True:
+        five = rng.integers(0, 1 << 48, 5, dtype=np.uint64)
+        registers = lines.one_hash(np.concatenate([five[:4], five]), np.array([0, 4, 9]), near.registers)
+        bands = mixed_bands(registers, near)
+        if (bands[0] == bands[1]).any() and (registers[0] == registers[1]).mean() < near.least_estimate - 0.05:
+            break
+    sketch = [(r & np.uint64(255)).astype(np.uint8).tobytes() for r in registers]
+    row = {"key": [1, 1], "lo": [0, 0], "hi": [0, 0], "rep": [1, 2], "component": [1, 2], "block": [0, 0], "size": [4, 5]}
+    first = int(np.flatnonzero(bands[0] == bands[1])[0])
+    got = _could_link(near)(pa.table({**row, "band": [first, first], "sketch": sketch, "bands": pa.array(bands.view(np.int64).tolist())}))
+    assert got.column("rep").to_pylist() == [1, 2]
+
+
 def test_lines_are_taken_out(docs, rows, empty):
     got = lines.deduplicated(docs)
     assert got.columns == docs.columns
