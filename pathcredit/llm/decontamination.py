@@ -1,32 +1,49 @@
 """Benchmark decontamination by spaced-seed hashing, in DataFrame functions only.
 
-A seed hashes the words of a ten-word window that a fixed mask keeps; the other
-positions may differ.  The seeds of all documents are joined with those of the
-benchmark items; a hit names a document, an item and a diagonal (difference of
-positions).  Every diagonal is then compared word by word: an overlap is a
-stretch of the item in which twenty neighbouring words (all words of a shorter
-item) agree in at least 80 of 100 positions.
+A seed hashes the words of a window that a fixed mask keeps; the other positions
+may differ.  The masks of an item follow from its number of words, so that every
+way to change 20 of 100 words of an overlap leaves one seed whole: none is lost.
+The seeds of all documents are joined with those of the benchmark items; a hit
+names a document, an item and a diagonal (difference of positions).  Every
+diagonal is then compared word by word: an overlap is a stretch of the item in
+which twenty neighbouring words (all words of a shorter item) agree in at least
+80 of 100 positions.
 
 The benchmark's seeds are written once, so Spark knows their size: under its
 broadcast threshold they are broadcast, beyond it the join shuffles both sides
 on the seed and splits hot ones.
 
 Cases: words are those between white space, lower-cased; null or empty texts
-and items have none; texts and items under ten words hold no seed and are never
-reported; null ids are left out; equal rows report once; empty tables give no
-row; further columns are ignored.
+and items have none; an item under five words is found where all its words
+stand; null ids are left out; equal rows report once; empty tables give no row;
+further columns are ignored.  ``OP3_SQL`` names the overlaps that ``SQL_MASKS`` hit,
+of items of ten words or more: a part of the rows where others exist.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pathcredit.llm.common import documents, table
 
-#: Fixed masks: word positions of a window that count.
-MASKS = ((0, 1, 3, 4, 6, 8, 9), (0, 2, 3, 4, 7, 8, 9))
-SPAN = 10
+#: (least words of an item, its masks): word positions of a window that count.  Each
+#: group hits every pattern of 20 % changed words in an item, or in twenty words of it.
+FAMILIES = (
+    (12, ((0, 1, 3, 4, 5), (0, 1, 2, 3, 4))),
+    (7, ((0, 1, 2, 4), (0, 1, 2, 3))),
+    (5, ((0, 1, 2), (0, 1, 3))),
+    (4, ((0, 1, 2, 3),)),
+    (3, ((0, 1, 2),)),
+    (2, ((0, 1),)),
+    (1, ((0,),)),
+)
+MASKS = tuple(dict.fromkeys(m for _, masks in FAMILIES for m in masks))
+#: The masks and window of ``OP3_SQL``.
+SQL_MASKS = ((0, 1, 3, 4, 6, 8, 9), (0, 2, 3, 4, 7, 8, 9))
+SQL_SPAN = 10
 OVERLAP_WORDS = 20
 PERCENT = 80
 
@@ -40,24 +57,31 @@ def _codes(text: str) -> Column:
     return F.transform(_words(text), lambda w: F.xxhash64(w))
 
 
-def _seeds(codes: str, spots: str) -> Column:
-    """The seeds of all windows, mask by mask."""
+def _family(size: Column) -> Column:
+    """The group of masks, by its least words, of an item; null without words."""
+    return F.coalesce(*[F.when(size >= least, F.lit(least)) for least, _ in FAMILIES])
+
+
+Mask = tuple[int, ...]
+
+
+def _seeds(codes: str, spots: str, masks: list[Mask]) -> Column:
+    """The seeds of all windows, mask by mask.  A window past the end hashes fewer
+    words: a pair more to compare, never one less."""
 
-    def of(mask: tuple[int, ...], number: int) -> Column:
+    def of(mask: Mask) -> Column:
         return F.transform(
             F.sequence(F.lit(0), F.col(spots) - 1),
-            lambda i: F.xxhash64(F.lit(number), *[F.get(F.col(codes), i + o) for o in mask]),
+            lambda i: F.xxhash64(F.lit(str(mask)), *[F.get(F.col(codes), i + o) for o in mask]),
         )
 
-    return F.concat(*[of(m, k) for k, m in enumerate(MASKS)])
+    return F.concat(*[of(m) for m in masks])
 
 
-def seeded(rows: DataFrame, key: str) -> DataFrame:
+def seeded(coded: DataFrame, key: str, masks: list[Mask]) -> DataFrame:
     """(key, seed, at) of every window and mask."""
-    spots = F.size("codes") - (SPAN - 1)
-    coded = rows.select(F.col(key).cast("long").alias(key), _codes("text").alias("codes")).filter(F.col(key).isNotNull())
-    counted = coded.withColumn("spots", spots)
-    some = F.when(F.col("spots") > 0, _seeds("codes", "spots"))  # a filter would compute the words twice
+    counted = coded.withColumn("spots", F.size("codes") - min(m[-1] for m in masks))
+    some = F.when(F.col("spots") > 0, _seeds("codes", "spots", masks))  # a filter would compute the words twice
     found = counted.select(key, "spots", F.posexplode(some).alias("place", "seed"))
     return found.select(key, "seed", F.pmod("place", "spots").alias("at"))
 
@@ -67,14 +91,19 @@ def overlaps(docs: DataFrame, items: DataFrame) -> DataFrame:
     every document, item and diagonal with an overlap."""
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").filter("doc_id is not null")
     asked = items.select(F.col("item_id").cast("long").alias("item_id"), "text").filter("item_id is not null")
-    seeds = table(seeded(asked, "item_id").select("seed", "item_id", F.col("at").alias("item_at")), "item-seeds")
-    hits = seeded(own, "doc_id").join(seeds, "seed").select("doc_id", "item_id", (F.col("at") - F.col("item_at")).alias("shift")).distinct()
+    coded = table(asked.select("item_id", _codes("text").alias("codes")).withColumn("family", _family(F.size("codes"))), "items")
+    present = {r["family"] for r in coded.select("family").distinct().collect()}
+    families = [(least, masks) for least, masks in FAMILIES if least in present] or [FAMILIES[0]]
+    seeds = reduce(DataFrame.unionByName, [seeded(coded.filter(F.col("family") == least), "item_id", list(masks)) for least, masks in families])
+    seeds = table(seeds.select("seed", "item_id", F.col("at").alias("item_at")), "item-seeds")
+    masks = list(dict.fromkeys(m for _, group in families for m in group))
+    hits = seeded(own.select("doc_id", _codes("text").alias("codes")), "doc_id", masks).join(seeds, "seed").select("doc_id", "item_id", (F.col("at") - F.col("item_at")).alias("shift")).distinct()
     hits = table(hits.groupBy("doc_id").agg(F.collect_list(F.struct("item_id", "shift")).alias("hits")), "hits")
 
     doc = own.join(hits, "doc_id").select("doc_id", _codes("text").alias("codes"), "hits")
     met = doc.select("doc_id", "codes", F.size("codes").alias("size"), F.explode("hits").alias("hit"))
     lined = met.select("doc_id", "hit.item_id", "hit.shift", F.greatest("hit.shift", F.lit(0)).alias("doc_from"), F.greatest(-F.col("hit.shift"), F.lit(0)).alias("item_from"), "codes", "size")
-    item = asked.select("item_id", _codes("text").alias("item_codes")).withColumn("item_size", F.size("item_codes"))
+    item = coded.select("item_id", F.col("codes").alias("item_codes"), F.size("codes").alias("item_size"))
     both = lined.join(item, "item_id").withColumn("length", F.least(F.col("item_size") - F.col("item_from"), F.col("size") - F.col("doc_from")))
     same = F.zip_with(
         F.slice("codes", F.col("doc_from") + 1, F.col("length")),
@@ -114,7 +143,7 @@ def op3_decontamination(spark, sf_dir):
 
 def _oracle() -> str:
     seed = " UNION ALL ".join(
-        f"SELECT id, kind, i, {k} AS mask, concat_ws(chr(31), {', '.join(f'w[i + {o + 1}]' for o in m)}) AS seed FROM spots" for k, m in enumerate(MASKS)
+        f"SELECT id, kind, i, {k} AS mask, concat_ws(chr(31), {', '.join(f'w[i + {o + 1}]' for o in m)}) AS seed FROM spots" for k, m in enumerate(SQL_MASKS)
     )
     return f"""
 WITH rows AS (
@@ -123,7 +152,7 @@ WITH rows AS (
 ), tokens AS (
   SELECT id, kind, list_filter(string_split_regex(lower(coalesce(text, '')), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w FROM rows
 ), spots AS (
-  SELECT id, kind, w, unnest(range(0, len(w) - {SPAN - 1})) AS i FROM tokens WHERE len(w) >= {SPAN}
+  SELECT id, kind, w, unnest(range(0, len(w) - {SQL_SPAN - 1})) AS i FROM tokens WHERE len(w) >= {SQL_SPAN}
 ), seeds AS ({seed}), hits AS (
   SELECT DISTINCT d.id AS doc_id, b.id AS item_id, d.i - b.i AS shift
   FROM seeds d JOIN seeds b ON d.seed = b.seed AND d.mask = b.mask AND d.kind = 'd' AND b.kind = 'b'

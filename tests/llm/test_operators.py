@@ -1,4 +1,5 @@
 import base64
+import itertools
 import random
 import zlib
 
@@ -262,3 +263,47 @@ def test_training_lowers_held_out_loss():
 
 def test_encoder_is_kept():
     assert encoder() is encoder()
+
+
+# ------------------------------------------------------------------ decontamination: every pattern
+
+
+def all_diagonals(docs, items, window=20, percent=80):
+    """:func:`brute.overlaps` over all diagonals, without seeds."""
+    out = set()
+    for d, t in docs:
+        w = t.lower().split()
+        for b, text in items:
+            item = text.lower().split()
+            for shift in range(-len(item) + 1, len(w)):
+                df, bf, size = max(shift, 0), max(-shift, 0), min(window, len(item))
+                same = [x == y for x, y in zip(w[df:], item[bf:])]
+                good = [i for i in range(len(same) - size + 1) if sum(same[i : i + size]) * 100 >= size * percent]
+                if good:
+                    end = good[-1] + size
+                    out.add((d, b, df + good[0], bf + good[0], end - good[0], sum(same[good[0] : end])))
+    return out
+
+
+@pytest.mark.parametrize("size", range(1, 24))
+def test_masks_hit_every_pattern(size):
+    masks = next(m for least, m in decontamination.FAMILIES if size >= least)
+    n = min(size, decontamination.OVERLAP_WORDS)
+    windows = [{i + o for o in m} for m in masks for i in range(n - m[-1])]
+    for changed in itertools.combinations(range(n), n * (100 - decontamination.PERCENT) // 100):
+        assert any(w.isdisjoint(changed) for w in windows), changed
+
+
+def test_overlaps_match_all_diagonals(spark):
+    rng = random.Random(6)
+    items = [(n, " ".join(f"i{n}w{k}" for k in range(n))) for n in (1, 2, 3, 4, 5, 6, 7, 9, 10, 11, 12, 15, 16, 19, 20, 30)]
+    docs = []
+    for n, text in items:
+        for k in range(20):
+            w = text.split()
+            for at in rng.sample(range(n), min(n, min(n, 20) // 5 + (k == 0))):
+                w[at] = f"x{k}"
+            docs.append((100 * n + k, " ".join([f"a{k}"] * (k % 3) + w + [f"b{k}"] * (k % 2))))
+    expected = all_diagonals(docs, items)
+    got = decontamination.overlaps(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
+    assert {tuple(r) for r in got.collect()} == expected and len(expected) > 19 * len(items) - 20
