@@ -4,6 +4,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from pathcredit.llm import attention, counts, decontamination, packing, personal, quality, scoring
@@ -261,6 +262,22 @@ def test_training_lowers_held_out_loss():
     assert score[1] > score[0] + 1
 
 
+def test_fitting_reads_the_whole_fold(spark, monkeypatch):
+    """One word in the documents past any thousand: counted, and trained on."""
+    monkeypatch.setattr(scoring, "LEAST_WINDOWS", 40_000)
+    rows = [(i, "the cat sat on a mat " * 3) for i in range(1200)] + [(2000 + i, "zebra quartz " * 12) for i in range(8)]
+    texts = spark.createDataFrame(rows, "doc_id long, text string").repartitionByRange(2, "doc_id")
+    known, model = scoring.fitted_on(texts, "byte_bpe_50k")
+    ids, first = scoring.subwords(pa.array([t for _, t in rows]), "byte_bpe_50k")
+    whole = attention.Vocabulary.of(np.bincount(ids, minlength=scoring.VOCABULARY_SIZE))
+    assert (known.symbol == whole.symbol).all() and (known.share == whole.share).all()
+    start = attention.start(np.random.default_rng(9), np.bincount(known.symbol[ids], minlength=attention.SYMBOLS))
+    ids, first = scoring.subwords(pa.array([rows[-1][1]]), "byte_bpe_50k")
+    inputs, opening, targets, place = scoring._laid(ids, first, known)
+    before, after = (attention.log_probabilities(p, inputs, opening, targets)[place].mean() for p in (start, model))
+    assert after > before + 0.3
+
+
 def test_encoder_is_kept():
     assert encoder() is encoder()
 
