@@ -1,11 +1,11 @@
-"""Substring deduplication by seed and extend.
-
-Documents are joined on winnowed anchors of six words.  From an anchor a match
-extends both ways as far as the twenty-word windows around it agree; a window
-that also starts earlier (smaller document, or earlier in the same one) marks
-its words, and marked words go.  Equal surroundings collapse first: the earliest
-occurrence of each distinct segment alone is extended against the other
-segments of its anchor, window by window on 64-bit hashes, so a hot passage
+"""Substring deduplication by anchors and window hashes.
+
+Documents are joined on winnowed anchors of six words.  No match is extended:
+every twenty-word window around an anchor is hashed and grouped by its hash; a
+window that also starts earlier (smaller document, or earlier in the same one)
+marks its words, and marked words go.  Equal surroundings collapse first: the
+windows of each distinct segment alone meet those of the other segments of its
+anchor, by 64-bit hashes, so a hot passage
 costs a row for each distinct surrounding and never a pair of documents.
 
 Cases: null text has no words; documents with fewer words than a window keep
