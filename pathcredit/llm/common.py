@@ -8,6 +8,7 @@ hash alike in every task, on every machine and in every run.
 
 from __future__ import annotations
 
+import hashlib
 import os
 import tempfile
 import uuid
@@ -209,6 +210,31 @@ def byte_spans(data: np.ndarray) -> Spans:
     return Spans(_SYMBOL[data])
 
 
+#: Longer spans are hashed one by one.
+_CHAINED_BYTES = 512
+
+
+def content_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hash of byte spans, eight bytes a step: every step mixes the bytes into all
+    that came before, so no two strings agree for a reason of their structure."""
+    size = (ends - starts).astype(np.int64)
+    out = mix(size.astype(np.uint64) + np.uint64(_BASE))
+    padded = np.concatenate([data, np.zeros(8, np.uint8)])
+    window = np.ndarray((len(data) + 1,), np.dtype("<u8"), padded, strides=(1,))
+    live = np.flatnonzero((size > 0) & (size <= _CHAINED_BYTES))
+    at, left = starts[live].astype(np.int64), size[live]
+    while len(live):
+        part = window[at]
+        short = left < 8
+        part[short] &= (np.uint64(1) << (left[short] * 8).astype(np.uint64)) - np.uint64(1)
+        out[live] = mix((out[live] ^ part) + np.uint64(_BASE))
+        more = left > 8
+        live, at, left = live[more], at[more] + 8, left[more] - 8
+    for i in np.flatnonzero(size > _CHAINED_BYTES).tolist():
+        out[i] = int.from_bytes(hashlib.blake2b(data[starts[i] : ends[i]].tobytes(), digest_size=8).digest(), "little")
+    return out
+
+
 def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Words ``[^\\x20\\x09-\\x0D]+`` of every document: byte starts, byte ends
     (exclusive) and, per document, the index of its first word (n + 1)."""
@@ -256,8 +282,6 @@ def binary_array(data: bytes | np.ndarray, offsets: np.ndarray) -> pa.Array:
 
 def kept_words_digest(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, keep: np.ndarray, first: np.ndarray) -> list[str]:
     """Per document: sha256 of its kept words joined by one space."""
-    import hashlib
-
     out, raw = [], data.tobytes()
     for d in range(len(first) - 1):
         lo, hi = first[d], first[d + 1]
