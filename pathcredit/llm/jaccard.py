@@ -1,12 +1,13 @@
 """N-gram Jaccard join: rare-first prefix filtering.
 
 A document is the set of its distinct five-word shingles (A-Z lower-cased).
-Documents with equal sets collapse first.  Every shingle is counted over the
-distinct sets, and a set is ordered by (count, shingle), rare ones first.  Two
-sets that link share a shingle among their first ``n - ceil(t n) + 1`` (the
-prefix), so only those are joined.  Shingles that one set holds alone lead the
-order and meet nobody: they are never shuffled back, and a set with too few
-shared shingles leaves the search.  A pair that meets is dropped by
+Documents with equal sets collapse to one.  A fixed share of all shingles, larger
+than a prefix, is counted over the documents; a set is ordered by (count, shingle),
+rare ones first, and by shingle beyond that share.  Two sets that link share a
+shingle among their first ``n - ceil(t n) + 1`` (the prefix), so only those are
+joined.  Counted shingles that one document holds alone lead the order and meet
+nobody: a set with more of them than ``n - ceil(t n)`` leaves the search.  A pair that
+meets is dropped by
 
 * length: the smaller set has at least ``t`` times the larger one's elements,
 * position: what follows the common shingle on either side is long enough,
@@ -19,7 +20,7 @@ set meets the centre (the set with most shared shingles) of the shingle that it
 shares most of, for a few rounds; a shingle whose sets are then in one component
 is settled, since further links change nothing.  In all others, sets of different
 components meet in bands of equal length cut into blocks.  Shingles in very many
-sets are listed by a sketch and counted apart, so no task holds all their rows.
+sets are listed by counters that every task keeps, and counted apart, so no task holds all their rows.
 
 Cases: null or empty text, or text without words, has an empty set and links
 with nothing; under five words the whole sequence is one shingle; a null
@@ -35,9 +36,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pathcredit.llm.common import content_hashes, documents, lower, mix, ship, steps, table, utf8, words
+from pathcredit.llm.common import content_hashes, documents, lower, mix, partitions, ship, steps, table, utf8, words
 from pathcredit.llm.components import components
-from pathcredit.operators.sequence import split_hot
 
 PERCENT = 80
 SHINGLE = 5
@@ -45,6 +45,11 @@ SHINGLE = 5
 BLOCK_ROWS = 1024
 #: Rounds in which sets meet centres before blocks meet.
 CENTRE_ROUNDS = 3
+#: Share of all shingles, by their hash, that are counted and so ordered rare-first;
+#: the others follow in the order.  A prefix is a fifth of a set.
+COUNTED = 5 / 16
+#: Rows of one shingle that are never too many for a task.
+HOT_ROWS = 1_000_000
 #: Classes of shingles that the suffix filter counts.
 CLASSES = 8
 
@@ -77,44 +82,136 @@ def shingle_sets(column: pa.Array, k: int) -> tuple[np.ndarray, np.ndarray]:
     return out[fresh], np.concatenate([[0], np.cumsum(fresh)])[edge]
 
 
-_SETS = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("set_a", pa.int64()), ("set_b", pa.int64()), ("elements", pa.list_(pa.int64()))])
+def _digests(elements: np.ndarray, first: np.ndarray) -> list[np.ndarray]:
+    """Two 64-bit names of every set."""
+    sums = [np.concatenate([[np.uint64(0)], np.cumsum(mix(elements ^ np.uint64(salt)), dtype=np.uint64)]) for salt in (0x5BD1E995, 0xC2B2AE35)]
+    return [(s[first[1:]] - s[first[:-1]]).view(np.int64) for s in sums]
 
 
-def hashed_sets(docs: DataFrame, k: int) -> DataFrame:
-    """(row, doc_id, n, set_a, set_b, elements): a row a document, numbered; 128 bits
-    name its set."""
+class Frequent:
+    """Tokens that a task meets often: the mergeable counters of Misra and Gries over
+    those that a step holds more than once."""
+
+    def __init__(self, most: int = 4096):
+        self.most, self.tokens, self.rows = most, np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def add(self, elements: np.ndarray) -> None:
+        values = np.sort(elements.view(np.int64))
+        edge = np.flatnonzero(np.concatenate([[True], values[1:] != values[:-1], [True]])) if len(values) else np.zeros(1, np.int64)
+        count = np.diff(edge)
+        often = count > 1
+        tokens, at = np.unique(np.concatenate([self.tokens, values[edge[:-1][often]]]), return_inverse=True)
+        rows = np.bincount(at, np.concatenate([self.rows, count[often]]), len(tokens)).astype(np.int64)
+        if len(rows) > self.most:
+            rows -= np.partition(rows, -self.most - 1)[-self.most - 1]
+        self.tokens, self.rows = tokens[rows > 0], rows[rows > 0]
+
+
+_MARKS = pa.schema([(c, pa.int64()) for c in ("doc_id", "n", "counted", "set_a", "set_b", "token", "rows")])
+
+
+def _counted(elements: np.ndarray) -> np.ndarray:
+    """Whether a shingle is among those that are counted: a fixed share by its hash."""
+    return elements < np.uint64(int(COUNTED * 2**64))
+
+
+def _sums(flags: np.ndarray, first: np.ndarray) -> np.ndarray:
+    return np.diff(np.concatenate([[0], np.cumsum(flags)])[first])
+
+
+def marked_sets(docs: DataFrame, k: int) -> DataFrame:
+    """(doc_id, n, counted, set_a, set_b) of every document, 128 bits that name its set;
+    and (token, rows) of the counted tokens that a task meets often."""
 
     def run(batches):
+        frequent = Frequent()
         for batch in steps(batches):
             elements, first = shingle_sets(batch.column(1), k)
-            sums = [np.concatenate([[np.uint64(0)], np.cumsum(mix(elements ^ np.uint64(salt)), dtype=np.uint64)]) for salt in (0x5BD1E995, 0xC2B2AE35)]
-            set_a, set_b = (pa.array((s[first[1:]] - s[first[:-1]]).view(np.int64)) for s in sums)
-            lists = pa.ListArray.from_arrays(pa.array(first, pa.int32()), pa.array(elements.view(np.int64))).cast(_SETS.field(4).type)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.diff(first)), set_a, set_b, lists], schema=_SETS)
+            counted = _counted(elements)
+            frequent.add(elements[counted])
+            none = pa.nulls(len(batch), pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.diff(first)), pa.array(_sums(counted, first)), *map(pa.array, _digests(elements, first)), none, none], schema=_MARKS)
+        none = pa.nulls(len(frequent.tokens), pa.int64())
+        yield pa.RecordBatch.from_arrays([none] * 5 + [pa.array(frequent.tokens), pa.array(frequent.rows)], schema=_MARKS)
 
-    mapped = docs.mapInArrow(run, "doc_id long, n long, set_a long, set_b long, elements array<long>")
-    return mapped.withColumn("row", F.monotonically_increasing_id())
+    return docs.mapInArrow(run, "doc_id long, n long, counted long, set_a long, set_b long, token long, rows long")
 
 
-def with_frequency(tokens: DataFrame) -> DataFrame:
-    """(token, rep, sets): rows of tokens that several sets hold, with how many.  The
-    few tokens of very many rows are counted by partial sums; the others meet on the
+def counted_tokens(docs: DataFrame, k: int) -> DataFrame:
+    """(token, doc_id) of the counted shingles of all documents."""
+
+    def run(batches):
+        for batch in steps(batches):
+            elements, first = shingle_sets(batch.column(1), k)
+            counted = _counted(elements)
+            edge = np.concatenate([[0], np.cumsum(counted)])[first]
+            lists = pa.ListArray.from_arrays(pa.array(edge, pa.int32()), pa.array(elements[counted].view(np.int64)))
+            yield pa.RecordBatch.from_arrays([batch.column(0), lists], ["doc_id", "elements"])
+
+    return docs.mapInArrow(run, "doc_id long, elements array<long>").select(F.explode("elements").alias("token"), "doc_id")
+
+
+def with_frequency(tokens: DataFrame, hot: list[int]) -> DataFrame:
+    """(token, doc_id, sets): rows of tokens that several documents hold, once each, with
+    how many.  Those of ``hot`` tokens are counted by partial sums; the others meet on the
     token."""
-    ordinary, hot, _ = split_hot(tokens, ["token"])
-    parts = []
-    if ordinary is not None:
-        parts.append(ordinary.withColumn("sets", F.count("*").over(Window.partitionBy("token"))))
-    if hot is not None:  # at most as many tokens as there are partitions
-        parts.append(hot.join(F.broadcast(hot.groupBy("token").agg(F.count("*").alias("sets"))), "token"))
-    out = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+    by_token = Window.partitionBy("token")
+    fresh = tokens.filter(~F.col("token").isin(hot)) if hot else tokens
+    fresh = fresh.withColumn("fresh", ~F.lag("doc_id").over(by_token.orderBy("doc_id")).eqNullSafe(F.col("doc_id"))).filter("fresh").drop("fresh")
+    out = fresh.withColumn("sets", F.count("*").over(by_token))
+    if hot:
+        some = tokens.filter(F.col("token").isin(hot)).distinct()
+        out = out.unionByName(some.join(F.broadcast(some.groupBy("token").agg(F.count("*").alias("sets"))), "token"))
     return out.filter("sets > 1")
 
 
+def hot_tokens(marks: DataFrame, hot_rows: int) -> list[int]:
+    """Tokens of more rows than a task's share; at most as many as there are shuffle
+    partitions.  A token that is listed wrongly or missed gets the same result."""
+    total = marks.agg(F.sum("counted")).first()[0] or 0
+    least = max(hot_rows, -(-total // partitions(marks.sparkSession)))
+    often = marks.filter("token is not null").groupBy("token").agg(F.sum("rows").alias("rows")).filter(F.col("rows") > least)
+    return [r[0] for r in often.select("token").collect()]
+
+
 def least_overlap(n: F.Column, percent: int) -> F.Column:
     """ceil(t n)"""
     return F.floor((n * percent + 99) / 100).cast("long")
 
 
+def ordered_sets(docs: DataFrame, wanted: DataFrame, k: int, percent: int) -> DataFrame:
+    """(rep, n, core) of the sets that ``wanted`` (rep, doc_id, set_a, set_b, shared) names:
+    their shingles in the order of the join, without counted ones that one document
+    holds alone."""
+
+    def run(batches):
+        done = set()
+        for batch in steps(batches):
+            elements, first = shingle_sets(batch.column(1), k)
+            a, b = _digests(elements, first)
+            own = (a == batch.column(3).to_numpy()) & (b == batch.column(4).to_numpy())  # another text may have the same id
+            reps, shared = batch.column(2).to_pylist(), batch.column(5)
+            out = []
+            for i in np.flatnonzero(own).tolist():
+                if reps[i] in done:
+                    continue
+                done.add(reps[i])
+                held = elements[first[i] : first[i + 1]]
+                counted = int(_counted(held).sum())
+                rare = np.array(shared[i].as_py() or [], np.int64).view(np.uint64)
+                at = np.minimum(np.searchsorted(held, rare), len(held) - 1)
+                rare = rare[held[at] == rare]
+                if counted - len(rare) <= len(held) - (percent * len(held) + 99) // 100:
+                    out.append((reps[i], len(held), np.concatenate([rare, held[counted:]]).view(np.int64)))
+            if out:
+                rep, n, core = zip(*out)
+                lists = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, core)]), pa.int32()), pa.array(np.concatenate(core)))
+                yield pa.RecordBatch.from_arrays([pa.array(rep), pa.array(n), lists], ["rep", "n", "core"])
+
+    texts = docs.join(wanted, "doc_id").select("doc_id", "text", "rep", "set_a", "set_b", "shared")
+    return texts.mapInArrow(run, "rep long, n long, core array<long>")
+
+
 _POSTINGS = pa.schema([("token", pa.int64()), ("rep", pa.int64()), ("n", pa.int64()), ("shared", pa.int64()), ("rest", pa.int64()), *[(f"c{c}", pa.int32()) for c in range(CLASSES)]])
 _POSTINGS_DDL = "token long, rep long, n long, shared long, rest long, " + ", ".join(f"c{c} int" for c in range(CLASSES))
 
@@ -211,23 +308,28 @@ def links(cores: DataFrame, percent: int, block_rows: int, centre_rounds: int) -
     return found if found is not None else cores.select(F.col("rep").alias("u"), F.col("rep").alias("v")).limit(0)
 
 
-def joined(docs: DataFrame, percent: int = PERCENT, k: int = SHINGLE, block_rows: int = BLOCK_ROWS, centre_rounds: int = CENTRE_ROUNDS) -> DataFrame:
+def joined(docs: DataFrame, percent: int = PERCENT, k: int = SHINGLE, block_rows: int = BLOCK_ROWS, centre_rounds: int = CENTRE_ROUNDS, hot_rows: int = HOT_ROWS) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every document."""
     ship(docs.sparkSession)
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").filter("doc_id is not null")
-    sets = table(hashed_sets(own, k), "sets")
+    marks = table(marked_sets(own, k), "marks")
     name = ["set_a", "set_b", "n"]
-    groups = table(sets.filter("n > 0").groupBy(*name).agg(F.min("row").alias("rep"), F.min("doc_id").alias("first_doc")), "distinct-sets")
-    tokens = sets.join(groups.select("rep"), sets.row == F.col("rep"), "left_semi").select(F.explode("elements").alias("token"), F.col("row").alias("rep"))
+    groups = marks.filter("n > 0").groupBy(*name, "counted").agg(F.min("doc_id").alias("doc_id"))
+    groups = table(groups.withColumn("rep", F.monotonically_increasing_id()), "distinct-sets")
+    often = with_frequency(counted_tokens(own, k), hot_tokens(marks, hot_rows))
     order = F.array_sort(F.collect_list(F.struct("sets", "token"))).getField("token")
-    cores = with_frequency(tokens).groupBy("rep").agg(order.alias("core")).join(groups.select("rep", "n"), "rep")
-    cores = table(cores.filter(F.size("core") >= least_overlap(F.col("n"), percent)).select("rep", "n", "core"), "cores")
+    ids = groups.select("doc_id").distinct()
+    shared = often.join(ids, "doc_id", "left_semi").groupBy("doc_id").agg(order.alias("shared"))
+    alone = F.col("counted") - F.coalesce(F.size("shared"), F.lit(0))
+    able = groups.join(shared, "doc_id", "left").filter(alone <= F.col("n") - least_overlap(F.col("n"), percent))
+    able = table(able.select("rep", "doc_id", "set_a", "set_b", "shared"), "able-sets")
+    cores = table(ordered_sets(own, able, k, percent), "cores")
     label = components(links(cores, percent, block_rows, centre_rounds)).distinct()
-    member = groups.join(label, groups.rep == label.node, "left").select(*name, "first_doc", F.coalesce("component", "rep").alias("component"))
+    member = groups.join(label, groups.rep == label.node, "left").select(*name, "doc_id", F.coalesce("component", "rep").alias("component"))
     member = table(member, "members")
-    lowest = member.groupBy("component").agg(F.min("first_doc").alias("lowest"))
+    lowest = member.groupBy("component").agg(F.min("doc_id").alias("lowest"))
     classes = table(member.join(lowest, "component").select(*name, "lowest"), "classes")
-    result = sets.select("doc_id", *name).join(classes, name, "left")
+    result = marks.filter("doc_id is not null").select("doc_id", *name).join(classes, name, "left")
     return result.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("lowest", "doc_id").alias("component_id"))
 
 

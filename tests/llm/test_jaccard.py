@@ -44,12 +44,16 @@ def test_chains_are_whole_with_any_blocks(spark, block_rows, centre_rounds):
     assert pairs(jaccard.joined(df, 80, block_rows=block_rows, centre_rounds=centre_rounds)) == expected(rows)
 
 
-def test_hot_shingles_are_counted_apart(spark, docs, rows):
-    spark.conf.set("pathcredit.sequence.hotKeyRows", "5")
-    try:
-        assert pairs(jaccard.joined(docs).distinct()) == expected(rows)
-    finally:
-        spark.conf.unset("pathcredit.sequence.hotKeyRows")
+def test_hot_shingles_are_counted_apart(docs, rows):
+    assert pairs(jaccard.joined(docs, hot_rows=2).distinct()) == expected(rows)
+
+
+def test_frequent_tokens():
+    rng, frequent = np.random.default_rng(2), jaccard.Frequent(20)
+    for _ in range(30):
+        frequent.add(np.concatenate([rng.integers(100, 1 << 60, 500), np.repeat(np.arange(5), 40)]).astype(np.uint64))
+    found = dict(zip(frequent.tokens.tolist(), frequent.rows.tolist()))
+    assert all(found[t] >= 1100 for t in range(5)) and len(found) <= 20
 
 
 def test_one_id_with_two_texts(spark):
