@@ -17,10 +17,11 @@ the others are verified once a pair, on the full sets.
 
 Prefix shingles that many sets share do not spell out their pairs: first every
 set meets the centre (the set with most shared shingles) of the shingle that it
-shares most of, for a few rounds; a shingle whose sets are then in one component
-is settled, since further links change nothing.  In all others, sets of different
-components meet in bands of equal length cut into blocks.  Shingles in very many
-sets are listed by counters that every task keeps, and counted apart, so no task holds all their rows.
+shares most of; a shingle whose sets are then in one component is settled, since
+further links change nothing.  In all others, sets of different components meet
+block by block: the filters pick those that could link, and full sets give the
+links that join components.  Shingles in very many sets are listed by counters that
+every task keeps, and counted apart, so no task holds all their rows.
 
 Cases: null or empty text, or text without words, has an empty set and links
 with nothing; under five words the whole sequence is one shingle; a null
@@ -31,6 +32,8 @@ are ignored.
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
@@ -44,7 +47,7 @@ SHINGLE = 5
 #: Sets that one block of a shared shingle, or one copy of a centre, meets.
 BLOCK_ROWS = 1024
 #: Rounds in which sets meet centres before blocks meet.
-CENTRE_ROUNDS = 3
+CENTRE_ROUNDS = 1
 #: Share of all shingles, by their hash, that are counted and so ordered rare-first;
 #: the others follow in the order.  A prefix is a fifth of a set.
 COUNTED = 5 / 16
@@ -267,45 +270,158 @@ def to_centres(postings: DataFrame, percent: int, turn: int) -> DataFrame:
     return table(met.groupBy("rep").agg(F.max(F.struct("count", "centre")).alias("top")).select(F.col("rep").alias("u"), F.col("top.centre").alias("v")), "centre-pairs")
 
 
-def met_pairs(postings: DataFrame, percent: int, block_rows: int) -> DataFrame:
-    """Pairs of different components that share a prefix shingle and pass the length,
-    positional and suffix filters, each once."""
+# ------------------------------------------------------------------ crowded shingles
+
+_SKETCH = 256
+_UNIT = ["token", "lo", "hi"]
+_WANTED = pa.schema([("token", pa.int64()), ("lo", pa.int32()), ("hi", pa.int32()), ("block", pa.int32()), ("rep", pa.int64()), ("component", pa.int64()), ("n", pa.int64())])
+_WANTED_DDL = "token long, lo int, hi int, block int, rep long, component long, n long"
+_LINK = pa.schema([("u", pa.int64()), ("v", pa.int64())])
+
+
+def sketches(cores: DataFrame) -> DataFrame:
+    """(rep, sketch): shingles by a finer class, a byte each; all 255 where one does not
+    fit."""
+
+    def run(batches):
+        for batch in batches:
+            for at in range(0, len(batch), 256):
+                part = batch.slice(at, 256)
+                count = part.column(1).value_lengths().to_numpy()
+                kind = mix(part.column(1).flatten().to_numpy().view(np.uint64).copy()) & np.uint64(_SKETCH - 1)
+                key = np.repeat(np.arange(len(part)), count) * _SKETCH + kind.astype(np.int64)
+                held = np.bincount(key, minlength=len(part) * _SKETCH).reshape(-1, _SKETCH)
+                held[held.max(1) > 254] = 255
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array([x.tobytes() for x in held.astype(np.uint8)], pa.binary())], ["rep", "sketch"])
+
+    return cores.select("rep", "core").mapInArrow(run, "rep long, sketch binary")
+
+
+def _groups(bundle: pa.Table) -> list[np.ndarray]:
+    """Row numbers of every unit (a shingle and two blocks) in a bundle."""
+    columns = [bundle.column(c).to_numpy() for c in _UNIT]
+    order = np.lexsort(columns[::-1])
+    new = np.zeros(len(order), bool)
+    for c in columns:
+        new[1:] |= c[order][1:] != c[order][:-1]
+    return np.split(order, np.flatnonzero(new))
+
+
+def could_link(percent: int):
+    def run(bundle: pa.Table) -> pa.Table:
+        """Rows that have a partner of another component in their unit which passes the
+        length, positional and suffix filters."""
+        comp, n, rest, block, low, high = (bundle.column(c).to_numpy() for c in ("component", "n", "rest", "block", "lo", "hi"))
+        follow = np.stack([bundle.column(f"c{c}").to_numpy() for c in range(CLASSES)], 1)
+        sketch = np.frombuffer(b"".join(bundle.column("sketch").to_pylist()), np.uint8).reshape(-1, _SKETCH)
+        wide = sketch.min(1) == 255
+        wanted = np.zeros(len(comp), bool)
+
+        def check(i, j):
+            """Mark the pairs that pass; all are of different components."""
+            need = -(-percent * (n[i] + n[j]) // (100 + percent))
+            good = (100 * np.minimum(n[i], n[j]) >= percent * np.maximum(n[i], n[j])) & (1 + np.minimum(rest[i], rest[j]) >= need)
+            i, j, need = i[good], j[good], need[good]
+            good = 1 + np.minimum(follow[i], follow[j]).sum(1) >= need
+            i, j, need = i[good], j[good], need[good]
+            for a in range(0, len(i), 4096):
+                l, r = i[a : a + 4096], j[a : a + 4096]
+                good = (np.minimum(sketch[l], sketch[r]).sum(1, dtype=np.int64) >= need[a : a + 4096]) | wide[l] | wide[r]
+                wanted[l[good]] = wanted[r[good]] = True
+
+        left, right, held = [], [], 0
+        for rows in _groups(bundle):
+            lo, hi = low[rows[0]], high[rows[0]]
+            own, others = rows[block[rows] == lo], rows[block[rows] == hi]
+            for k, i in enumerate(own.tolist()):
+                j = others[k + 1 :] if lo == hi else others
+                j = j[comp[j] != comp[i]]
+                left.append(np.full(len(j), i))
+                right.append(j)
+                held += len(j)
+                if held > 1 << 17:
+                    check(np.concatenate(left), np.concatenate(right))
+                    left, right, held = [], [], 0
+        if left:
+            check(np.concatenate(left), np.concatenate(right))
+        return bundle.filter(pa.array(wanted)).select(_WANTED.names).cast(_WANTED)
+
+    return run
+
+
+def connecting(percent: int):
+    def run(bundle: pa.Table) -> pa.Table:
+        """Links between different components of a unit, on the full sets: as many as join
+        components, since further ones change nothing."""
+        rep, comp, n, block, low, high = (bundle.column(c).to_numpy() for c in ("rep", "component", "n", "block", "lo", "hi"))
+        cores = bundle.column("core").combine_chunks()
+        tokens, first = cores.flatten().to_numpy(), np.concatenate([[0], np.cumsum(cores.value_lengths().to_numpy())])
+        u, v = [], []
+        for rows in _groups(bundle):
+            lo, hi = low[rows[0]], high[rows[0]]
+            size, total = first[rows + 1] - first[rows], n[rows]
+            edge = np.concatenate([[0], np.cumsum(size)])
+            _, place = np.unique(np.concatenate([tokens[first[r] : first[r + 1]] for r in rows.tolist()]), return_inverse=True)
+            order = np.argsort(place, kind="stable")
+            owner = np.repeat(np.arange(len(rows)), size)[order]
+            head = np.concatenate([[0], np.cumsum(np.bincount(place))])
+            right, label = block[rows] == hi, comp[rows].copy()
+            for i in np.flatnonzero(block[rows] == lo).tolist():
+                if not (right & (label != label[i])).any():
+                    continue
+                own = place[edge[i] : edge[i + 1]]
+                count = head[own + 1] - head[own]
+                at = np.repeat(head[own] - (np.cumsum(count) - count), count) + np.arange(count.sum())
+                both = np.bincount(owner[at], minlength=len(rows))
+                j = np.flatnonzero(right & (label != label[i]) & (100 * both >= percent * (total + total[i] - both)))
+                while len(j):
+                    u.append(rep[rows[i]])
+                    v.append(rep[rows[j[0]]])
+                    label[label == label[j[0]]] = label[i]
+                    j = j[label[j] != label[i]]
+        return pa.table([pa.array(u, pa.int64()), pa.array(v, pa.int64())], schema=_LINK)
+
+    return run
+
+
+def _bundled(units: DataFrame) -> DataFrame:
+    """Deal the units to bundles of about a million shingles: one call for many."""
+    bundles = max(1, (units.agg(F.sum("n")).first()[0] or 0) // 1_000_000)
+    return units.withColumn("bundle", F.pmod(F.xxhash64(*_UNIT), F.lit(bundles)))
+
+
+def met_links(postings: DataFrame, cores: DataFrame, percent: int, block_rows: int) -> DataFrame:
+    """Links that connect the components of sets that share a prefix shingle.  The sets of
+    a shingle meet block by block, so that a block holds at most about ``block_rows``
+    sets and as many times 512 shingles."""
+    size = F.greatest(F.count("*") / block_rows, F.sum("n") / (512 * block_rows))
+    blocks = table(postings.groupBy("token").agg(F.ceil(size).cast("int").alias("blocks")), "blocks")
+    member = postings.join(blocks, "token").withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
+    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     classes = [f"c{c}" for c in range(CLASSES)]
-    band = F.floor(F.log("n") / F.log(F.lit(100 / percent + 1e-9))).cast("int")
-    blocks = table(postings.groupBy("token").agg(F.ceil(F.count("*") / block_rows).cast("int").alias("blocks")), "blocks")
-    member = postings.join(blocks, "token").withColumn("band", band)
-    left = member.withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")).drop("blocks", "shared")
-    right = member.drop("shared").withColumnsRenamed({x: f"{x}2" for x in ("rep", "n", "rest", "component", *classes)})
-    right = right.withColumn("band", F.explode(F.array(F.col("band"), F.col("band") - 1))).withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).drop("blocks")
-    both = left.join(right, ["token", "band", "block"])
-    need = F.floor((percent * (F.col("n") + F.col("n2")) + 99 + percent) / (100 + percent))
-    follows = sum((F.least(c, f"{c}2") for c in classes[1:]), F.least(classes[0], f"{classes[0]}2"))
-    ordered = (F.col("n") < F.col("n2")) | ((F.col("n") == F.col("n2")) & (F.col("rep") < F.col("rep2")))
-    kept = both.filter(ordered & (F.col("component") != F.col("component2")) & _long_enough(percent)).filter((1 + F.least("rest", "rest2") >= need) & (1 + follows >= need))
-    return table(kept.select(F.col("rep").alias("u"), F.col("rep2").alias("v")).distinct(), "met-pairs")
+    units = member.withColumn("other", other).select("token", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "block", "rep", "component", "n", "rest", *classes)
+    units = table(units, "units")
+    some = sketches(cores.join(units.select("rep").distinct(), "rep", "left_semi"))
+    wanted = table(_bundled(units).join(some, "rep").groupBy("bundle").applyInArrow(could_link(percent), _WANTED_DDL), "wanted")
+    return _bundled(wanted).join(cores.select("rep", "core"), "rep").groupBy("bundle").applyInArrow(connecting(percent), "u long, v long")
 
 
 def links(cores: DataFrame, percent: int, block_rows: int, centre_rounds: int) -> DataFrame:
     """Links ``u``, ``v`` that connect all sets over the threshold.  ``cores``: (rep, n,
-    core), the shared shingles of the sets, rare ones first."""
+    core), the sets in the order of the join."""
     postings = table(prefixes(cores, percent), "postings")
     several = table(postings.groupBy("token").agg(F.count("*").alias("members")).filter("members > 1").select("token"), "several")
     open_ = table(postings.join(several, "token", "left_semi").withColumn("component", F.col("rep")), "open")
-    found = None
-    for turn in range(centre_rounds + 1):
-        if open_.isEmpty():
-            break
-        last = turn == centre_rounds
-        pairs = met_pairs(open_, percent, block_rows) if last else to_centres(open_, percent, turn)
-        new = table(verified(pairs, cores, percent, block_rows), "links")
-        found = new if found is None else found.unionByName(new)
-        if last:
-            break
-        label = components(found)
+    found = []
+    for turn in range(centre_rounds):
+        pairs = to_centres(open_, percent, turn)
+        found.append(table(verified(pairs, cores, percent, block_rows), "links"))
+        label = components(reduce(DataFrame.unionByName, found))
         marked = table(open_.drop("component").join(label, open_.rep == label.node, "left").withColumn("component", F.coalesce("component", "rep")).drop("node"), "marked")
         mixed = table(marked.groupBy("token").agg(F.min("component").alias("a"), F.max("component").alias("b")).filter("a <> b").select("token"), "mixed")
         open_ = table(marked.join(mixed, "token", "left_semi"), "open")
-    return found if found is not None else cores.select(F.col("rep").alias("u"), F.col("rep").alias("v")).limit(0)
+    found.append(table(met_links(open_, cores, percent, block_rows), "links"))
+    return reduce(DataFrame.unionByName, found)
 
 
 def joined(docs: DataFrame, percent: int = PERCENT, k: int = SHINGLE, block_rows: int = BLOCK_ROWS, centre_rounds: int = CENTRE_ROUNDS, hot_rows: int = HOT_ROWS) -> DataFrame:
