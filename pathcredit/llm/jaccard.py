@@ -6,8 +6,9 @@ than a prefix, is counted over the documents; a set is ordered by (count, shingl
 rare ones first, and by shingle beyond that share.  Two sets that link share a
 shingle among their first ``n - ceil(t n) + 1`` (the prefix), so only those are
 joined.  Counted shingles that one document holds alone lead the order and meet
-nobody: a set with more of them than ``n - ceil(t n)`` leaves the search.  A pair that
-meets is dropped by
+nobody: a set with more of them than ``n - ceil(t n)`` leaves the search.  Of prefix
+shingles that the same sets hold, the first one stands for all.  A pair that meets is
+dropped by
 
 * length: the smaller set has at least ``t`` times the larger one's elements,
 * position: what follows the common shingle on either side is long enough,
@@ -406,12 +407,20 @@ def met_links(postings: DataFrame, cores: DataFrame, percent: int, block_rows: i
     return _bundled(wanted).join(cores.select("rep", "core"), "rep").groupBy("bundle").applyInArrow(connecting(percent), "u long, v long")
 
 
+def first_tokens(postings: DataFrame) -> DataFrame:
+    """(token): of all prefix shingles that the same two sets or more hold, the first in
+    the order.  The first common shingle of any pair is among them, and there the filters
+    hold."""
+    names = [F.bit_xor(F.xxhash64("rep", F.lit(i))).alias(f"set_{i}") for i in (1, 2)]
+    members = postings.groupBy("token").agg(F.count("*").alias("members"), F.sum("rest").alias("rest"), *names).filter("members > 1")
+    return members.groupBy("members", "set_1", "set_2").agg(F.max(F.struct("rest", "token")).alias("top")).select("top.token")
+
+
 def links(cores: DataFrame, percent: int, block_rows: int, centre_rounds: int) -> DataFrame:
     """Links ``u``, ``v`` that connect all sets over the threshold.  ``cores``: (rep, n,
     core), the sets in the order of the join."""
     postings = table(prefixes(cores, percent), "postings")
-    several = table(postings.groupBy("token").agg(F.count("*").alias("members")).filter("members > 1").select("token"), "several")
-    open_ = table(postings.join(several, "token", "left_semi").withColumn("component", F.col("rep")), "open")
+    open_ = table(postings.join(table(first_tokens(postings), "first-tokens"), "token", "left_semi").withColumn("component", F.col("rep")), "open")
     found = []
     for turn in range(centre_rounds):
         pairs = to_centres(open_, percent, turn)
