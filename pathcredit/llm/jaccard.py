@@ -274,9 +274,8 @@ def to_centres(postings: DataFrame, percent: int, turn: int) -> DataFrame:
 # ------------------------------------------------------------------ crowded shingles
 
 _SKETCH = 256
-_UNIT = ["token", "lo", "hi"]
-_WANTED = pa.schema([("token", pa.int64()), ("lo", pa.int32()), ("hi", pa.int32()), ("block", pa.int32()), ("rep", pa.int64()), ("component", pa.int64()), ("n", pa.int64())])
-_WANTED_DDL = "token long, lo int, hi int, block int, rep long, component long, n long"
+_UNIT = ["key", "lo", "hi"]
+_WANTED = pa.schema([(c, pa.int64()) for c in ("anchor", "rep", "component", "n")])
 _LINK = pa.schema([("u", pa.int64()), ("v", pa.int64())])
 
 
@@ -299,7 +298,7 @@ def sketches(cores: DataFrame) -> DataFrame:
 
 
 def _groups(bundle: pa.Table) -> list[np.ndarray]:
-    """Row numbers of every unit (a shingle and two blocks) in a bundle."""
+    """Row numbers of every unit (a key and two blocks) in a bundle."""
     columns = [bundle.column(c).to_numpy() for c in _UNIT]
     order = np.lexsort(columns[::-1])
     new = np.zeros(len(order), bool)
@@ -310,7 +309,7 @@ def _groups(bundle: pa.Table) -> list[np.ndarray]:
 
 def could_link(percent: int):
     def run(bundle: pa.Table) -> pa.Table:
-        """Rows that have a partner of another component in their unit which passes the
+        """Sets that have a partner of another component in their unit which passes the
         length, positional and suffix filters."""
         comp, n, rest, block, low, high = (bundle.column(c).to_numpy() for c in ("component", "n", "rest", "block", "lo", "hi"))
         follow = np.stack([bundle.column(f"c{c}").to_numpy() for c in range(CLASSES)], 1)
@@ -345,7 +344,7 @@ def could_link(percent: int):
                     left, right, held = [], [], 0
         if left:
             check(np.concatenate(left), np.concatenate(right))
-        return bundle.filter(pa.array(wanted)).select(_WANTED.names).cast(_WANTED)
+        return bundle.filter(pa.array(wanted)).select(_WANTED.names).cast(_WANTED).group_by(_WANTED.names).aggregate([])
 
     return run
 
@@ -391,36 +390,43 @@ def _bundled(units: DataFrame) -> DataFrame:
     return units.withColumn("bundle", F.pmod(F.xxhash64(*_UNIT), F.lit(bundles)))
 
 
-def met_links(postings: DataFrame, cores: DataFrame, percent: int, block_rows: int) -> DataFrame:
-    """Links that connect the components of sets that share a prefix shingle.  The sets of
-    a shingle meet block by block, so that a block holds at most about ``block_rows``
-    sets and as many times 512 shingles."""
+def _dealt(members: DataFrame, block_rows: int, columns: list[str]) -> DataFrame:
+    """The members of every key in units of two blocks, such that a block holds at most
+    about ``block_rows`` sets and as many times 512 shingles."""
     size = F.greatest(F.count("*") / block_rows, F.sum("n") / (512 * block_rows))
-    blocks = table(postings.groupBy("token").agg(F.ceil(size).cast("int").alias("blocks")), "blocks")
-    member = postings.join(blocks, "token").withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
+    blocks = table(members.groupBy("key").agg(F.ceil(size).cast("int").alias("blocks")), "blocks")
+    placed = members.join(blocks, "key").withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    return placed.withColumn("other", other).select("key", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "block", "rep", "component", "n", *columns)
+
+
+def met_links(postings: DataFrame, cores: DataFrame, percent: int, block_rows: int) -> DataFrame:
+    """Links that connect the components of sets that share a prefix shingle.  The filters
+    go by shingle; the sets that they leave meet once for each anchor, the smallest set of
+    their shingles, since similar sets share many of them."""
     classes = [f"c{c}" for c in range(CLASSES)]
-    units = member.withColumn("other", other).select("token", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "block", "rep", "component", "n", "rest", *classes)
-    units = table(units, "units")
+    units = table(_dealt(postings.withColumn("key", F.col("token")), block_rows, ["anchor", "rest", *classes]), "units")
     some = sketches(cores.join(units.select("rep").distinct(), "rep", "left_semi"))
-    wanted = table(_bundled(units).join(some, "rep").groupBy("bundle").applyInArrow(could_link(percent), _WANTED_DDL), "wanted")
-    return _bundled(wanted).join(cores.select("rep", "core"), "rep").groupBy("bundle").applyInArrow(connecting(percent), "u long, v long")
+    wanted = _bundled(units).join(some, "rep").groupBy("bundle").applyInArrow(could_link(percent), "anchor long, rep long, component long, n long")
+    wanted = table(wanted.distinct().withColumnRenamed("anchor", "key"), "wanted")
+    units = table(_dealt(wanted, block_rows, []), "full-units")
+    return _bundled(units).join(cores.select("rep", "core"), "rep").groupBy("bundle").applyInArrow(connecting(percent), "u long, v long")
 
 
 def first_tokens(postings: DataFrame) -> DataFrame:
-    """(token): of all prefix shingles that the same two sets or more hold, the first in
-    the order.  The first common shingle of any pair is among them, and there the filters
-    hold."""
+    """(token, anchor): of all prefix shingles that the same two sets or more hold, the
+    first in the order, and the smallest of the sets.  The first common shingle of any
+    pair is among them, and there the filters hold."""
     names = [F.bit_xor(F.xxhash64("rep", F.lit(i))).alias(f"set_{i}") for i in (1, 2)]
-    members = postings.groupBy("token").agg(F.count("*").alias("members"), F.sum("rest").alias("rest"), *names).filter("members > 1")
-    return members.groupBy("members", "set_1", "set_2").agg(F.max(F.struct("rest", "token")).alias("top")).select("top.token")
+    members = postings.groupBy("token").agg(F.count("*").alias("members"), F.sum("rest").alias("rest"), F.min("rep").alias("anchor"), *names).filter("members > 1")
+    return members.groupBy("members", "set_1", "set_2", "anchor").agg(F.max(F.struct("rest", "token")).alias("top")).select("top.token", "anchor")
 
 
 def links(cores: DataFrame, percent: int, block_rows: int, centre_rounds: int) -> DataFrame:
     """Links ``u``, ``v`` that connect all sets over the threshold.  ``cores``: (rep, n,
     core), the sets in the order of the join."""
     postings = table(prefixes(cores, percent), "postings")
-    open_ = table(postings.join(table(first_tokens(postings), "first-tokens"), "token", "left_semi").withColumn("component", F.col("rep")), "open")
+    open_ = table(postings.join(table(first_tokens(postings), "first-tokens"), "token").withColumn("component", F.col("rep")), "open")
     found = []
     for turn in range(centre_rounds):
         pairs = to_centres(open_, percent, turn)
