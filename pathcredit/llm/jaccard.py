@@ -183,10 +183,20 @@ def least_overlap(n: F.Column, percent: int) -> F.Column:
     return F.floor((n * percent + 99) / 100).cast("long")
 
 
+_SKETCH = 256
+
+
+def _sketch(core: np.ndarray) -> bytes:
+    """How many shingles each of finer classes holds, a byte each; all 255 where one does
+    not fit."""
+    held = np.bincount((mix(core.view(np.uint64).copy()) & np.uint64(_SKETCH - 1)).astype(np.int64), minlength=_SKETCH)
+    return b"\xff" * _SKETCH if held.max() > 254 else held.astype(np.uint8).tobytes()
+
+
 def ordered_sets(docs: DataFrame, wanted: DataFrame, k: int, percent: int) -> DataFrame:
-    """(rep, n, core) of the sets that ``wanted`` (rep, doc_id, set_a, set_b, shared) names:
-    their shingles in the order of the join, without counted ones that one document
-    holds alone."""
+    """(rep, n, core, sketch) of the sets that ``wanted`` (rep, doc_id, set_a, set_b, shared)
+    names: their shingles in the order of the join, without counted ones that one
+    document holds alone."""
 
     def run(batches):
         done = set()
@@ -210,10 +220,10 @@ def ordered_sets(docs: DataFrame, wanted: DataFrame, k: int, percent: int) -> Da
             if out:
                 rep, n, core = zip(*out)
                 lists = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, core)]), pa.int32()), pa.array(np.concatenate(core)))
-                yield pa.RecordBatch.from_arrays([pa.array(rep), pa.array(n), lists], ["rep", "n", "core"])
+                yield pa.RecordBatch.from_arrays([pa.array(rep), pa.array(n), lists, pa.array(map(_sketch, core), pa.binary())], ["rep", "n", "core", "sketch"])
 
     texts = docs.join(wanted, "doc_id").select("doc_id", "text", "rep", "set_a", "set_b", "shared")
-    return texts.mapInArrow(run, "rep long, n long, core array<long>")
+    return texts.mapInArrow(run, "rep long, n long, core array<long>, sketch binary")
 
 
 _POSTINGS = pa.schema([("token", pa.int64()), ("rep", pa.int64()), ("n", pa.int64()), ("shared", pa.int64()), ("rest", pa.int64()), *[(f"c{c}", pa.int32()) for c in range(CLASSES)]])
@@ -249,7 +259,7 @@ def verified(pairs: DataFrame, cores: DataFrame, percent: int, block_rows: int)
     """The links among pairs (u, v), by the full sets; a set that many pairs name as
     ``v`` is handed out in several copies."""
     salts = pairs.groupBy("v").agg(F.ceil(F.count("*") / block_rows).cast("int").alias("salts"))
-    right = cores.join(salts, cores.rep == salts.v).select("v", "n", "core", "salts", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"))
+    right = cores.select("rep", "n", "core").join(salts, F.col("rep") == salts.v).select("v", "n", "core", "salts", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"))
     left = pairs.join(salts, "v").withColumn("salt", F.pmod(F.xxhash64("u"), F.col("salts")).cast("int")).select("u", "v", "salt")
     left = left.join(cores.select(F.col("rep").alias("u"), F.col("n").alias("nu"), F.col("core").alias("cu")), "u")
     both = left.join(right.select("v", "salt", F.col("n").alias("nv"), F.col("core").alias("cv")), ["v", "salt"])
@@ -273,30 +283,11 @@ def to_centres(postings: DataFrame, percent: int, turn: int) -> DataFrame:
 
 # ------------------------------------------------------------------ crowded shingles
 
-_SKETCH = 256
 _UNIT = ["key", "lo", "hi"]
 _WANTED = pa.schema([(c, pa.int64()) for c in ("anchor", "rep", "component", "n")])
 _LINK = pa.schema([("u", pa.int64()), ("v", pa.int64())])
 
 
-def sketches(cores: DataFrame) -> DataFrame:
-    """(rep, sketch): shingles by a finer class, a byte each; all 255 where one does not
-    fit."""
-
-    def run(batches):
-        for batch in batches:
-            for at in range(0, len(batch), 256):
-                part = batch.slice(at, 256)
-                count = part.column(1).value_lengths().to_numpy()
-                kind = mix(part.column(1).flatten().to_numpy().view(np.uint64).copy()) & np.uint64(_SKETCH - 1)
-                key = np.repeat(np.arange(len(part)), count) * _SKETCH + kind.astype(np.int64)
-                held = np.bincount(key, minlength=len(part) * _SKETCH).reshape(-1, _SKETCH)
-                held[held.max(1) > 254] = 255
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array([x.tobytes() for x in held.astype(np.uint8)], pa.binary())], ["rep", "sketch"])
-
-    return cores.select("rep", "core").mapInArrow(run, "rep long, sketch binary")
-
-
 def _groups(bundle: pa.Table) -> list[np.ndarray]:
     """Row numbers of every unit (a key and two blocks) in a bundle."""
     columns = [bundle.column(c).to_numpy() for c in _UNIT]
@@ -406,8 +397,7 @@ def met_links(postings: DataFrame, cores: DataFrame, percent: int, block_rows: i
     their shingles, since similar sets share many of them."""
     classes = [f"c{c}" for c in range(CLASSES)]
     units = table(_dealt(postings.withColumn("key", F.col("token")), block_rows, ["anchor", "rest", *classes]), "units")
-    some = sketches(cores.join(units.select("rep").distinct(), "rep", "left_semi"))
-    wanted = _bundled(units).join(some, "rep").groupBy("bundle").applyInArrow(could_link(percent), "anchor long, rep long, component long, n long")
+    wanted = _bundled(units).join(cores.select("rep", "sketch"), "rep").groupBy("bundle").applyInArrow(could_link(percent), "anchor long, rep long, component long, n long")
     wanted = table(wanted.distinct().withColumnRenamed("anchor", "key"), "wanted")
     units = table(_dealt(wanted, block_rows, []), "full-units")
     return _bundled(units).join(cores.select("rep", "core"), "rep").groupBy("bundle").applyInArrow(connecting(percent), "u long, v long")
