@@ -255,6 +255,11 @@ def journey_transitions(spark, sf):
     return M.transitions(_Inputs(spark, sf).bronze)
 
 
+def path_transitions(spark, sf):
+    """State changes counted from the rendered path text, as the reference does."""
+    return M.path_transitions(J.user_journeys(_Inputs(spark, sf).bronze))
+
+
 def transition_matrix(spark, sf):
     return M.transition_matrix(M.transitions(_Inputs(spark, sf).bronze))
 
@@ -310,9 +315,8 @@ def base_conversion_rate(spark, sf):
 
 
 def conversions_by_date(spark, sf):
-    # Reads the checked bronze table: the touch expectations hold for every row,
-    # not only for those that the date filter lets through.
-    return P.conversions_by_date(_Inputs(spark, sf).bronze)
+    # The date count needs no journey id: filter and projection reach the scan.
+    return P.conversions_by_date(X.touch_events(Tables(spark, sf).events))
 
 
 def attribution_by_model(spark, sf):
@@ -326,16 +330,16 @@ def cpa_summary(spark, sf):
 
 
 def markov_percent(spark, sf):
-    return A.model_percent(_Inputs(spark, sf).gold_all)
+    return A.model_percent(_Inputs(spark, sf).markov_credit)
 
 
 def spend_optimization(spark, sf):
-    return P.spend_optimization(X.ad_spend(spark), _Inputs(spark, sf).gold_all)
+    return P.spend_optimization(X.ad_spend(spark), _Inputs(spark, sf).markov_credit)
 
 
 def spend_comparison(spark, sf):
     ad = X.ad_spend(spark)
-    return P.spend_comparison(ad, P.spend_optimization(ad, _Inputs(spark, sf).gold_all))
+    return P.spend_comparison(ad, P.spend_optimization(ad, _Inputs(spark, sf).markov_credit))
 
 
 # ---------------------------------------------------------------- upsert, layout
@@ -400,6 +404,7 @@ QUERIES: dict[str, Query] = {
         last_touch,
         gold_attribution,
         journey_transitions,
+        path_transitions,
         transition_matrix,
         transition_row_sums,
         transition_pivot,

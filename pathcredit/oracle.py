@@ -253,6 +253,9 @@ FROM bronze"""
     "journey_transitions": _with(
         _TRANSITIONS, "SELECT uid, start_state, end_state, start_state || ' > ' || end_state AS transition, 1 AS cnt FROM tr"
     ),
+    "path_transitions": _with(
+        _TRANSITIONS, "SELECT start_state, end_state, COUNT(*) AS total_transitions FROM tr GROUP BY start_state, end_state"
+    ),
     "transition_matrix": _with(_TRANSITIONS, "SELECT * FROM matrix"),
     "transition_row_sums": _with(
         _TRANSITIONS,

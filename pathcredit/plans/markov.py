@@ -12,12 +12,12 @@ safe.  Three methods for the conversion probability share one output shape
 ``(removed, conversion_probability)``, ``removed`` NULL for the full graph:
 
 * ``simple_path``: sum over loop-free Start->Conversion paths, the definition
-  the reference states.  A level-by-level join expansion merges paths with the
-  same last state and visited set; the value without channel ``r`` is the sum
+  the reference states: one recursive query while they are few, beyond that a
+  level-by-level join expansion that merges paths with the same last state and
+  visited set; the value without channel ``r`` is the sum
   over paths that avoid ``r``.  Its work doubles with every channel.
-* ``absorbing``: loops included, exact absorption probability, by squaring the
-  transition table: every round is one join and one aggregate for all scenarios
-  and doubles the walk length that is covered.
+* ``absorbing``: loops included, exact absorption probability: one elimination of
+  the baseline, and a rank-one update of it for every removal.
 * ``memo_dfs`` (default): the reference's memoised depth-first recursion with
   children in ``end_state`` descending order, as what it computes: the edges
   that close a cycle in that order are found per scenario, and the values of the
@@ -31,7 +31,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pathcredit.functions.columns import CONVERSION, NULL_STATE, START, ratio, terminal_state, transition_label
+from pathcredit.functions.columns import CONVERSION, NULL_STATE, PATH_SEP, START, ratio, terminal_state, transition_array, transition_label
 from pathcredit.operators.sequence import neighbors
 from pathcredit.session import materialize
 from pathcredit.plans.attribution import MARKOV
@@ -58,6 +58,19 @@ def transitions(touches: DataFrame) -> DataFrame:
     )
 
 
+def path_transitions(journeys: DataFrame) -> DataFrame:
+    """``(start_state, end_state, total_transitions)`` from the path text of journeys.  A
+    later row of a cut journey starts from the last state of the row before (a journey has
+    a row for every thousand touches)."""
+    rows = Window.partitionBy("uid").orderBy("segment")
+    last = F.element_at(F.split("path", PATH_SEP), -1)
+    whole = F.concat_ws(PATH_SEP, F.lag(last).over(rows), F.col("path"))
+    moves = journeys.select(whole.alias("path")).select(F.explode(transition_array("path")).alias("transition"))
+    counted = moves.groupBy("transition").agg(F.count(F.lit(1)).alias("total_transitions"))
+    state = F.split("transition", PATH_SEP)
+    return counted.select(F.get(state, 0).alias("start_state"), F.get(state, 1).alias("end_state"), "total_transitions")
+
+
 def transition_matrix(transitions_df: DataFrame) -> DataFrame:
     """``p(s, e) = n(s, e) / sum_e n(s, e)`` (unrounded)."""
     counts = transitions_df.groupBy("start_state", "end_state").agg(F.sum("cnt").alias("total_transitions"))
@@ -119,7 +132,37 @@ def removal_graph(matrix: DataFrame, include_baseline: bool = False) -> DataFram
 _ROUNDS_A_PLAN = 8
 
 
+#: Up to so many channels all loop-free paths are listed by one recursive query (their
+#: number grows with the factorial: about 110,000 rows at 8); beyond, paths over the
+#: same channels are merged level by level.
+RECURSIVE_CHANNELS = 8
+
+
+def listed_paths(matrix: DataFrame) -> DataFrame:
+    """Loop-free Start -> Conversion paths with their probability, ``(channels, prob)``,
+    by one recursive query over the edge table."""
+    return matrix.sparkSession.sql(
+        """
+        WITH RECURSIVE paths(last_state, visited, prob) AS (
+          SELECT end_state, array(end_state), transition_probability FROM {edges} WHERE start_state = :start
+          UNION ALL
+          SELECT e.end_state, array_append(p.visited, e.end_state), p.prob * e.transition_probability
+          FROM paths p JOIN {edges} e ON e.start_state = p.last_state AND NOT array_contains(p.visited, e.end_state)
+        )
+        SELECT array_remove(visited, last_state) AS channels, prob FROM paths WHERE last_state = :conversion
+        """,
+        args={"start": START, "conversion": CONVERSION},
+        edges=matrix,
+    )
+
+
 def converting_paths(matrix: DataFrame) -> DataFrame:
+    """The loop-free paths by whichever way suits the number of channels."""
+    channels = matrix.filter(F.col("start_state") != F.lit(START)).select("start_state").distinct().count()
+    return listed_paths(matrix) if channels <= RECURSIVE_CHANNELS else merged_paths(matrix, channels)
+
+
+def merged_paths(matrix: DataFrame, channels: int) -> DataFrame:
     """Loop-free Start -> Conversion paths with their probability, as
     ``(channels, prob)``, paths over the same channels merged.
 
@@ -132,7 +175,6 @@ def converting_paths(matrix: DataFrame) -> DataFrame:
     The depth comes from the checkpointed edge table (one number to the driver).
     """
     edges = matrix.select("start_state", "end_state", "transition_probability")
-    channels = edges.filter(F.col("start_state") != F.lit(START)).select("start_state").distinct().count()
     step = edges.withColumnsRenamed({"start_state": "_s", "end_state": "_e", "transition_probability": "_p"})
     frontier = edges.filter(F.col("start_state") == F.lit(START)).select(
         F.col("end_state").alias("last_state"),
@@ -196,8 +238,6 @@ def _baseline_over(value: F.Column) -> F.Column:
 # ------------------------------------------------------------- absorbing chain
 
 _BASELINE = "~baseline~"  # stands for "no channel removed" where rows are joined
-_SETTLED = 1e-13
-_MOST_DOUBLINGS = 60
 
 
 def _scenarios(matrix: DataFrame) -> DataFrame:
@@ -222,33 +262,65 @@ def _start_values(values: DataFrame, scenarios: DataFrame) -> DataFrame:
     )
 
 
+def _once(value: F.Column, body) -> F.Column:
+    """``body(value)`` with ``value`` computed once."""
+    return F.get(F.transform(F.array(value), body), 0)
+
+
+def _eliminated(rows: F.Column, states: F.Column) -> F.Column:
+    """Gauss-Jordan over ``rows`` (a row a state): a fold over the pivots.  The rows of a
+    transient chain need no pivoting; a state that never leaves has no pivot and counts
+    0."""
+
+    def pivot(matrix, k):
+        own = F.get(matrix, k)
+
+        def clear(lead):
+            return F.transform(matrix, lambda row, i: F.when(i == k, lead).otherwise(F.zip_with(row, lead, lambda x, y: x - F.get(row, k) * y)))
+
+        scaled = F.transform(own, lambda x: F.when(F.abs(F.get(own, k)) > 1e-12, x / F.get(own, k)).otherwise(F.lit(0.0)))
+        return _once(scaled, clear)
+
+    return F.aggregate(F.sequence(F.lit(0), F.size(states) - 1), rows, pivot)
+
+
 def absorbing_probability(matrix: DataFrame) -> DataFrame:
     """Absorption probability in Conversion from Start, loops included.
 
-    With ``step`` the table of probabilities to go from s to e in 2^k moves
-    (among states that have edges) and ``v`` that of having converted within
-    them: ``v <- v + step v`` and ``step <- step step`` double the moves.  Stops
-    when no value moves by more than ``_SETTLED``.  All tables are bounded by
-    #channels^2 rows a scenario.
+    With ``Q`` the moves between states that have edges and ``b`` those to
+    Conversion, the values are ``x = (I - Q)^-1 b``.  Removing a channel forces its
+    value to 0, a rank-one update of the inverse ``N``: ``x_Start - N[Start, r] /
+    N[r, r] x_r``.  So one elimination answers every scenario.  The edge table is
+    gathered into one row (at most (#channels + 1)(#channels + 2) edges) and folded
+    there; no round, no write and nothing to the driver.
     """
-    graph = materialize(_scenarios(matrix), "scenarios")
-    inner = graph.filter(~F.col("e").isin(CONVERSION, NULL_STATE))
-    step = inner.groupBy("removed", "s", "e").agg(F.sum("p").alias("p"))
-    v = graph.filter(F.col("e") == F.lit(CONVERSION)).groupBy("removed", "s").agg(F.sum("p").alias("v"))
-    for _ in range(_MOST_DOUBLINGS):
-        ahead = step.join(v.withColumnRenamed("s", "e"), ["removed", "e"]).groupBy("removed", "s").agg(F.sum(F.col("p") * F.col("v")).alias("d"))
-        moved = v.join(ahead, ["removed", "s"], "full_outer").select(
-            "removed", "s", (F.coalesce("v", F.lit(0.0)) + F.coalesce("d", F.lit(0.0))).alias("v"), F.coalesce("d", F.lit(0.0)).alias("d")
-        )
-        moved = materialize(moved, "absorbing")
-        v = moved.select("removed", "s", "v")
-        if (moved.agg(F.max("d")).first()[0] or 0.0) <= _SETTLED:
-            break
-        onward = step.select("removed", F.col("s").alias("e"), F.col("e").alias("to"), F.col("p").alias("q"))
-        step = materialize(
-            step.join(onward, ["removed", "e"]).groupBy("removed", "s", F.col("to").alias("e")).agg(F.sum(F.col("p") * F.col("q")).alias("p")), "steps"
-        )
-    return _start_values(v, graph)
+    held = matrix.agg(
+        F.array_sort(F.collect_set("start_state")).alias("states"),
+        F.map_from_entries(F.collect_list(F.struct(F.struct("start_state", "end_state"), "transition_probability"))).alias("p"),
+    ).filter(F.array_contains("states", F.lit(START)))
+
+    def p(s, e):
+        return F.coalesce(F.try_element_at(F.col("p"), F.struct(s.alias("start_state"), e.alias("end_state"))), F.lit(0.0))
+
+    def unit(s):
+        return F.transform("states", lambda t: F.when(t == s, F.lit(1.0)).otherwise(F.lit(0.0)))
+
+    rows = F.transform("states", lambda s: F.concat(F.zip_with(unit(s), F.transform("states", lambda t: p(s, t)), lambda x, y: x - y), unit(s), F.array(p(s, F.lit(CONVERSION)))))
+    solved = held.select("states", F.size("states").alias("n"), rows.alias("rows")).select("states", "n", _eliminated(F.col("rows"), F.col("states")).alias("m"))
+    start = F.get("m", (F.array_position("states", F.lit(START)) - 1).cast("int"))
+    value = F.transform(
+        "states",
+        lambda s, i: F.struct(
+            F.when(s != F.lit(START), s).alias("removed"),
+            (
+                F.get(start, 2 * F.col("n"))
+                - F.when(s == F.lit(START), F.lit(0.0)).otherwise(
+                    F.coalesce(F.try_divide(F.get(start, F.col("n") + i), F.get(F.get("m", i), F.col("n") + i)), F.lit(0.0)) * F.get(F.get("m", i), 2 * F.col("n"))
+                )
+            ).alias("conversion_probability"),
+        ),
+    )
+    return solved.select(F.inline(value))
 
 
 # ------------------------------------------------------------- memoised DFS
