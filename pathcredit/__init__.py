@@ -6,7 +6,9 @@ table name is global.  See README.md for the module map.
 
 from pathcredit.operators.quality import Expectation, enforce, expectation_counts, publish
 from pathcredit.operators.sequence import dense_rank_by, neighbors, running_sum, split_hot
-from pathcredit.operators.upsert import SnapshotTable, audit, merge
+from pathcredit.operators.catalog import create_table_as, replace_table_as
+from pathcredit.operators.keyed import KeyedTable
+from pathcredit.operators.upsert import audit, merge
 from pathcredit.plans.attribution import (
     attribution_by_model,
     first_touch,
@@ -38,7 +40,7 @@ __version__ = "0.1.0"
 __all__ = [
     "Expectation", "enforce", "expectation_counts", "publish",
     "dense_rank_by", "neighbors", "running_sum", "split_hot",
-    "SnapshotTable", "audit", "merge",
+    "KeyedTable", "audit", "create_table_as", "merge", "replace_table_as",
     "attribution_by_model", "first_touch", "gold_attribution", "last_touch", "linear_touch", "time_decay",
     "journey_summary", "user_journeys",
     "conversion_probability", "markov_attribution", "removal_effects", "removal_graph", "transition_matrix",

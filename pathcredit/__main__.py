@@ -56,7 +56,7 @@ def main(argv: list[str] | None = None) -> None:
         from pathcredit.tables import build_attribution_tables
 
         for name, table in build_attribution_tables(spark, args.sf_dir, args.out_dir, args.method).items():
-            print(f"{name}\t{table.path(table.version)}")
+            print(f"{name}\t{table.path}")
 
 
 if __name__ == "__main__":

@@ -11,26 +11,29 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pathcredit.operators import layout, upsert
+from pathcredit.operators.keyed import KeyedTable
 from pathcredit.operators.quality import enforce, expectation_counts
 from pathcredit.plans import attribution as A
 from pathcredit.plans import clickstream as C
 from pathcredit.plans import journeys as J
 from pathcredit.plans import markov as M
+from pathcredit.plans import refresh as R
 from pathcredit.plans import sales as S
 from pathcredit.plans import spend as P
-from pathcredit.schemas import CLICKSTREAM_RAW, SALES
+from pathcredit.schemas import CLICKSTREAM_RAW, SALES, USER_JOURNEY
 from pathcredit.session import materialize, work_dir
 from pathcredit.sources import fixtures as X
 from pathcredit.sources.files import (
     TOUCH_EXPECTATIONS,
     read_csv,
     read_json,
+    split_malformed,
     sql_on_files,
     typed_touches,
     write_raw_touches,
 )
 from pathcredit.sources.tables import Tables
-from pathcredit.streaming.ingest import ingest_and_refresh, ingest_once
+from pathcredit.streaming.ingest import ingest_and_refresh, ingest_checked
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -44,6 +47,7 @@ REFRESH_FROM = "2024-01-16 00:00:00"
 DECAY_HALF_LIFE_HOURS = 24.0
 PROBABILITY_DIGITS = 9
 STREAM_BUCKETS = 8
+JOURNEY_ENDS = ("uid", "first_interaction", "last_interaction", "conversion")
 
 
 class _Inputs:
@@ -202,13 +206,37 @@ def bronze_expectation_counts(spark, sf):
     return expectation_counts(bronze_touches(spark, sf), "bronze_touches", TOUCH_EXPECTATIONS)
 
 
-def bronze_touches_streamed(spark, sf):
-    """Raw touch files land in a directory; a one-shot stream appends them to
-    the bronze table; the bronze table is returned."""
+def _checked_stream(spark, sf):
+    """Raw touch files land in a directory; a one-shot stream checks them into bronze."""
     root = work_dir(spark, "bronze-stream")
     write_raw_touches(X.raw_touch_text(_Inputs(spark, sf).touches), f"{root}/landing")
-    ingest_once(spark, f"{root}/landing", f"{root}/bronze", f"{root}/_checkpoint")
-    return spark.read.parquet(f"{root}/bronze")
+    ingest_checked(spark, f"{root}/landing", root, "bronze_touches", TOUCH_EXPECTATIONS)
+    return root
+
+
+def bronze_touches_streamed(spark, sf):
+    return spark.read.parquet(f"{_checked_stream(spark, sf)}/bronze").drop("epoch")
+
+
+def bronze_stream_counts(spark, sf):
+    """What the stream's writes observed, over all micro-batches."""
+    counts = spark.read.parquet(f"{_checked_stream(spark, sf)}/counts")
+    return counts.groupBy("dataset", "expectation", "action").agg(F.sum("passed").alias("passed"), F.sum("failed").alias("failed"))
+
+
+def quarantined_touches(spark, sf):
+    """Touch files in which some lines are cut and some too long: the stream's quarantine."""
+    root = work_dir(spark, "damaged-stream")
+    X.damaged_touch_lines(X.load_touches(spark, sf)).write.text(f"{root}/landing")
+    ingest_checked(spark, f"{root}/landing", root, "damaged_touches", TOUCH_EXPECTATIONS, header=False)
+    return spark.read.parquet(f"{root}/quarantine").select("record")
+
+
+def quarantined_clicks(spark, sf):
+    """Click files in which some JSON lines are cut: the malformed records of a batch read."""
+    root = work_dir(spark, "damaged-clicks")
+    X.damaged_click_lines(_clicks_raw(spark, sf)).write.text(f"{root}/raw")
+    return split_malformed(read_json(spark, f"{root}/raw", CLICKSTREAM_RAW, corrupt="_malformed"), "_malformed")[1]
 
 
 # ---------------------------------------------------------------- journeys, credit
@@ -223,7 +251,7 @@ def journeys_streamed(spark, sf):
     journey table current; the journey table is returned."""
     root = work_dir(spark, "journey-stream")
     write_raw_touches(X.raw_touch_text(_Inputs(spark, sf).touches), f"{root}/landing")
-    table = upsert.PartitionedTable(spark, "streamed_user_journey", f"{root}/journeys", ["uid"], STREAM_BUCKETS)
+    table = KeyedTable(spark, f"{root}/journeys", ["uid"], USER_JOURNEY, STREAM_BUCKETS)
     ingest_and_refresh(spark, f"{root}/landing", f"{root}/bronze", table, f"{root}/_checkpoint", buckets=STREAM_BUCKETS)
     return J.render_journeys(table.read())
 
@@ -359,13 +387,33 @@ def upsert_journeys(spark, sf):
     return J.render_journeys(upsert.merge(target, source, ["uid"], check=False))
 
 
+def _parts(spark, sf):
+    """Touches of the first load and of the delivery after it."""
+    t = _Inputs(spark, sf).bronze
+    return t.filter(F.col("time") < F.lit(FIRST_LOAD_BEFORE).cast("timestamp_ntz")), t.filter(F.col("time") >= F.lit(REFRESH_FROM).cast("timestamp_ntz"))
+
+
 def refresh_attribution(spark, sf):
-    """First- and last-touch credit of the refreshed journeys, upserted into the
-    credit table that was built from the first load."""
-    target, source = _refresh_inputs(spark, sf)
-    journeys = upsert.merge(target, source, ["uid"], check=False)
-    first_load, refreshed = (A.gold_attribution(A.outcomes(j.filter("segment = 0")).checkpoint()) for j in (target, journeys))
-    return upsert.merge(first_load, refreshed, ["attribution_model", "channel"])
+    """First- and last-touch credit after a delivery, upserted into the credit table of
+    the first load: the touched uids' old journeys leave the stored counts, their new ones
+    enter."""
+    first, delivered = (J.journey_summary(t).select(*JOURNEY_ENDS) for t in _parts(spark, sf))
+    state = KeyedTable(spark, work_dir(spark, "journey-ends"), ["uid"], first.schema, STREAM_BUCKETS)
+    state.append(first, 0)
+    stored = A.outcomes(state.read()).checkpoint()
+    counts = R.refreshed(state, materialize(delivered, "delivered"), 1, stored, A.outcomes, "journeys")
+    return upsert.merge(A.gold_attribution(stored), A.gold_attribution(counts), ["attribution_model", "channel"])
+
+
+def refresh_transition_matrix(spark, sf):
+    """The transition matrix after the same delivery, from stored counts of state changes
+    and the touched uids' journeys."""
+    first, delivered = (J.user_journeys(t) for t in _parts(spark, sf))
+    state = KeyedTable(spark, work_dir(spark, "journeys"), ["uid"], USER_JOURNEY, STREAM_BUCKETS)
+    state.append(first, 0)
+    stored = M.path_transitions(state.read()).checkpoint()
+    counts = R.refreshed(state, materialize(delivered, "delivered"), 1, stored, M.path_transitions, "total_transitions")
+    return M.transition_matrix(counts.withColumnRenamed("total_transitions", "cnt"))
 
 
 def upsert_audit(spark, sf):
@@ -398,6 +446,9 @@ QUERIES: dict[str, Query] = {
         bronze_touches,
         bronze_expectation_counts,
         bronze_touches_streamed,
+        bronze_stream_counts,
+        quarantined_touches,
+        quarantined_clicks,
         user_journey,
         journeys_streamed,
         first_touch,
@@ -427,6 +478,7 @@ QUERIES: dict[str, Query] = {
         upsert_audit,
         upsert_attribution,
         refresh_attribution,
+        refresh_transition_matrix,
         clustered_journeys,
         linear_touch,
         time_decay,

@@ -9,21 +9,17 @@ Semantics reproduced:
 
 The merged rows are ``source UNION ALL (target LEFT ANTI JOIN source)``: one
 shuffle of each side on the key (none for a side already bucketed or
-partitioned on it).  :class:`SnapshotTable` writes them to a NEW snapshot
-directory and re-points the table, so the path being read is never overwritten.
-:class:`PartitionedTable` keeps rows in directories by a hash of the key and
-replaces only the directories that a source touches.
+partitioned on it).  :mod:`pathcredit.operators.keyed` keeps tables whose upserts
+write the source alone.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pathcredit.session import materialize
-
 
 class DuplicateSourceKeyError(ValueError):
     pass
@@ -76,134 +72,3 @@ def audit(target: DataFrame, source: DataFrame, keys: Sequence[str], table_name:
         rows("_s", F.col("_t").isNotNull()).alias("rows_updated"),
         rows("_t", F.col("_s").isNull()).alias("rows_kept"),
     ).select(F.lit(table_name).alias("table_name"), "*")
-
-
-def committed_versions(spark: SparkSession, root: str) -> list[int]:
-    """Snapshot numbers under ``root`` whose write was committed (``_SUCCESS``)."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/v=*/_SUCCESS")
-    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path)
-    return sorted(int(f.getPath().getParent().getName().removeprefix("v=")) for f in found or [])
-
-
-def key_bucket(keys: Sequence[str], buckets: int) -> F.Column:
-    return F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
-
-
-class PartitionedTable:
-    """A table in directories ``key_bucket=<n>`` by a hash of its keys.  An upsert
-    reads, merges and replaces only the directories its source touches; the
-    others keep their files.  ``buckets`` is fixed for the table's life: choose
-    it so that one directory is a few hundred MB.  Replacing a directory twice
-    with the same source gives the same rows, so a retried upsert is safe."""
-
-    def __init__(self, spark: SparkSession, name: str, root: str, keys: Sequence[str], buckets: int):
-        self.spark, self.name, self.root = spark, name, root.rstrip("/")
-        self.keys, self.buckets = list(keys), buckets
-        self.schema = None  # of the last rows written by this object, without the bucket
-
-    def exists(self) -> bool:
-        """Whether a directory of rows was committed (they are moved in whole)."""
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/key_bucket=*")
-        return bool(path.getFileSystem(self.spark._jsc.hadoopConfiguration()).globStatus(path))
-
-    def read(self) -> DataFrame:
-        reader = self.spark.read if self.schema is None else self.spark.read.schema(self.schema)  # known: no footer scan
-        return reader.parquet(self.root).drop("key_bucket")
-
-    def _replace(self, keyed: DataFrame) -> None:
-        self.schema = keyed.schema
-        # one shuffle on the bucket and key hash: a hot bucket spreads over tasks
-        out = keyed.repartition("key_bucket", *self.keys)
-        out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("key_bucket").parquet(self.root)
-        self.read().createOrReplaceTempView(self.name)
-
-    def create_if_not_exists(self, df: DataFrame) -> bool:
-        if self.exists():
-            self.read().createOrReplaceTempView(self.name)
-            return False
-        self._replace(df.withColumn("key_bucket", key_bucket(self.keys, self.buckets)))
-        return True
-
-    def upsert(self, source: DataFrame, check: bool = True) -> None:
-        source = materialize(source.withColumn("key_bucket", key_bucket(self.keys, self.buckets)), f"{self.name}-upsert-source")
-        touched = [r[0] for r in source.select("key_bucket").distinct().collect()]  # at most `buckets` integers
-        target = self.spark.read.parquet(self.root).filter(F.col("key_bucket").isin(touched))
-        # written aside first: a directory is never replaced while it is read
-        self._replace(materialize(merge(target.select(source.columns), source, self.keys, check=check), f"{self.name}-merged"))
-
-
-class SnapshotTable:
-    """A table kept as immutable snapshot directories ``<root>/v=<n>``; the
-    session view ``name`` points at the latest.  Upserts write a new version.
-
-    With ``buckets`` the snapshots are written bucketed and sorted on
-    ``bucket_keys`` (a catalog table per version): an upsert on those keys
-    then shuffles only the source to the target's bucketing, not the target.
-    """
-
-    def __init__(self, spark: SparkSession, name: str, root: str, buckets: int | None = None,
-                 bucket_keys: Sequence[str] | None = None):
-        self.spark, self.name, self.root = spark, name, root.rstrip("/")
-        self.buckets, self.bucket_keys = buckets, list(bucket_keys or [])
-        # a table survives its process: go on from the last committed snapshot
-        self.version = max(committed_versions(spark, self.root), default=-1)
-        if self.version >= 0:
-            self._point()
-
-    def path(self, version: int) -> str:
-        return f"{self.root}/v={version}"
-
-    def _table(self, version: int) -> str:
-        return f"`{self.name}__v{version}`"
-
-    def read(self) -> DataFrame:
-        if self.buckets and self.spark.catalog.tableExists(self._table(self.version)):
-            return self.spark.table(self._table(self.version))
-        return self.spark.read.parquet(self.path(self.version))
-
-    def _write(self, df: DataFrame, version: int) -> None:
-        if self.buckets:
-            (
-                df.write.mode("errorifexists")
-                .bucketBy(self.buckets, *self.bucket_keys)
-                .sortBy(*self.bucket_keys)
-                .option("path", self.path(version))
-                .saveAsTable(self._table(version))
-            )
-        else:
-            # a directory without _SUCCESS is the rest of a failed write
-            df.write.mode("overwrite").parquet(self.path(version))
-
-    def _point(self) -> None:
-        self.read().createOrReplaceTempView(self.name)
-
-    def create_if_not_exists(self, df: DataFrame) -> bool:
-        """CTAS IF NOT EXISTS: a second call is a no-op."""
-        if self.version >= 0:
-            return False
-        self._write(df, 0)
-        self.version = 0
-        self._point()
-        return True
-
-    def replace(self, df: DataFrame) -> None:
-        self._write(df, self.version + 1)
-        self.version += 1
-        self._point()
-
-    def upsert(self, source: DataFrame, keys: Sequence[str], audit_log: list | None = None, check: bool = True) -> None:
-        """``check=False`` when every row of a key is replaced together (e.g.
-        the segment rows of one journey): the one-row-per-key check does not
-        apply then."""
-        source = materialize(source, f"{self.name}-upsert-source")  # computed once: check, audit, merge
-        target = self.read()
-        entry = audit(target, source, keys, self.name).withColumn("version", F.lit(self.version + 1))
-        entry = materialize(entry.withColumn("changed_at", F.current_timestamp()), f"{self.name}-audit")
-        if audit_log is not None:
-            audit_log.append(entry.first().asDict())
-        self.replace(merge(target, source, keys, check=check))
-        entry.write.mode("append").parquet(f"{self.root}/_audit")
-
-    def history(self) -> DataFrame:
-        """The stored audit rows: counts, version and time of every upsert."""
-        return self.spark.read.parquet(f"{self.root}/_audit")

@@ -492,3 +492,19 @@ SELECT b.* FROM before b ANTI JOIN after a ON a.attribution_model = b.attributio
 ORACLE_SQL["bronze_touches_streamed"] = ORACLE_SQL["bronze_touches"]
 ORACLE_SQL["sales_enriched_from_files"] = ORACLE_SQL["sales_products_joined"]
 ORACLE_SQL["clickstream_from_files"] = ORACLE_SQL["clickstream_prepared"]
+ORACLE_SQL["bronze_stream_counts"] = ORACLE_SQL["bronze_expectation_counts"]
+ORACLE_SQL["quarantined_touches"] = _with(
+    _TOUCHES,
+    """SELECT uid || ',' || strftime(time, '%Y-%m-%d %H:%M:%S')
+       || CASE WHEN event_id % 97 = 0 THEN '' ELSE ',' || interaction || ',' || channel || ',' || CAST(conversion AS VARCHAR) || ',extra' END AS record
+FROM touches WHERE event_id % 97 = 0 OR event_id % 101 = 0""",
+)
+# Journeys are by uid and the delivery is whole days: the refreshed matrix is that of all touches.
+ORACLE_SQL["refresh_transition_matrix"] = ORACLE_SQL["transition_matrix"]
+ORACLE_SQL["quarantined_clicks"] = _with(
+    _CLICKS,
+    """SELECT line[1 : len(line) - 2] AS record
+FROM (SELECT n, '{' || CASE WHEN curr_title IS NULL THEN '' ELSE '"curr_title":"' || curr_title || '",' END
+             || CASE WHEN prev_title IS NULL THEN '' ELSE '"prev_title":"' || prev_title || '",' END || '"n":"' || n || '"}' AS line FROM clicks_raw)
+WHERE CAST(n AS BIGINT) % 7 = 0""",
+)

@@ -8,10 +8,11 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from pathcredit.operators.quality import Expectation
 from pathcredit.schemas import RAW_TOUCHES
+from pathcredit.session import materialize
 
 
 def read_csv(
@@ -21,10 +22,14 @@ def read_csv(
     sep: str = ",",
     header: bool = True,
     infer: bool = False,
+    corrupt: str | None = None,
 ) -> DataFrame:
     """CSV with header and delimiter; typed by ``schema`` or, opt-in, inferred.
-    Without either every column is a string (header-only)."""
+    Without either every column is a string (header-only).  ``corrupt`` names a column
+    that gets the text of malformed lines (see :func:`split_malformed`)."""
     reader = spark.read.option("header", header).option("sep", sep)
+    if corrupt:
+        schema, reader = with_corrupt(schema, corrupt), reader.option("columnNameOfCorruptRecord", corrupt)
     if schema is not None:
         reader = reader.schema(schema)
     elif infer:
@@ -32,8 +37,22 @@ def read_csv(
     return reader.csv(path)
 
 
-def read_json(spark: SparkSession, path: str, schema: StructType | str | None = None) -> DataFrame:
+def with_corrupt(schema: StructType, corrupt: str) -> StructType:
+    return StructType([*schema.fields, StructField(corrupt, StringType())])
+
+
+def split_malformed(df: DataFrame, corrupt: str) -> tuple[DataFrame, DataFrame]:
+    """(good rows, quarantine): lines that fit the schema, and the text of the others as
+    ``record``.  The files are parsed once, into a written table that both read."""
+    held = materialize(df, "parsed")
+    bad = held.filter(F.col(corrupt).isNotNull()).select(F.col(corrupt).alias("record"))
+    return held.filter(F.col(corrupt).isNull()).drop(corrupt), bad
+
+
+def read_json(spark: SparkSession, path: str, schema: StructType | str | None = None, corrupt: str | None = None) -> DataFrame:
     reader = spark.read
+    if corrupt:
+        schema, reader = with_corrupt(schema, corrupt), reader.option("columnNameOfCorruptRecord", corrupt)
     if schema is not None:
         reader = reader.schema(schema)
     return reader.json(path)

@@ -11,7 +11,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pathcredit.functions.columns import CHANNELS, pick
+from pathcredit.operators import catalog
 from pathcredit.operators.sequence import running_sum
+from pathcredit.session import work_dir
 from pathcredit.sources.tables import Tables
 
 # ---------------------------------------------------------------- touches (B1)
@@ -74,6 +76,23 @@ def raw_touch_text(touches_df: DataFrame) -> DataFrame:
     )
 
 
+def damaged_touch_lines(touches_df: DataFrame) -> DataFrame:
+    """Touch files' lines, some of them malformed: every 97th event's is cut after the
+    time, every 101st's has a field too many."""
+    fields = [F.col("uid"), F.date_format("time", "yyyy-MM-dd HH:mm:ss"), F.col("interaction"), F.col("channel"), F.col("conversion").cast("string")]
+    short = F.concat_ws(",", *fields[:2])
+    long = F.concat_ws(",", *fields, F.lit("extra"))
+    line = F.when(F.col("event_id") % 97 == 0, short).when(F.col("event_id") % 101 == 0, long).otherwise(F.concat_ws(",", *fields))
+    return touches_df.select(line.alias("value"))
+
+
+def damaged_click_lines(clicks: DataFrame) -> DataFrame:
+    """Clicks as JSON lines; where the count is a multiple of 7 the line's last two
+    characters are missing."""
+    line = F.to_json(F.struct("curr_title", "prev_title", "n"))
+    return clicks.select(F.when(F.col("n").cast("long") % 7 == 0, F.substring(line, 1, F.length(line) - 2)).otherwise(line).alias("value"))
+
+
 # ------------------------------------------------------------------ sales (B4)
 
 
@@ -171,26 +190,41 @@ def clickstream_raw(lineitem: DataFrame, part: DataFrame, supplier: DataFrame) -
 # ---------------------------------------------------------------- ad spend (B3)
 
 # The campaign row the reference inserts (id, budget default;
-# equal 0.2 share per channel and start 2020-05-17 00:00:00 are set in ad_spend).
+# equal 0.2 share per channel and start 2020-05-17 00:00:00 are set in
+# insert_campaign).
 CAMPAIGN_ID = "3d65f7e92e81480cac52a20dfdf64d5b"
 DEFAULT_ADSPEND = 10000
 
 
-def ad_spend(spark: SparkSession, adspend: int | str = DEFAULT_ADSPEND, shares: dict[str, float] | None = None) -> DataFrame:
-    """The one-row campaign table ``(campaign_id, total_spend_in_dollars FLOAT,
-    channel_spend MAP<STRING,FLOAT>, campaign_start_date TIMESTAMP)``, built with
-    a named SQL parameter for the budget."""
+# The campaign table's columns.
+AD_SPEND_COLUMNS = """
+  campaign_id STRING COMMENT 'campaign',
+  total_spend_in_dollars FLOAT COMMENT 'budget',
+  channel_spend MAP<STRING, FLOAT> COMMENT 'share of the budget by channel',
+  campaign_start_date TIMESTAMP COMMENT 'first day'"""
+
+
+def spend_table(spark: SparkSession, name: str = "gold_ad_spend", path: str | None = None) -> str:
+    """The empty campaign table, created once."""
+    catalog.create_empty_table(spark, name, AD_SPEND_COLUMNS, path or work_dir(spark, name), "budget of every campaign and its share by channel")
+    return name
+
+
+def insert_campaign(spark: SparkSession, name: str, adspend: int | str = DEFAULT_ADSPEND, shares: dict[str, float] | None = None, campaign: str = CAMPAIGN_ID) -> None:
+    """The campaign's row by a parametrised insert; a rerun keeps one row."""
     shares = shares or {c: 0.2 for c in CHANNELS}
-    budget = spark.sql(
-        "SELECT :campaign AS campaign_id, CAST(CAST(:adspend AS INT) AS FLOAT) AS total_spend_in_dollars",
-        args={"campaign": CAMPAIGN_ID, "adspend": str(adspend)},
-    )
-    spend_map = F.create_map(
-        *[e for name, v in shares.items() for e in (F.lit(name), F.lit(float(v)).cast("float"))]
-    )
-    return budget.select(
-        "campaign_id",
-        "total_spend_in_dollars",
-        spend_map.alias("channel_spend"),
-        F.make_timestamp(*[F.lit(x) for x in (2020, 5, 17, 0, 0, 0)]).alias("campaign_start_date"),
-    )
+    split = {f"{kind}{i}": value for i, pair in enumerate(shares.items()) for kind, value in zip(("channel", "share"), pair)}
+    entries = ", ".join(f":channel{i}, CAST(:share{i} AS FLOAT)" for i in range(len(shares)))
+    values = f":campaign_id, CAST(INT(:adspend) AS FLOAT), map({entries}), make_timestamp(2020, 5, 17, 0, 0, 0)"
+    catalog.insert_values(spark, name, "campaign_id", values, {"campaign_id": campaign, "adspend": str(adspend), **split})
+
+
+def ad_spend(spark: SparkSession, adspend: int | str = DEFAULT_ADSPEND, shares: dict[str, float] | None = None) -> DataFrame:
+    """The campaign table ``(campaign_id, total_spend_in_dollars FLOAT, channel_spend
+    MAP<STRING,FLOAT>, campaign_start_date TIMESTAMP)`` with its one row; created and
+    filled once a session."""
+    name = spend_table(spark)
+    held = spark.table(name)
+    if shares or held.filter((F.col("campaign_id") == CAMPAIGN_ID) & (F.col("total_spend_in_dollars") == float(adspend))).isEmpty():
+        insert_campaign(spark, name, adspend, shares)
+    return spark.table(name)

@@ -1,16 +1,27 @@
 """One-shot streaming ingest (exactly-once files, rerun adds nothing, equals
 batch) and the distributed generator's rules."""
 
+import contextlib
+import glob
+import io
+import os
+import random
+
+import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from pathcredit.plans import journeys as J
 from pathcredit.plans import markov as M
+from pathcredit.plans import refresh as R
 from pathcredit.plans.generator import generate_touches, generator_profile
 from pathcredit.sources import fixtures as X
 from pathcredit.sources.files import read_raw_touches, typed_touches, write_raw_touches
-from pathcredit.operators.upsert import PartitionedTable
-from pathcredit.streaming.ingest import ingest_and_refresh, ingest_once, refresh_journeys_batch, with_event_id
+from pathcredit.operators.keyed import KeyedTable
+from pathcredit.schemas import USER_JOURNEY
+from pathcredit.sources.files import TOUCH_EXPECTATIONS
+from pathcredit.streaming.ingest import ingest_and_refresh, ingest_checked, ingest_once, refresh_journeys_batch, with_event_id
+from pathcredit.session import work_dir
 from tests.conftest import SF001
 
 
@@ -65,7 +76,7 @@ def test_generated_data_through_attribution(spark):
 
 
 def _journeys_table(spark, root):
-    return PartitionedTable(spark, "journeys_stream_test", f"{root}/journeys", ["uid"], 4)
+    return KeyedTable(spark, f"{root}/journeys", ["uid"], USER_JOURNEY, 4)
 
 
 def _rows(df):
@@ -97,3 +108,73 @@ def test_replayed_epoch_changes_nothing(spark, scratch):
     assert _rows(_journeys_table(spark, scratch).read().withColumn("visiting_order", F.col("visiting_order").cast("string"))) == once
     handle(batch.limit(0), 1)
     assert spark.read.parquet(f"{scratch}/bronze").count() == 200
+
+
+GOOD = "u1-20240101-0,2024-01-01 10:00:00,impression,Email,0"
+
+
+def _land(spark, landing, name, lines):
+    spark.createDataFrame([(line,) for line in lines], "value string").coalesce(1).write.text(f"{landing}/{name}")
+
+
+def _ingest(spark, scratch):
+    ingest_checked(spark, f"{scratch}/landing/*", f"{scratch}/out", "touches", TOUCH_EXPECTATIONS, max_files_per_trigger=1, header=False)
+
+
+def test_bad_file_stops_the_stream_unpublished(spark, scratch):
+    """Malformed lines are set aside; a line that breaks an expectation stops the stream
+    before its batch is published; the counts of what was published are stored."""
+    landing = f"{scratch}/landing"
+    _land(spark, landing, "a", [GOOD, "u2-20240101-0,2024-01-01", GOOD + ",more", ""])
+    _ingest(spark, scratch)
+    assert spark.read.parquet(f"{scratch}/out/bronze").count() == 1
+    assert sorted(r.record for r in spark.read.parquet(f"{scratch}/out/quarantine").collect()) == sorted([GOOD + ",more", "u2-20240101-0,2024-01-01"])
+    _land(spark, landing, "b", [GOOD, "u3-20240101-0,not a time,impression,Email,0"])
+    with pytest.raises(Exception, match="valid_time"):
+        _ingest(spark, scratch)
+    assert spark.read.parquet(f"{scratch}/out/bronze").count() == 1
+    counts = {(r.epoch, r.expectation): (r.passed, r.failed) for r in spark.read.parquet(f"{scratch}/out/counts").collect()}
+    assert counts == {(0, e.name): (1, 0) for e in TOUCH_EXPECTATIONS}
+    # the file is mended in place; the same batch runs again and lands once
+    for f in glob.glob(f"{landing.removeprefix('file:')}/b/*.txt"):
+        with open(f, "w") as out:
+            out.write(GOOD + "\n")
+        crc = os.path.join(os.path.dirname(f), "." + os.path.basename(f) + ".crc")
+        if os.path.exists(crc):
+            os.remove(crc)
+    _ingest(spark, scratch)
+    _ingest(spark, scratch)
+    assert spark.read.parquet(f"{scratch}/out/bronze").count() == 2
+
+
+def test_refresh_of_changed_journeys_equals_a_rebuild(spark):
+    """Random deliveries: counts by retraction against counts of everything, and the same
+    delivery again."""
+    rng = random.Random(12)
+
+    def touches(uids, seed):
+        r = random.Random(seed)
+        return spark.createDataFrame([(f"u{u}", t, t, r.choice(["A", "B", "C"]), r.randint(0, 1)) for u in uids for t in range(r.randint(1, 5))], "uid string, time int, event_id int, channel string, conversion int")
+
+    state = KeyedTable(spark, work_dir(spark, "refresh-test"), ["uid"], USER_JOURNEY, 8)
+    state.append(J.user_journeys(touches(range(40), 0), segment_touches=3), 0)
+    counts = M.path_transitions(state.read()).checkpoint()
+    for version in (1, 2, 3):
+        source = J.user_journeys(touches(rng.sample(range(60), 6), version), segment_touches=3)
+        again = R.refreshed(state, source, version, counts, M.path_transitions, "total_transitions")
+        counts = R.refreshed(state, source, version, counts, M.path_transitions, "total_transitions")
+        assert _rows(again) == _rows(counts) == _rows(M.path_transitions(state.read()))
+
+
+def test_refresh_opens_the_touched_folders_alone(spark):
+    state = KeyedTable(spark, work_dir(spark, "refresh-plan"), ["uid"], "uid string, v int", 16)
+    state.append(spark.range(500).selectExpr("CAST(id AS STRING) AS uid", "1 AS v"), 0)
+    source = spark.createDataFrame([("7", 2)], "uid string, v int")
+    old = R.stored_rows_of(state, source)
+    assert _rows(old) == [("7", 1)]
+    bucket = source.select(state.bucket()).first()[0]
+    out = io.StringIO()
+    with contextlib.redirect_stdout(out):
+        old.explain("formatted")
+    filters = [line for line in out.getvalue().splitlines() if line.startswith("PartitionFilters")]
+    assert filters and all(f"= {bucket})" in f for f in filters)

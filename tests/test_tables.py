@@ -1,9 +1,13 @@
 """End-to-end table build: every table written once, matching the named
 queries that compute the same thing from scratch."""
 
+import glob
+import os
+
 from pyspark.sql import functions as F
 
 from pathcredit.named import QUERIES
+from pathcredit.operators import catalog
 from pathcredit.tables import build_attribution_tables
 from tests.conftest import SF001
 
@@ -26,18 +30,38 @@ def test_build_matches_named_queries(spark, scratch):
         "visiting_order", F.concat_ws(",", F.transform("visiting_order", lambda x: x.cast("string")))
     )
     assert _same(journeys, QUERIES["user_journey"](spark, SF001))
-    assert tables["gold_attribution"].version == 1  # created, then the Markov upsert
+    assert {r[0] for r in spark.read.parquet(tables["gold_attribution"].path).select("version").distinct().collect()} == {0, 1}  # created, then the Markov upsert
+    assert catalog.table_comment(spark, tables["cpa_summary"].name) == "cost per acquisition"
+
+
+def _files(root):
+    return {f: os.path.getmtime(f) for f in glob.glob(f"{root.removeprefix('file:')}/**/*", recursive=True) if os.path.isfile(f)}
 
 
 def test_build_twice(spark, scratch):
     """The second build finds every table and changes none."""
     first = build_attribution_tables(spark, SF001, scratch)
-    versions = {n: t.version for n, t in first.items()}
+    before = _files(scratch)
     second = build_attribution_tables(spark, SF001, scratch)
-    assert {n: t.version for n, t in second.items()} == versions
+    assert all(t.written for t in first.values()) and not any(t.written for t in second.values())
+    assert _files(scratch) == before
+    assert second["bronze"].metrics == first["bronze"].metrics and second["bronze"].metrics["rows"] == 1000
     assert _same(first["gold_attribution"].read(), second["gold_attribution"].read())
 
 
+def test_build_goes_on_after_a_crash(spark, scratch):
+    """A later session, whose catalog knows nothing: tables that lie there are registered,
+    a step without its record runs again."""
+    first = build_attribution_tables(spark, SF001, scratch)
+    rows = first["cpa_summary"].read().collect()
+    spark.sql(f"DROP DATABASE {first['bronze'].name.split('.')[0]} CASCADE")
+    for f in glob.glob(f"{scratch.removeprefix('file:')}/build_steps/step=cpa_summary/*"):
+        os.remove(f)
+    second = build_attribution_tables(spark, SF001, scratch)
+    assert [n for n, t in second.items() if t.written] == ["cpa_summary"]
+    assert sorted(second["cpa_summary"].read().collect()) == sorted(rows)
+
+
 def test_cli_list(capsys):
     from pathcredit.__main__ import main
 
