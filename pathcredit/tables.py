@@ -72,7 +72,7 @@ def build_attribution_tables(
     them in the same pass (``tables["bronze"].metrics``)."""
     root = root.rstrip("/")
     database = database or f"attribution_{zlib.crc32(root.encode()):08x}"
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{root}'")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{root}/database'")
     steps, tables = _Steps(spark, root), {}
 
     def write(name: str, comment: str, query: Callable[[], DataFrame], observation=None) -> DataFrame:
