@@ -3,7 +3,8 @@
 Ids are those of the ``tokenizers`` library for the same vocabulary.  Most
 words recur, so a text is cut at single spaces (a pre-token never spans one
 that has a non-space beside it) and each piece's ids are looked up; only new
-pieces run the merges.  A text in which a space stands between two white
+pieces run the merges.  The vocabulary's special text has an id of its own
+wherever it stands.  A text in which a space stands between two white
 spaces is encoded in one go.
 """
 
@@ -15,6 +16,8 @@ import re
 import numpy as np
 
 VOCABULARY = "byte_bpe_50k"
+# Fixed value: the vocabulary's special text; its id follows those of all pieces.
+SPECIAL = "<|endoftext|>"
 _CACHE_PIECES = 200_000
 _GAP = re.compile(r"\s \s")
 _AFTER = re.compile(r" \s")  # quicker to search, and part of every gap
@@ -30,6 +33,7 @@ class Encoder:
         with open(public.path(f"{name}.tiktoken"), "rb") as f:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
         self._bpe = tiktoken.Encoding("public", pat_str=public.PATTERN, mergeable_ranks=ranks, special_tokens={})
+        self._special = np.array([len(ranks)], "<u4").tobytes()
         self._known: dict[str, bytes] = {}
         (self._newline,) = self._bpe.encode_ordinary("\n")
 
@@ -48,6 +52,10 @@ class Encoder:
 
     def encode_all(self, texts: list[str]) -> list[bytes]:
         """The ids of every text as little-endian unsigned 32-bit integers."""
+        if any(SPECIAL in t for t in texts):  # what stands between special texts is encoded by itself
+            cut = [t.split(SPECIAL) for t in texts]
+            ids = iter(self.encode_all([x for parts in cut for x in parts]))
+            return [self._special.join([next(ids) for _ in parts]) for parts in cut]
         parts = [None if _AFTER.search(t) and _GAP.search(t) else t.split(" ") for t in texts]
         known = self._known
         if len(known) > _CACHE_PIECES:
