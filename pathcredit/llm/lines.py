@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pathcredit.llm.common import Spans, documents, ids_of, longs, mix, record_batch, ship, steps, table
+from pathcredit.llm.common import Spans, content_hashes, documents, ids_of, longs, mix, record_batch, ship, steps, table
 from pathcredit.llm.components import components
 from pathcredit.llm.lsh import BITS, Near, mixed_bands, similar_sets
 
@@ -62,7 +62,8 @@ class Lines:
         self.filled = solid[self.end] > solid[self.start]
         self.spans = Spans(_symbols(codes))
         self.every: tuple[int, np.ndarray] | None = None
-        self.id = self.spans.hash(self.start, self.end).view(np.int64)
+        lowered = np.where((codes >= 65) & (codes <= 90), codes + np.uint32(32), codes).astype("<u4").view(np.uint8)
+        self.id = content_hashes(lowered, 4 * self.start, 4 * self.end).view(np.int64)
 
     def shingles(self, lines: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         """(hash, line) of every shingle of some lines."""

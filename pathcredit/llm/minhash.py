@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pathcredit.llm.common import Spans, binary_array, byte_spans, documents, ids_of, lower, mix, record_batch, ship, steps, table, utf8, words
+from pathcredit.llm.common import Spans, binary_array, content_hashes, documents, ids_of, lower, mix, record_batch, ship, steps, table, utf8, words
 from pathcredit.llm.components import components
 from pathcredit.llm.lsh import BITS, Near, mixed_bands, packed, similar_sets
 
@@ -39,7 +39,7 @@ def shingle_sets(column: pa.Array, k: int) -> tuple[np.ndarray, np.ndarray]:
     data, offsets = utf8(column)
     data = lower(data)
     starts, ends, first = words(data, offsets)
-    spans = Spans(byte_spans(data).hash(starts, ends))
+    spans = Spans(content_hashes(data, starts, ends))
     count = np.diff(first)
     n = np.where(count >= k, count - k + 1, np.minimum(count, 1))
     base = np.cumsum(n) - n

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pathcredit.llm.common import _SPACE, byte_spans, documents, grams, ids_of, record_batch, ship, smallest_hashes, steps, table, utf8, words
+from pathcredit.llm.common import _SPACE, content_hashes, documents, grams, ids_of, record_batch, ship, smallest_hashes, steps, table, utf8, words
 
 #: Labelled rows a list is learned from, at most: those with the smallest hashes of their ids.
 SAMPLE_ROWS = 20_000
@@ -58,8 +58,7 @@ def statistics_of(column: pa.Array) -> list[np.ndarray]:
     n = len(offsets) - 1
     start, end, first = words(data, offsets)
     owner = ids_of(first)
-    spans = byte_spans(data)
-    codes = spans.hash(start, end)
+    codes = content_hashes(data, start, end)
     chars = _per((data & 0xC0) != 0x80, offsets) - _per(_SPACE[data], offsets)
 
     # lines that hold a word and equal an earlier one
@@ -70,7 +69,7 @@ def statistics_of(column: pa.Array) -> list[np.ndarray]:
     line_end = np.minimum(np.append(line_start[1:], len(data)), offsets[line_doc + 1])
     line_end = line_end - (data[line_end - 1] == 10)
     held = np.searchsorted(start, line_end) > np.searchsorted(start, line_start)
-    line_doc, line_hash = line_doc[held], spans.hash(line_start[held], line_end[held])
+    line_doc, line_hash = line_doc[held], content_hashes(data, line_start[held], line_end[held])
     lines = np.bincount(line_doc, minlength=n)
     repeats = lines - _distinct(line_doc, line_hash, n)
 
