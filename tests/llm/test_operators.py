@@ -195,14 +195,8 @@ def test_context_discovers_unseen_identifiers(spark):
 # ------------------------------------------------------------------ scoring
 
 
-@pytest.fixture()
-def short_training(monkeypatch):
-    fit = scoring.fitted
-    monkeypatch.setattr(scoring, "fitted", lambda texts, vocabulary, steps_=60: fit(texts, vocabulary, steps_))
-
-
 @pytest.mark.parametrize("hot", [1 << 16, 0, 5])
-def test_base_scores_match_brute_force(docs, rows, short_training, monkeypatch, hot):
+def test_base_scores_match_brute_force(docs, rows, monkeypatch, hot):
     monkeypatch.setattr(scoring, "HOT_WORDS", hot)
     got = sorted(tuple(r) for r in scoring.scored(docs).collect())
     expected = sorted(brute.base_scores(rows))
@@ -211,7 +205,7 @@ def test_base_scores_match_brute_force(docs, rows, short_training, monkeypatch,
     assert all(np.isfinite(g[6]) and g[6] < 0 for g in got)
 
 
-def test_scoring_empty(empty, short_training):
+def test_scoring_empty(empty):
     assert scoring.scored(empty).collect() == []
 
 
@@ -249,24 +243,23 @@ def test_windows_score_like_whole_sequences():
         assert abs(got[i] - expected) < 1e-3
 
 
-def test_training_lowers_held_out_loss():
+def test_training_lowers_held_out_loss(spark):
     rng = random.Random(8)
     texts = [" ".join(rng.choice(["the cat sat", "on a mat", "and then it", "ran away"]) for _ in range(60)) for _ in range(40)]
     ids, first = scoring.subwords(__import__("pyarrow").array(texts[30:]), "byte_bpe_50k")
     score = []
-    for n in (0, 300):
-        known, model = scoring.fitted(texts[:30], "byte_bpe_50k", n)
+    for passes in (0, 1, 100):
+        known, model = scoring.fitted_on(spark.createDataFrame([(t,) for t in texts[:30]], "text string").coalesce(2), "byte_bpe_50k", passes)
         inputs, opening, targets, place = scoring._laid(ids, first, known)
         score.append(attention.log_probabilities(model, inputs, opening, targets)[place].mean())
-    assert score[1] > score[0] + 1
+    assert score[0] < score[1] < score[2] and score[2] > score[0] + 1
 
 
-def test_fitting_reads_the_whole_fold(spark, monkeypatch):
+def test_fitting_reads_the_whole_fold(spark):
     """One word in the documents past any thousand: counted, and trained on."""
-    monkeypatch.setattr(scoring, "LEAST_WINDOWS", 40_000)
     rows = [(i, "the cat sat on a mat " * 3) for i in range(1200)] + [(2000 + i, "zebra quartz " * 12) for i in range(8)]
     texts = spark.createDataFrame(rows, "doc_id long, text string").repartitionByRange(2, "doc_id")
-    known, model = scoring.fitted_on(texts, "byte_bpe_50k")
+    known, model = scoring.fitted_on(texts, "byte_bpe_50k", 8)
     ids, first = scoring.subwords(pa.array([t for _, t in rows]), "byte_bpe_50k")
     whole = attention.Vocabulary.of(np.bincount(ids, minlength=scoring.VOCABULARY_SIZE))
     assert (known.symbol == whole.symbol).all() and (known.share == whole.share).all()
