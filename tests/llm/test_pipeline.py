@@ -60,11 +60,11 @@ def test_stages_keep_the_columns(spark, docs, corpus):
 def test_queries_are_registered():
     entry = importlib.import_module("__spark_entry__")
     names = [n for n in entry.queries() if n.startswith("op") or n == "pipeline"]
-    assert len(names) == 11
+    assert len(names) == 14
     assert set(entry.oracle_sql()) <= set(entry.queries())
 
 
-@pytest.mark.parametrize("name", ["op1_minhash", "op3_decontamination", "op4_substrings"])
+@pytest.mark.parametrize("name", ["op1_minhash", "op3_decontamination", "op4_substrings", "op11_jaccard", "op13_codes"])
 def test_query_matches_oracle(spark, name):
     from tests.conftest import SF001
     from tools.compare import compare, duck
