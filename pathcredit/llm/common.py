@@ -206,10 +206,6 @@ class Spans:
         return _mixed(out)
 
 
-def byte_spans(data: np.ndarray) -> Spans:
-    return Spans(_SYMBOL[data])
-
-
 #: Longer spans are hashed one by one.
 _CHAINED_BYTES = 512
 

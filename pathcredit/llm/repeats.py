@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pathcredit.llm.common import Spans, byte_spans, grams, ids_of, kept_words_digest, longs, mix, record_batch, ship, steps, table, utf8, words, _SYMBOL
+from pathcredit.llm.common import Spans, content_hashes, grams, ids_of, kept_words_digest, longs, mix, record_batch, ship, steps, table, utf8, words, _SYMBOL
 
 
 @dataclass(frozen=True)
@@ -50,7 +50,7 @@ class Sequences:
         self.data, self.offsets = utf8(column)
         if units == "words":
             self.starts, self.ends, self.first = words(self.data, self.offsets)
-            self.symbols = byte_spans(self.data).hash(self.starts, self.ends) if len(self.starts) else np.zeros(0, np.uint64)
+            self.symbols = content_hashes(self.data, self.starts, self.ends)
         else:
             self.starts = self.ends = None
             self.first = self.offsets

@@ -1,12 +1,22 @@
-"""Substring deduplication by anchors and window hashes.
-
-Documents are joined on winnowed anchors of six words.  No match is extended:
-every twenty-word window around an anchor is hashed and grouped by its hash; a
-window that also starts earlier (smaller document, or earlier in the same one)
-marks its words, and marked words go.  Equal surroundings collapse first: the
-windows of each distinct segment alone meet those of the other segments of its
-anchor, by 64-bit hashes, so a hot passage
-costs a row for each distinct surrounding and never a pair of documents.
+"""Substring deduplication by seed and extend.
+
+Documents are joined on winnowed anchors of six words.  A segment is an anchor
+with the words around it that its candidate windows hold; equal segments collapse
+to their earliest place first.  Then matches are extended, round by round: the
+earliest segment of a class (at first, all segments of an anchor) is its centre,
+every other member is compared with it word by word, to the left of the anchor and
+to the right, and the match is the longest stretch both hold.  The twenty-word
+windows inside a match start earlier, in the centre.  A member's windows that reach
+beyond its match go on: those beyond its left end to the members that left the
+centre at the same word with the same next word, the others likewise on the right.
+Two members that share a window the centre lacks always go on to the same class,
+so no repeat is lost and no pair of members is listed: a member meets one centre a
+round, and every round holds one more word of context fixed, so there are at most
+29.  The windows of the centres start nowhere earlier; all other windows mark their
+words, and marked words go.
+
+Words are named by 64-bit hashes of their bytes, and matches compare those names
+alone: the classes' own hashes only bring members together.
 
 Cases: null text has no words; documents with fewer words than a window keep
 all; a null ``doc_id`` is left out; equal rows that share a
@@ -21,41 +31,101 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pathcredit.llm.common import documents, kept_words_digest, longs, record_batch, steps, table
+from pathcredit.llm.common import documents, kept_words_digest, longs, mix, record_batch, steps, table
 from pathcredit.llm.repeats import Seeds, Sequences, Windows, covered, prepared, surveyed, words_digest
 
 WINDOW_WORDS = 20
 SEED_WORDS = 6
 WORDS = Windows("words", WINDOW_WORDS, SEED_WORDS, 8)
 
+#: A segment in a class: its anchor's place, the windows in question (they start
+#: ``lo`` to ``hi`` words before the anchor) and the words these hold.
+_MEMBER = pa.schema([("key", pa.int64()), ("doc_id", pa.int64()), ("at", pa.int64()), ("lo", pa.int32()), ("hi", pa.int32()), ("ids", pa.list_(pa.int64()))])
+_MEMBER_DDL = "key long, doc_id long, at long, lo int, hi int, ids array<long>"
 
-def first_places(seen: DataFrame, cfg: Windows) -> DataFrame:
-    """(doc_id, start, n): the windows that start nowhere earlier, as ranges."""
-    rows = seen.select("doc_id", F.inline("segments"))
-    place = F.min(F.struct("doc_id", "start")).alias("p")
-    earliest = table(rows.groupBy("anchor", "segment", "n").agg(place).select("anchor", "segment", "n", "p.*"), "segments")
-    mixed = earliest.groupBy("anchor").count().filter("count > 1").select("anchor")
-    alone = earliest.join(mixed, "anchor", "left_anti").select("doc_id", "start", F.col("n").cast("long").alias("n"))
-    wanted = earliest.join(mixed, "anchor", "left_semi").groupBy("doc_id").agg(F.collect_list(F.struct("anchor", "start", "n")).alias("parts"))
-    schema = pa.schema([("anchor", pa.int64()), ("content", pa.int64()), ("doc_id", pa.int64()), ("start", pa.int64())])
 
-    def extend(batches):
+def _lists(values: np.ndarray, start: np.ndarray, size: np.ndarray) -> pa.Array:
+    """A list column of stretches of ``values``."""
+    edge = np.append(0, np.cumsum(size))
+    at = np.arange(edge[-1]) + np.repeat(start - edge[:-1], size)
+    return pa.ListArray.from_arrays(pa.array(edge, pa.int32()), pa.array(values[at])).cast(_MEMBER.field(5).type)
+
+
+def _cut(cfg: Windows):
+    def run(batches):
+        """The wanted segments of some texts."""
         for batch in steps(batches):
             seq = Sequences(batch.column(1), cfg.units)
             found = Seeds(seq, cfg)
             parts = batch.column(2)
             owner = np.repeat(np.arange(len(parts)), parts.value_lengths().to_numpy(zero_copy_only=False))
-            anchor, start, n = (x.to_numpy() for x in parts.flatten().flatten())
-            n = n.astype(np.int64)
-            at = np.repeat(start, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-            doc = np.repeat(owner, n)
-            begin = at + seq.first[doc]
-            yield record_batch(schema, np.repeat(anchor, n), found.spans.hash(begin, begin + cfg.length).view(np.int64), longs(batch.column(0))[doc], at)
+            key, start, n = (x.to_numpy() for x in parts.flatten().flatten())
+            begin = start + seq.first[owner]
+            hi = found.anchor[begin] - begin
+            ids = _lists(seq.symbols.view(np.int64), begin, n + cfg.length - 1)
+            yield record_batch(_MEMBER, key, longs(batch.column(0))[owner], start + hi, (hi - n + 1).astype(np.int32), hi.astype(np.int32), ids)
+
+    return run
+
+
+def _agreeing(a: np.ndarray, i: np.ndarray, b: np.ndarray, j: np.ndarray, limit: np.ndarray, step: int) -> np.ndarray:
+    """How many words agree, one after another, from ``a[i]`` and ``b[j]`` on in
+    direction ``step``, at most ``limit``."""
+    out, live = np.zeros(len(i), np.int64), np.flatnonzero(limit > 0)
+    while len(live):
+        live = live[a[i[live] + step * out[live]] == b[j[live] + step * out[live]]]
+        out[live] += 1
+        live = live[out[live] < limit[live]]
+    return out
+
+
+def _extended(cfg: Windows):
+    def run(batches):
+        """Members (with their class's centre) to the classes they go on to."""
+        for batch in batches:
+            key, doc, at, lo, hi = (batch.column(i).to_numpy() for i in range(5))
+            centre_lo, centre_hi = (batch.column(i).to_numpy().astype(np.int64) for i in (6, 7))
+            lo, hi = lo.astype(np.int64), hi.astype(np.int64)
+            (ids, anchor), (centre, centre_anchor) = (
+                (c.flatten().to_numpy(), np.cumsum(size := c.value_lengths().to_numpy().astype(np.int64)) - size + h) for c, h in ((batch.column(5), hi), (batch.column(8), centre_hi))
+            )
+            # the match: words in common before the anchor's start and from it on
+            left = _agreeing(ids, anchor - 1, centre, centre_anchor - 1, np.minimum(hi, centre_hi), -1)
+            right = _agreeing(ids, anchor, centre, centre_anchor, cfg.length - np.maximum(lo, centre_lo), 1)
+            # windows that start before the match, and those that only end behind it
+            before = np.flatnonzero(hi > left)
+            last = np.minimum(np.minimum(hi, left), cfg.length - right - 1)
+            behind = np.flatnonzero(last >= lo)
+            rows = np.concatenate([before, behind])
+            new_lo = np.concatenate([np.maximum(lo, left + 1)[before], lo[behind]])
+            new_hi = np.concatenate([hi[before], last[behind]])
+            word = np.concatenate([ids[(anchor - 1 - left)[before]], ids[(anchor + right)[behind]]])
+            turn = np.concatenate([2 * left[before], 2 * right[behind] + 1])
+            class_ = mix(mix(key[rows].view(np.uint64) + turn.astype(np.uint64)) ^ word.view(np.uint64)).view(np.int64)
+            held = _lists(ids, anchor[rows] - new_hi, new_hi - new_lo + cfg.length)
+            yield record_batch(_MEMBER, class_, doc[rows], at[rows], new_lo.astype(np.int32), new_hi.astype(np.int32), held)
+
+    return run
+
 
+def first_places(seen: DataFrame, cfg: Windows) -> DataFrame:
+    """(doc_id, start, n): the windows that start nowhere earlier, as ranges."""
+    rows = seen.select("doc_id", F.inline("segments"))
+    place = F.min(F.struct("doc_id", "start")).alias("p")
+    earliest = table(rows.groupBy("anchor", "segment", "n").agg(place).select("anchor", "segment", "n", "p.*"), "segments")
+    mixed = earliest.groupBy("anchor").count().filter("count > 1").select("anchor")
+    first = earliest.join(mixed, "anchor", "left_anti").select("doc_id", "start", F.col("n").cast("long").alias("n"))
+    wanted = earliest.join(mixed, "anchor", "left_semi").groupBy("doc_id").agg(F.collect_list(F.struct("anchor", "start", "n")).alias("parts"))
     texts = seen.filter("text is not null").select("doc_id", "text").join(wanted, "doc_id")
-    windows = texts.mapInArrow(extend, "anchor long, content long, doc_id long, start long")
-    mixed_first = windows.groupBy("anchor", "content").agg(place).select("p.doc_id", "p.start", F.lit(1).cast("long").alias("n"))
-    return alone.unionByName(mixed_first)
+    members = table(texts.mapInArrow(_cut(cfg), _MEMBER_DDL), "members")
+    while not members.isEmpty():
+        least = F.min(F.struct("doc_id", "at", "lo", "hi", "ids")).alias("c")
+        centres = table(members.groupBy("key").agg(least, F.count("*").alias("n")), "centres")
+        first = first.unionByName(centres.select("c.doc_id", (F.col("c.at") - F.col("c.hi")).alias("start"), (F.col("c.hi") - F.col("c.lo") + 1).cast("long").alias("n")))
+        met = members.join(centres.filter("n > 1").select("key", "c"), "key").filter("doc_id <> c.doc_id or at <> c.at or lo <> c.lo or hi <> c.hi")
+        pairs = met.select(*_MEMBER.names, F.col("c.lo").alias("centre_lo"), F.col("c.hi").alias("centre_hi"), F.col("c.ids").alias("centre_ids"))
+        members = table(pairs.mapInArrow(_extended(cfg), _MEMBER_DDL), "members")
+    return first
 
 
 def deduplicated(docs: DataFrame, cfg: Windows = WORDS) -> DataFrame:

@@ -90,6 +90,17 @@ def test_substrings_match_brute_force(docs, rows, empty):
     assert substrings.deduplicated(empty).collect() == []
 
 
+def test_substrings_with_many_surroundings(spark):
+    """Texts of two or three words: matches are extended through many classes."""
+    rng = random.Random(3)
+    rows = [(i, " ".join(rng.choice("abc") for _ in range(rng.randint(10, 120)))) for i in range(60)]
+    passages = [" ".join(rng.choice("abcdefgh") for _ in range(30)) for _ in range(3)]
+    around = lambda: " ".join(rng.choice("ab") for _ in range(4))
+    rows += [(100 + i, f"{around()} {rng.choice(passages)} {around()}") for i in range(80)]
+    got = substrings.deduplicated(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert pairs(got.drop("kept_text")) == brute.substrings(rows)
+
+
 @pytest.mark.parametrize("hot", [128, 1])
 def test_suffixes_match_brute_force(docs, rows, hot):
     """hot = 1: segments with a shared anchor are cut to single windows."""

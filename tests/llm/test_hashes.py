@@ -3,7 +3,8 @@
 import pyarrow as pa
 import pytest
 
-from pathcredit.llm import lines, minhash, quality
+from pathcredit.llm import lines, minhash, quality, substrings, suffixes
+from tests.llm import brute
 
 
 def couple(size):
@@ -27,3 +28,19 @@ def test_lines_and_words_are_distinct(size):
     counts = dict(zip(quality._SCHEMA.names[1:], [x.tolist() for x in quality.statistics_of(pa.array([one + "\n" + two]))]))
     assert counts["n_dup_lines"] == [0] and counts["n_words"] == [2]
     assert [x for k, x in counts.items() if "distinct" in k] == [[2]]
+
+
+@pytest.mark.parametrize("size", [1024, 4096])
+def test_windows_of_such_words_are_distinct(spark, size):
+    one, two = couple(size)
+    rest = " ".join(f"w{i}" for i in range(19))
+    rows = [(1, f"{one} {rest}"), (2, f"{two} {rest}"), (3, f"{two} {rest}")]
+    got = substrings.deduplicated(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert sorted((r.doc_id, r.n_removed) for r in got.collect()) == [(1, 0), (2, 0), (3, 20)]
+
+
+def test_byte_windows_of_such_texts(spark):
+    one, two = couple(4096)
+    rows = [(1, one), (2, two), (3, one[:150] + two[150:1024])]
+    got = suffixes.deduplicated(spark.createDataFrame(rows, "doc_id long, text string")).drop("kept")
+    assert sorted(map(tuple, got.collect())) == brute.suffixes(rows)
