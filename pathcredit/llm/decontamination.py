@@ -16,8 +16,8 @@ on the seed and splits hot ones.
 Cases: words are those between white space, lower-cased; null or empty texts
 and items have none; an item under five words is found where all its words
 stand; null ids are left out; equal rows report once; empty tables give no row;
-further columns are ignored.  ``OP3_SQL`` names the overlaps that ``SQL_MASKS`` hit,
-of items of ten words or more: a part of the rows where others exist.
+further columns are ignored.  ``OP3_SQL`` uses no seeds: it counts the equal words
+of all diagonals.
 """
 
 from __future__ import annotations
@@ -41,9 +41,6 @@ FAMILIES = (
     (1, ((0,),)),
 )
 MASKS = tuple(dict.fromkeys(m for _, masks in FAMILIES for m in masks))
-#: The masks and window of ``OP3_SQL``.
-SQL_MASKS = ((0, 1, 3, 4, 6, 8, 9), (0, 2, 3, 4, 7, 8, 9))
-SQL_SPAN = 10
 OVERLAP_WORDS = 20
 PERCENT = 80
 
@@ -141,21 +138,18 @@ def op3_decontamination(spark, sf_dir):
     return overlaps(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
-def _oracle() -> str:
-    seed = " UNION ALL ".join(
-        f"SELECT id, kind, i, {k} AS mask, concat_ws(chr(31), {', '.join(f'w[i + {o + 1}]' for o in m)}) AS seed FROM spots" for k, m in enumerate(SQL_MASKS)
-    )
-    return f"""
+OP3_SQL = f"""
 WITH rows AS (
   SELECT doc_id AS id, 'd' AS kind, text FROM documents WHERE doc_id IS NOT NULL
   UNION ALL SELECT item_id, 'b', text FROM benchmark WHERE item_id IS NOT NULL
 ), tokens AS (
   SELECT id, kind, list_filter(string_split_regex(lower(coalesce(text, '')), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w FROM rows
 ), spots AS (
-  SELECT id, kind, w, unnest(range(0, len(w) - {SQL_SPAN - 1})) AS i FROM tokens WHERE len(w) >= {SQL_SPAN}
-), seeds AS ({seed}), hits AS (
-  SELECT DISTINCT d.id AS doc_id, b.id AS item_id, d.i - b.i AS shift
-  FROM seeds d JOIN seeds b ON d.seed = b.seed AND d.mask = b.mask AND d.kind = 'd' AND b.kind = 'b'
+  SELECT id, kind, len(w) AS size, unnest(range(0, len(w))) AS i, unnest(w) AS word FROM tokens
+), hits AS (
+  SELECT d.id AS doc_id, b.id AS item_id, d.i - b.i AS shift
+  FROM spots d JOIN spots b ON d.word = b.word AND d.kind = 'd' AND b.kind = 'b'
+  GROUP BY d.id, b.id, b.size, d.i - b.i HAVING count(*) * 100 >= least({OVERLAP_WORDS}, b.size) * {PERCENT}
 ), lined AS (
   SELECT doc_id, item_id, greatest(shift, 0) AS df, greatest(-shift, 0) AS bf, d.w AS dw, b.w AS bw,
          least(len(b.w) - greatest(-shift, 0), len(d.w) - greatest(shift, 0)) AS n, least({OVERLAP_WORDS}, len(b.w)) AS win
@@ -169,6 +163,3 @@ SELECT DISTINCT doc_id, item_id, CAST(df + g[1] AS BIGINT) AS doc_start, CAST(bf
        CAST(g[len(g)] + win - g[1] AS BIGINT) AS n_words, CAST(list_sum(eq[g[1] + 1 : g[len(g)] + win]) AS BIGINT) AS n_equal
 FROM good WHERE len(g) > 0
 """
-
-
-OP3_SQL = _oracle()

@@ -196,3 +196,41 @@ def deduplicated(docs: DataFrame, near: Near = LINES) -> DataFrame:
 
 def op6_lines(spark, sf_dir):
     return judged_lines(documents(spark, sf_dir))
+
+
+OP6_SQL = f"""
+WITH RECURSIVE places AS (
+  SELECT doc_id, unnest(range(0, len(string_split(text, chr(10))))) AS line_no,
+         unnest(string_split(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), chr(10))) AS line
+  FROM documents WHERE doc_id IS NOT NULL AND text IS NOT NULL
+), firsts AS (
+  SELECT row_number() OVER (ORDER BY min(struct_pack(d := doc_id, l := line_no))) AS id, line, min(struct_pack(d := doc_id, l := line_no)) AS p
+  FROM places WHERE regexp_matches(line, '[^\\x09-\\x0D\\x20\\xA0]') GROUP BY line
+), shingles AS (
+  SELECT DISTINCT id, s FROM (
+    SELECT id, unnest(list_transform(range(0, greatest(1, length(line) - {LINES.shingle - 1})), lambda i: substr(line, i + 1, {LINES.shingle}))) AS s FROM firsts)
+), weighed AS (
+  SELECT id, s, row_number() OVER (PARTITION BY id ORDER BY f, s) AS place, count(*) OVER (PARTITION BY id) AS n
+  FROM (SELECT id, s, count(*) OVER (PARTITION BY s) AS f FROM shingles)
+), prefixes AS (
+  SELECT id, s, n FROM weighed WHERE 100 * (place - 1) <= {100 - LINES.percent} * n
+), candidates AS (
+  SELECT DISTINCT a.id AS u, b.id AS v, a.n AS m, b.n AS n FROM prefixes a JOIN prefixes b ON a.s = b.s AND a.id < b.id
+  WHERE 100 * least(a.n, b.n) >= {LINES.percent} * greatest(a.n, b.n)
+), links AS (
+  SELECT c.u, c.v FROM candidates c JOIN shingles a ON a.id = c.u JOIN shingles b ON b.id = c.v AND b.s = a.s
+  GROUP BY c.u, c.v, c.m, c.n HAVING 100 * count(*) >= {LINES.percent} * (c.m + c.n - count(*))
+), both_ways AS (
+  SELECT u, v FROM links UNION ALL SELECT v, u FROM links
+), reach(u, v) AS (
+  SELECT u, v FROM both_ways UNION SELECT r.u, b.v FROM reach r JOIN both_ways b ON b.u = r.v
+), lowest AS (
+  SELECT u, min(v) AS v FROM reach GROUP BY u
+), heads AS (
+  SELECT f.line, h.p FROM firsts f LEFT JOIN lowest l ON l.u = f.id JOIN firsts h ON h.id = least(f.id, coalesce(l.v, f.id))
+)
+SELECT p.doc_id, CAST(p.line_no AS BIGINT) AS line_no, CAST(coalesce(h.p.d, p.doc_id) AS BIGINT) AS first_doc,
+       CAST(coalesce(h.p.l, p.line_no) AS BIGINT) AS first_line,
+       coalesce(h.p.d = p.doc_id AND h.p.l = p.line_no, true) AS kept
+FROM places p LEFT JOIN heads h ON h.line = p.line
+"""

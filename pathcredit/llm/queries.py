@@ -7,7 +7,7 @@ from pathcredit.llm.codes import OP13_SQL, op13_codes
 from pathcredit.llm.counts import op10_counts
 from pathcredit.llm.decontamination import OP3_SQL, op3_decontamination
 from pathcredit.llm.jaccard import OP11_SQL, op11_jaccard
-from pathcredit.llm.lines import op6_lines
+from pathcredit.llm.lines import OP6_SQL, op6_lines
 from pathcredit.llm.minhash import OP1_SQL, op1_minhash
 from pathcredit.llm.packing import op5_packing
 from pathcredit.llm.personal import op8_personal
@@ -15,7 +15,7 @@ from pathcredit.llm.quality import op7_quality
 from pathcredit.llm.resampling import op12_resampling
 from pathcredit.llm.scoring import op9_scoring
 from pathcredit.llm.substrings import OP4_SQL, op4_substrings
-from pathcredit.llm.suffixes import op2_suffixes
+from pathcredit.llm.suffixes import OP2_SQL, op2_suffixes
 
 QUERIES = {
     "op10_counts": op10_counts,
@@ -38,6 +38,8 @@ ORACLE_SQL: dict[str, str] = {
     "op11_jaccard": OP11_SQL,
     "op13_codes": OP13_SQL,
     "op1_minhash": OP1_SQL,
+    "op2_suffixes": OP2_SQL,
     "op3_decontamination": OP3_SQL,
     "op4_substrings": OP4_SQL,
+    "op6_lines": OP6_SQL,
 }

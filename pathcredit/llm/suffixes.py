@@ -123,3 +123,38 @@ def deduplicated(docs: DataFrame, cfg: Windows = BYTES, hot: int = HOT_SEGMENTS)
 
 def op2_suffixes(spark, sf_dir):
     return deduplicated(documents(spark, sf_dir)).drop("kept")
+
+
+OP2_SQL = f"""
+WITH texts AS (
+  SELECT row_number() OVER () AS r, doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents WHERE doc_id IS NOT NULL
+), blocks AS (
+  SELECT r, h, unnest(range(0, len(h) // 2 - {LENGTH - 1}, {LENGTH})) AS b FROM texts WHERE len(h) // 2 >= {LENGTH}
+), parts AS (
+  SELECT r, b, substr(h, 2 * b + 1, {4 * LENGTH - 2}) AS h FROM blocks
+), spots AS (
+  SELECT r, b, h, unnest(range(0, least({LENGTH}, len(h) // 2 - {LENGTH - 1}))) AS i FROM parts
+), named AS (
+  SELECT r, b + i AS i, md5_number(substr(h, 2 * i + 1, {2 * LENGTH})) AS s FROM spots
+), again AS (
+  SELECT s FROM named GROUP BY s HAVING count(*) > 1
+), hits AS (
+  SELECT r, i, lag(i) OVER (PARTITION BY r ORDER BY i) AS before FROM named SEMI JOIN again USING (s)
+), runs AS (
+  SELECT r, i, sum(CASE WHEN before IS NULL OR before + {LENGTH} < i THEN 1 ELSE 0 END) OVER (PARTITION BY r ORDER BY i) AS run FROM hits
+), spans AS (
+  SELECT r, run, min(i) AS a, max(i) + {LENGTH} AS b FROM runs GROUP BY r, run
+), gaps AS (
+  SELECT r, coalesce(lag(b) OVER (PARTITION BY r ORDER BY a), 0) AS a, a AS b FROM spans
+  UNION ALL
+  SELECT t.r, coalesce(max(s.b), 0), len(any_value(t.h)) // 2 FROM texts t LEFT JOIN spans s ON s.r = t.r GROUP BY t.r
+), stays AS (
+  SELECT g.r, string_agg(substr(t.h, CAST(2 * g.a + 1 AS BIGINT), CAST(2 * (g.b - g.a) AS BIGINT)), '' ORDER BY g.a) AS h
+  FROM gaps g JOIN texts t ON t.r = g.r GROUP BY g.r
+), counted AS (
+  SELECT r, count(*) AS n FROM spans GROUP BY r
+)
+SELECT t.doc_id, CAST(len(t.h) // 2 AS BIGINT) AS n_bytes, CAST((len(t.h) - len(k.h)) // 2 AS BIGINT) AS n_removed,
+       CAST(coalesce(c.n, 0) AS BIGINT) AS n_spans, sha256(unhex(k.h)) AS kept_sha256
+FROM texts t JOIN stays k ON k.r = t.r LEFT JOIN counted c ON c.r = t.r
+"""
