@@ -44,6 +44,17 @@ def _symbols(codes: np.ndarray) -> np.ndarray:
     return _table[0][codes]
 
 
+def _content_ids(codes: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """The ids of lines: hashes of their characters, A-Z as a-z."""
+    lowered = np.where((codes >= 65) & (codes <= 90), codes + np.uint32(32), codes).astype("<u4").view(np.uint8)
+    return content_hashes(lowered, 4 * start, 4 * end).view(np.int64)
+
+
+def _line_ids(lines: list[str]) -> np.ndarray:
+    end = np.cumsum(np.array([len(x) for x in lines], np.int64))
+    return _content_ids(np.frombuffer("".join(lines).encode("utf-32-le", "surrogatepass"), np.uint32), end - np.array([len(x) for x in lines], np.int64), end)
+
+
 class Lines:
     """The lines of some texts, as characters."""
 
@@ -62,8 +73,7 @@ class Lines:
         self.filled = solid[self.end] > solid[self.start]
         self.spans = Spans(_symbols(codes))
         self.every: tuple[int, np.ndarray] | None = None
-        lowered = np.where((codes >= 65) & (codes <= 90), codes + np.uint32(32), codes).astype("<u4").view(np.uint8)
-        self.id = content_hashes(lowered, 4 * self.start, 4 * self.end).view(np.int64)
+        self.id = _content_ids(codes, self.start, self.end)
 
     def shingles(self, lines: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         """(hash, line) of every shingle of some lines."""
@@ -144,8 +154,20 @@ def full_lines(docs: DataFrame, found: DataFrame, wanted: DataFrame) -> DataFram
     roles = wanted.schema["roles"].dataType.simpleString()
     one = found.groupBy("id").agg(F.min(F.struct("doc_id", "line_no")).alias("p"))
     asked = wanted.join(one, wanted.rep == one.id).groupBy("p.doc_id").agg(F.collect_list(F.struct("p.line_no", "rep", "roles")).alias("asked"))
-    read = docs.join(asked, "doc_id").select(F.split("text", "\n").alias("lines"), F.explode("asked").alias("a"))
-    return read.select("a.rep", F.get("lines", F.col("a.line_no").cast("int")).cast("binary").alias("elements"), F.col("a.roles").alias("roles"))
+
+    def run(batches):
+        for batch in steps(batches, 1 << 20):
+            lists = batch.column(1)
+            number, rep, role = lists.flatten().flatten()
+            owner = np.repeat(np.arange(len(lists)), lists.value_lengths().to_numpy(zero_copy_only=False))
+            texts = [t.split("\n") for t in batch.column(0).to_pylist()]
+            lines = [texts[i][n] if n < len(texts[i]) else "" for i, n in zip(owner.tolist(), number.to_pylist())]
+            # another text of the same doc_id may hold another line there
+            right = pa.array(_line_ids(lines) == rep.to_numpy())
+            yield pa.RecordBatch.from_arrays([rep.filter(right), pa.array([x.encode("utf-8", "surrogatepass") for x in lines], pa.binary()).filter(right), role.filter(right)], ["rep", "elements", "roles"])
+
+    texts = docs.filter("text is not null").join(asked, "doc_id").select("text", "asked")
+    return texts.mapInArrow(run, f"rep long, elements binary, roles {roles}")
 
 
 def line_sets(k: int):

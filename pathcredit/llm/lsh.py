@@ -134,6 +134,24 @@ def _couples(groups: list[np.ndarray], comp: np.ndarray, own: np.ndarray, low: n
     return a[good], b[good], [g for g in groups if len(g) > 2]
 
 
+#: Groups of up to so many rows are compared many at a time, so many pairs at once.
+_SMALL_GROUP = 64
+_PAIRS_AT_ONCE = 1 << 16
+
+
+def _all_pairs(groups: list[np.ndarray]):
+    """(left, right): the pairs of rows of some small groups, those of one size together."""
+    sizes: dict[int, list[np.ndarray]] = {}
+    for rows in groups:
+        sizes.setdefault(len(rows), []).append(rows)
+    for n, some in sizes.items():
+        i, j = np.triu_indices(n, 1)
+        step = max(1, _PAIRS_AT_ONCE // max(1, len(i)))
+        for k in range(0, len(some) if len(i) else 0, step):
+            rows = np.stack(some[k : k + step])
+            yield rows[:, i].ravel(), rows[:, j].ravel()
+
+
 def _pairs(found: list[tuple[np.ndarray, np.ndarray]]) -> pa.Table:
     u, v = (np.concatenate([np.zeros(0, np.int64), *x]) for x in (zip(*found) if found else ((), ())))
     return pa.table([pa.array(u), pa.array(v)], schema=_LINK)
@@ -173,17 +191,27 @@ def _could_link(near: Near):
             less, more = np.minimum(size[i], size[j]), np.maximum(size[i], size[j])
             return ((sketch[i] == sketch[j]).sum(1) >= floor) | ((less < near.few) & (100 * less >= near.percent * more))
 
-        a, b, groups = _couples(_groups(bundle, ["key", "lo", "hi"]), comp, own, low, high)
-        near_ = reaches(a, b)
-        earlier = (bands[a] == bands[b]) & (np.arange(near.bands) < at[a][:, None])
-        near_ &= ~earlier.any(1)
-        wanted[a[near_]] = wanted[b[near_]] = True
+        def similar_size(i, j):
+            return 100 * np.minimum(size[i], size[j]) >= near.percent * np.maximum(size[i], size[j])
+
+        small, groups = [], []
+        for rows in _groups(bundle, ["key", "lo", "hi"]):
+            (small if len(rows) <= _SMALL_GROUP else groups).append(rows)
+        for a, b in _all_pairs(small):
+            for test in (lambda i, j: comp[i] != comp[j], lambda i, j: (low[i] == high[i]) | (own[i] != own[j]), similar_size, reaches):
+                good = test(a, b)
+                a, b = a[good], b[good]
+            earlier = (bands[a] == bands[b]) & (np.arange(near.bands) < at[a][:, None])
+            good = ~earlier.any(1)
+            wanted[a[good]] = wanted[b[good]] = True
         for rows in groups:
             lo, hi, band = low[rows[0]], high[rows[0]], at[rows[0]]
             left, right = rows[own[rows] == lo], rows[own[rows] == hi]
             for k, i in enumerate(left.tolist()):
                 j = right[k + 1 :] if lo == hi else right
                 j = j[comp[j] != comp[i]]
+                if len(j):
+                    j = j[similar_size(i, j)]
                 if len(j):
                     j = j[reaches(i, j)]
                 if len(j) and band:

@@ -60,6 +60,14 @@ def test_lines_with_a_changed_character_are_similar(spark):
     assert got == {1: True, 2: False, 3: True}
 
 
+def test_two_texts_of_one_document(spark):
+    """A line is read from the text that holds it."""
+    base = "".join(random.Random(1).choices("abcdefgh ", k=200))
+    rows = [(1, "short"), (1, "other\n" + base), (2, base[:100] + "#" + base[101:]), (3, "nothing\nmore")]
+    got = lines.judged_lines(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert pairs(got.filter("not kept")) == [(2, 0, 1, 1, False)]
+
+
 def test_short_sets_meet_whatever_their_estimate():
     """Four against five shingles, a band in common, the estimate under the least."""
     near, rng = lines.LINES, np.random.default_rng(5)
