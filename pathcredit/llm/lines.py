@@ -18,6 +18,7 @@ empty table gives no row; further columns pass through.
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -210,9 +211,18 @@ def deduplicated(docs: DataFrame, near: Near = LINES) -> DataFrame:
     """The documents, with the lines that go taken out of ``text``."""
     gone = judged_lines(docs, near).filter("not kept").groupBy("doc_id").agg(F.collect_set("line_no").alias("numbers")).withColumnRenamed("doc_id", "of_doc")
     text, numbers = docs["text"], gone["numbers"]
-    left = F.filter(F.split(text, "\n"), lambda line, i: ~F.array_contains(numbers, i.cast("long")))
+
+    @F.pandas_udf("string")
+    def left(texts: pd.Series, numbers: pd.Series) -> pd.Series:
+        out: list[str | None] = []
+        for t, n in zip(texts, numbers):
+            drop = set() if t is None else set(n.tolist())
+            out.append(None if t is None else "\n".join([line for i, line in enumerate(t.split("\n")) if i not in drop]))
+        return pd.Series(out, dtype=object)
+
     joined = docs.join(gone, docs["doc_id"].cast("long") == gone["of_doc"], "left")
-    new = F.when(numbers.isNotNull(), F.array_join(left, "\n")).otherwise(text).alias("text")
+    # texts that lose no line do not travel to Python
+    new = F.when(numbers.isNotNull(), left(F.when(numbers.isNotNull(), text), numbers)).otherwise(text).alias("text")
     return joined.select(*[new if c == "text" else docs[c] for c in docs.columns])
 
 

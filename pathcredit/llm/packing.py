@@ -2,8 +2,9 @@
 
 Every document's ids (byte-level BPE, then one end id) are cut into full
 sequences and one remainder.  Pieces are dealt to groups at random (by a hash
-of their own id and start, so neither a hot source nor copies meet in one
-group), and in each group first-fit decreasing places them: the bins' free
+of their own id, start, task and place in it, so neither a hot
+source nor repeated rows meet in one group; they are written first, so a place
+is drawn once), and in each group first-fit decreasing places them: the bins' free
 room stands in the leaves of a tournament tree whose inner nodes hold the
 larger child, so the first bin with room is found by one descent.  Groups are
 independent tasks of bounded size; their number follows the number of rows.
@@ -19,10 +20,11 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pathcredit.llm.common import documents, record_batch, ship, steps
+from pathcredit.llm.common import documents, record_batch, ship, steps, table
 from pathcredit.llm.tokens import VOCABULARY, encoder
 
 SEQUENCE = 1024
@@ -31,14 +33,16 @@ GROUP_DOCUMENTS = 4000
 
 _PIECES = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64()), ("doc_tokens", pa.int64())])
 _PIECES_DDL = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
+_PLACED = _PIECES.append(pa.field("place", pa.int64()))
 
 
 def pieces(docs: DataFrame, sequence: int = SEQUENCE, vocabulary: str = VOCABULARY) -> DataFrame:
-    """Cut every document's ids into pieces of at most ``sequence`` ids."""
+    """Cut every document's ids into pieces of at most ``sequence`` ids; ``place``
+    numbers them by task and piece."""
     end = np.array([END_ID], "<u4").tobytes()
 
     def run(batches):
-        bpe = encoder(vocabulary)
+        bpe, seen = encoder(vocabulary), TaskContext.get().partitionId() << 33
         for batch in steps(batches, 4 << 20):
             rows: list[list[int]] = [[], [], [], [], []]
             for doc, ids in zip(batch.column(0).to_pylist(), bpe.encode_all([t or "" for t in batch.column(1).to_pylist()])):
@@ -48,10 +52,11 @@ def pieces(docs: DataFrame, sequence: int = SEQUENCE, vocabulary: str = VOCABULA
                     part = ids[4 * start : 4 * (start + sequence)]
                     for col, v in zip(rows, (doc, start, len(part) // 4, zlib.crc32(part), total)):
                         col.append(v)
-            yield record_batch(_PIECES, *rows)
+            yield record_batch(_PLACED, *rows, np.arange(seen, seen + len(rows[0])))
+            seen += len(rows[0])
 
     ship(docs.sparkSession)
-    return docs.select(F.col("doc_id").cast("long"), "text").filter("doc_id is not null").mapInArrow(run, _PIECES_DDL)
+    return docs.select(F.col("doc_id").cast("long"), "text").filter("doc_id is not null").mapInArrow(run, f"{_PIECES_DDL}, place long")
 
 
 class Bins:
@@ -101,17 +106,17 @@ def pack(parts: DataFrame, groups: int, sequence: int = SEQUENCE) -> DataFrame:
         batch = batch.sort_by([("length", "descending"), ("doc_id", "ascending"), ("start", "ascending")])
         bins, offset = first_fit_decreasing(batch.column("length").to_numpy(), sequence)
         group = batch.column("bin_group").to_numpy().astype(np.int64)
-        batch = batch.drop_columns(["bin_group"])
+        batch = batch.drop_columns(["place", "bin_group"])
         return batch.append_column("sequence_id", pa.array((group << 32) + bins)).append_column("offset", pa.array(offset))
 
-    group = F.pmod(F.xxhash64("doc_id", "start", "ids_crc32"), F.lit(groups)).cast("long")
+    group = F.pmod(F.xxhash64("doc_id", "start", "place"), F.lit(groups)).cast("long")
     return parts.withColumn("bin_group", group).groupBy("bin_group").applyInArrow(run, f"{_PIECES_DDL}, sequence_id long, offset long")
 
 
 def packed(docs: DataFrame, sequence: int = SEQUENCE, group_documents: int = GROUP_DOCUMENTS) -> DataFrame:
     """All documents, packed."""
     groups = -(-docs.count() // group_documents) or 1
-    return pack(pieces(docs, sequence), groups, sequence)
+    return pack(table(pieces(docs, sequence), "pieces"), groups, sequence)
 
 
 def op5_packing(spark, sf_dir):

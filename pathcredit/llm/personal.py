@@ -3,7 +3,9 @@
 Fixed patterns find e-mail addresses, IP addresses, card and phone numbers; they
 are the seed entities.  Candidates are all runs of neighbouring words with a
 digit or an ``@``.  The words around a candidate form its lexical patterns
-(word before, two words before, word after, both sides).  Spark then scores the
+(word before, two words before, word after, both sides); they are read from the
+200 characters on either side, so a longer word counts by its part next to the
+candidate, and a text without spaces takes no longer than another.  Spark then scores the
 graph of patterns and instances in rounds: a pattern's confidence for a kind is
 the Wilson lower bound of the share of its distinct instances that are of that
 kind, weighted by their scores; an instance's score is the chance that one of

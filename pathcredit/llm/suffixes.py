@@ -7,7 +7,8 @@ share an anchor can still hold equal windows: they are dealt to groups by their
 anchor, each group's shards are sorted alone and their Burrows-Wheeler
 transforms merged (:mod:`bwt`); intervals with 200 bytes in common recur.
 Segments of an anchor with more than ``HOT_SEGMENTS`` distinct surroundings are
-cut to single windows before they collapse, so no group grows with the data.
+cut to single windows, counted by their anchor and a hash of 64 bits (equal
+windows have equal anchors), so no group grows with the data.
 
 Cases: null text is empty; texts under 200 bytes keep all; a null ``doc_id`` is
 left out; equal rows that share a ``doc_id`` are places of their own; an empty table gives no row; further columns are ignored.
@@ -88,7 +89,7 @@ def lone_windows(seen: DataFrame, cfg: Windows, hot: int = HOT_SEGMENTS) -> Data
     size = parts.agg(F.sum(F.length("content"))).first()[0] or 0
     groups = max(1, size // GROUP_BYTES)
     merged = parts.filter("content is not null").withColumn("bucket", F.pmod(F.xxhash64("anchor"), F.lit(groups))).groupBy("bucket").applyInArrow(_lone, _RANGE_DDL)
-    single = parts.filter("content is null").groupBy("hash").agg(F.sum("copies").alias("copies"), F.min(F.struct("doc_id", "start")).alias("p")).filter("copies = 1").select("p.*", F.lit(1).cast("long").alias("n"))
+    single = parts.filter("content is null").groupBy("anchor", "hash").agg(F.sum("copies").alias("copies"), F.min(F.struct("doc_id", "start")).alias("p")).filter("copies = 1").select("p.*", F.lit(1).cast("long").alias("n"))
     return alone.unionByName(merged).unionByName(single)
 
 

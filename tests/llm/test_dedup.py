@@ -92,6 +92,12 @@ def test_lines_are_taken_out(docs, rows, empty):
     assert lines.deduplicated(empty).collect() == []
 
 
+def test_many_lines_of_one_text_are_taken_out_in_one_pass(spark):
+    rows = [(1, "the first text has this line"), (2, "\n".join(["the first text has this line", "another line that stays"] * 50_000)), (2, None)]
+    got = lines.deduplicated(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(((r.doc_id, r.text) for r in got), key=str) == sorted([(1, rows[0][1]), (2, "another line that stays"), (2, None)], key=str)
+
+
 def test_substrings_match_brute_force(docs, rows, empty):
     got = substrings.deduplicated(docs).drop("kept_text")
     assert pairs(got) == brute.substrings(rows)

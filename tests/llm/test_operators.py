@@ -57,6 +57,14 @@ def test_packing_round_trip(docs, rows, empty):
     assert packing.packed(empty).collect() == []
 
 
+def test_repeated_rows_are_dealt_to_many_groups(spark):
+    same = spark.createDataFrame([(7, "one text")] * 600, "doc_id long, text string")
+    got = packing.packed(same, group_documents=30).collect()
+    check_packed(got, [(7, "one text")] * 600)
+    groups = [r.sequence_id >> 32 for r in got]
+    assert max(groups.count(g) for g in set(groups)) < 80
+
+
 def test_first_fit_decreasing_matches_a_scan():
     rng = random.Random(3)
     lengths = [rng.randint(1, 100) for _ in range(300)]
