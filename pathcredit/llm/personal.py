@@ -34,9 +34,10 @@ from pathcredit.llm.common import documents, record_batch, ship, steps, table
 #: Fixed patterns, by kind, in the order that breaks ties.
 KINDS = ("email", "ip", "card", "phone")
 _EMAIL_LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
-_EMAIL_DOMAIN = re.compile(r"[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
-_IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
-_CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
+_EMAIL_DOMAIN = re.compile(r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++")
+# a match starts and ends with a whole run of digits: long runs are read once
+_IP = re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++")
+_CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])++")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _SIGN = re.compile(r"[0-9@]")
 
@@ -80,7 +81,7 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     out = [(a, 0, b) for a, b in _emails(text)]
     if _SIGN.search(text):
         for m in _IP.finditer(text):
-            if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in m[0].split(".")):
+            if all(len(p) <= 3 and int(p or "0") <= 255 for p in (x.lstrip("0") for x in m[0].split("."))):
                 out.append((m.start(), 1, m.end()))
         for m in _CARD.finditer(text):
             digits = m[0].replace(" ", "").replace("-", "")
@@ -212,7 +213,12 @@ def _digest(spans: str):
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", F.get(kinds, s["kind"].cast("int")), s["start"], s["end"])), ",")
 
 
+def _number(spans: str, kind: int):
+    # one parameter: a second one would be the span's index
+    return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("long")
+
+
 def op8_personal(spark, sf_dir):
     found = personal_data(documents(spark, sf_dir))
-    counts = [F.size(F.filter("base", lambda s, i=i: s["kind"] == i)).cast("long").alias(f"n_{k}") for i, k in enumerate(KINDS)]
+    counts = [_number("base", i).alias(f"n_{k}") for i, k in enumerate(KINDS)]
     return found.select("doc_id", *counts, F.sha2(_digest("base"), 256).alias("base_sha256"), _digest("spans").alias("spans"))

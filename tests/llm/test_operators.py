@@ -1,6 +1,8 @@
 import base64
+import hashlib
 import itertools
 import random
+import re
 import zlib
 
 import numpy as np
@@ -192,6 +194,27 @@ def test_base_spans_of_odd_texts(text):
     assert ",".join(f"{personal.KINDS[k]}:{a}:{b}" for a, k, b in personal.base_spans(text)) == brute.base_spans(text)
 
 
+@pytest.mark.parametrize("text", ["0" * 5000 + ".1.1.1", "1" * 5000 + ".1.1.1 2.2.2.2", "1." * 3000 + "4", "1.2.3.256.7.8.9", "1" * 300_000])
+def test_long_runs_of_digits(text):
+    if len(text) > 100_000:  # read in one pass
+        assert personal.base_spans(text) == []
+    else:
+        expected = [(m.start(), 1, m.end()) for m in re.finditer(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", text) if all(len(x.lstrip("0")) <= 3 and int(x[-3:]) <= 255 for x in m[0].split("."))]
+        assert [s for s in personal.base_spans(text) if s[1] == 1] == expected
+
+
+def test_op8_counts_each_kind(spark, tmp_path):
+    rows = [(1, "1.2.3.4 then +1 (415) 555-2671, a@b.c and x@y.zz"), (2, "a@b.c a@b.d 1.2.3.4"), (3, None), (4, "x 4539 1488 0343 6467"), (5, "0" * 5000 + ".1.1.1")]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r.doc_id: r for r in personal.op8_personal(spark, str(tmp_path)).collect()}
+    for i, text in rows[:4]:
+        base = brute.base_spans(text)
+        kinds = [x.split(":")[0] for x in base.split(",")]
+        assert tuple(got[i][f"n_{k}"] for k in personal.KINDS) == tuple(kinds.count(k) for k in personal.KINDS)
+        assert got[i].base_sha256 == hashlib.sha256(base.encode()).hexdigest()
+    assert [got[5][f"n_{k}"] for k in personal.KINDS] == [0, 1, 0, 0]
+
+
 def test_context_discovers_unseen_identifiers(spark):
     rows = [(i, f"please dial +1 (202) 555-{1000 + i} now and {i} more words {'x' * i}") for i in range(60)]
     rows += [(100, "please dial 202.555.0143 now"), (101, "we saw 202.555.0199 there"), (102, None)]
