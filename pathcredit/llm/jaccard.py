@@ -40,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pathcredit.llm.common import content_hashes, documents, lower, mix, partitions, ship, steps, table, utf8, words
+from pathcredit.llm.common import content_hashes, documents, likely_among, lower, mix, partitions, ship, steps, table, utf8, words
 from pathcredit.llm.components import components
 
 PERCENT = 80
@@ -222,7 +222,7 @@ def ordered_sets(docs: DataFrame, wanted: DataFrame, k: int, percent: int) -> Da
                 lists = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, core)]), pa.int32()), pa.array(np.concatenate(core)))
                 yield pa.RecordBatch.from_arrays([pa.array(rep), pa.array(n), lists, pa.array(map(_sketch, core), pa.binary())], ["rep", "n", "core", "sketch"])
 
-    texts = docs.join(wanted, "doc_id").select("doc_id", "text", "rep", "set_a", "set_b", "shared")
+    texts = likely_among(docs, "doc_id", wanted).join(wanted, "doc_id").select("doc_id", "text", "rep", "set_a", "set_b", "shared")
     return texts.mapInArrow(run, "rep long, n long, core array<long>, sketch binary")
 
 

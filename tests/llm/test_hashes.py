@@ -4,6 +4,7 @@ import pyarrow as pa
 import pytest
 
 from pathcredit.llm import lines, minhash, quality, substrings, suffixes
+from pathcredit.llm.common import likely_among
 from tests.llm import brute
 
 
@@ -44,3 +45,14 @@ def test_byte_windows_of_such_texts(spark):
     rows = [(1, one), (2, two), (3, one[:150] + two[150:1024])]
     got = suffixes.deduplicated(spark.createDataFrame(rows, "doc_id long, text string")).drop("kept")
     assert sorted(map(tuple, got.collect())) == brute.suffixes(rows)
+
+
+def test_rows_of_other_keys_stay_behind(spark):
+    rows = spark.range(-50, 20_000).selectExpr("id as doc_id", "repeat('x', 3) as text").unionByName(spark.createDataFrame([(7, "again"), (None, "no id")], "doc_id long, text string"))
+    keys = spark.createDataFrame([(i,) for i in (-50, -1, 0, 7, 7, 19_999, 40_000)], "doc_id long")
+    got = likely_among(rows, "doc_id", keys)
+    assert got.columns == rows.columns
+    found = sorted(tuple(r) for r in got.collect())
+    assert set(found) >= {(i, "xxx") for i in (-50, -1, 0, 7, 19_999)} | {(7, "again")}
+    assert len(found) < 100
+    assert likely_among(rows, "doc_id", keys.limit(0)).collect() == []
