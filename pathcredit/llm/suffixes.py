@@ -7,8 +7,12 @@ share an anchor can still hold equal windows: they are dealt to groups by their
 anchor, each group's shards are sorted alone and their Burrows-Wheeler
 transforms merged (:mod:`bwt`); intervals with 200 bytes in common recur.
 Segments of an anchor with more than ``HOT_SEGMENTS`` distinct surroundings are
-cut to single windows, counted by their anchor and a hash of 64 bits (equal
-windows have equal anchors), so no group grows with the data.
+cut to stretches of ``STRETCH`` windows at fixed distances from the anchor, named
+by what all windows of the stretch hold: at least 169 of their 200 bytes, so
+equal windows have one name and few others share it.  Equal stretches collapse,
+and the others of one name are compared as segments are.  Only where a name still
+has more than ``HOT_SEGMENTS`` distinct stretches, they are cut to single windows,
+counted by name and a hash of 64 bits, so no group grows with the data.
 
 Cases: null text is empty; texts under 200 bytes keep all; a null ``doc_id`` is
 left out; equal rows that share a ``doc_id`` are places of their own; an empty table gives no row; further columns are ignored.
@@ -24,19 +28,39 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pathcredit.llm.bwt import repeated
-from pathcredit.llm.common import documents, longs, record_batch, steps, table, utf8
+from pathcredit.llm.common import Spans, documents, longs, mix, record_batch, steps, table, utf8, _SYMBOL
 from pathcredit.llm.repeats import Seeds, Sequences, Windows, bytes_digest, covered, prepared, surveyed
 
 LENGTH = 200
 BYTES = Windows("bytes", LENGTH, 32, 64)
 HOT_SEGMENTS = 128
+STRETCH = 32
 GROUP_BYTES = 48 << 10
 
 _PARTS = pa.schema([("anchor", pa.int64()), ("copies", pa.int64()), ("doc_id", pa.int64()), ("start", pa.int64()), ("content", pa.binary()), ("hash", pa.int64())])
 _PARTS_DDL = "anchor long, copies long, doc_id long, start long, content binary, hash long"
+_SINGLE = pa.schema([(c, pa.int64()) for c in ("anchor", "copies", "doc_id", "start", "hash")])
+_SINGLE_DDL = "anchor long, copies long, doc_id long, start long, hash long"
 _RANGE_DDL = "doc_id long, start long, n long"
 
 
+def _stretches(found: Seeds, begin: np.ndarray, n: np.ndarray, cfg: Windows):
+    """(segment, first window, windows, name) of the stretches of some segments: runs
+    of windows whose distances to their anchor lie between the same multiples of
+    ``STRETCH``.  The name is a hash of the units that all windows of such a distance
+    share, whatever part of the stretch a segment holds."""
+    part = np.repeat(np.arange(len(n)), n)
+    at = np.arange(len(part)) + np.repeat(begin - (np.cumsum(n) - n), n)
+    anchor = found.anchor[at]
+    kind = (anchor - at) // STRETCH
+    head = np.flatnonzero(np.append(True, (part[1:] != part[:-1]) | (kind[1:] != kind[:-1]))) if len(part) else np.zeros(0, np.int64)
+    size = np.diff(np.append(head, len(part)))
+    part, at, anchor, kind = part[head], at[head], anchor[head], kind[head]
+    far = np.minimum((kind + 1) * STRETCH, cfg.seeds) - 1  # the largest distance
+    name = found.spans.hash(anchor - kind * STRETCH, anchor - far + cfg.length)
+    return part, at, size, mix(name + kind.astype(np.uint64))
+
+
 def _lone(group: pa.Table) -> pa.Table:
     """Windows of one group's segments that stand nowhere else, as ranges."""
     group = group.combine_chunks()
@@ -74,23 +98,46 @@ def lone_windows(seen: DataFrame, cfg: Windows, hot: int = HOT_SEGMENTS) -> Data
             owner = np.repeat(np.arange(len(parts)), parts.value_lengths().to_numpy(zero_copy_only=False))
             anchor, start, n, copies, split = (x.to_numpy(zero_copy_only=False) for x in parts.flatten().flatten())
             n, doc = n.astype(np.int64), longs(batch.column(0))
-            raw = seq.data.tobytes()
-            keep = np.flatnonzero(~split)
             begin = start + seq.first[owner]
-            texts = [raw[a:b] for a, b in zip(begin[keep].tolist(), (begin + n + cfg.length - 1)[keep].tolist())]
-            yield record_batch(_PARTS, anchor[keep], copies[keep], doc[owner[keep]], start[keep], pa.array(texts, pa.binary()), pa.nulls(len(keep), pa.int64()))
-            part = np.repeat(np.flatnonzero(split), n[split])
-            inner = np.arange(len(part)) - np.repeat(np.cumsum(n[split]) - n[split], n[split])
-            at = begin[part] + inner
-            yield record_batch(_PARTS, anchor[part], copies[part], doc[owner[part]], start[part] + inner, pa.nulls(len(part), pa.binary()), found.spans.hash(at, at + cfg.length).view(np.int64))
+            hash_ = np.zeros(len(n), np.int64)
+            if split.any():
+                hot_ = np.flatnonzero(split)
+                part, at, size, name = _stretches(found, begin[hot_], n[hot_], cfg)
+                part = hot_[part]
+                content = found.spans.hash(at, at + size + cfg.length - 1).view(np.int64)
+                cold = np.flatnonzero(~split)
+                take = np.append(cold, part)
+                anchor, hash_ = np.append(anchor[cold], name.view(np.int64)), np.append(hash_[cold], content)
+                begin, n, owner, copies, split = np.append(begin[cold], at), np.append(n[cold], size), owner[take], copies[take], np.arange(len(take)) >= len(cold)
+            raw = seq.data.tobytes()
+            texts = [raw[a:b] for a, b in zip(begin.tolist(), (begin + n + cfg.length - 1).tolist())]
+            yield record_batch(_PARTS, anchor, copies, doc[owner], begin - seq.first[owner], pa.array(texts, pa.binary()), pa.array(hash_, pa.int64(), mask=~split))
+
+    def single(batches):
+        for batch in steps(batches, column="content"):
+            data, offsets = utf8(batch.column(4))
+            n = np.diff(offsets) - cfg.length + 1
+            part = np.repeat(np.arange(len(n)), n)
+            inner = np.arange(len(part)) - np.repeat(np.cumsum(n) - n, n)
+            at = offsets[part] + inner
+            anchor, copies, doc, start = (batch.column(i).to_numpy() for i in range(4))
+            yield record_batch(_SINGLE, anchor[part], copies[part], doc[part], start[part] + inner, Spans(_SYMBOL[data]).hash(at, at + cfg.length).view(np.int64))
 
     texts = seen.filter("text is not null").select("doc_id", "text").join(wanted, "doc_id")
     parts = table(texts.mapInArrow(cut, _PARTS_DDL), "parts")
-    size = parts.agg(F.sum(F.length("content"))).first()[0] or 0
+    segment = ["anchor", "copies", "doc_id", "start", "content"]
+    stretches = parts.filter("hash is not null").groupBy("anchor", "hash").agg(F.sum("copies").alias("copies"), F.min(F.struct("doc_id", "start", "content")).alias("p"))
+    stretches = table(stretches.select("anchor", "copies", "p.*"), "stretches")
+    kinds = stretches.groupBy("anchor").agg(F.count("*").alias("kinds"), F.min("copies").alias("least"))
+    judged = stretches.join(kinds.filter("least = 1"), "anchor")
+    alone = alone.unionByName(judged.filter("kinds = 1").select("doc_id", "start", (F.length("content") - cfg.length + 1).cast("long").alias("n")))
+    compared = parts.filter("hash is null").select(segment).unionByName(judged.filter(f"kinds > 1 and kinds <= {hot}").select(segment))
+    size = compared.agg(F.sum(F.length("content"))).first()[0] or 0
     groups = max(1, size // GROUP_BYTES)
-    merged = parts.filter("content is not null").withColumn("bucket", F.pmod(F.xxhash64("anchor"), F.lit(groups))).groupBy("bucket").applyInArrow(_lone, _RANGE_DDL)
-    single = parts.filter("content is null").groupBy("anchor", "hash").agg(F.sum("copies").alias("copies"), F.min(F.struct("doc_id", "start")).alias("p")).filter("copies = 1").select("p.*", F.lit(1).cast("long").alias("n"))
-    return alone.unionByName(merged).unionByName(single)
+    merged = compared.withColumn("bucket", F.pmod(F.xxhash64("anchor"), F.lit(groups))).groupBy("bucket").applyInArrow(_lone, _RANGE_DDL)
+    windows = judged.filter(f"kinds > 1 and kinds > {hot}").select(segment).mapInArrow(single, _SINGLE_DDL)
+    once = windows.groupBy("anchor", "hash").agg(F.sum("copies").alias("copies"), F.min(F.struct("doc_id", "start")).alias("p")).filter("copies = 1").select("p.*", F.lit(1).cast("long").alias("n"))
+    return alone.unionByName(merged).unionByName(once)
 
 
 def deduplicated(docs: DataFrame, cfg: Windows = BYTES, hot: int = HOT_SEGMENTS) -> DataFrame:

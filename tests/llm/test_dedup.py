@@ -121,6 +121,25 @@ def test_suffixes_match_brute_force(docs, rows, hot):
     assert pairs(suffixes.deduplicated(docs, hot=hot).drop("kept")) == brute.suffixes(rows)
 
 
+@pytest.mark.parametrize("hot", [128, 3, 0])
+def test_suffixes_of_a_passage_in_many_surroundings(spark, monkeypatch, hot):
+    """Few rows go to the comparison, not one a window."""
+    rng, rows, made, table = random.Random(8), [], {}, suffixes.table
+    noise = lambda n: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(n))
+    passage, ends = noise(185), [noise(60) for _ in range(4)]
+    for i in range(60):
+        rows.append((i, (noise(60) if i % 3 else ends[i % 4]) + passage + (noise(60) if i % 4 else ends[i % 3])))
+
+    def counted(df, name):
+        out = table(df, name)
+        made[name] = out.count()
+        return out
+
+    monkeypatch.setattr(suffixes, "table", counted)
+    assert pairs(suffixes.deduplicated(spark.createDataFrame(rows, "doc_id long, text string"), hot=hot).drop("kept")) == brute.suffixes(rows)
+    assert 0 < made["parts"] <= 6 * made["segments"]
+
+
 def test_suffixes_empty(empty):
     assert suffixes.deduplicated(empty).collect() == []
 
