@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pathcredit.llm.common import Spans, content_hashes, grams, ids_of, kept_words_digest, longs, mix, record_batch, ship, steps, table, utf8, words, _SYMBOL
+from pathcredit.llm.common import STEP_BYTES, Spans, content_hashes, grams, ids_of, kept_words_digest, longs, mix, record_batch, ship, steps, table, utf8, words, _SYMBOL
 
 
 @dataclass(frozen=True)
@@ -42,6 +42,12 @@ class Windows:
         """Seeds in one window."""
         return self.length - self.gram + 1
 
+    @property
+    def step_bytes(self) -> int:
+        """Text that one step holds: a byte has a symbol, a seed and an anchor of
+        eight bytes each and more while they are made, a word has them only once."""
+        return STEP_BYTES // 4 if self.units == "bytes" else STEP_BYTES
+
 
 class Sequences:
     """The unit sequences of one batch of texts."""
@@ -122,7 +128,7 @@ def seeds(docs: DataFrame, cfg: Windows) -> DataFrame:
     """(seed, doc_id, place): place counts a document's seeds."""
 
     def run(batches):
-        for batch in steps(batches):
+        for batch in steps(batches, cfg.step_bytes):
             found = Seeds(Sequences(batch.column(1), cfg.units), cfg)
             owner = ids_of(found.first)
             place = np.arange(len(owner)) - found.first[owner]
@@ -167,7 +173,7 @@ def surveyed(docs: DataFrame, cfg: Windows, digest: Callable[[Sequences, np.ndar
     schema = pa.schema([("doc_id", pa.int64()), ("size", pa.int64()), ("text", pa.string()), ("digest", pa.string()), ("segments", pa.list_(_SEGMENT))])
 
     def run(batches):
-        for batch in steps(batches):
+        for batch in steps(batches, cfg.step_bytes):
             seq = Sequences(batch.column(1), cfg.units)
             found = Seeds(seq, cfg)
             again = np.zeros(len(found.at), bool)

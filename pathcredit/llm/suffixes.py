@@ -80,6 +80,31 @@ def _lone(group: pa.Table) -> pa.Table:
     return pa.table([pa.array(x, pa.int64()) for x in out], ["doc_id", "start", "n"])
 
 
+def _cut(batch: pa.RecordBatch, cfg: Windows) -> pa.RecordBatch:
+    """The segments that ``parts`` of some documents names, with their bytes; hot ones
+    as stretches, with a hash."""
+    seq = Sequences(batch.column(1), cfg.units)
+    found = Seeds(seq, cfg)
+    parts = batch.column(2)
+    owner = np.repeat(np.arange(len(parts)), parts.value_lengths().to_numpy(zero_copy_only=False))
+    anchor, start, n, copies, split = (x.to_numpy(zero_copy_only=False) for x in parts.flatten().flatten())
+    n, doc = n.astype(np.int64), longs(batch.column(0))
+    begin = start + seq.first[owner]
+    hash_ = np.zeros(len(n), np.int64)
+    if split.any():
+        hot_ = np.flatnonzero(split)
+        part, at, size, name = _stretches(found, begin[hot_], n[hot_], cfg)
+        part = hot_[part]
+        content = found.spans.hash(at, at + size + cfg.length - 1).view(np.int64)
+        cold = np.flatnonzero(~split)
+        take = np.append(cold, part)
+        anchor, hash_ = np.append(anchor[cold], name.view(np.int64)), np.append(hash_[cold], content)
+        begin, n, owner, copies, split = np.append(begin[cold], at), np.append(n[cold], size), owner[take], copies[take], np.arange(len(take)) >= len(cold)
+    raw = seq.data.tobytes()
+    texts = [raw[a:b] for a, b in zip(begin.tolist(), (begin + n + cfg.length - 1).tolist())]
+    return record_batch(_PARTS, anchor, copies, doc[owner], begin - seq.first[owner], pa.array(texts, pa.binary()), pa.array(hash_, pa.int64(), mask=~split))
+
+
 def lone_windows(seen: DataFrame, cfg: Windows, hot: int = HOT_SEGMENTS) -> DataFrame:
     """(doc_id, start, n): candidate windows that do not recur, as ranges."""
     rows = seen.select("doc_id", F.inline("segments"))
@@ -91,30 +116,11 @@ def lone_windows(seen: DataFrame, cfg: Windows, hot: int = HOT_SEGMENTS) -> Data
     wanted = judged.filter("kinds > 1").groupBy("doc_id").agg(F.collect_list(F.struct("anchor", "start", "n", "copies", (F.col("kinds") > hot).alias("hot"))).alias("parts"))
 
     def cut(batches):
-        for batch in steps(batches):
-            seq = Sequences(batch.column(1), cfg.units)
-            found = Seeds(seq, cfg)
-            parts = batch.column(2)
-            owner = np.repeat(np.arange(len(parts)), parts.value_lengths().to_numpy(zero_copy_only=False))
-            anchor, start, n, copies, split = (x.to_numpy(zero_copy_only=False) for x in parts.flatten().flatten())
-            n, doc = n.astype(np.int64), longs(batch.column(0))
-            begin = start + seq.first[owner]
-            hash_ = np.zeros(len(n), np.int64)
-            if split.any():
-                hot_ = np.flatnonzero(split)
-                part, at, size, name = _stretches(found, begin[hot_], n[hot_], cfg)
-                part = hot_[part]
-                content = found.spans.hash(at, at + size + cfg.length - 1).view(np.int64)
-                cold = np.flatnonzero(~split)
-                take = np.append(cold, part)
-                anchor, hash_ = np.append(anchor[cold], name.view(np.int64)), np.append(hash_[cold], content)
-                begin, n, owner, copies, split = np.append(begin[cold], at), np.append(n[cold], size), owner[take], copies[take], np.arange(len(take)) >= len(cold)
-            raw = seq.data.tobytes()
-            texts = [raw[a:b] for a, b in zip(begin.tolist(), (begin + n + cfg.length - 1).tolist())]
-            yield record_batch(_PARTS, anchor, copies, doc[owner], begin - seq.first[owner], pa.array(texts, pa.binary()), pa.array(hash_, pa.int64(), mask=~split))
+        for batch in steps(batches, cfg.step_bytes):
+            yield _cut(batch, cfg)
 
     def single(batches):
-        for batch in steps(batches, column="content"):
+        for batch in steps(batches, cfg.step_bytes, "content"):
             data, offsets = utf8(batch.column(4))
             n = np.diff(offsets) - cfg.length + 1
             part = np.repeat(np.arange(len(n)), n)

@@ -1,4 +1,5 @@
 import random
+import tracemalloc
 
 import numpy as np
 import pyarrow as pa
@@ -6,6 +7,7 @@ import pytest
 
 from pathcredit.llm import lines, minhash, substrings, suffixes
 from pathcredit.llm.bwt import repeated
+from pathcredit.llm.common import steps
 from pathcredit.llm.components import components
 from pathcredit.llm.lsh import Near, _could_link, mixed_bands
 from tests.llm import brute
@@ -140,6 +142,21 @@ def test_suffixes_of_a_passage_in_many_surroundings(spark, monkeypatch, hot):
     assert 0 < made["parts"] <= 6 * made["segments"]
 
 
+def test_a_step_over_hot_segments_holds_little():
+    """Four MB of text in one batch, all of it hot: cut in steps of bounded memory."""
+    rng = np.random.default_rng(4)
+    texts = [rng.integers(97, 123, 40_000, dtype=np.uint8).tobytes().decode() for _ in range(100)]
+    segments = [{"anchor": 5, "start": 80 * i, "n": 80, "copies": 1, "hot": True} for i in range(490)]
+    batch = pa.record_batch([pa.array(range(100)), pa.array(texts), pa.array([segments] * 100)], ["doc_id", "text", "parts"])
+    cut = lambda x: suffixes._cut(x, suffixes.BYTES)
+    cut(batch.slice(0, 1))
+    tracemalloc.start()
+    made = [cut(x).num_rows for x in steps([batch], suffixes.BYTES.step_bytes)]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert sum(made) > 100 * 490 and peak < 60e6
+
+
 def test_suffixes_empty(empty):
     assert suffixes.deduplicated(empty).collect() == []
 
