@@ -67,25 +67,27 @@ def merge(shards: list[Shard], depth: int) -> tuple[np.ndarray, np.ndarray]:
     source = np.repeat(np.arange(len(shards), dtype=np.uint8 if len(shards) < 256 else np.int32), sizes)
     marks = sum(s.strings for s in shards)
     fixed = np.repeat(np.arange(len(shards), dtype=source.dtype), [s.strings for s in shards])
+    ordered = np.sort(chars)[marks:]
+    fresh = ordered[1:] != ordered[:-1]  # the symbols stand in this order in every round
     block = np.zeros(len(chars), np.int32)
-    common = np.full(len(chars), depth)
+    common = np.zeros(len(chars), np.int64)
+    edge = np.ones(len(chars), bool)
     every = np.arange(len(chars), dtype=np.int32)
 
     def rows(source):
         """Each shard's rows come in its own order: the next one where it is named."""
         row = np.empty(len(source), np.int32)
-        row[np.argsort(source, kind="stable")] = every
+        row[np.concatenate([np.flatnonzero(source == k) for k in range(len(shards))]) if len(shards) < 8 else np.argsort(source, kind="stable")] = every
         return row
 
-    for h in range(1, depth + 1):
-        now = chars[rows(source)]
-        step = np.argsort(now, kind="stable")[marks:]
+    for _ in range(depth):
+        step = np.argsort(chars[rows(source)], kind="stable")[marks:]
         source = np.concatenate([fixed, source[step]])
-        edge = np.ones(len(chars), bool)
-        symbol, group = now[step], block[step]
-        edge[marks + 1 :] = (symbol[1:] != symbol[:-1]) | (group[1:] != group[:-1])
-        common[edge & (common == depth)] = h - 1
-        block = np.cumsum(edge, dtype=np.int32)
+        group = block[step]
+        np.not_equal(group[1:], group[:-1], out=edge[marks + 1 :])
+        edge[marks + 1 :] |= fresh
+        common += ~edge  # a boundary stays one
+        np.cumsum(edge, dtype=np.int32, out=block)
         if edge.all():
             break
     return rows(source), common
