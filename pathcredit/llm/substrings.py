@@ -118,9 +118,9 @@ def first_places(seen: DataFrame, cfg: Windows) -> DataFrame:
     wanted = earliest.join(mixed, "anchor", "left_semi").groupBy("doc_id").agg(F.collect_list(F.struct("anchor", "start", "n")).alias("parts"))
     texts = seen.filter("text is not null").select("doc_id", "text").join(wanted, "doc_id")
     members = table(texts.mapInArrow(_cut(cfg), _MEMBER_DDL), "members")
-    while not members.isEmpty():
+    while count := members.count():
         least = F.min(F.struct("doc_id", "at", "lo", "hi", "ids")).alias("c")
-        centres = table(members.groupBy("key").agg(least, F.count("*").alias("n")), "centres")
+        centres = table(members.groupBy("key").agg(least, F.count("*").alias("n")), "centres", count)
         first = first.unionByName(centres.select("c.doc_id", (F.col("c.at") - F.col("c.hi")).alias("start"), (F.col("c.hi") - F.col("c.lo") + 1).cast("long").alias("n")))
         met = members.join(centres.filter("n > 1").select("key", "c"), "key").filter("doc_id <> c.doc_id or at <> c.at or lo <> c.lo or hi <> c.hi")
         pairs = met.select(*_MEMBER.names, F.col("c.lo").alias("centre_lo"), F.col("c.hi").alias("centre_hi"), F.col("c.ids").alias("centre_ids"))

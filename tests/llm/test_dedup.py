@@ -1,3 +1,4 @@
+import glob
 import random
 import tracemalloc
 
@@ -7,7 +8,7 @@ import pytest
 
 from pathcredit.llm import lines, minhash, substrings, suffixes
 from pathcredit.llm.bwt import repeated
-from pathcredit.llm.common import steps
+from pathcredit.llm.common import content_hashes, mix, shared_dir, steps
 from pathcredit.llm.components import components
 from pathcredit.llm.lsh import Near, _could_link, mixed_bands
 from tests.llm import brute
@@ -169,3 +170,40 @@ def test_merged_transforms_find_repeats(shards):
     data, offsets = np.frombuffer(b"".join(texts), np.uint8), np.cumsum([0, *map(len, texts)])
     windows = [t[i : i + 32] if i + 32 <= len(t) else None for t in texts for i in range(len(t))]
     assert repeated(data, offsets, 32, shards).tolist() == [w is not None and windows.count(w) > 1 for w in windows]
+
+
+def test_content_hashes_chain_eight_bytes_a_step():
+    def chained(x):
+        out = mix(np.array([len(x)], np.uint64) + np.uint64(0x9E3779B97F4A7C15))
+        for i in range(0, len(x), 8):
+            out = mix((out ^ np.uint64(int.from_bytes(x[i : i + 8], "little"))) + np.uint64(0x9E3779B97F4A7C15))
+        return int(out[0])
+
+    rng = np.random.default_rng(6)
+    for longest in (5, 16, 17, 64, 512):
+        parts = [rng.integers(0, 256, n, dtype=np.uint8).tobytes() for n in [*rng.integers(0, longest + 1, 60), longest, 0]]
+        end = np.cumsum([len(x) for x in parts])
+        start = end - [len(x) for x in parts]
+        assert content_hashes(np.frombuffer(b"".join(parts), np.uint8), start, end).tolist() == [chained(x) for x in parts]
+
+
+@pytest.fixture
+def wide(spark):
+    """Every shuffle has all its partitions, as over large tables."""
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "false")
+    yield spark
+    spark.conf.set(key, before)
+
+
+def written(spark, name):
+    """Files of every work table of that name."""
+    base = shared_dir(spark).removeprefix("file://").removeprefix("file:")
+    return {d: len(glob.glob(f"{d}/part-*")) for d in glob.glob(f"{base}/llm-work/{name}-*")}
+
+
+def test_few_centres_of_matches_are_one_file(wide, docs, rows):
+    before = written(wide, "centres")
+    assert pairs(substrings.deduplicated(docs).drop("kept_text")) == brute.substrings(rows)
+    assert {n for d, n in written(wide, "centres").items() if d not in before} == {1}
