@@ -44,4 +44,4 @@ def components(links: DataFrame) -> DataFrame:
                 state.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
             )
         before = mark
-        state = table(_small_star(_large_star(state)), "links")
+        state = table(_small_star(_large_star(state)), "links", mark[0])  # a round adds no link

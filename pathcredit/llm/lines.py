@@ -17,13 +17,15 @@ empty table gives no row; further columns pass through.
 
 from __future__ import annotations
 
+from functools import cached_property
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pathcredit.llm.common import Spans, content_hashes, documents, ids_of, longs, mix, record_batch, ship, steps, table
+from pathcredit.llm.common import Spans, _mixed, content_hashes, documents, ids_of, longs, lower, mix, record_batch, ship, steps, table
 from pathcredit.llm.components import components
 from pathcredit.llm.lsh import BITS, Near, mixed_bands, similar_sets
 
@@ -33,6 +35,10 @@ LINES = Near(80, shingle=8, bands=13, rows=3, few=78)
 _NEWLINE = 10
 _table: list[np.ndarray] = []
 _LINES_AT_ONCE = 4000
+#: Text that one step holds: a character takes up to a hundred bytes in its arrays.
+_STEP_BYTES = 1 << 18
+_BLANK = np.zeros(256, bool)
+_BLANK[[9, 10, 11, 12, 13, 32, 0xA0]] = True
 _SEEN_LINES = 200_000
 
 
@@ -45,22 +51,24 @@ def _symbols(codes: np.ndarray) -> np.ndarray:
     return _table[0][codes]
 
 
-def _content_ids(codes: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """The ids of lines: hashes of their characters, A-Z as a-z."""
-    lowered = np.where((codes >= 65) & (codes <= 90), codes + np.uint32(32), codes).astype("<u4").view(np.uint8)
-    return content_hashes(lowered, 4 * start, 4 * end).view(np.int64)
+def _content_ids(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """The ids of lines: hashes of their bytes in UTF-8, A-Z as a-z."""
+    return content_hashes(lower(data), start, end).view(np.int64)
 
 
-def _line_ids(lines: list[str]) -> np.ndarray:
-    end = np.cumsum(np.array([len(x) for x in lines], np.int64))
-    return _content_ids(np.frombuffer("".join(lines).encode("utf-32-le", "surrogatepass"), np.uint32), end - np.array([len(x) for x in lines], np.int64), end)
+def _line_ids(lines: list[bytes]) -> np.ndarray:
+    size = np.array([len(x) for x in lines], np.int64)
+    return _content_ids(np.frombuffer(b"".join(lines), np.uint8), np.cumsum(size) - size, np.cumsum(size))
 
 
 class Lines:
     """The lines of some texts, as characters."""
 
     def __init__(self, texts: list[str | None]):
-        codes = np.frombuffer("\n".join([t or "" for t in texts]).encode("utf-32-le", "surrogatepass"), np.uint32)
+        joined = "\n".join([t or "" for t in texts])
+        data = np.frombuffer(joined.encode("utf-8", "surrogatepass"), np.uint8)
+        one_byte = len(data) == len(joined)  # a byte is a character
+        codes = data if one_byte else np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32)
         breaks = np.flatnonzero(codes == _NEWLINE)
         self.start = np.append(0, breaks + 1)
         self.end = np.append(breaks, len(codes))
@@ -68,13 +76,23 @@ class Lines:
         self.first = np.append(0, np.cumsum(count))
         self.doc = ids_of(self.first)
         self.number = np.arange(len(self.doc)) - self.first[self.doc]
-        solid = np.append(0, np.cumsum(~np.isin(codes, [9, 10, 11, 12, 13, 32, 0xA0])))
         null = np.array([t is None for t in texts], bool)
         self.null = null[self.doc]
-        self.filled = solid[self.end] > solid[self.start]
+        self.data, self.codes = data, codes
         self.spans = Spans(_symbols(codes))
         self.every: tuple[int, np.ndarray] | None = None
-        self.id = _content_ids(codes, self.start, self.end)
+
+    @cached_property
+    def id(self) -> np.ndarray:
+        edges = np.flatnonzero(self.data == _NEWLINE)
+        return _content_ids(self.data, np.append(0, edges + 1), np.append(edges, len(self.data)))
+
+    @cached_property
+    def filled(self) -> np.ndarray:
+        """Lines with a character other than white space."""
+        solid = np.zeros(len(self.codes) + 1, np.int64)
+        np.cumsum(~_BLANK[np.minimum(self.codes, 255)], out=solid[1:])
+        return solid[self.end] > solid[self.start]
 
     def shingles(self, lines: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         """(hash, line) of every shingle of some lines."""
@@ -83,11 +101,13 @@ class Lines:
         edge = np.cumsum(n) - n
         at = np.repeat(self.start[lines] - edge, n) + np.arange(n.sum())
         if self.every is None or self.every[0] != k:
-            self.every = (k, self.spans.every(k))  # the shingle at every character
-        out = np.zeros(len(at), np.uint64) if not len(self.every[1]) else self.every[1][np.minimum(at, len(self.every[1]) - 1)]
+            # the shingle at every character; the last characters begin none
+            self.every = (k, np.append(self.spans.every(k), np.zeros(k, np.uint64)))
+        out = self.every[1][at]
         short = np.flatnonzero(size < k)
         out[edge[short]] = self.spans.hash(self.start[lines[short]], self.end[lines[short]])
-        return out >> np.uint64(64 - BITS), np.repeat(np.arange(len(lines)), n)
+        out >>= np.uint64(64 - BITS)
+        return out, np.repeat(np.arange(len(lines)), n)
 
 
 def one_hash(elements: np.ndarray, first: np.ndarray, registers: int) -> np.ndarray:
@@ -97,10 +117,15 @@ def one_hash(elements: np.ndarray, first: np.ndarray, registers: int) -> np.ndar
 
 
 def _least(elements: np.ndarray, owner: np.ndarray, sets: int, registers: int) -> np.ndarray:
-    h = mix(elements ^ np.uint64(0x2545F4914F6CDD1D))
-    register = ((h >> np.uint64(32)) * np.uint64(registers) >> np.uint64(32)).astype(np.int64)
+    h = _mixed(elements ^ np.uint64(0x2545F4914F6CDD1D))
+    place = h >> np.uint64(32)
+    place *= np.uint64(registers)
+    place >>= np.uint64(32)
+    place = place.view(np.int64)
+    place += owner * registers
+    h &= np.uint64(0xFFFFFFFF)
     out = np.full(sets * registers, 1 << 32, np.int64)
-    np.minimum.at(out, owner * registers + register, (h & np.uint64(0xFFFFFFFF)).astype(np.int64))
+    np.minimum.at(out, place, h.view(np.int64))
     out = out.reshape(sets, registers)
     twice = np.concatenate([out, out], 1)
     place = np.where(twice < 1 << 32, np.arange(2 * registers), 4 * registers)
@@ -124,7 +149,7 @@ def lines_of(docs: DataFrame, near: Near) -> DataFrame:
 
     def run(batches):
         seen: set[int] = set()
-        for batch in steps(batches, 1 << 20):
+        for batch in steps(batches, _STEP_BYTES):
             lines = Lines(batch.column(1).to_pylist())
             _, some = np.unique(lines.id, return_index=True)
             some = np.sort(some[lines.filled[some]])
@@ -157,15 +182,15 @@ def full_lines(docs: DataFrame, found: DataFrame, wanted: DataFrame) -> DataFram
     asked = wanted.join(one, wanted.rep == one.id).groupBy("p.doc_id").agg(F.collect_list(F.struct("p.line_no", "rep", "roles")).alias("asked"))
 
     def run(batches):
-        for batch in steps(batches, 1 << 20):
+        for batch in steps(batches, _STEP_BYTES):
             lists = batch.column(1)
             number, rep, role = lists.flatten().flatten()
             owner = np.repeat(np.arange(len(lists)), lists.value_lengths().to_numpy(zero_copy_only=False))
             texts = [t.split("\n") for t in batch.column(0).to_pylist()]
-            lines = [texts[i][n] if n < len(texts[i]) else "" for i, n in zip(owner.tolist(), number.to_pylist())]
+            lines = [(texts[i][n] if n < len(texts[i]) else "").encode("utf-8", "surrogatepass") for i, n in zip(owner.tolist(), number.to_pylist())]
             # another text of the same doc_id may hold another line there
             right = pa.array(_line_ids(lines) == rep.to_numpy())
-            yield pa.RecordBatch.from_arrays([rep.filter(right), pa.array([x.encode("utf-8", "surrogatepass") for x in lines], pa.binary()).filter(right), role.filter(right)], ["rep", "elements", "roles"])
+            yield pa.RecordBatch.from_arrays([rep.filter(right), pa.array(lines, pa.binary()).filter(right), role.filter(right)], ["rep", "elements", "roles"])
 
     texts = docs.filter("text is not null").join(asked, "doc_id").select("text", "asked")
     return texts.mapInArrow(run, f"rep long, elements binary, roles {roles}")

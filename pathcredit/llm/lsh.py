@@ -276,14 +276,15 @@ def similar_sets(values: DataFrame, sets: Callable[[DataFrame], DataFrame], sign
     # the two has a shuffle of its own on either side and a hot key can be split
     shared = table(values.groupBy("key").agg(F.min("rep").alias("a"), F.max("rep").alias("b")).filter("a <> b").select("key"), "shared")
     crowded = table(values.join(shared, "key", "left_semi").distinct(), "crowded")
+    count = crowded.count()
     sizes = crowded.groupBy("key").agg(F.count("*").alias("members"))
 
     # each set with the centre it shares most buckets with; centres: members of the fullest buckets
     fame = crowded.join(sizes, "key").groupBy("rep").agg(F.sum("members").alias("fame"))
     top = F.max(F.struct("fame", "rep"))
-    centres = table(crowded.join(fame, "rep").groupBy("key").agg(top.alias("top")).select("key", F.col("top.rep").alias("centre")), "centres")
+    centres = table(crowded.join(fame, "rep").groupBy("key").agg(top.alias("top")).select("key", F.col("top.rep").alias("centre")), "centres", count)
     met = crowded.join(centres, "key").groupBy("rep", "centre").count().filter("rep <> centre")
-    best = table(met.groupBy("rep").agg(F.max(F.struct("count", "centre")).alias("top")).select("rep", "top.centre"), "best")
+    best = table(met.groupBy("rep").agg(F.max(F.struct("count", "centre")).alias("top")).select("rep", "top.centre"), "best", count)
     salts = best.groupBy("centre").agg(F.ceil(F.count("*") / near.centre_rows).cast("int").alias("salts"))
     member = best.join(salts, "centre").select("rep", "centre", F.pmod(F.xxhash64("rep"), F.col("salts")).cast("int").alias("salt"))
     centre = salts.select(F.col("centre").alias("rep"), "centre", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"))
@@ -296,7 +297,7 @@ def similar_sets(values: DataFrame, sets: Callable[[DataFrame], DataFrame], sign
     label = components(first)
     marked = crowded.join(label, crowded.rep == label.node, "left").select("key", "band", "rep", F.coalesce("component", "rep").alias("component"))
     mixed = marked.groupBy("key").agg(F.min("component").alias("a"), F.max("component").alias("b"), F.ceil(F.count("*") / near.block_rows).cast("int").alias("blocks")).filter("a <> b").select("key", "blocks")
-    mixed = table(mixed, "mixed")
+    mixed = table(mixed, "mixed", count)
     member = marked.join(mixed, "key").withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     dealt = table(member.withColumn("other", other).select("key", "band", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "rep", "component", "block"), "dealt")

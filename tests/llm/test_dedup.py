@@ -172,6 +172,25 @@ def test_merged_transforms_find_repeats(shards):
     assert repeated(data, offsets, 32, shards).tolist() == [w is not None and windows.count(w) > 1 for w in windows]
 
 
+def test_a_step_over_lines_holds_little():
+    """Four MB of text in one batch are read in steps of bounded memory."""
+    rng = np.random.default_rng(4)
+    texts = ["\n".join(rng.integers(97, 123, (20, 200), dtype=np.uint8).view("S200").ravel().astype(str)) for _ in range(1000)]
+    batch = pa.record_batch([pa.array(range(1000)), pa.array(texts)], ["doc_id", "text"])
+
+    class Docs:
+        def mapInArrow(self, run, ddl):
+            return run
+
+    run = lines.lines_of(Docs(), lines.LINES)
+    list(run(iter([batch.slice(0, 1)])))
+    tracemalloc.start()
+    found = [x.num_rows for x in run(iter([batch]))]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert sum(found) == 20_000 and peak < 50e6
+
+
 def test_content_hashes_chain_eight_bytes_a_step():
     def chained(x):
         out = mix(np.array([len(x)], np.uint64) + np.uint64(0x9E3779B97F4A7C15))
@@ -203,6 +222,14 @@ def written(spark, name):
     return {d: len(glob.glob(f"{d}/part-*")) for d in glob.glob(f"{base}/llm-work/{name}-*")}
 
 
+def test_a_round_over_few_links_writes_one_file(wide):
+    links = wide.createDataFrame([(i, i + 1) for i in range(100)], "u long, v long")
+    before = written(wide, "links")
+    assert pairs(components(links)) == [(i, 0) for i in range(101)]
+    rounds = sorted(n for d, n in written(wide, "links").items() if d not in before)
+    assert len(rounds) > 3 and set(rounds[:-1]) == {1}
+
+
 def test_few_centres_of_matches_are_one_file(wide, docs, rows):
     before = written(wide, "centres")
     assert pairs(substrings.deduplicated(docs).drop("kept_text")) == brute.substrings(rows)
