@@ -3,13 +3,14 @@ import hashlib
 import itertools
 import random
 import re
+import tracemalloc
 import zlib
 
 import numpy as np
 import pyarrow as pa
 import pytest
 
-from pathcredit.llm import attention, counts, decontamination, packing, personal, quality, scoring
+from pathcredit.llm import attention, counts, decontamination, packing, personal, quality, scoring, tokens
 from pathcredit.llm.tokens import Encoder, encoder
 from tests.llm import brute
 
@@ -31,6 +32,25 @@ def test_ids_are_those_of_the_public_tokenizer(rows):
     assert got == [public_ids(t) for t in texts]
 
 
+def test_encoder_keeps_nothing_of_texts_with_many_words():
+    """Rare words were kept in a table, which was filled and emptied for every step."""
+    bpe = Encoder("byte_bpe_50k")
+    text = " ".join(np.random.default_rng(4).integers(1 << 40, 1 << 44, 20_000).astype(str).tolist())
+    tracemalloc.start()
+    ids = bpe.encode(text)
+    held, _ = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert held < 2 * len(ids)
+    assert np.frombuffer(ids, "<u4").tolist() == public_ids(text)
+
+
+def test_long_texts_are_cut_where_no_piece_reaches_across(monkeypatch):
+    monkeypatch.setattr(tokens, "_LONG", 3)
+    texts = ["ab  cd e\u00a0f  g\n h i", "x " * 9, " a b  c\t d", "it's a b's  \u3000 c", "abc <|endoftext|> d e  f g", "\U0001f600 \U0001f600 a"]
+    got = [np.frombuffer(x, "<u4").tolist() for x in Encoder("byte_bpe_50k").encode_all(texts)]
+    assert got == [public_ids(t) for t in texts]
+
+
 def check_packed(pieces, rows):
     """Every id lies in one piece; sequences are gapless and at most 1024 long."""
     by_doc, by_sequence = {}, {}
