@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pathcredit.llm.common import binary_array, mix, table, utf8
+from pathcredit.llm.common import binary_array, ids_of, mix, table, utf8
 from pathcredit.llm.components import components
 
 BITS = 48  # of an element's hash
@@ -224,6 +224,48 @@ def _could_link(near: Near):
     return run
 
 
+#: Elements that a product of sets holds at once: counts up to there are exact in
+#: single precision.
+_COLUMNS = 4096
+
+
+def _intersections(elements: np.ndarray, edge: np.ndarray) -> Callable[[int], np.ndarray]:
+    """From a set's place, the sizes of its intersections with all sets of a group
+    (set ``i``: ``elements[edge[i]:edge[i + 1]]``).  Elements of one set alone meet
+    nothing.  The others are multiplied as a table of sets by elements, or looked
+    up in lists, whichever is less work."""
+    n = len(edge) - 1
+    order = np.argsort(elements, kind="stable")
+    owner, sorted_ = ids_of(edge)[order], elements[order]
+    head = np.flatnonzero(np.append(True, sorted_[1:] != sorted_[:-1])) if len(sorted_) else np.zeros(0, np.int64)
+    count = np.diff(np.append(head, len(sorted_)))
+    more = count > 1
+    shared = int(more.sum())
+    # a step through a list takes as long as some 50 products, a set's own lookup as a million
+    if n * n * shared <= 50 * int((count * count).sum()) + (n << 20):
+        met = np.repeat(more, count)
+        rows, columns = owner[met], np.repeat(np.arange(shared), count[more])
+        both = np.zeros((n, n), np.int64)
+        np.fill_diagonal(both, np.diff(edge))
+        for at in range(0, shared, _COLUMNS):
+            part = slice(*np.searchsorted(columns, [at, at + _COLUMNS]))
+            sets = np.zeros((n, min(_COLUMNS, shared - at)), np.float32)
+            sets[rows[part], columns[part] - at] = 1
+            product = (sets @ sets.T).astype(np.int64)
+            np.fill_diagonal(product, 0)
+            both += product
+        return lambda i: both[i]
+    where = np.empty(len(elements), np.int64)
+    where[order] = np.repeat(np.arange(len(head)), count)
+
+    def looked_up(i: int) -> np.ndarray:
+        lists = where[edge[i] : edge[i + 1]]
+        k = count[lists]
+        return np.bincount(owner[np.repeat(head[lists] - (np.cumsum(k) - k), k) + np.arange(k.sum())], minlength=n)
+
+    return looked_up
+
+
 def _within_block(percent: int, unpack: Unpack):
     def run(bundle: pa.Table) -> pa.Table:
         """Links that connect members of different components, on full sets: as many
@@ -238,24 +280,14 @@ def _within_block(percent: int, unpack: Unpack):
         for rows in groups:
             lo, hi = low[rows[0]], high[rows[0]]
             size = (first[rows + 1] - first[rows]).astype(np.int64)
-            values = np.concatenate([elements[first[i] : first[i + 1]] for i in rows.tolist()])
-            edge = np.cumsum(np.concatenate([[0], size]))
-            order = np.argsort(values, kind="stable")
-            owner = np.repeat(np.arange(len(rows)), size)[order]
-            sorted_ = values[order]
-            head = np.flatnonzero(np.append(True, sorted_[1:] != sorted_[:-1]))
-            count = np.diff(np.append(head, len(sorted_)))
-            where = np.empty(len(values), np.int64)
-            where[order] = np.repeat(np.arange(len(head)), count)
             right, label = own[rows] == hi, comp[rows].copy()
+            both_of = _intersections(elements[_spread(first, rows)[0]], np.append(0, np.cumsum(size)))
             for i in np.flatnonzero(own[rows] == lo).tolist():
-                if not (right & (label != label[i])).any():
+                open_ = right & (label != label[i])
+                if not open_.any():
                     continue
-                lists = where[edge[i] : edge[i + 1]]
-                n = count[lists]
-                at = np.repeat(head[lists] - (np.cumsum(n) - n), n) + np.arange(n.sum())
-                both = np.bincount(owner[at], minlength=len(rows))
-                j = np.flatnonzero(right & (label != label[i]) & (100 * both >= percent * (size + size[i] - both)))
+                both = both_of(i)
+                j = np.flatnonzero(open_ & (100 * both >= percent * (size + size[i] - both)))
                 while len(j):  # one link for each component that joins: a spanning forest, not all pairs
                     found.append((rep[rows[[i]]], rep[rows[j[:1]]]))
                     label[label == label[j[0]]] = label[i]

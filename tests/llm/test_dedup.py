@@ -6,7 +6,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from pathcredit.llm import lines, minhash, substrings, suffixes
+from pathcredit.llm import lines, lsh, minhash, substrings, suffixes
 from pathcredit.llm.bwt import repeated
 from pathcredit.llm.common import content_hashes, mix, shared_dir, steps
 from pathcredit.llm.components import components
@@ -234,3 +234,18 @@ def test_few_centres_of_matches_are_one_file(wide, docs, rows):
     before = written(wide, "centres")
     assert pairs(substrings.deduplicated(docs).drop("kept_text")) == brute.substrings(rows)
     assert {n for d, n in written(wide, "centres").items() if d not in before} == {1}
+
+
+@pytest.mark.parametrize(("sets", "kinds", "most", "lists"), [(12, 30, 40, False), (40, 20_000, 40, False), (400, 4_000, 200, True)])
+def test_intersections_of_a_group_by_products_and_by_lists(sets, kinds, most, lists, monkeypatch):
+    """Every set's elements were looked up in lists, one set after another."""
+    monkeypatch.setattr(lsh, "_COLUMNS", 16)
+    rng = np.random.default_rng(sets)
+    groups = [np.unique(rng.integers(0, kinds, rng.integers(0, most))).astype(np.uint64) for _ in range(sets)]
+    groups[3] = groups[5] = np.arange(25, dtype=np.uint64)
+    both = lsh._intersections(np.concatenate(groups), np.cumsum([0] + [len(g) for g in groups]))
+    assert (both.__name__ == "looked_up") == lists
+    for i in range(0, sets, 7):
+        expected = [len(np.intersect1d(groups[i], g)) for g in groups]
+        assert both(i).tolist() == expected
+    assert lsh._intersections(np.zeros(0, np.uint64), np.zeros(3, np.int64))(1).tolist() == [0, 0]
