@@ -44,6 +44,17 @@ def test_encoder_keeps_nothing_of_texts_with_many_words():
     assert np.frombuffer(ids, "<u4").tolist() == public_ids(text)
 
 
+def test_embedding_gradients_are_sums_over_slots():
+    """They were added one slot at a time."""
+    rng = np.random.default_rng(6)
+    slots, values = rng.integers(0, 40, 500), rng.standard_normal((500, attention.WIDTH)).astype(np.float32)
+    slots[:100] = 7
+    expected = np.zeros((attention.SYMBOLS, attention.WIDTH), np.float32)
+    np.add.at(expected, slots, values)
+    assert np.allclose(attention._summed(slots, values, attention.SYMBOLS), expected, atol=1e-4)
+    assert not attention._summed(slots[:0], values[:0], 9).any()
+
+
 def test_long_texts_are_cut_where_no_piece_reaches_across(monkeypatch):
     monkeypatch.setattr(tokens, "_LONG", 3)
     texts = ["ab  cd e\u00a0f  g\n h i", "x " * 9, " a b  c\t d", "it's a b's  \u3000 c", "abc <|endoftext|> d e  f g", "\U0001f600 \U0001f600 a"]
