@@ -332,6 +332,81 @@ def test_fitting_reads_the_whole_fold(spark):
     assert after > before + 0.3
 
 
+def test_texts_are_encoded_once(docs, monkeypatch, tmp_path):
+    """Training encoded its texts, and scoring encoded them again."""
+    real, note = scoring.subwords, str(tmp_path / "encoded")
+
+    def noted(texts, vocabulary):
+        with open(note, "a") as f:
+            f.write(f"{len(texts)}\n")
+        return real(texts, vocabulary)
+
+    monkeypatch.setattr(scoring, "subwords", noted)
+    got = scoring.scored(docs).collect()
+    with open(note) as f:
+        assert sum(map(int, f)) == len(got) == docs.filter("doc_id is not null").count()
+
+
+def batch_of_windows(windows=9):
+    rng = np.random.default_rng(3)
+    p = attention.start(rng, rng.integers(1, 99, attention.SYMBOLS))
+    p["distance"] += rng.standard_normal(attention.CONTEXT).astype(np.float32)
+    p["embed"] *= 8  # all parameters matter
+    p["class"] *= 10
+    p["member"] *= 10
+    ids = rng.integers(0, 50, (windows, 2 * attention.CONTEXT)).astype(np.int32)
+    targets = rng.integers(0, 5 * attention.MEMBERS, (windows, attention.CONTEXT)).astype(np.int32)
+    weight = (rng.random(targets.shape) < 0.8).astype(np.float32)
+    return p, ids, np.arange(windows) % 3 == 1, targets, weight
+
+
+def test_gradients_are_slopes_of_the_loss():
+    p, *batch = batch_of_windows()
+    _, g = attention.gradients(p, *batch)
+    assert not g["member"][5:].any() and not g["member_bias"][5:].any()  # classes that no target is of
+    for k, slope in g.items():
+        size = float(np.linalg.norm(slope))
+        step = slope * np.float32(0.02 / size)
+        up, down = (attention.gradients(p | {k: p[k] + s * step}, *batch)[0] for s in (1, -1))
+        assert abs((up - down) / 0.04 - size) < 0.03 * size, k
+
+
+def test_gradients_leave_nothing_of_an_earlier_batch():
+    p, *batch = batch_of_windows()
+    loss, g = attention.gradients(p, *batch)
+    used = {k: np.full_like(v, 9) for k, v in p.items()}
+    assert attention.gradients(p, *batch, used)[0] == loss
+    assert all(np.array_equal(g[k], used[k]) for k in g)
+
+
+def test_exponentials_are_those_of_seen_slots():
+    """Half of the exponentials were of slots that no position sees."""
+    p, _, opening, _, _ = batch_of_windows()
+    s = np.random.default_rng(5).standard_normal((len(opening), attention.CONTEXT, 2 * attention.CONTEXT)).astype(np.float32)
+    expected = np.zeros_like(s)
+    for w, i in itertools.product(range(len(s)), range(attention.CONTEXT)):
+        seen = np.arange(attention.CONTEXT if opening[w] else i + 1, attention.CONTEXT + i + 1)
+        x = s[w, i, seen] + p["distance"][attention.CONTEXT + i - seen]
+        expected[w, i, seen] = np.exp(x - x.max())
+    assert np.array_equal(attention._exponentials(s, p["distance"], opening), expected)
+
+
+def test_adam_steps_all_parameters_alike():
+    p, *batch = batch_of_windows()
+    adam, expected = attention.Adam(p), {k: v.copy() for k, v in p.items()}
+    moments = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in p.items()}
+    for t in (1, 2, 3):
+        _, g = attention.gradients(expected, *batch)
+        attention.gradients(adam.p, *batch, adam.g)
+        adam.step(1e-2)
+        for k, (mean, square) in moments.items():
+            mean += 0.1 * (g[k] - mean)
+            square += 0.01 * (g[k] ** 2 - square)
+            expected[k] -= 1e-2 * (mean / (1 - 0.9**t)) / (np.sqrt(square / (1 - 0.99**t)) + 1e-8)
+    assert all(np.allclose(adam.p[k], expected[k], atol=1e-5) for k in p)
+    assert all(np.array_equal(x, adam.p[k]) for k, x in attention.shaped(adam.values, p).items())
+
+
 def test_encoder_is_kept():
     assert encoder() is encoder()
 
